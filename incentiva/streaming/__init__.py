@@ -1,0 +1,6 @@
+"""Streaming.
+
+The job has no streaming part: the commission tracker and the portfolio
+reports are recomputed in batch from the sales table, with no watermark,
+state or late-data handling in the original. Nothing is built here.
+"""
