@@ -43,10 +43,15 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         raise ValueError(f"unsupported report format {fmt!r}")
 
 
-def read_report(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Read a report back with an explicit schema (no inference pass)."""
+def read_report(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                fmt: str = "parquet") -> DataFrame:
+    """Read a report back. Parquet carries its schema in the footer; CSV needs ``schema``
+    (no inference pass over the data)."""
     if fmt == "parquet":
-        return spark.read.schema(schema).parquet(path)
+        r = spark.read
+        return (r.schema(schema) if schema is not None else r).parquet(path)
     if fmt == "csv":
+        if schema is None:
+            raise ValueError("reading a CSV report needs its schema")
         return spark.read.schema(schema).option("header", True).option("nullValue", CSV_NULL).csv(path)
     raise ValueError(f"unsupported report format {fmt!r}")
