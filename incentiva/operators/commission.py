@@ -110,5 +110,8 @@ def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True
     )
     if sort:
         order = created.desc_nulls_first() if params.nulls_first else created.desc_nulls_last()
-        out = out.orderBy(order)
+        # ties are unspecified in the original; breaking them by the row's keys makes
+        # the order deterministic and lets the range partitioner split one hot date
+        # (e.g. every store missing from the register) over many sort tasks
+        out = out.orderBy(order, "store_url", "calendar_date", "leader_name", "tier_net_lm")
     return out

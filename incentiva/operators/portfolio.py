@@ -16,10 +16,10 @@ Plan shape (bonus detail), chosen for a very large sales table:
 3. one aggregate per (mentor, advisor, store, leader, buyer) with map-side
    partial aggregation -- the per-order step of the original SQL is not needed
    for these sums (decimal sums of sums are equal);
-4. buyer names: rows with a null buyer skip the join; the rest join the buyer
-   table and are summed per name (duplicate buyer rows multiply, as in SQL).
-   With a shuffle join this aggregate needs no extra exchange, the join output
-   is already hash-partitioned on the buyer.
+4. buyer names: a measured-small buyer table is broadcast (duplicates collapsed
+   with a copy count); a large one is shuffle-joined on (buyer, salt), where
+   missing buyers get a spread salt, and summed per name afterwards (duplicate
+   buyer rows multiply, as in SQL) with no further exchange.
 
 A hot store or buyer stays bounded: after step 3 it has one row per
 (store, leader, buyer), and the partial aggregate collapses it before any shuffle.
@@ -41,6 +41,7 @@ from .joins import MULTIPLICITY, checked_broadcast, copies, with_multiplicity
 from .sales import sales_by_order, valid_sales
 
 POP = "population"
+SALT = "__salt"
 DETAIL_KEYS = ["mentora", "orientador", "store_url", "leader_name", "dynamo_customer_id", "customer_name"]
 DETAIL_COLUMNS = DETAIL_KEYS + ["total_cliente", "flag_bono", "falta"]
 GRADUATION_COLUMNS = ["mentora", "orientador", "store_url", "clientes", "clientes_bono", "flag_graduado"]
@@ -88,23 +89,41 @@ def _buyer_store_totals(src: Sources, pops: list[Population], params: Params) ->
     return j.select(*keys, (F.col("total") * F.col(MULTIPLICITY)).alias("total"))
 
 
+def _with_buyer_names(spend: DataFrame, buyers: DataFrame, params: Params) -> DataFrame:
+    """``spend LEFT JOIN buyers`` on the buyer id, summed per buyer name.
+
+    Small buyer table: duplicates collapsed with a copy count and broadcast; no
+    aggregate needed after the join. Large: a shuffle join on (buyer, salt).
+    The salt is a hash of the buyer id for a known buyer (on both sides, so
+    matches are unchanged) and a hash of store and leader for a missing one, so
+    missing buyers (which can never match) spread over all reducers instead of
+    piling onto the one that null hashes to. The salt is a function of the
+    grouping keys, so grouping by it as well changes no group, and the join's
+    hash partitioning already satisfies the aggregate: no extra exchange. (A
+    constant salt on the buyer side would be folded by the optimizer into a
+    post-join filter, leaving the shuffle on the id alone.)
+    """
+    key = "dynamo_customer_id"
+    known = buyers.filter(F.col(key).isNotNull()).select(key, "customer_name")
+    named, check = checked_broadcast(
+        with_multiplicity(known, [key, "customer_name"]), params.broadcast_max_bytes, params.broadcast_max_rows
+    )
+    if check.broadcast:
+        j = spend.join(named, key, "left")
+        return j.select(*[c for c in spend.columns if c != "total"], "customer_name",
+                        (F.col("total") * copies()).alias("total"))
+    salt = F.when(F.col(key).isNull(), F.xxhash64("store_url", "leader_name")).otherwise(F.xxhash64(key))
+    j = spend.withColumn(SALT, salt).join(known.withColumn(SALT, F.xxhash64(key)), [key, SALT], "left")
+    group = [c for c in spend.columns if c != "total"] + ["customer_name", SALT]
+    return j.groupBy(*group).agg(F.sum("total").alias("total")).drop(SALT)
+
+
 def bonus_detail_all(src: Sources, params: Params = DEFAULT,
                      populations: Sequence[str | Population] = ("old", "new")) -> DataFrame:
     """Bonus detail of several populations in one pass, with a ``population`` column."""
     pops = _pops(params, populations)
     spend = _buyer_store_totals(src, pops, params)
-    buyers = src.buyers.filter(F.col("dynamo_customer_id").isNotNull())
-    group = [POP] + DETAIL_KEYS
-    named = (
-        spend.filter(F.col("dynamo_customer_id").isNotNull())
-        .join(buyers, "dynamo_customer_id", "left")
-        .groupBy(*group)
-        .agg(F.sum("total").alias("total"))
-    )
-    anonymous = spend.filter(F.col("dynamo_customer_id").isNull()).withColumn(
-        "customer_name", F.lit(None).cast("string")
-    )
-    detail = named.unionByName(anonymous)
+    detail = _with_buyer_names(spend, src.buyers, params)
     total = F.col("total").cast(SUM_MONEY)
     return detail.select(
         POP,

@@ -75,9 +75,15 @@ VALID = (
 MONTH = "CAST(date_trunc('month', create_date_time_tz) AS DATE)"
 
 
+_FIXTURE = [True]
+
+
 def _with(*ctes: str, select: str) -> str:
-    body = ",\n".join([FIXTURE_CTES.strip()] + [c.strip() for c in ctes])
-    return f"WITH\n{body}\n{select.strip()}\n"
+    head = [FIXTURE_CTES.strip()] if _FIXTURE[0] else []
+    parts = head + [c.strip() for c in ctes]
+    if not parts:
+        return select.strip() + "\n"
+    return "WITH\n" + ",\n".join(parts) + f"\n{select.strip()}\n"
 
 
 def _venta(params: Params) -> str:
@@ -224,7 +230,17 @@ def _upper(cols: list[str]) -> str:
     return ", ".join(f"{c} AS {c.upper()}" for c in cols)
 
 
-def oracle_sql(params: Params = DEFAULT) -> dict[str, str]:
+def oracle_sql(params: Params = DEFAULT, fixture: bool = True) -> dict[str, str]:
+    """SQL per query key. ``fixture=False`` leaves out the input views, for a
+    connection where ``sales portfolio portfolio_total buyers tier entrep`` exist."""
+    _FIXTURE[0] = fixture
+    try:
+        return _oracle_sql(params)
+    finally:
+        _FIXTURE[0] = True
+
+
+def _oracle_sql(params: Params) -> dict[str, str]:
     after = params.tracker_after_month.isoformat()
     q: dict[str, str] = {
         "sales_scan": _with(select="SELECT * FROM sales"),

@@ -2,8 +2,8 @@
 
 Each builds the six inputs from the driver's tables (``sources.testdata``) and
 runs one operator or result of the job over all of them. The ``report_*``
-entries write the report to the session's shared folder and return the table
-read back with an explicit schema.
+entries run the whole report job once (into the session's shared folder) and
+return the written table read back.
 """
 
 from __future__ import annotations
@@ -30,57 +30,65 @@ def _src(spark: SparkSession, sf_dir: str) -> Sources:
     return testdata.load(spark, sf_dir)
 
 
-def _portfolio_queries(pop: str, params: Params) -> dict[str, Query]:
-    return {
-        f"portfolio_sales_{pop}": lambda s, d: P.portfolio_sales(_src(s, d), pop, params),
-        f"bonus_detail_{pop}": lambda s, d: P.bonus_detail(_src(s, d), pop, params),
-        f"store_graduation_{pop}": lambda s, d: P.store_graduation(P.bonus_detail(_src(s, d), pop, params), params),
-        f"portfolio_totals_{pop}": lambda s, d: P.portfolio_totals(_src(s, d), pop, params),
+SourceQuery = Callable[[Sources], DataFrame]
+
+
+def source_queries(params: Params = DEFAULT) -> dict[str, SourceQuery]:
+    """Every operator query as a function of the six inputs."""
+    all_stores = params.with_(tier_required=False)
+    q: dict[str, SourceQuery] = {
+        "sales_scan": lambda src: src.sales,
+        "portfolio_scan": lambda src: src.portfolio,
+        "portfolio_size_scan": lambda src: src.portfolio_size,
+        "customer_scan": lambda src: src.buyers,
+        "tier_scan": lambda src: src.tier,
+        "store_scan": lambda src: src.stores,
+        "valid_sales": lambda src: S.valid_sales(src.sales, params),
+        "sales_by_order": lambda src: S.sales_by_order(src.sales, params),
+        "sales_with_tier": lambda src: C.sales_with_tier(src, params),
+        "half_month_sales": lambda src: C.half_month_sales(src, params),
+        "commission_tracker": lambda src: C.commission_tracker(src, params),
+        "commission_tracker_all_stores": lambda src: C.commission_tracker(src, all_stores),
+        "bonus_detail_all_populations": lambda src: P.bonus_detail_all(src, params),
+        "portfolio_totals_all_populations": lambda src: P.portfolio_totals_all(
+            P.store_graduation(P.bonus_detail_all(src, params), params), src.portfolio_size, params),
     }
+    for pop in ("old", "new"):
+        q.update({
+            f"portfolio_sales_{pop}": lambda src, pop=pop: P.portfolio_sales(src, pop, params),
+            f"bonus_detail_{pop}": lambda src, pop=pop: P.bonus_detail(src, pop, params),
+            f"store_graduation_{pop}": lambda src, pop=pop: P.store_graduation(
+                P.bonus_detail(src, pop, params), params),
+            f"portfolio_totals_{pop}": lambda src, pop=pop: P.portfolio_totals(src, pop, params),
+        })
+    return q
 
 
-_REPORT_RUNS: dict[tuple[int, str], ReportPaths] = {}
+_REPORT_RUNS: dict[tuple, ReportPaths] = {}
 
 
 def _reports(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> ReportPaths:
     """Run the whole report job once per session and data directory."""
-    key = (id(spark), sf_dir)
+    key = (id(spark), sf_dir, params)
     if key not in _REPORT_RUNS:
         root = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
         _REPORT_RUNS[key] = run_reports(spark, _src(spark, sf_dir), root, params)
     return _REPORT_RUNS[key]
 
 
-def _report_queries() -> dict[str, Query]:
+def _report_queries(params: Params) -> dict[str, Query]:
     return {
-        "report_detail_old": lambda s, d: read_report(s, _reports(s, d).detail("old")),
-        "report_detail_new": lambda s, d: read_report(s, _reports(s, d).detail("new")),
-        "report_totals_old": lambda s, d: read_report(s, _reports(s, d).totals("old")),
-        "report_totals_new": lambda s, d: read_report(s, _reports(s, d).totals("new")),
-        "report_commission": lambda s, d: read_report(s, _reports(s, d).commission),
+        "report_detail_old": lambda s, d: read_report(s, _reports(s, d, params).detail("old")),
+        "report_detail_new": lambda s, d: read_report(s, _reports(s, d, params).detail("new")),
+        "report_totals_old": lambda s, d: read_report(s, _reports(s, d, params).totals("old")),
+        "report_totals_new": lambda s, d: read_report(s, _reports(s, d, params).totals("new")),
+        "report_commission": lambda s, d: read_report(s, _reports(s, d, params).commission),
     }
 
 
 def queries(params: Params = DEFAULT) -> dict[str, Query]:
-    all_stores = params.with_(tier_required=False)
     q: dict[str, Query] = {
-        "sales_scan": lambda s, d: _src(s, d).sales,
-        "portfolio_scan": lambda s, d: _src(s, d).portfolio,
-        "portfolio_size_scan": lambda s, d: _src(s, d).portfolio_size,
-        "customer_scan": lambda s, d: _src(s, d).buyers,
-        "tier_scan": lambda s, d: _src(s, d).tier,
-        "store_scan": lambda s, d: _src(s, d).stores,
-        "valid_sales": lambda s, d: S.valid_sales(_src(s, d).sales, params),
-        "sales_by_order": lambda s, d: S.sales_by_order(_src(s, d).sales, params),
-        "sales_with_tier": lambda s, d: C.sales_with_tier(_src(s, d), params),
-        "half_month_sales": lambda s, d: C.half_month_sales(_src(s, d), params),
-        "commission_tracker": lambda s, d: C.commission_tracker(_src(s, d), params),
-        "commission_tracker_all_stores": lambda s, d: C.commission_tracker(_src(s, d), all_stores),
-        "bonus_detail_all_populations": lambda s, d: P.bonus_detail_all(_src(s, d), params),
-        "portfolio_totals_all_populations": lambda s, d: P.portfolio_totals_all(
-            P.store_graduation(P.bonus_detail_all(_src(s, d), params), params), _src(s, d).portfolio_size, params),
+        name: (lambda s, d, f=f: f(_src(s, d))) for name, f in source_queries(params).items()
     }
-    for pop in ("old", "new"):
-        q.update(_portfolio_queries(pop, params))
-    q.update(_report_queries())
+    q.update(_report_queries(params))
     return q
