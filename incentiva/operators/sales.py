@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import month_bounds, month_start, next_month, sale_date, ts_literal, as_month
+from ..functions.scalars import as_month, month_bounds, month_start, next_month, sale_date, ts_literal
 from ..params import DEFAULT, Params
 from ..sources.schemas import SUM_MONEY
 
@@ -38,17 +38,28 @@ def _valid(sales: DataFrame, params: Params, time_filter: Column) -> DataFrame:
     )
 
 
+def _partition_filter(sales: DataFrame, params: Params, cond) -> Column:
+    col = params.sales_month_col
+    if col and col in sales.columns:
+        return cond(F.col(col))
+    return F.lit(True)
+
+
 def valid_sales(sales: DataFrame, params: Params = DEFAULT, month: dt.date | None = None) -> DataFrame:
     """Valid sale lines of one month, with ``calendar_date`` and ``calendar_month``."""
-    lo, hi = month_bounds(month or params.month)
+    m = as_month(month or params.month)
+    lo, hi = month_bounds(m)
     ts = F.col("create_date_time_tz")
-    return _valid(sales, params, (ts >= ts_literal(lo)) & (ts < ts_literal(hi)))
+    part = _partition_filter(sales, params, lambda c: c == F.lit(m))
+    return _valid(sales, params, part & (ts >= ts_literal(lo)) & (ts < ts_literal(hi)))
 
 
 def valid_sales_after(sales: DataFrame, params: Params = DEFAULT, after_month: dt.date | None = None) -> DataFrame:
     """Valid sale lines of every month strictly after ``after_month``."""
-    start = dt.datetime.combine(next_month(as_month(after_month or params.tracker_after_month)), dt.time())
-    return _valid(sales, params, F.col("create_date_time_tz") >= ts_literal(start))
+    after = as_month(after_month or params.tracker_after_month)
+    start = dt.datetime.combine(next_month(after), dt.time())
+    part = _partition_filter(sales, params, lambda c: c > F.lit(after))
+    return _valid(sales, params, part & (F.col("create_date_time_tz") >= ts_literal(start)))
 
 
 def sales_by_order(sales: DataFrame, params: Params = DEFAULT, month: dt.date | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ values of the December 2022 scheme. Money thresholds and ladder rungs are
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
 
@@ -36,7 +36,10 @@ class Ladder:
             raise ValueError("ladder thresholds must be strictly ascending")
 
     @classmethod
-    def of(cls, *pairs: tuple[str, int]) -> "Ladder":
+    def of(cls, *pairs: tuple[str | Decimal, int]) -> "Ladder":
+        """Ladder from (threshold, rate) pairs; thresholds as text or Decimal, never float."""
+        if any(isinstance(t, float) for t, _ in pairs):
+            raise TypeError("give ladder thresholds as text or Decimal; a float is not exact")
         return cls(tuple(Rung(Decimal(t), int(r)) for t, r in pairs))
 
     @property
@@ -86,7 +89,7 @@ class Population:
 
 OLD = Population("old", "cartera", OLD_LADDER)
 NEW = Population("new", "cartera_nuevos", NEW_LADDER)
-POPULATIONS = {p.name: p for p in (OLD, NEW)}
+POPULATIONS = (OLD, NEW)
 
 
 @dataclass(frozen=True)
@@ -98,6 +101,9 @@ class Params:
     graduate_min: int = GRADUATE_MIN_BONUSES
     excluded_statuses: tuple[str, ...] = EXCLUDED_STATUSES
     retention_value: int = 0
+    # month partition column of the sales table (a date, first of the month), if
+    # any: the month filters are then applied to it as well, pruning partitions
+    sales_month_col: str | None = None
     # commission tracker
     tracker_after_month: dt.date = TRACKER_AFTER_MONTH
     cut_date: dt.date = COMMISSION_CUT_DATE
@@ -115,16 +121,16 @@ class Params:
     broadcast_max_bytes: int = 64 * 1024 * 1024
     broadcast_max_rows: int = 2_000_000
     top_text: str = TOP_TARGET_TEXT
-    populations: dict[str, Population] = field(default_factory=lambda: dict(POPULATIONS))
+    populations: tuple[Population, ...] = POPULATIONS
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
     def population(self, name: str) -> Population:
-        try:
-            return self.populations[name]
-        except KeyError:
-            raise KeyError(f"unknown population {name!r}; known: {sorted(self.populations)}") from None
+        for p in self.populations:
+            if p.name == name:
+                return p
+        raise KeyError(f"unknown population {name!r}; known: {[p.name for p in self.populations]}")
 
 
 DEFAULT = Params()

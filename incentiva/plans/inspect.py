@@ -18,11 +18,11 @@ def explain_string(df: DataFrame, mode: str = "formatted") -> str:
 
 def pushed_filters(df: DataFrame) -> list[str]:
     """``PushedFilters`` lists of every file scan in the plan."""
-    return re.findall(r"PushedFilters: \[(.*?)\]", explain_string(df, "formatted"))
+    return re.findall(r"PushedFilters: \[(.*)\]\s*$", explain_string(df, "formatted"), flags=re.MULTILINE)
 
 
 def read_schemas(df: DataFrame) -> list[str]:
-    return re.findall(r"ReadSchema: (struct<.*?>)", explain_string(df, "formatted"))
+    return re.findall(r"ReadSchema: (struct<.*>)\s*$", explain_string(df, "formatted"), flags=re.MULTILINE)
 
 
 def count_nodes(df: DataFrame, name: str) -> int:

@@ -86,12 +86,12 @@ class SchemaError(ValueError):
     pass
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
+def conform(df: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Select the source's columns in order and cast them to the expected types.
 
-    Missing columns raise ``SchemaError``; extra columns are dropped here so the
-    scan reads only what the queries use (column pruning starts at the source).
-    Casts are no-ops when the stored type is already right.
+    Missing columns raise ``SchemaError``; extra columns are dropped (except those
+    in ``keep``, e.g. a partition column) so the scan reads only what the queries
+    use. Casts are no-ops when the stored type is already right.
     """
     schema = SCHEMAS[name]
     present = {f.name: f.dataType for f in df.schema.fields}
@@ -112,4 +112,5 @@ def conform(df: DataFrame, name: str) -> DataFrame:
             )
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    extra = [c for c in keep if c in present and c not in schema.fieldNames()]
+    return df.select(*cols, *extra)

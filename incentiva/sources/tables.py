@@ -24,22 +24,29 @@ class Sources:
     tier: DataFrame
     stores: DataFrame
 
-    def conformed(self) -> "Sources":
-        return Sources(**{f.name: conform(getattr(self, f.name), f.name) for f in fields(self)})
+    def conformed(self, sales_month_col: str | None = None) -> "Sources":
+        keep = {"sales": (sales_month_col,) if sales_month_col else ()}
+        return Sources(**{f.name: conform(getattr(self, f.name), f.name, keep.get(f.name, ()))
+                          for f in fields(self)})
 
 
-def from_tables(spark: SparkSession, names: dict[str, str]) -> Sources:
-    """Load from catalog tables, e.g. ``{"sales": "journey.base", ...}``."""
-    return Sources(**{k: spark.table(names[k]) for k in SCHEMAS}).conformed()
+def from_tables(spark: SparkSession, names: dict[str, str], sales_month_col: str | None = None) -> Sources:
+    """Load from catalog tables, e.g. ``{"sales": "journey.base", ...}``.
+
+    ``sales_month_col`` names a month partition column of the sales table (a date,
+    the first of the month); set the same name in ``Params.sales_month_col`` so
+    the month filters prune whole partitions.
+    """
+    return Sources(**{k: spark.table(names[k]) for k in SCHEMAS}).conformed(sales_month_col)
 
 
-def from_parquet(spark: SparkSession, paths: dict[str, str]) -> Sources:
+def from_parquet(spark: SparkSession, paths: dict[str, str], sales_month_col: str | None = None) -> Sources:
     """Load from parquet paths (a file or a directory, possibly partitioned).
 
     No schema inference pass: parquet carries its schema in the footer, and
     ``conform`` checks it against the expected one.
     """
-    return Sources(**{k: spark.read.parquet(paths[k]) for k in SCHEMAS}).conformed()
+    return Sources(**{k: spark.read.parquet(paths[k]) for k in SCHEMAS}).conformed(sales_month_col)
 
 
 def from_frames(**frames: DataFrame) -> Sources:
