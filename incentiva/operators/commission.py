@@ -2,17 +2,19 @@
 
 Plan shape, chosen for a very large sales table:
 
-1. valid sales of every month after the cut month (range filter pushed to the scan);
-2. pre-aggregate to (day, store, leader) with map-side partial aggregation -- the
-   joins below then see one row per store-day-leader instead of one per sale line;
-3. tier per (store, month) and store creation date, duplicates collapsed with a
-   copy count, joined to that aggregate (broadcast when measured small);
+1. valid sales of every month after the cut month (range filter pushed to the
+   scan, month partitions pruned when the table has them);
+2. tier per (store, month) and store register are measured (once per input
+   bundle). When both are small they are broadcast raw and joined map-side to
+   the sale lines, then one aggregate per (creation day, day, store, leader,
+   tier) -- the SQL's own order, duplicates multiplying as in SQL;
+3. otherwise sales are first pre-aggregated to (day, store, leader) with
+   map-side partial aggregation, and the dimensions, collapsed to distinct rows
+   with a copy count, are joined to that much smaller aggregate;
 4. the half-month total is a window over (store, half, month) on the aggregate;
-   its partitions hold at most ~16 days x leaders rows, so one very large store
-   does not make a large window partition.
-
-Joining before or after step 2 gives the same sums: duplicate dimension rows
-multiply the total (copy count), rows with different values stay apart.
+   its partitions hold at most ~16 days x leaders x tiers rows, so one very
+   large store does not make a large window partition. After shuffle joins on
+   the store the window needs no exchange of its own.
 """
 
 from __future__ import annotations
@@ -52,7 +54,8 @@ def sales_with_tier(src: Sources, params: Params = DEFAULT) -> DataFrame:
         "net_value",
     )
     tier = _tier_for_tracker(src.tier, params)
-    tier, _ = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows)
+    tier, _ = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                bound=src.size_bound("tier"))
     return sales.join(tier, ["store_url", "calendar_month"], how)
 
 
@@ -75,22 +78,35 @@ def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True
 
     Sorted by creation date descending (missing dates first by default) when ``sort``.
     """
-    daily = daily_store_sales(src, params).withColumn("calendar_month", month_start(F.col("calendar_date")))
-
-    tier = with_multiplicity(_tier_for_tracker(src.tier, params), ["store_url", "calendar_month", "tier_net_lm"])
-    tier = tier.withColumnRenamed(MULTIPLICITY, "__tier_copies")
-    tier, _ = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows)
     how = "inner" if params.tier_required else "left"
-    j = daily.join(tier, ["store_url", "calendar_month"], how)
-
-    stores = with_multiplicity(
-        src.stores.select("store_url", sale_date(F.col("create_date_tz")).alias("creation_date")),
-        ["store_url", "creation_date"],
-    ).withColumnRenamed(MULTIPLICITY, "__store_copies")
-    stores, _ = checked_broadcast(stores, params.broadcast_max_bytes, params.broadcast_max_rows)
-    j = j.join(stores, "store_url", "left")
-
-    total = (F.col("total") * copies("__tier_copies") * copies("__store_copies")).cast(SUM_MONEY)
+    tier = _tier_for_tracker(src.tier, params)
+    stores = src.stores.select("store_url", sale_date(F.col("create_date_tz")).alias("creation_date"))
+    tier_b, tier_check = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                           bound=src.size_bound("tier"), extra_bytes_per_row=8)
+    stores_b, stores_check = checked_broadcast(stores, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                               bound=src.size_bound("stores"), extra_bytes_per_row=8)
+    if tier_check.broadcast and stores_check.broadcast:
+        # both small: joined raw, map-side, to the sale lines; one aggregate (the SQL's order)
+        lines = valid_sales_after(src.sales, params).select(
+            "calendar_date", "calendar_month", "store_url", "leader_name", "net_value")
+        j = lines.join(tier_b, ["store_url", "calendar_month"], how).join(stores_b, "store_url", "left")
+        j = j.groupBy("creation_date", "calendar_date", "calendar_month", "store_url", "leader_name",
+                      "tier_net_lm").agg(F.sum("net_value").alias("total"))
+    else:
+        # a large dimension: join it to the daily aggregate instead, collapsed with copy counts
+        daily = daily_store_sales(src, params).withColumn("calendar_month", month_start(F.col("calendar_date")))
+        tier_u = with_multiplicity(tier, ["store_url", "calendar_month", "tier_net_lm"])
+        tier_u = tier_u.withColumnRenamed(MULTIPLICITY, "__tier_copies")
+        stores_u = with_multiplicity(stores, ["store_url", "creation_date"]).withColumnRenamed(
+            MULTIPLICITY, "__store_copies")
+        if tier_check.broadcast:
+            tier_u = F.broadcast(tier_u)
+        if stores_check.broadcast:
+            stores_u = F.broadcast(stores_u)
+        j = daily.join(tier_u, ["store_url", "calendar_month"], how).join(stores_u, "store_url", "left")
+        j = j.withColumn("total", F.col("total") * copies("__tier_copies") * copies("__store_copies"))
+
+    total = F.col("total").cast(SUM_MONEY)
     j = j.select(
         "creation_date", "calendar_date", "calendar_month",
         half_month(F.col("calendar_date")).alias("quincena"),

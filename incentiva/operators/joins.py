@@ -51,9 +51,21 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["b"] or 0)
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int) -> tuple[DataFrame, SizeCheck]:
-    """Return ``(df hinted for broadcast, check)`` when small enough, else ``(df, check)``."""
-    rows, size = measure(df)
+def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int, bound: tuple[int, int] | None = None,
+                      extra_bytes_per_row: int = 8, copies: int = 1) -> tuple[DataFrame, SizeCheck]:
+    """Return ``(df hinted for broadcast, check)`` when small enough, else ``(df, check)``.
+
+    ``bound`` is the measured (rows, bytes) of a table that ``df`` is derived from
+    by filters, projections and duplicate collapsing (which only shrink it); each
+    derived row may add ``extra_bytes_per_row`` (e.g. a copy count), and ``copies``
+    stacked copies of the table multiply it. Without a bound ``df`` itself is measured.
+    """
+    if bound is None:
+        rows, size = measure(df)
+    else:
+        raw_rows, raw_bytes = bound
+        rows = raw_rows * copies
+        size = copies * (raw_bytes + raw_rows * extra_bytes_per_row)
     ok = rows <= max_rows and size <= max_bytes
     return (F.broadcast(df) if ok else df), SizeCheck(rows, size, ok)
 

@@ -7,22 +7,24 @@ computed in one pass over the sales; the single-population forms drop it.
 
 Plan shape (bonus detail), chosen for a very large sales table:
 
-1. valid sales of the month (range filter pushed to the scan);
-2. the population's portfolio, duplicates collapsed with a copy count, is
-   measured; if small it is broadcast and joined map-side *before* the first
-   shuffle (stores outside the population never reach it); otherwise sales are
-   pre-aggregated to (store, leader, buyer) first and the much smaller result
-   is shuffle-joined;
-3. one aggregate per (mentor, advisor, store, leader, buyer) with map-side
+1. valid sales of the month (range filter pushed to the scan, month partitions
+   pruned when the table has them);
+2. the population's portfolio and the buyer table are measured (once per input
+   bundle). A small one is broadcast raw and joined map-side to the sale lines
+   *before* the first shuffle -- the original's join-then-aggregate, so
+   duplicate dimension rows multiply exactly as in SQL, and stores outside the
+   population never reach a shuffle;
+3. a large portfolio instead meets sales pre-aggregated to (store, leader,
+   buyer), collapsed to one row per distinct value with a copy count (sums are
+   multiplied by it); a large buyer table is shuffle-joined on (buyer, salt),
+   where missing buyers get a spread salt, and summed per name with no further
+   exchange;
+4. one aggregate per (mentor, advisor, store, leader, buyer, name) with map-side
    partial aggregation -- the per-order step of the original SQL is not needed
-   for these sums (decimal sums of sums are equal);
-4. buyer names: a measured-small buyer table is broadcast (duplicates collapsed
-   with a copy count); a large one is shuffle-joined on (buyer, salt), where
-   missing buyers get a spread salt, and summed per name afterwards (duplicate
-   buyer rows multiply, as in SQL) with no further exchange.
-
-A hot store or buyer stays bounded: after step 3 it has one row per
-(store, leader, buyer), and the partial aggregate collapses it before any shuffle.
+   for these sums (decimal sums of sums are equal).
+
+A hot store or buyer stays bounded: the partial aggregate collapses its lines
+to one row per (store, leader, buyer) in each task before any shuffle.
 """
 
 from __future__ import annotations
@@ -68,32 +70,19 @@ def portfolio_sales(src: Sources, population: str = "old", params: Params = DEFA
     pops = _pops(params, [population])
     orders = sales_by_order(src.sales, params)
     port = population_portfolio(src.portfolio, pops, params)
-    port, _ = checked_broadcast(port, params.broadcast_max_bytes, params.broadcast_max_rows)
+    port, _ = checked_broadcast(port, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                bound=src.size_bound("portfolio"))
     j = orders.join(port, orders.store_url == port.emprendedor, "inner")
     return j.select(*orders.columns, "mentora", "orientador", F.col(POP).alias("flag_emprendedor"))
 
 
-def _buyer_store_totals(src: Sources, pops: list[Population], params: Params) -> DataFrame:
-    """Month spend per (population, mentor, advisor, store, leader, buyer)."""
-    keys = [POP, "mentora", "orientador", "store_url", "leader_name", "dynamo_customer_id"]
-    sales = valid_sales(src.sales, params).select("store_url", "leader_name", "dynamo_customer_id", "net_value")
-    port = with_multiplicity(
-        population_portfolio(src.portfolio, pops, params), ["emprendedor", "mentora", "orientador", POP]
-    )
-    port_b, check = checked_broadcast(port, params.broadcast_max_bytes, params.broadcast_max_rows)
-    if check.broadcast:
-        j = sales.join(port_b, sales.store_url == port_b.emprendedor, "inner")
-        return j.groupBy(*keys).agg(F.sum(F.col("net_value") * F.col(MULTIPLICITY)).alias("total"))
-    pre = sales.groupBy("store_url", "leader_name", "dynamo_customer_id").agg(F.sum("net_value").alias("total"))
-    j = pre.join(port, pre.store_url == port.emprendedor, "inner")
-    return j.select(*keys, (F.col("total") * F.col(MULTIPLICITY)).alias("total"))
+def _spend_keys() -> list[str]:
+    return [POP, "mentora", "orientador", "store_url", "leader_name", "dynamo_customer_id"]
 
 
-def _with_buyer_names(spend: DataFrame, buyers: DataFrame, params: Params) -> DataFrame:
-    """``spend LEFT JOIN buyers`` on the buyer id, summed per buyer name.
+def _salted_name_join(spend: DataFrame, known: DataFrame) -> DataFrame:
+    """``spend LEFT JOIN known`` as a shuffle join on (buyer, salt), summed per name.
 
-    Small buyer table: duplicates collapsed with a copy count and broadcast; no
-    aggregate needed after the join. Large: a shuffle join on (buyer, salt).
     The salt is a hash of the buyer id for a known buyer (on both sides, so
     matches are unchanged) and a hash of store and leader for a missing one, so
     missing buyers (which can never match) spread over all reducers instead of
@@ -104,26 +93,58 @@ def _with_buyer_names(spend: DataFrame, buyers: DataFrame, params: Params) -> Da
     post-join filter, leaving the shuffle on the id alone.)
     """
     key = "dynamo_customer_id"
-    known = buyers.filter(F.col(key).isNotNull()).select(key, "customer_name")
-    named, check = checked_broadcast(
-        with_multiplicity(known, [key, "customer_name"]), params.broadcast_max_bytes, params.broadcast_max_rows
-    )
-    if check.broadcast:
-        j = spend.join(named, key, "left")
-        return j.select(*[c for c in spend.columns if c != "total"], "customer_name",
-                        (F.col("total") * copies()).alias("total"))
     salt = F.when(F.col(key).isNull(), F.xxhash64("store_url", "leader_name")).otherwise(F.xxhash64(key))
     j = spend.withColumn(SALT, salt).join(known.withColumn(SALT, F.xxhash64(key)), [key, SALT], "left")
     group = [c for c in spend.columns if c != "total"] + ["customer_name", SALT]
     return j.groupBy(*group).agg(F.sum("total").alias("total")).drop(SALT)
 
 
+def _detail_totals(src: Sources, pops: list[Population], params: Params) -> DataFrame:
+    """Month spend per (population, mentor, advisor, store, leader, buyer, buyer name).
+
+    Each dimension is measured; the plan depends on which ones are small:
+
+    * both small: both broadcast raw and joined map-side to the sale lines, then
+      one aggregate -- the original's join-then-aggregate, duplicates multiplying
+      exactly as in SQL, with no work on the dimensions beyond the broadcast;
+    * portfolio small, buyers large: portfolio joined map-side, one aggregate per
+      buyer and store, then the salted shuffle join with the buyers;
+    * portfolio large: sales pre-aggregated per (store, leader, buyer), joined to
+      the portfolio collapsed with copy counts; then the buyers, broadcast with
+      copy counts when small, else the salted shuffle join.
+    """
+    key = "dynamo_customer_id"
+    sales = valid_sales(src.sales, params).select("store_url", "leader_name", key, "net_value")
+    port = population_portfolio(src.portfolio, pops, params)
+    port_b, port_check = checked_broadcast(port, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                           bound=src.size_bound("portfolio"), extra_bytes_per_row=0)
+    known = src.buyers.filter(F.col(key).isNotNull()).select(key, "customer_name")
+    buyers_b, buyers_check = checked_broadcast(known, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                               bound=src.size_bound("buyers"), extra_bytes_per_row=8)
+    keys = _spend_keys()
+    if port_check.broadcast:
+        lines = sales.join(port_b, sales.store_url == port_b.emprendedor, "inner")
+        if buyers_check.broadcast:
+            named = lines.join(buyers_b, key, "left")
+            return named.groupBy(*keys, "customer_name").agg(F.sum("net_value").alias("total"))
+        spend = lines.groupBy(*keys).agg(F.sum("net_value").alias("total"))
+    else:
+        port_u = with_multiplicity(port, ["emprendedor", "mentora", "orientador", POP])
+        pre = sales.groupBy("store_url", "leader_name", key).agg(F.sum("net_value").alias("total"))
+        j = pre.join(port_u, pre.store_url == port_u.emprendedor, "inner")
+        spend = j.select(*keys, (F.col("total") * F.col(MULTIPLICITY)).alias("total"))
+    if buyers_check.broadcast:
+        names = F.broadcast(with_multiplicity(known, [key, "customer_name"]))
+        j = spend.join(names, key, "left")
+        return j.select(*keys, "customer_name", (F.col("total") * copies()).alias("total"))
+    return _salted_name_join(spend, known)
+
+
 def bonus_detail_all(src: Sources, params: Params = DEFAULT,
                      populations: Sequence[str | Population] = ("old", "new")) -> DataFrame:
     """Bonus detail of several populations in one pass, with a ``population`` column."""
     pops = _pops(params, populations)
-    spend = _buyer_store_totals(src, pops, params)
-    detail = _with_buyer_names(spend, src.buyers, params)
+    detail = _detail_totals(src, pops, params)
     total = F.col("total").cast(SUM_MONEY)
     return detail.select(
         POP,
@@ -164,7 +185,8 @@ def _per_population(pops: list[Population], fn: Callable[[Population], Column])
 
 
 def portfolio_totals_all(graduation: DataFrame, portfolio_size: DataFrame, params: Params = DEFAULT,
-                         populations: Sequence[str | Population] = ("old", "new")) -> DataFrame:
+                         populations: Sequence[str | Population] = ("old", "new"),
+                         size_bound: tuple[int, int] | None = None) -> DataFrame:
     """Per mentor and advisor: graduated share of the portfolio, payout and next targets.
 
     The portfolio size is looked up per advisor and population (the size column
@@ -177,16 +199,24 @@ def portfolio_totals_all(graduation: DataFrame, portfolio_size: DataFrame, param
         if len(pops) != 1:
             raise ValueError("graduation without a population column needs exactly one population")
         graduation = graduation.withColumn(POP, F.lit(pops[0].name))
-    per_advisor = graduation.groupBy(POP, "mentora", "orientador").agg(F.sum("flag_graduado").alias("graduados"))
     sizes = None
     for p in pops:
         s = portfolio_size.select("orientador", F.lit(p.name).alias(POP), F.col(p.size_col).alias("cartera"))
         sizes = s if sizes is None else sizes.unionByName(s)
-    sizes = with_multiplicity(sizes, [POP, "orientador", "cartera"])
-    sizes, _ = checked_broadcast(sizes, params.broadcast_max_bytes, params.broadcast_max_rows)
-    j = per_advisor.join(sizes, [POP, "orientador"], "left")
-    graduates = (F.col("graduados") * copies()).cast("bigint")
-    j = j.select(POP, "mentora", "orientador", "cartera", graduates.alias("total_graduados"))
+    # stacked per population; each row gains a population label (and maybe a copy count)
+    sizes_b, check = checked_broadcast(sizes, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                       bound=size_bound, extra_bytes_per_row=32, copies=len(pops))
+    keys = [POP, "mentora", "orientador", "cartera"]
+    if check.broadcast:
+        # join each store's flag to its advisor's size map-side, then sum: the SQL's own order
+        j = graduation.join(sizes_b, [POP, "orientador"], "left")
+        j = j.groupBy(*keys).agg(F.sum("flag_graduado").cast("bigint").alias("total_graduados"))
+    else:
+        per_advisor = graduation.groupBy(POP, "mentora", "orientador").agg(F.sum("flag_graduado").alias("graduados"))
+        sizes_u = with_multiplicity(sizes, [POP, "orientador", "cartera"])
+        j = per_advisor.join(sizes_u, [POP, "orientador"], "left")
+        graduates = (F.col("graduados") * copies()).cast("bigint")
+        j = j.select(*keys, graduates.alias("total_graduados"))
     sh = share(F.col("total_graduados"), F.col("cartera"), strict=params.strict_division)
     j = j.withColumn("porc_graduados", sh)
     pc, tg, top = F.col("porc_graduados"), F.col("total_graduados"), params.top_text
@@ -213,5 +243,5 @@ def portfolio_totals(src: Sources, population: str = "old", params: Params = DEF
     if detail is None:
         detail = bonus_detail_all(src, params, [pop])
     grad = store_graduation(detail, params)
-    t = portfolio_totals_all(grad, src.portfolio_size, params, [pop]).drop(POP)
+    t = portfolio_totals_all(grad, src.portfolio_size, params, [pop], src.size_bound("portfolio_size")).drop(POP)
     return t.withColumnRenamed("cartera", pop.size_col)

@@ -60,7 +60,7 @@ def stage_detail(spark: SparkSession, src: Sources, paths: ReportPaths, params:
 def totals_report(detail_all: DataFrame, src: Sources, pop: str, params: Params = DEFAULT) -> DataFrame:
     size_col = params.population(pop).size_col
     grad = store_graduation(detail_all.filter(F.col(POP) == pop), params)
-    t = portfolio_totals_all(grad, src.portfolio_size, params, [pop]).drop(POP)
+    t = portfolio_totals_all(grad, src.portfolio_size, params, [pop], src.size_bound("portfolio_size")).drop(POP)
     return t.withColumnRenamed("cartera", size_col)
 
 

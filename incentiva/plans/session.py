@@ -47,7 +47,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if event_log_dir:
-        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+        b = (b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+             .config("spark.eventLog.compress", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -26,8 +26,16 @@ from .sources.tables import Sources
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_SOURCES: dict[tuple[int, str], tuple[SparkSession, Sources]] = {}
+
+
 def _src(spark: SparkSession, sf_dir: str) -> Sources:
-    return testdata.load(spark, sf_dir)
+    """One input bundle per session and directory, so dimension sizes are measured once."""
+    key = (id(spark), sf_dir)
+    hit = _SOURCES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _SOURCES[key] = (spark, testdata.load(spark, sf_dir))
+    return hit[1]
 
 
 SourceQuery = Callable[[Sources], DataFrame]
@@ -51,7 +59,8 @@ def source_queries(params: Params = DEFAULT) -> dict[str, SourceQuery]:
         "commission_tracker_all_stores": lambda src: C.commission_tracker(src, all_stores),
         "bonus_detail_all_populations": lambda src: P.bonus_detail_all(src, params),
         "portfolio_totals_all_populations": lambda src: P.portfolio_totals_all(
-            P.store_graduation(P.bonus_detail_all(src, params), params), src.portfolio_size, params),
+            P.store_graduation(P.bonus_detail_all(src, params), params), src.portfolio_size, params,
+            size_bound=src.size_bound("portfolio_size")),
     }
     for pop in ("old", "new"):
         q.update({

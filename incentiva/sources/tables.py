@@ -6,7 +6,7 @@ scan Catalyst prunes to the columns and rows the query needs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,11 +23,25 @@ class Sources:
     buyers: DataFrame
     tier: DataFrame
     stores: DataFrame
+    _sizes: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def size_bound(self, name: str) -> tuple[int, int]:
+        """(rows, bytes) of one input, measured once per bundle by a distributed aggregate.
+
+        Any filter, projection or duplicate collapse of the input is no larger, so
+        every query built on this bundle reuses the one measurement to decide its
+        broadcasts.
+        """
+        if name not in self._sizes:
+            from ..operators.joins import measure
+
+            self._sizes[name] = measure(getattr(self, name))
+        return self._sizes[name]
 
     def conformed(self, sales_month_col: str | None = None) -> "Sources":
         keep = {"sales": (sales_month_col,) if sales_month_col else ()}
         return Sources(**{f.name: conform(getattr(self, f.name), f.name, keep.get(f.name, ()))
-                          for f in fields(self)})
+                          for f in fields(self) if f.init and not f.name.startswith("_")})
 
 
 def from_tables(spark: SparkSession, names: dict[str, str], sales_month_col: str | None = None) -> Sources:

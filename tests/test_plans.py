@@ -80,6 +80,7 @@ def test_detail_scans_sales_once_and_broadcasts_small_dimensions(stored):
     assert len(re.findall(r"FileScan parquet \[[^\]]*net_value", plan)) == 1
     assert count_nodes(df, "BroadcastHashJoin") == 2  # portfolio and buyers, both measured small
     assert count_nodes(df, "SortMergeJoin") == 0
+    assert count_nodes(df, "Exchange") == 1  # the one aggregate; no dimension is shuffled
 
 
 def test_both_populations_in_one_scan(stored):
@@ -108,9 +109,17 @@ def test_tracker_window_needs_no_extra_exchange_after_shuffle_joins(stored, shuf
     assert not re.search(r"Exchange hashpartitioning\(store_url#\d+, quincena", plan)
 
 
-def test_tracker_joins_see_the_daily_aggregate(stored):
+def test_tracker_small_dimensions_join_the_lines_map_side(stored):
     plan = explain_string(C.commission_tracker(stored["flat"]), "simple")
     tier_join = re.search(r"BroadcastHashJoin \[store_url#\d+, calendar_month", plan).start()
+    final_agg = plan.index("HashAggregate(keys=[creation_date")
+    assert final_agg < tier_join  # one aggregate, above the map-side joins
+    assert "with_multiplicity" not in plan and "functions=[count(1)]" not in plan  # no dimension dedupe
+
+
+def test_tracker_large_dimensions_join_the_daily_aggregate(stored, shuffle_only):
+    plan = explain_string(C.commission_tracker(stored["flat"], shuffle_only), "simple")
+    tier_join = re.search(r"SortMergeJoin \[store_url#\d+, calendar_month", plan).start()
     daily_agg = plan.index("HashAggregate(keys=[calendar_date")
     sales_scan = re.search(r"FileScan parquet \[[^\]]*net_value", plan).start()
     assert tier_join < daily_agg < sales_scan  # the join sits above the aggregate of the sales
