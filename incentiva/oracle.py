@@ -86,9 +86,9 @@ def _with(*ctes: str, select: str) -> str:
     return "WITH\n" + ",\n".join(parts) + f"\n{select.strip()}\n"
 
 
-def _venta(params: Params) -> str:
+def _month_orders(params: Params) -> str:
     return f"""
-vr_venta AS (
+month_orders AS (
   SELECT CAST(create_date_time_tz AS DATE) AS calendar_date, {MONTH} AS calendar_month,
          store_url, leader_name, dynamo_customer_id, order_number,
          CAST(sum(net_value) AS DECIMAL(38,2)) AS total
@@ -98,40 +98,40 @@ vr_venta AS (
 )"""
 
 
-def _carteras(pop: str) -> str:
+def _population_orders(pop: str) -> str:
     return f"""
-vr_carteras AS (
+population_orders AS (
   SELECT a.*, b.mentora, b.orientador, b.flag_emprendedor
-  FROM vr_venta a LEFT JOIN portfolio b ON a.store_url = b.emprendedor
+  FROM month_orders a LEFT JOIN portfolio b ON a.store_url = b.emprendedor
   WHERE b.flag_retencion = 0 AND b.flag_emprendedor = '{pop}'
 )"""
 
 
-def _final(bonus_min) -> str:
+def _bonus_detail(bonus_min) -> str:
     return f"""
-vr_final0 AS (
+buyer_spend AS (
   SELECT a.mentora, a.orientador, a.store_url, a.leader_name, a.dynamo_customer_id, b.customer_name,
          CAST(sum(a.total) AS DECIMAL(38,2)) AS total_cliente
-  FROM vr_carteras a LEFT JOIN buyers b ON a.dynamo_customer_id = b.dynamo_customer_id
+  FROM population_orders a LEFT JOIN buyers b ON a.dynamo_customer_id = b.dynamo_customer_id
   GROUP BY 1, 2, 3, 4, 5, 6
 ),
-vr_final AS (
+bonus_detail AS (
   SELECT *,
          CAST(CASE WHEN total_cliente >= {bonus_min} THEN 1 ELSE 0 END AS INTEGER) AS flag_bono,
          CAST(CASE WHEN total_cliente < {bonus_min} THEN round({bonus_min} - total_cliente, 0) ELSE 0 END
               AS DECIMAL(38,0)) AS falta
-  FROM vr_final0
+  FROM buyer_spend
 )"""
 
 
-def _totales(graduate_min: int) -> str:
+def _store_graduation(graduate_min: int) -> str:
     return f"""
-vr_totales AS (
+store_graduation AS (
   SELECT mentora, orientador, store_url,
          CAST(count(DISTINCT dynamo_customer_id) AS BIGINT) AS clientes,
          CAST(sum(flag_bono) AS BIGINT) AS clientes_bono,
          CAST(CASE WHEN sum(flag_bono) >= {graduate_min} THEN 1 ELSE 0 END AS INTEGER) AS flag_graduado
-  FROM vr_final GROUP BY 1, 2, 3
+  FROM bonus_detail GROUP BY 1, 2, 3
 )"""
 
 
@@ -160,41 +160,42 @@ def _band_cases(ladder: Ladder, size_col: str, top: str) -> tuple[str, str, str,
     )
 
 
-def _totales2(pop: str, params: Params, out_size_col: str | None = None) -> str:
+def _advisor_totals(pop: str, params: Params, out_size_col: str | None = None) -> str:
     p = params.population(pop)
     size = p.size_col
     rate, pay, meta, count = _band_cases(p.ladder, size, params.top_text)
     out = out_size_col or size
     return f"""
-vr_t2a AS (
+advisor_graduates AS (
   SELECT a.mentora, a.orientador, b.{size}, CAST(sum(a.flag_graduado) AS BIGINT) AS total_graduados
-  FROM vr_totales a LEFT JOIN portfolio_total b ON a.orientador = b.orientador
+  FROM store_graduation a LEFT JOIN portfolio_total b ON a.orientador = b.orientador
   GROUP BY 1, 2, 3
 ),
-vr_t2b AS (
+advisor_share AS (
   SELECT *, CAST(trunc(CAST(total_graduados / NULLIF({size}, 0) AS DECIMAL(18,6)), 4) AS DECIMAL(18,4))
          AS porc_graduados
-  FROM vr_t2a
+  FROM advisor_graduates
 ),
-vr_totales_2 AS (
+advisor_totals AS (
   SELECT mentora, orientador, porc_graduados, {size} AS {out}, total_graduados,
          {rate} AS ganancia_unitaria, {pay} AS ganancia, {meta} AS porc_meta, {count} AS emprendedores_meta
-  FROM vr_t2b
+  FROM advisor_share
 )"""
 
 
 def _portfolio_chain(pop: str, params: Params, upto: str, out_size_col: str | None = None) -> list[str]:
-    steps = [_venta(params), _carteras(pop), _final(params.bonus_min), _totales(params.graduate_min),
-             _totales2(pop, params, out_size_col)]
-    n = {"vr_venta": 1, "vr_carteras": 2, "vr_final": 3, "vr_totales": 4, "vr_totales_2": 5}[upto]
+    steps = [_month_orders(params), _population_orders(pop), _bonus_detail(params.bonus_min), _store_graduation(params.graduate_min),
+             _advisor_totals(pop, params, out_size_col)]
+    n = {"month_orders": 1, "population_orders": 2, "bonus_detail": 3, "store_graduation": 4,
+         "advisor_totals": 5}[upto]
     return steps[:n]
 
 
-def _tracker_group(params: Params, tier_required: bool) -> str:
+def _tracker_dailyroup(params: Params, tier_required: bool) -> str:
     after = params.tracker_after_month.isoformat()
     where_month = f"b.calendar_month > DATE '{after}'" if tier_required else f"{MONTH} > DATE '{after}'"
     return f"""
-tracker_g AS (
+tracker_daily AS (
   SELECT CAST(c.create_date_tz AS DATE) AS creation_date,
          CAST(a.create_date_time_tz AS DATE) AS calendar_date,
          CAST(date_trunc('month', a.create_date_time_tz) AS DATE) AS calendar_month,
@@ -218,7 +219,7 @@ tracker AS (
          CASE WHEN creation_date >= DATE '{params.cut_date.isoformat()}' THEN '{params.label_on_or_after}'
               WHEN creation_date < DATE '{params.cut_date.isoformat()}' THEN '{params.label_before}'
               ELSE '{params.label_unknown}' END AS comision
-  FROM tracker_g
+  FROM tracker_daily
 )"""
 
 
@@ -252,7 +253,7 @@ def _oracle_sql(params: Params) -> dict[str, str]:
         "valid_sales": _with(select=f"""
 SELECT *, CAST(create_date_time_tz AS DATE) AS calendar_date, {MONTH} AS calendar_month
 FROM sales WHERE {VALID} AND {MONTH} = DATE '{params.month.isoformat()}'"""),
-        "sales_by_order": _with(_venta(params), select="SELECT * FROM vr_venta"),
+        "sales_by_order": _with(_month_orders(params), select="SELECT * FROM month_orders"),
         "sales_with_tier": _with(select=f"""
 SELECT a.store_url, {MONTH.replace('create_date_time_tz', 'a.create_date_time_tz')} AS calendar_month,
        CAST(a.create_date_time_tz AS DATE) AS calendar_date, a.leader_name, a.dynamo_customer_id,
@@ -268,27 +269,27 @@ SELECT store_url, {MONTH} AS calendar_month,
        CAST(sum(net_value) AS DECIMAL(38,2)) AS venta_quincenal
 FROM sales WHERE {VALID} AND {MONTH} > DATE '{after}'
 GROUP BY 1, 2, 3"""),
-        "commission_tracker": _with(_tracker_group(params, True),
+        "commission_tracker": _with(_tracker_dailyroup(params, True),
                                     select="SELECT * FROM tracker ORDER BY creation_date DESC NULLS FIRST"),
-        "commission_tracker_all_stores": _with(_tracker_group(params, False),
+        "commission_tracker_all_stores": _with(_tracker_dailyroup(params, False),
                                                select="SELECT * FROM tracker ORDER BY creation_date DESC NULLS FIRST"),
     }
     for pop in ("old", "new"):
-        q[f"portfolio_sales_{pop}"] = _with(*_portfolio_chain(pop, params, "vr_carteras"),
-                                            select="SELECT * FROM vr_carteras")
-        q[f"bonus_detail_{pop}"] = _with(*_portfolio_chain(pop, params, "vr_final"), select="SELECT * FROM vr_final")
-        q[f"store_graduation_{pop}"] = _with(*_portfolio_chain(pop, params, "vr_totales"),
-                                             select="SELECT * FROM vr_totales")
-        q[f"portfolio_totals_{pop}"] = _with(*_portfolio_chain(pop, params, "vr_totales_2"),
-                                             select="SELECT * FROM vr_totales_2")
-        q[f"report_detail_{pop}"] = _with(*_portfolio_chain(pop, params, "vr_final"), select=f"""
+        q[f"portfolio_sales_{pop}"] = _with(*_portfolio_chain(pop, params, "population_orders"),
+                                            select="SELECT * FROM population_orders")
+        q[f"bonus_detail_{pop}"] = _with(*_portfolio_chain(pop, params, "bonus_detail"), select="SELECT * FROM bonus_detail")
+        q[f"store_graduation_{pop}"] = _with(*_portfolio_chain(pop, params, "store_graduation"),
+                                             select="SELECT * FROM store_graduation")
+        q[f"portfolio_totals_{pop}"] = _with(*_portfolio_chain(pop, params, "advisor_totals"),
+                                             select="SELECT * FROM advisor_totals")
+        q[f"report_detail_{pop}"] = _with(*_portfolio_chain(pop, params, "bonus_detail"), select=f"""
 SELECT {_upper(['mentora', 'orientador', 'store_url', 'leader_name', 'dynamo_customer_id', 'customer_name',
-                'total_cliente', 'flag_bono', 'falta'])} FROM vr_final""")
+                'total_cliente', 'flag_bono', 'falta'])} FROM bonus_detail""")
         size = params.population(pop).size_col
-        q[f"report_totals_{pop}"] = _with(*_portfolio_chain(pop, params, "vr_totales_2"), select=f"""
+        q[f"report_totals_{pop}"] = _with(*_portfolio_chain(pop, params, "advisor_totals"), select=f"""
 SELECT {_upper(['mentora', 'orientador', 'porc_graduados', size, 'total_graduados', 'ganancia_unitaria',
-                'ganancia', 'porc_meta', 'emprendedores_meta'])} FROM vr_totales_2""")
-    q["report_commission"] = _with(_tracker_group(params, True), select="""
+                'ganancia', 'porc_meta', 'emprendedores_meta'])} FROM advisor_totals""")
+    q["report_commission"] = _with(_tracker_dailyroup(params, True), select="""
 SELECT strftime(creation_date, '%Y-%m-%d') AS CREATION_DATE, strftime(calendar_date, '%Y-%m-%d') AS CALENDAR_DATE,
        strftime(calendar_month, '%Y-%m-%d') AS CALENDAR_MONTH, quincena AS QUINCENA, store_url AS STORE_URL,
        leader_name AS LEADER_NAME, tier_net_lm AS TIER_NET_LM, total AS TOTAL, venta_quincenal AS VENTA_QUINCENAL,
@@ -297,10 +298,10 @@ FROM tracker ORDER BY creation_date DESC NULLS FIRST""")
     # both populations in one result, with the population as a column
     parts_d, parts_t = [], []
     for pop in ("old", "new"):
-        chain_d = _portfolio_chain(pop, params, "vr_final")
-        chain_t = _portfolio_chain(pop, params, "vr_totales_2", out_size_col="cartera")
-        parts_d.append(f"({_with(*chain_d, select=f'SELECT {chr(39)}{pop}{chr(39)} AS population, * FROM vr_final')})")
-        parts_t.append(f"({_with(*chain_t, select=f'SELECT {chr(39)}{pop}{chr(39)} AS population, * FROM vr_totales_2')})")
+        chain_d = _portfolio_chain(pop, params, "bonus_detail")
+        chain_t = _portfolio_chain(pop, params, "advisor_totals", out_size_col="cartera")
+        parts_d.append(f"({_with(*chain_d, select=f'SELECT {chr(39)}{pop}{chr(39)} AS population, * FROM bonus_detail')})")
+        parts_t.append(f"({_with(*chain_t, select=f'SELECT {chr(39)}{pop}{chr(39)} AS population, * FROM advisor_totals')})")
     q["bonus_detail_all_populations"] = "SELECT * FROM " + " UNION ALL SELECT * FROM ".join(
         f"{p} AS t{i}" for i, p in enumerate(parts_d))
     q["portfolio_totals_all_populations"] = "SELECT * FROM " + " UNION ALL SELECT * FROM ".join(
