@@ -80,6 +80,13 @@ def _spend_keys() -> list[str]:
     return [POP, "mentora", "orientador", "store_url", "leader_name", "dynamo_customer_id"]
 
 
+def buyer_salt() -> Column:
+    """Second join key for the buyer join: hash of the buyer id, or of store and
+    leader when the buyer is missing (such rows can never match)."""
+    key = "dynamo_customer_id"
+    return F.when(F.col(key).isNull(), F.xxhash64("store_url", "leader_name")).otherwise(F.xxhash64(key))
+
+
 def _salted_name_join(spend: DataFrame, known: DataFrame) -> DataFrame:
     """``spend LEFT JOIN known`` as a shuffle join on (buyer, salt), summed per name.
 
@@ -93,8 +100,7 @@ def _salted_name_join(spend: DataFrame, known: DataFrame) -> DataFrame:
     post-join filter, leaving the shuffle on the id alone.)
     """
     key = "dynamo_customer_id"
-    salt = F.when(F.col(key).isNull(), F.xxhash64("store_url", "leader_name")).otherwise(F.xxhash64(key))
-    j = spend.withColumn(SALT, salt).join(known.withColumn(SALT, F.xxhash64(key)), [key, SALT], "left")
+    j = spend.withColumn(SALT, buyer_salt()).join(known.withColumn(SALT, F.xxhash64(key)), [key, SALT], "left")
     group = [c for c in spend.columns if c != "total"] + ["customer_name", SALT]
     return j.groupBy(*group).agg(F.sum("total").alias("total")).drop(SALT)
 
