@@ -250,6 +250,22 @@ def _oracle_sql(params: Params) -> dict[str, str]:
         "customer_scan": _with(select="SELECT * FROM buyers"),
         "tier_scan": _with(select="SELECT * FROM tier"),
         "store_scan": _with(select="SELECT * FROM entrep"),
+        "dimension_duplicates": _with(select="""
+SELECT 'portfolio' AS dimension, coalesce(CAST(emprendedor AS VARCHAR), '<null>') AS key, count(*) AS copies
+FROM portfolio GROUP BY emprendedor HAVING count(*) > 1
+UNION ALL
+SELECT 'portfolio_size', coalesce(CAST(orientador AS VARCHAR), '<null>'), count(*)
+FROM portfolio_total GROUP BY orientador HAVING count(*) > 1
+UNION ALL
+SELECT 'buyers', coalesce(CAST(dynamo_customer_id AS VARCHAR), '<null>'), count(*)
+FROM buyers GROUP BY dynamo_customer_id HAVING count(*) > 1
+UNION ALL
+SELECT 'tier', coalesce(CAST(store_url AS VARCHAR), '<null>') || '|' || coalesce(CAST(calendar_month AS VARCHAR), '<null>'),
+       count(*)
+FROM tier GROUP BY store_url, calendar_month HAVING count(*) > 1
+UNION ALL
+SELECT 'stores', coalesce(CAST(store_url AS VARCHAR), '<null>'), count(*)
+FROM entrep GROUP BY store_url HAVING count(*) > 1"""),
         "valid_sales": _with(select=f"""
 SELECT *, CAST(create_date_time_tz AS DATE) AS calendar_date, {MONTH} AS calendar_month
 FROM sales WHERE {VALID} AND {MONTH} = DATE '{params.month.isoformat()}'"""),

@@ -21,7 +21,7 @@ from .plans.reports_job import ReportPaths, run_reports
 from .plans.session import shared_dir
 from .sources import testdata
 from .sources.reports import read_report
-from .sources.tables import Sources
+from .sources.tables import Sources, dimension_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,7 @@ def source_queries(params: Params = DEFAULT) -> dict[str, SourceQuery]:
     all_stores = params.with_(tier_required=False)
     q: dict[str, SourceQuery] = {
         "sales_scan": lambda src: src.sales,
+        "dimension_duplicates": dimension_duplicates,
         "portfolio_scan": lambda src: src.portfolio,
         "portfolio_size_scan": lambda src: src.portfolio_size,
         "customer_scan": lambda src: src.buyers,

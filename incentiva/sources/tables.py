@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schemas import SCHEMAS, conform
 
@@ -66,3 +67,41 @@ def from_parquet(spark: SparkSession, paths: dict[str, str], sales_month_col: st
 def from_frames(**frames: DataFrame) -> Sources:
     """Bundle ready DataFrames (tests, or sources built by other jobs)."""
     return Sources(**frames).conformed()
+
+
+# key of each dimension as the joins use it; a repeated key multiplies the facts it meets
+DIMENSION_KEYS: dict[str, tuple[str, ...]] = {
+    "portfolio": ("emprendedor",),
+    "portfolio_size": ("orientador",),
+    "buyers": ("dynamo_customer_id",),
+    "tier": ("store_url", "calendar_month"),
+    "stores": ("store_url",),
+}
+
+
+def dimension_duplicates(src: Sources) -> DataFrame:
+    """Keys that occur more than once in a dimension: (table, key, copies).
+
+    The joins keep the original's semantics, where a repeated key multiplies the
+    sales it meets; this lazy, distributed check shows where that happens.
+    """
+    out = None
+    for name, keys in DIMENSION_KEYS.items():
+        df = getattr(src, name)
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("<null>")) for k in keys])
+        d = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+             .select(F.lit(name).alias("dimension"), key.alias("key"), "copies"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+class DuplicateKeyError(ValueError):
+    pass
+
+
+def require_unique_dimensions(src: Sources) -> None:
+    """Raise if any dimension repeats a key (opt-in; the default keeps the fan-out)."""
+    dup = dimension_duplicates(src).limit(5).collect()
+    if dup:
+        raise DuplicateKeyError("repeated dimension keys: " + ", ".join(f"{r.dimension}[{r.key}] x{r.copies}"
+                                                                      for r in dup))

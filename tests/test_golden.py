@@ -188,3 +188,16 @@ def test_source_schema_check(spark):
     bad = spark.createDataFrame([("s",)], "store_url string")
     with pytest.raises(schemas.SchemaError):
         schemas.conform(bad, "stores")
+
+
+def test_dimension_duplicates_and_strict_mode(spark):
+    from incentiva.sources.tables import DuplicateKeyError, dimension_duplicates, require_unique_dimensions
+
+    clean = sources(spark, portfolio=[("s1", "m", "o", 0, "old")], buyers=[(1, "Ana")])
+    require_unique_dimensions(clean)
+    dup = sources(spark, portfolio=[("s1", "m", "o", 0, "old"), ("s1", "m2", "o", 0, "old")],
+                  buyers=[(1, "Ana"), (1, "Ann"), (2, "Bo")])
+    got = sorted((r.dimension, r.key, r.copies) for r in dimension_duplicates(dup).collect())
+    assert got == [("buyers", "1", 2), ("portfolio", "s1", 2)]
+    with pytest.raises(DuplicateKeyError):
+        require_unique_dimensions(dup)
