@@ -47,7 +47,9 @@ def month_bounds(month: dt.date) -> tuple[dt.datetime, dt.datetime]:
 
 
 def ts_literal(value: dt.datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    """A wall-clock timestamp literal. Built from text: a Python datetime literal
+    would pass through the process's and the session's time zones."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def half_month(day: Column) -> Column:

@@ -201,3 +201,17 @@ def test_dimension_duplicates_and_strict_mode(spark):
     assert got == [("buyers", "1", 2), ("portfolio", "s1", 2)]
     with pytest.raises(DuplicateKeyError):
         require_unique_dimensions(dup)
+
+
+def test_month_bounds_do_not_move_with_the_session_zone(spark):
+    rows = [sale("2022-12-01 00:00:00", "first", 1, order=1), sale("2022-11-30 23:30:00", "before", 1, order=2),
+            sale("2022-12-31 23:30:00", "last", 1, order=3)]
+    src = sources(spark, sales=rows)
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Lima", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            kept = {r.store_url for r in S.valid_sales(src.sales).collect()}
+            assert kept == {"first", "last"}, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
