@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, dimension multiplicity, null-key split.
+"""Join helpers: size-checked broadcast and dimension multiplicity.
 
 * ``checked_broadcast`` measures a dimension (row count and a byte bound) with
   one small distributed aggregate and hints a broadcast only when both are
@@ -7,9 +7,6 @@
   count. Joining that and multiplying the measure by the count gives the same
   sums as joining the raw rows (duplicates multiply, as in the original SQL),
   but every fact row meets at most one dimension row per distinct value.
-* ``left_join_split_nulls`` keeps null-key fact rows out of the shuffle: a null
-  key never matches, and hashing all of them to one reducer is the classic
-  hot partition.
 """
 
 from __future__ import annotations
@@ -78,13 +75,3 @@ def with_multiplicity(dim: DataFrame, cols: list[str]) -> DataFrame:
 def copies(col: str = MULTIPLICITY) -> Column:
     """Copies of the matched dimension row, 1 when nothing matched (left join)."""
     return F.coalesce(F.col(col), F.lit(1))
-
-
-def left_join_split_nulls(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """``fact LEFT JOIN dim USING (key)`` with null-key fact rows kept out of the shuffle."""
-    matched = fact.filter(F.col(key).isNotNull()).join(dim, key, "left")
-    extra = [f for f in dim.schema.fields if f.name != key]
-    unmatched = fact.filter(F.col(key).isNull()).select(
-        *fact.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
-    )
-    return matched.unionByName(unmatched)

@@ -46,7 +46,6 @@ POP = "population"
 SALT = "__salt"
 DETAIL_KEYS = ["mentora", "orientador", "store_url", "leader_name", "dynamo_customer_id", "customer_name"]
 DETAIL_COLUMNS = DETAIL_KEYS + ["total_cliente", "flag_bono", "falta"]
-GRADUATION_COLUMNS = ["mentora", "orientador", "store_url", "clientes", "clientes_bono", "flag_graduado"]
 
 
 def _pops(params: Params, populations: Sequence[str | Population]) -> list[Population]:
