@@ -66,6 +66,9 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share; "
+                           "a machine-local temporary folder does not survive a lost executor")
     d = tempfile.mkdtemp(prefix="incentiva-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
