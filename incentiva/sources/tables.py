@@ -46,7 +46,7 @@ class Sources:
 
 
 def from_tables(spark: SparkSession, names: dict[str, str], sales_month_col: str | None = None) -> Sources:
-    """Load from catalog tables, e.g. ``{"sales": "journey.base", ...}``.
+    """Load from catalog tables, e.g. ``{"sales": "shop.sale_lines", ...}``.
 
     ``sales_month_col`` names a month partition column of the sales table (a date,
     the first of the month); set the same name in ``Params.sales_month_col`` so
