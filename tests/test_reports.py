@@ -56,3 +56,12 @@ def test_missing_date_text_option(spark, src):
     df = shape_report(C.commission_tracker(src), date_text=True, missing_date_text="None")
     assert df.filter(F.col("CREATION_DATE").isNull()).count() == 0
     assert df.filter(F.col("CREATION_DATE") == "None").count() > 0
+
+
+def test_report_job_as_csv(spark, src, tmp_path):
+    paths = run_reports(spark, src, str(tmp_path / "csv"), fmt="csv", populations=("new",))
+    like = shape_report(P.portfolio_totals(src, "new"))
+    back = read_report(spark, paths.totals("new"), like.schema, "csv")
+    assert _diff(back, like) == 0
+    c_like = shape_report(C.commission_tracker(src, sort=False), date_text=True)
+    assert _diff(read_report(spark, paths.commission, c_like.schema, "csv"), c_like) == 0
