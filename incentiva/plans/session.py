@@ -17,9 +17,16 @@ from pyspark.sql import SparkSession
 # * shuffle partitions start high and are coalesced by AQE to ~128 MB each;
 #   the month filter leaves a few TB of sales lines, whose partial aggregate is
 #   what gets shuffled.
+# * broadcasts: the static planner's size estimate comes from compressed file
+#   sizes and can be several times below the in-memory size, so it is switched
+#   off; the job broadcasts what it has measured (Params.broadcast_max_bytes),
+#   and AQE may still turn a shuffle join into a broadcast join at run time,
+#   from the measured size of a finished shuffle.
 # * session time zone is irrelevant to results (wall-clock timestamp_ntz) but
 #   fixed to UTC for reproducible logs.
 CLUSTER_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
