@@ -99,6 +99,8 @@ def _salted_name_join(spend: DataFrame, known: DataFrame) -> DataFrame:
     post-join filter, leaving the shuffle on the id alone.)
     """
     key = "dynamo_customer_id"
+    # both sides hash the id as the same type, or equal ids would get unequal salts
+    known = known.withColumn(key, F.col(key).cast(spend.schema[key].dataType))
     j = spend.withColumn(SALT, buyer_salt()).join(known.withColumn(SALT, F.xxhash64(key)), [key, SALT], "left")
     group = [c for c in spend.columns if c != "total"] + ["customer_name", SALT]
     return j.groupBy(*group).agg(F.sum("total").alias("total")).drop(SALT)

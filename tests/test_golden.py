@@ -223,13 +223,15 @@ def test_string_ids_work_end_to_end(spark):
     base = sources(spark, sales=[sale("2022-12-03 12:00:00", "s1", 60, buyer=1), sale("2022-12-04 12:00:00", "s1", 50,
                                                                                      buyer=None)],
                    portfolio=[("s1", "m", "o", 0, "old")], buyers=[(1, "Ana")])
-    as_text = {"sales": base.sales.withColumn("dynamo_customer_id", F.col("dynamo_customer_id").cast("string"))
-               .withColumn("order_number", F.col("order_number").cast("string")),
-               "buyers": base.buyers.withColumn("dynamo_customer_id", F.col("dynamo_customer_id").cast("string"))}
-    src = from_frames(**{k: as_text.get(k, getattr(base, k)) for k in
-                         ("sales", "portfolio", "portfolio_size", "buyers", "tier", "stores")})
-    assert dict(src.sales.dtypes)["dynamo_customer_id"] == "string"
-    for params in (DEFAULT, DEFAULT.with_(broadcast_max_rows=0)):
-        got = sorted((str(r.dynamo_customer_id), r.customer_name, r.total_cliente)
-                     for r in P.bonus_detail(src, "old", params).collect())
-        assert got == [("1", "Ana", money(60)), ("None", None, money(50))]
+    text_sales = (base.sales.withColumn("dynamo_customer_id", F.col("dynamo_customer_id").cast("string"))
+                  .withColumn("order_number", F.col("order_number").cast("string")))
+    text_buyers = base.buyers.withColumn("dynamo_customer_id", F.col("dynamo_customer_id").cast("string"))
+    # ids as text in both tables, and as text in one and numbers in the other
+    for sales_df, buyers_df in ((text_sales, text_buyers), (text_sales, base.buyers), (base.sales, text_buyers)):
+        frames = {"sales": sales_df, "buyers": buyers_df}
+        src = from_frames(**{k: frames.get(k, getattr(base, k)) for k in
+                             ("sales", "portfolio", "portfolio_size", "buyers", "tier", "stores")})
+        for params in (DEFAULT, DEFAULT.with_(broadcast_max_rows=0)):
+            got = sorted((str(r.dynamo_customer_id), r.customer_name, r.total_cliente)
+                         for r in P.bonus_detail(src, "old", params).collect())
+            assert got == [("1", "Ana", money(60)), ("None", None, money(50))]
