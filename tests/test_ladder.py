@@ -146,3 +146,25 @@ def test_ladder_rejects_float_thresholds():
         Ladder.of((0.03, 40))  # type: ignore[arg-type]
     with pytest.raises(ValueError):
         Ladder.of(("0.06", 50), ("0.03", 40))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@st.composite
+def ladders(draw):
+    cents = draw(st.lists(st.integers(1, 60), min_size=1, max_size=8, unique=True))
+    rates = draw(st.lists(st.integers(1, 500), min_size=len(cents), max_size=len(cents)))
+    return Ladder.of(*[(f"0.{c:02d}", r) for c, r in zip(sorted(cents), rates)])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ladder=ladders(), pairs=st.lists(st.tuples(st.integers(0, 5000), st.one_of(st.none(), st.integers(0, 5000))),
+                                        min_size=1, max_size=60))
+def test_any_ladder_matches_band_form(spark, ladder, pairs):
+    rows = _apply(spark, pairs, ladder)
+    for r in rows:
+        p = _share_ref(r.g, r.c)
+        assert r.share == p
+        assert (r.unit, r.pay, r.meta, r.cnt) == _band_ref(p, r.c, r.g, ladder), (r.g, r.c, ladder)
