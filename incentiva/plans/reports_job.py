@@ -54,7 +54,8 @@ def stage_detail(spark: SparkSession, src: Sources, paths: ReportPaths, params:
     """Compute the detail of all populations once, write it, and return the written table."""
     detail = bonus_detail_all(src, params, populations)
     detail.write.mode("overwrite").partitionBy(POP).parquet(paths.stage_detail)
-    return spark.read.parquet(paths.stage_detail)
+    # the written schema, so the partition column is not re-typed by inference
+    return spark.read.schema(detail.schema).parquet(paths.stage_detail)
 
 
 def totals_report(detail_all: DataFrame, src: Sources, pop: str, params: Params = DEFAULT) -> DataFrame:
