@@ -8,6 +8,7 @@ sink, so nothing is collected; each time is the median of BENCH_REPEATS runs
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
@@ -56,8 +57,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cpus, shuffle_partitions=max(2, cpus * 2), app="incentiva-bench")
     scratch = tempfile.mkdtemp(prefix="incentiva-bench-")
+    events = f"{scratch}/events"
+    os.makedirs(events)
+    spark = local_session(cpus, shuffle_partitions=max(2, cpus * 2), app="incentiva-bench", event_log_dir=events)
     spark.sparkContext.setCheckpointDir(scratch + "/ckpt")
 
     # warm the JVM (class loading, codegen caches) on the smallest data
@@ -107,7 +110,17 @@ def main() -> None:
             stored_runs[name].append(time.perf_counter() - t0)
     stored_times = {k: round(statistics.median(v), 3) for k, v in stored_runs.items()}
 
-    print(json.dumps({
+    # one more, untimed run per query under a job group, for its I/O from the event log
+    sc = spark.sparkContext
+    for name, f in HEADLINE.items():
+        sc.setJobGroup(f"views:{name}", name)
+        _run(f(src))
+    for name, f in STORED.items():
+        sc.setJobGroup(f"stored:{name}", name)
+        _run(f(stored, params))
+    sc.setJobGroup("", "")
+
+    result = {
         "metric": "five_results_total_time",
         "value": total,
         "unit": "sec",
@@ -117,8 +130,40 @@ def main() -> None:
         "repeats": REPEATS,
         "stored_inputs_total": round(sum(stored_times.values()), 3),
         "stored_inputs_queries": stored_times,
-    }))
-    spark.stop()
+    }
+    spark.stop()  # flushes the event log
+    result["io"] = io_by_group(events)
+    print(json.dumps(result))
+
+
+def io_by_group(events_dir: str) -> dict[str, dict[str, float]]:
+    """Rows read from inputs, rows and MB written to shuffles, per job group (event log)."""
+    job_group: dict[int, str] = {}
+    stage_group: dict[int, str] = {}
+    out: dict[str, dict[str, float]] = {}
+    for path in sorted(glob.glob(f"{events_dir}/*/events_*")) + sorted(glob.glob(f"{events_dir}/app*")):
+        if os.path.isdir(path):
+            continue
+        with open(path) as fh:
+            for line in fh:
+                e = json.loads(line)
+                kind = e.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (e.get("Properties") or {}).get("spark.jobGroup.id") or ""
+                    job_group[e["Job ID"]] = group
+                    for sid in e.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(e.get("Stage ID"), "")
+                    m = e.get("Task Metrics") or {}
+                    if not group or not m:
+                        continue
+                    acc = out.setdefault(group, {"input_rows": 0, "shuffle_rows": 0, "shuffle_mb": 0.0})
+                    shuffle = m.get("Shuffle Write Metrics") or {}
+                    acc["input_rows"] += (m.get("Input Metrics") or {}).get("Records Read", 0)
+                    acc["shuffle_rows"] += shuffle.get("Shuffle Records Written", 0)
+                    acc["shuffle_mb"] += shuffle.get("Shuffle Bytes Written", 0) / 1e6
+    return {g: {k: round(v, 2) for k, v in acc.items()} for g, acc in sorted(out.items())}
 
 
 if __name__ == "__main__":
