@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,32 @@ def test_skewed_inputs_same_result_under_both_strategies(spark, skewed):
         assert measured.agg(F.sum("total_cliente")).first()[0] == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_aqe_splits_a_hot_store_in_the_portfolio_shuffle_join(spark, skewed):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = P.bonus_detail(skewed, "old", DEFAULT.with_(broadcast_max_rows=0))
+        df.collect()  # runs this DataFrame's own adaptive plan to its final form
+        from incentiva.plans.inspect import explain_string
+
+        final = explain_string(df, "simple")
+        assert "isFinalPlan=true" in final
+        assert re.search(r"SortMergeJoin\(skew=true\) \[store_url#\d+\]", final), final
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
