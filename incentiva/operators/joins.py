@@ -1,8 +1,9 @@
 """Join helpers: size-checked broadcast and dimension multiplicity.
 
-* ``checked_broadcast`` measures a dimension (row count and a byte bound) with
-  one small distributed aggregate and hints a broadcast only when both are
-  under the limits; otherwise the join is left to a shuffle join (and to AQE).
+* ``checked_broadcast`` hints a broadcast only when a dimension's measured size
+  (rows and bytes, from one small distributed aggregate over it or over the
+  table it derives from) is under both limits; otherwise the join is left to a
+  shuffle join (and to AQE's run-time re-planning).
 * ``with_multiplicity`` collapses duplicate dimension rows into one row with a
   count. Joining that and multiplying the measure by the count gives the same
   sums as joining the raw rows (duplicates multiply, as in the original SQL),
