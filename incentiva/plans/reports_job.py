@@ -66,8 +66,12 @@ def totals_report(detail_all: DataFrame, src: Sources, pop: str, params: Params
 
 
 def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params = DEFAULT,
-                populations: Sequence[str] = ("old", "new"), fmt: str = "parquet") -> ReportPaths:
-    """Write all report tables under ``out_root`` and return their paths."""
+                populations: Sequence[str] = ("old", "new"), fmt: str = "parquet",
+                missing_date_text: str | None = None) -> ReportPaths:
+    """Write all report tables under ``out_root`` and return their paths.
+
+    ``missing_date_text`` is the commission report's text for a missing date (null by default).
+    """
     paths = ReportPaths(out_root.rstrip("/"))
     detail_all = stage_detail(spark, src, paths, params, populations)
     for pop in populations:
@@ -75,5 +79,5 @@ def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params
         write_report(shape_report(d), paths.detail(pop), fmt)
         write_report(shape_report(totals_report(detail_all, src, pop, params)), paths.totals(pop), fmt)
     tracker = commission_tracker(src, params, sort=True)
-    write_report(shape_report(tracker, date_text=True), paths.commission, fmt)
+    write_report(shape_report(tracker, date_text=True, missing_date_text=missing_date_text), paths.commission, fmt)
     return paths

@@ -235,3 +235,18 @@ def test_string_ids_work_end_to_end(spark):
             got = sorted((str(r.dynamo_customer_id), r.customer_name, r.total_cliente)
                          for r in P.bonus_detail(src, "old", params).collect())
             assert got == [("1", "Ana", money(60)), ("None", None, money(50))]
+
+
+def test_a_third_population_with_its_own_ladder(spark):
+    from incentiva.params import NEW, OLD, Ladder, Population
+
+    vip = Population("vip", "cartera", Ladder.of(("0.50", 1000)))
+    params = DEFAULT.with_(populations=(OLD, NEW, vip))
+    rows = [sale("2022-12-03 12:00:00", f"v{i}", 150, buyer=b) for i in range(2) for b in range(1, 6)]
+    src = sources(spark, sales=rows, portfolio=[("v0", "m", "o", 0, "vip"), ("v1", "m", "o", 0, "vip")],
+                  portfolio_size=[("o", 3, 0)], buyers=[(b, f"n{b}") for b in range(1, 6)])
+    t = P.portfolio_totals(src, "vip", params).collect()
+    assert [(r.total_graduados, r.porc_graduados, r.ganancia_unitaria, r.ganancia, r.porc_meta) for r in t] == [
+        (2, Decimal("0.6666"), 1000, 2000, "max")]
+    both = P.bonus_detail_all(src, params, ["old", "vip"]).select("population").distinct().collect()
+    assert [r.population for r in both] == ["vip"]
