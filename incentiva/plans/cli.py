@@ -1,6 +1,6 @@
 """Run the whole job: the five reports for one month.
 
-    spark-submit -m incentiva.plans.cli --parquet-root s3://lake/shop --out s3://lake/reports/2022-12
+    spark-submit --py-files incentiva.zip run_job.py --parquet-root s3://lake/shop --out s3://lake/reports/2022-12
     python -m incentiva.plans.cli --tables sales=shop.sale_lines,portfolio=crm.portfolio,... --out ...
 
 Inputs are either catalog tables (``--tables name=table,...``) or parquet folders
