@@ -71,6 +71,12 @@ def shortfall(total: Column, target: Decimal) -> Column:
     return F.when(total < t, F.round(t - total, 0)).otherwise(F.lit(0)).cast(_D38)
 
 
+def truncate_to(x: Column, digits: int) -> Column:
+    """Cut a decimal to ``digits`` places toward zero, ``truncate(x, n)`` (Spark has
+    no two-argument numeric truncate; ``floor``/``ceil`` with a scale do it)."""
+    return F.when(x < 0, F.ceil(x, F.lit(digits))).otherwise(F.floor(x, F.lit(digits)))
+
+
 def _floor_div(a: Column, b: Column) -> Column:
     """Exact integer division for a >= 0, b > 0 (bigint in, bigint out).
 

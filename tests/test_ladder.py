@@ -168,3 +168,11 @@ def test_any_ladder_matches_band_form(spark, ladder, pairs):
         p = _share_ref(r.g, r.c)
         assert r.share == p
         assert (r.unit, r.pay, r.meta, r.cnt) == _band_ref(p, r.c, r.g, ladder), (r.g, r.c, ladder)
+
+
+def test_truncate_to_cuts_toward_zero(spark):
+    from incentiva.functions.scalars import truncate_to
+
+    df = spark.createDataFrame([(Decimal(v),) for v in ("0.56999", "-0.56999", "1.00009", "0")], "x decimal(10,5)")
+    got = [r.t for r in df.select(truncate_to(F.col("x"), 4).alias("t")).collect()]
+    assert got == [Decimal("0.5699"), Decimal("-0.5699"), Decimal("1.0000"), Decimal("0.0000")]
