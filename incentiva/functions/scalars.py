@@ -113,3 +113,12 @@ def share(numerator: Column, denominator: Column, digits: int = 4, division_scal
     signed = F.when(negative, -cut).otherwise(cut)
     unit = F.lit(Decimal(1).scaleb(-digits))
     return (signed.cast(_D38) * unit).cast(T.DecimalType(18, digits))
+
+
+def scheme_label(created: Column, cut: dt.date, on_or_after: str, before: str, unknown: str) -> Column:
+    """Label by a cut date: ``on_or_after`` from the cut on, ``before`` earlier, ``unknown`` for null."""
+    return (
+        F.when(created >= F.lit(cut), F.lit(on_or_after))
+        .when(created < F.lit(cut), F.lit(before))
+        .otherwise(F.lit(unknown))
+    )

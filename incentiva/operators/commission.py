@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import as_month, half_month, month_start, sale_date
+from ..functions.scalars import as_month, half_month, month_start, sale_date, scheme_label
 from ..params import DEFAULT, Params
 from ..sources.schemas import SUM_MONEY
 from ..sources.tables import Sources
@@ -114,11 +114,8 @@ def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True
     )
     half = Window.partitionBy(*HALF_MONTH_KEYS)
     created = F.col("creation_date")
-    label = (
-        F.when(created >= F.lit(params.cut_date), F.lit(params.label_on_or_after))
-        .when(created < F.lit(params.cut_date), F.lit(params.label_before))
-        .otherwise(F.lit(params.label_unknown))
-    )
+    label = scheme_label(created, params.cut_date, params.label_on_or_after, params.label_before,
+                         params.label_unknown)
     out = j.select(
         *TRACKER_COLUMNS[:8],
         F.sum("total").over(half).cast(SUM_MONEY).alias("venta_quincenal"),
