@@ -31,6 +31,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a measured-skewed join partition even when the aggregate after it then
+    # needs its own shuffle (the salted buyer join with one very hot known buyer)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",

@@ -100,3 +100,57 @@ def test_aqe_splits_a_hot_store_in_the_portfolio_shuffle_join(spark, skewed):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_aqe_splits_a_hot_known_buyer_in_the_salted_join(spark):
+    """One known buyer in a third of all (store, leader) pairs: AQE splits its reducer."""
+    ids = F.col("id")
+    sales = spark.range(N).select(
+        F.make_timestamp_ntz(F.lit(2022), F.lit(12), (ids % 28 + 1).cast("int"), F.lit(12), F.lit(0), F.lit(0))
+        .alias("create_date_time_tz"),
+        F.lit(None).cast("timestamp_ntz").alias("cancel_date_time_tz"),
+        F.lit("PAID").alias("order_status"),
+        F.concat(F.lit("s"), (ids % 997).cast("string")).alias("store_url"),
+        F.concat(F.lit("L"), (ids % 13).cast("string")).alias("leader_name"),
+        F.when(ids % 3 == 0, F.lit(7)).otherwise(ids % 3000).cast("bigint").alias("dynamo_customer_id"),
+        ids.alias("order_number"),
+        (F.lit(1) + ids % 50).cast("decimal(18,2)").alias("net_value"),
+    ).withColumn("create_date_time", F.col("create_date_time_tz"))
+    portfolio = spark.range(997).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("emprendedor"),
+                                        F.lit("m").alias("mentora"), F.lit("o").alias("orientador"),
+                                        F.lit(0).alias("flag_retencion"), F.lit("old").alias("flag_emprendedor"))
+    buyers = spark.range(3000).select(F.col("id").alias("dynamo_customer_id"),
+                                      F.concat(F.lit("b"), F.col("id").cast("string")).alias("customer_name"))
+    src = from_frames(sales=sales, portfolio=portfolio, buyers=buyers,
+                      portfolio_size=spark.createDataFrame([], "orientador string, cartera int, cartera_nuevos int"),
+                      tier=spark.createDataFrame([], "store_url string, calendar_month date, tier_net_lm string"),
+                      stores=spark.createDataFrame([], "store_url string, create_date_tz timestamp_ntz"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = P.bonus_detail(src, "old", DEFAULT.with_(broadcast_max_rows=0))
+        rows = df.collect()
+        from incentiva.plans.inspect import explain_string
+
+        final = explain_string(df, "simple")
+        assert re.search(r"SortMergeJoin\(skew=true\) \[dynamo_customer_id#\d+L, __salt#\d+L\]", final), final
+        hot = [r for r in rows if r.dynamo_customer_id == 7]
+        assert len(hot) == len({(r.store_url, r.leader_name) for r in hot}) > 1000  # one row per store, leader
+        assert sum(r.total_cliente for r in rows) == sales.agg(F.sum("net_value")).first()[0]
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
