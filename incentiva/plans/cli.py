@@ -20,6 +20,7 @@ from ..params import DEFAULT
 from ..sources.schemas import SCHEMAS
 from ..sources.tables import from_parquet, from_tables, require_unique_dimensions
 from .reports_job import run_reports
+from .session import apply_cluster_conf
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -36,12 +37,16 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--require-unique-dimensions", action="store_true",
                     help="fail when a dimension repeats a key instead of multiplying sales")
+    ap.add_argument("--keep-session-conf", action="store_true",
+                    help="do not apply the job's cluster SQL settings (plans.session.CLUSTER_CONF)")
     return ap.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> str:
     a = parse_args(argv)
     spark = SparkSession.builder.appName("incentiva-reports").getOrCreate()
+    if not a.keep_session_conf:
+        apply_cluster_conf(spark)
     if a.tables:
         names = dict(kv.split("=", 1) for kv in a.tables.split(","))
         missing = sorted(set(SCHEMAS) - set(names))

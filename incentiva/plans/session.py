@@ -41,6 +41,12 @@ CLUSTER_CONF = {
 }
 
 
+def apply_cluster_conf(spark: SparkSession, conf: dict[str, str] | None = None) -> None:
+    """Set the runtime SQL settings of ``CLUSTER_CONF`` (or ``conf``) on a session."""
+    for k, v in (conf or CLUSTER_CONF).items():
+        spark.conf.set(k, v)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "incentiva",
                   event_log_dir: str | None = None) -> SparkSession:
     """A ``local[cpus]`` session for tests and the bench (UI off, AQE on)."""

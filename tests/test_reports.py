@@ -80,7 +80,7 @@ def test_cli_runs_the_job_from_parquet_inputs(spark, src, tmp_path):
         else:
             df.write.parquet(str(root / name))
     out = cli.main(["--parquet-root", str(root), "--out", str(tmp_path / "reports"),
-                    "--sales-month-col", "sale_month"])
+                    "--sales-month-col", "sale_month", "--keep-session-conf"])
     got = read_report(spark, f"{out}/detail_old")
     assert _diff(got, shape_report(P.bonus_detail(src, "old"))) == 0
     assert read_report(spark, f"{out}/commission").count() == C.commission_tracker(src).count()
