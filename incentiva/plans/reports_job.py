@@ -17,7 +17,8 @@ times and the detail of each population is computed twice. Here:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,17 +68,41 @@ def totals_report(detail_all: DataFrame, src: Sources, pop: str, params: Params
 
 def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params = DEFAULT,
                 populations: Sequence[str] = ("old", "new"), fmt: str = "parquet",
-                missing_date_text: str | None = None) -> ReportPaths:
+                missing_date_text: str | None = None, concurrent: bool = True) -> ReportPaths:
     """Write all report tables under ``out_root`` and return their paths.
 
-    ``missing_date_text`` is the commission report's text for a missing date (null by default).
+    ``missing_date_text`` is the commission report's text for a missing date (null by
+    default). With ``concurrent`` the independent report writes are submitted from
+    driver threads at once, so small jobs do not wait on each other; the commission
+    tracker runs alongside the portfolio staging.
     """
     paths = ReportPaths(out_root.rstrip("/"))
-    detail_all = stage_detail(spark, src, paths, params, populations)
-    for pop in populations:
-        d = detail_all.filter(F.col(POP) == pop).select(*DETAIL_COLUMNS)
-        write_report(shape_report(d), paths.detail(pop), fmt)
-        write_report(shape_report(totals_report(detail_all, src, pop, params)), paths.totals(pop), fmt)
     tracker = commission_tracker(src, params, sort=True)
-    write_report(shape_report(tracker, date_text=True, missing_date_text=missing_date_text), paths.commission, fmt)
+    writes: list[Callable[[], None]] = [
+        lambda: write_report(shape_report(tracker, date_text=True, missing_date_text=missing_date_text),
+                             paths.commission, fmt)
+    ]
+
+    def portfolio_reports() -> None:
+        detail_all = stage_detail(spark, src, paths, params, populations)
+        jobs = []
+        for pop in populations:
+            d = detail_all.filter(F.col(POP) == pop).select(*DETAIL_COLUMNS)
+            jobs.append(lambda d=d, pop=pop: write_report(shape_report(d), paths.detail(pop), fmt))
+            t = totals_report(detail_all, src, pop, params)
+            jobs.append(lambda t=t, pop=pop: write_report(shape_report(t), paths.totals(pop), fmt))
+        _run_all(jobs, concurrent)
+
+    writes.append(portfolio_reports)
+    _run_all(writes, concurrent)
     return paths
+
+
+def _run_all(jobs: list[Callable[[], None]], concurrent: bool) -> None:
+    if not concurrent or len(jobs) == 1:
+        for job in jobs:
+            job()
+        return
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(job) for job in jobs]:
+            f.result()  # re-raises the first failure
