@@ -115,14 +115,26 @@ def fixture_dir(request, tmp_path_factory):
 SKIP = {"sales_scan", "portfolio_scan", "portfolio_size_scan", "customer_scan", "tier_scan", "store_scan"}
 
 
-@pytest.mark.parametrize("strategy", ["measured", "shuffle"])
+def _params_for(strategy: str, src) -> object:
+    if strategy == "measured":
+        return DEFAULT
+    if strategy == "shuffle":
+        return DEFAULT.with_(broadcast_max_rows=0)
+    # mixed: a row limit between the dimensions' sizes, so some are broadcast and some shuffled
+    rows = sorted(src.size_bound(n)[0] for n in ("portfolio", "buyers", "tier", "stores"))
+    limit = rows[0] if strategy == "mixed_low" else rows[2]
+    assert rows[0] <= limit < rows[-1]
+    return DEFAULT.with_(broadcast_max_rows=limit)
+
+
+@pytest.mark.parametrize("strategy", ["measured", "shuffle", "mixed_low", "mixed_high"])
 def test_all_operators_match_literal_sql(spark, fixture_dir, strategy):
-    params = DEFAULT if strategy == "measured" else DEFAULT.with_(broadcast_max_rows=0)
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if strategy == "shuffle":
+    if strategy != "measured":
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         src = from_parquet(spark, {k: f"{fixture_dir}/{k}.parquet" for k in TABLES})
+        params = _params_for(strategy, src)
         con = duckdb.connect()
         for k, t in TABLES.items():
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{fixture_dir}/{k}.parquet')")
