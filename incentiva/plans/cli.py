@@ -33,6 +33,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--tracker-after", default=DEFAULT.tracker_after_month.isoformat(),
                     help="the tracker covers months strictly after this one")
     ap.add_argument("--sales-month-col", default=None, help="month partition column of the sales table")
+    ap.add_argument("--zone", default=None,
+                    help="zone whose wall clock dates the sales, when timestamps are stored zoned")
     ap.add_argument("--all-stores", action="store_true", help="keep tracker sales without a tier row")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--require-unique-dimensions", action="store_true",
@@ -52,10 +54,10 @@ def main(argv: list[str] | None = None) -> str:
         missing = sorted(set(SCHEMAS) - set(names))
         if missing:
             raise SystemExit(f"--tables lacks {missing}")
-        src = from_tables(spark, names, a.sales_month_col)
+        src = from_tables(spark, names, a.sales_month_col, a.zone)
     else:
         root = a.parquet_root.rstrip("/")
-        src = from_parquet(spark, {n: f"{root}/{n}" for n in SCHEMAS}, a.sales_month_col)
+        src = from_parquet(spark, {n: f"{root}/{n}" for n in SCHEMAS}, a.sales_month_col, a.zone)
     if a.require_unique_dimensions:
         require_unique_dimensions(src)
     params = DEFAULT.with_(

@@ -8,7 +8,7 @@ string keys. Buyer and order ids are ``bigint`` here; a string id works as well
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,12 +86,24 @@ class SchemaError(ValueError):
     pass
 
 
-def conform(df: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def wall_clock(ts: Column, zone: str) -> Column:
+    """A zoned instant as the wall-clock time (``timestamp_ntz``) it shows in ``zone``.
+
+    No session zone is involved: the instant's epoch microseconds are added to a
+    zone-free epoch (its UTC wall clock), which is then moved from UTC to ``zone``.
+    """
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | None = None) -> DataFrame:
     """Select the source's columns in order and cast them to the expected types.
 
     Missing columns raise ``SchemaError``; extra columns are dropped (except those
     in ``keep``, e.g. a partition column) so the scan reads only what the queries
-    use. Casts are no-ops when the stored type is already right.
+    use. Casts are no-ops when the stored type is already right. Zoned timestamps
+    are refused unless ``zone`` names the zone whose wall clock dates the sales.
     """
     schema = SCHEMAS[name]
     present = {f.name: f.dataType for f in df.schema.fields}
@@ -106,10 +118,12 @@ def conform(df: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
         elif have == f.dataType:
             cols.append(F.col(f.name))
         elif isinstance(f.dataType, T.TimestampNTZType) and isinstance(have, T.TimestampType):
-            raise SchemaError(
-                f"{name}.{f.name} is a zoned timestamp; store local wall-clock time as "
-                "timestamp_ntz so that days do not shift with the session zone"
-            )
+            if zone is None:
+                raise SchemaError(
+                    f"{name}.{f.name} is a zoned timestamp; store local wall-clock time as "
+                    "timestamp_ntz, or name the zone whose wall clock dates the sales (zone=...)"
+                )
+            cols.append(wall_clock(F.col(f.name), zone).alias(f.name))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
     extra = [c for c in keep if c in present and c not in schema.fieldNames()]

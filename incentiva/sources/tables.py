@@ -39,34 +39,36 @@ class Sources:
             self._sizes[name] = measure(getattr(self, name))
         return self._sizes[name]
 
-    def conformed(self, sales_month_col: str | None = None) -> "Sources":
+    def conformed(self, sales_month_col: str | None = None, zone: str | None = None) -> "Sources":
         keep = {"sales": (sales_month_col,) if sales_month_col else ()}
-        return Sources(**{f.name: conform(getattr(self, f.name), f.name, keep.get(f.name, ()))
+        return Sources(**{f.name: conform(getattr(self, f.name), f.name, keep.get(f.name, ()), zone)
                           for f in fields(self) if f.init and not f.name.startswith("_")})
 
 
-def from_tables(spark: SparkSession, names: dict[str, str], sales_month_col: str | None = None) -> Sources:
+def from_tables(spark: SparkSession, names: dict[str, str], sales_month_col: str | None = None,
+                zone: str | None = None) -> Sources:
     """Load from catalog tables, e.g. ``{"sales": "shop.sale_lines", ...}``.
 
     ``sales_month_col`` names a month partition column of the sales table (a date,
     the first of the month); set the same name in ``Params.sales_month_col`` so
-    the month filters prune whole partitions.
+    the month filters prune whole partitions. ``zone``: see ``schemas.conform``.
     """
-    return Sources(**{k: spark.table(names[k]) for k in SCHEMAS}).conformed(sales_month_col)
+    return Sources(**{k: spark.table(names[k]) for k in SCHEMAS}).conformed(sales_month_col, zone)
 
 
-def from_parquet(spark: SparkSession, paths: dict[str, str], sales_month_col: str | None = None) -> Sources:
+def from_parquet(spark: SparkSession, paths: dict[str, str], sales_month_col: str | None = None,
+                 zone: str | None = None) -> Sources:
     """Load from parquet paths (a file or a directory, possibly partitioned).
 
     No schema inference pass: parquet carries its schema in the footer, and
     ``conform`` checks it against the expected one.
     """
-    return Sources(**{k: spark.read.parquet(paths[k]) for k in SCHEMAS}).conformed(sales_month_col)
+    return Sources(**{k: spark.read.parquet(paths[k]) for k in SCHEMAS}).conformed(sales_month_col, zone)
 
 
-def from_frames(**frames: DataFrame) -> Sources:
+def from_frames(zone: str | None = None, **frames: DataFrame) -> Sources:
     """Bundle ready DataFrames (tests, or sources built by other jobs)."""
-    return Sources(**frames).conformed()
+    return Sources(**frames).conformed(zone=zone)
 
 
 # key of each dimension as the joins use it; a repeated key multiplies the facts it meets

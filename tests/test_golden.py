@@ -250,3 +250,26 @@ def test_a_third_population_with_its_own_ladder(spark):
         (2, Decimal("0.6666"), 1000, 2000, "max")]
     both = P.bonus_detail_all(src, params, ["old", "vip"]).select("population").distinct().collect()
     assert [r.population for r in both] == ["vip"]
+
+
+def test_zoned_timestamps_read_as_wall_clock_of_a_named_zone(spark):
+    from incentiva.sources.tables import from_frames
+
+    # 2022-12-01 03:30 UTC is 2022-11-30 22:30 in Lima: a November sale there
+    base = sources(spark, sales=[sale("2022-12-01 03:30:00", "s1", 10), sale("2022-12-01 06:00:00", "s2", 10)])
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        zoned = base.sales
+        for c in ("create_date_time_tz", "create_date_time", "cancel_date_time_tz"):
+            zoned = zoned.withColumn(c, F.col(c).cast("timestamp"))  # instants, read as UTC wall clock
+        with pytest.raises(schemas.SchemaError):
+            from_frames(sales=zoned, portfolio=base.portfolio, portfolio_size=base.portfolio_size,
+                        buyers=base.buyers, tier=base.tier, stores=base.stores)
+        src = from_frames(zone="America/Lima", sales=zoned, portfolio=base.portfolio,
+                          portfolio_size=base.portfolio_size, buyers=base.buyers, tier=base.tier, stores=base.stores)
+        for tz in ("UTC", "Asia/Tokyo", "America/Lima"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert {r.store_url for r in S.valid_sales(src.sales).collect()} == {"s2"}, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
