@@ -49,6 +49,18 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["b"] or 0)
 
 
+def measure_many(frames: dict[str, DataFrame]) -> dict[str, tuple[int, int]]:
+    """``measure`` for several DataFrames in one job (one row each to the driver)."""
+    parts = [
+        df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("b"))
+        for name, df in frames.items()
+    ]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r["name"]: (int(r["n"]), int(r["b"] or 0)) for r in union.collect()}
+
+
 def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int, bound: tuple[int, int] | None = None,
                       extra_bytes_per_row: int = 8, copies: int = 1) -> tuple[DataFrame, SizeCheck]:
     """Return ``(df hinted for broadcast, check)`` when small enough, else ``(df, check)``.

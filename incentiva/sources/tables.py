@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from .schemas import SCHEMAS, conform
 
 
+DIMENSIONS = ("portfolio", "portfolio_size", "buyers", "tier", "stores")
+
+
 @dataclass(frozen=True)
 class Sources:
     """Sales lines, store portfolio, portfolio size, buyers, store tiers, stores."""
@@ -31,12 +34,15 @@ class Sources:
 
         Any filter, projection or duplicate collapse of the input is no larger, so
         every query built on this bundle reuses the one measurement to decide its
-        broadcasts.
+        broadcasts. All dimensions are measured together, in one job.
         """
         if name not in self._sizes:
-            from ..operators.joins import measure
+            from ..operators.joins import measure_many
 
-            self._sizes[name] = measure(getattr(self, name))
+            names = [n for n in DIMENSIONS if n not in self._sizes]
+            if name not in names:
+                names.append(name)
+            self._sizes.update(measure_many({n: getattr(self, n) for n in names}))
         return self._sizes[name]
 
     def conformed(self, sales_month_col: str | None = None, zone: str | None = None) -> "Sources":
