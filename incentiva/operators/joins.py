@@ -68,16 +68,26 @@ def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int, bound: tuple
     ``bound`` is the measured (rows, bytes) of a table that ``df`` is derived from
     by filters, projections and duplicate collapsing (which only shrink it); each
     derived row may add ``extra_bytes_per_row`` (e.g. a copy count), and ``copies``
-    stacked copies of the table multiply it. Without a bound ``df`` itself is measured.
+    stacked copies of the table multiply it. When there is no bound, or the bound
+    is over a limit, ``df`` itself is measured (one more aggregate over the
+    dimension, never over the fact), so a large table whose filtered part is
+    small is still broadcast.
     """
-    if bound is None:
-        rows, size = measure(df)
-    else:
+    def fits(r: int, b: int) -> bool:
+        return r <= max_rows and b <= max_bytes
+
+    if bound is not None:
         raw_rows, raw_bytes = bound
         rows = raw_rows * copies
         size = copies * (raw_bytes + raw_rows * extra_bytes_per_row)
-    ok = rows <= max_rows and size <= max_bytes
-    return (F.broadcast(df) if ok else df), SizeCheck(rows, size, ok)
+        if fits(rows, size) or max_rows <= 0:
+            ok = fits(rows, size)
+            return (F.broadcast(df) if ok else df), SizeCheck(rows, size, ok)
+    # no bound, or the whole table is too large: measure what would be broadcast
+    rows, size = measure(df)
+    rows_b, size_b = rows, size + rows * extra_bytes_per_row
+    ok = fits(rows_b, size_b)
+    return (F.broadcast(df) if ok else df), SizeCheck(rows_b, size_b, ok)
 
 
 def with_multiplicity(dim: DataFrame, cols: list[str]) -> DataFrame:

@@ -128,3 +128,14 @@ def test_tracker_large_dimensions_join_the_daily_aggregate(stored, shuffle_only)
 def test_tracker_sort_breaks_ties_for_range_partitioning(stored):
     plan = explain_string(C.commission_tracker(stored["flat"]), "simple")
     assert re.search(r"rangepartitioning\(creation_date#\d+ DESC NULLS FIRST, store_url", plan)
+
+
+def test_large_table_with_small_filtered_part_is_still_broadcast(spark):
+    from incentiva.operators.joins import checked_broadcast
+
+    big = spark.range(5000).withColumn("k", F.col("id") % 7)
+    small = big.filter(F.col("id") < 10)
+    _, check = checked_broadcast(small, max_bytes=10**9, max_rows=100, bound=(5000, 5000 * 24))
+    assert check.broadcast and check.rows == 10
+    _, check = checked_broadcast(big, max_bytes=10**9, max_rows=100, bound=(5000, 5000 * 24))
+    assert not check.broadcast

@@ -116,7 +116,7 @@ SKIP = {"sales_scan", "portfolio_scan", "portfolio_size_scan", "customer_scan",
 
 
 def _params_for(strategy: str, src) -> object:
-    if strategy == "measured":
+    if strategy in ("measured", "split_a", "split_b"):
         return DEFAULT
     if strategy == "shuffle":
         return DEFAULT.with_(broadcast_max_rows=0)
@@ -127,11 +127,39 @@ def _params_for(strategy: str, src) -> object:
     return DEFAULT.with_(broadcast_max_rows=limit)
 
 
-@pytest.mark.parametrize("strategy", ["measured", "shuffle", "mixed_low", "mixed_high"])
-def test_all_operators_match_literal_sql(spark, fixture_dir, strategy):
+# forced broadcast decisions per dimension (by its first two columns), complementary patterns
+SPLITS = {
+    "split_a": {("emprendedor", "mentora"): True, ("dynamo_customer_id", "customer_name"): False,
+                ("store_url", "calendar_month"): True, ("store_url", "creation_date"): False,
+                ("orientador", "population"): False},
+    "split_b": {("emprendedor", "mentora"): False, ("dynamo_customer_id", "customer_name"): True,
+                ("store_url", "calendar_month"): False, ("store_url", "creation_date"): True,
+                ("orientador", "population"): True},
+}
+
+
+def _force(decisions):
+    from pyspark.sql import functions as F
+
+    from incentiva.operators.joins import SizeCheck
+
+    def checked_broadcast(df, *args, **kwargs):
+        ok = decisions[tuple(df.columns[:2])]
+        return (F.broadcast(df) if ok else df), SizeCheck(0, 0, ok)
+
+    return checked_broadcast
+
+
+@pytest.mark.parametrize("strategy", ["measured", "shuffle", "mixed_low", "mixed_high", "split_a", "split_b"])
+def test_all_operators_match_literal_sql(spark, fixture_dir, strategy, monkeypatch):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if strategy != "measured":
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    if strategy in SPLITS:
+        from incentiva.operators import commission, portfolio
+
+        monkeypatch.setattr(portfolio, "checked_broadcast", _force(SPLITS[strategy]))
+        monkeypatch.setattr(commission, "checked_broadcast", _force(SPLITS[strategy]))
     try:
         src = from_parquet(spark, {k: f"{fixture_dir}/{k}.parquet" for k in TABLES})
         params = _params_for(strategy, src)
