@@ -23,6 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from incentiva.operators.commission import commission_tracker  # noqa: E402
 from incentiva.operators.portfolio import bonus_detail, portfolio_totals  # noqa: E402
+from incentiva.plans.inspect import count_nodes  # noqa: E402
 from incentiva.plans.reports_job import run_reports  # noqa: E402
 from incentiva.plans.session import local_session  # noqa: E402
 from incentiva.params import DEFAULT  # noqa: E402
@@ -114,6 +115,14 @@ def main() -> None:
         job_runs.append(time.perf_counter() - t0)
     stored_times = {k: round(statistics.median(v), 3) for k, v in stored_runs.items()}
 
+    # plan shape per result: shuffle exchanges and broadcasts in the physical plan
+    shape = {}
+    for label in ("views", "stored"):
+        for name in HEADLINE:
+            df = HEADLINE[name](src) if label == "views" else STORED[name](stored, params)
+            shape[f"{label}:{name}"] = {"shuffles": count_nodes(df, "Exchange"),
+                                        "broadcasts": count_nodes(df, "BroadcastExchange")}
+
     # one more, untimed run per query under a job group, for its I/O from the event log
     sc = spark.sparkContext
     for name, f in HEADLINE.items():
@@ -135,6 +144,7 @@ def main() -> None:
         "stored_inputs_total": round(sum(stored_times.values()), 3),
         "stored_inputs_queries": stored_times,
         "stored_inputs_report_job_all_five": round(statistics.median(job_runs), 3),
+        "plan_shape": shape,
     }
     spark.stop()  # flushes the event log
     result["io"] = io_by_group(events)
