@@ -70,5 +70,10 @@ def main(argv: list[str] | None = None) -> str:
     return paths.root
 
 
-if __name__ == "__main__":
+def console() -> None:
+    """Console-script entry: run and print the report folder."""
     print(main())
+
+
+if __name__ == "__main__":
+    console()
