@@ -139,3 +139,11 @@ def test_large_table_with_small_filtered_part_is_still_broadcast(spark):
     assert check.broadcast and check.rows == 10
     _, check = checked_broadcast(big, max_bytes=10**9, max_rows=100, bound=(5000, 5000 * 24))
     assert not check.broadcast
+
+
+def test_totals_prune_the_unused_distinct_count(stored):
+    df = P.portfolio_totals(stored["flat"], "old")
+    plan = explain_string(df, "simple")
+    assert "count(distinct" not in plan.lower() and "Expand" not in plan
+    # detail aggregate, store graduation, advisor totals: one exchange each
+    assert count_nodes(df, "Exchange") == 3
