@@ -31,7 +31,7 @@ OLD_MAX_PART_SIZE = 25
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _store(key: Column) -> Column:
