@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MULTIPLICITY = "__copies"
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -76,18 +78,21 @@ def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int, bound: tuple
     def fits(r: int, b: int) -> bool:
         return r <= max_rows and b <= max_bytes
 
+    def decide(rows: int, size: int, how: str) -> tuple[DataFrame, SizeCheck]:
+        ok = fits(rows, size)
+        log.info("dimension %s: %d rows, %d bytes (%s) -> %s", df.columns[:3], rows, size, how,
+                 "broadcast" if ok else "shuffle join")
+        return (F.broadcast(df) if ok else df), SizeCheck(rows, size, ok)
+
     if bound is not None:
         raw_rows, raw_bytes = bound
         rows = raw_rows * copies
         size = copies * (raw_bytes + raw_rows * extra_bytes_per_row)
         if fits(rows, size) or max_rows <= 0:
-            ok = fits(rows, size)
-            return (F.broadcast(df) if ok else df), SizeCheck(rows, size, ok)
+            return decide(rows, size, "bound of the whole table")
     # no bound, or the whole table is too large: measure what would be broadcast
     rows, size = measure(df)
-    rows_b, size_b = rows, size + rows * extra_bytes_per_row
-    ok = fits(rows_b, size_b)
-    return (F.broadcast(df) if ok else df), SizeCheck(rows_b, size_b, ok)
+    return decide(rows, size + rows * extra_bytes_per_row, "measured")
 
 
 def with_multiplicity(dim: DataFrame, cols: list[str]) -> DataFrame:
