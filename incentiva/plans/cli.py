@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--zone", default=None,
                     help="zone whose wall clock dates the sales, when timestamps are stored zoned")
     ap.add_argument("--all-stores", action="store_true", help="keep tracker sales without a tier row")
+    ap.add_argument("--bonus-min", default=str(DEFAULT.bonus_min), help="month spend that earns a bonus mark")
+    ap.add_argument("--graduate-min", type=int, default=DEFAULT.graduate_min, help="bonus marks to graduate")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--require-unique-dimensions", action="store_true",
                     help="fail when a dimension repeats a key instead of multiplying sales")
@@ -65,6 +68,8 @@ def main(argv: list[str] | None = None) -> str:
         tracker_after_month=dt.date.fromisoformat(a.tracker_after),
         sales_month_col=a.sales_month_col,
         tier_required=not a.all_stores,
+        bonus_min=Decimal(a.bonus_min),
+        graduate_min=a.graduate_min,
     )
     paths = run_reports(spark, src, a.out, params, fmt=a.format)
     return paths.root

@@ -94,7 +94,8 @@ def test_cli_runs_the_job_from_catalog_tables(spark, src, tmp_path):
         getattr(src, name).createOrReplaceTempView(f"cli_{name}")
     tables = ",".join(f"{name}=cli_{name}" for name in SCHEMAS)
     out = cli.main(["--tables", tables, "--out", str(tmp_path / "reports"), "--all-stores",
-                    "--require-unique-dimensions", "--keep-session-conf"])
+                    "--require-unique-dimensions", "--keep-session-conf", "--bonus-min", "100",
+                    "--graduate-min", "5"])
     params = P.DEFAULT.with_(tier_required=False)
     assert read_report(spark, f"{out}/commission").count() == C.commission_tracker(src, params).count()
     assert _diff(read_report(spark, f"{out}/totals_new"), shape_report(P.portfolio_totals(src, "new"))) == 0
