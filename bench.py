@@ -193,4 +193,9 @@ def io_by_group(events_dir: str) -> dict[str, dict[str, float]]:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    except Exception as e:  # noqa: BLE001 -- still one JSON line, then a failing exit code
+        print(json.dumps({"metric": "five_results_total_time", "value": None, "unit": "sec",
+                          "error": repr(e)[:500]}))
+        raise SystemExit(1)
