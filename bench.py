@@ -197,5 +197,5 @@ if __name__ == "__main__":
         main()
     except Exception as e:  # noqa: BLE001 -- still one JSON line, then a failing exit code
         print(json.dumps({"metric": "five_results_total_time", "value": None, "unit": "sec",
-                          "error": repr(e)[:500]}))
+                          "error": f"{type(e).__name__}: {e}"[:500]}))
         raise SystemExit(1)
