@@ -123,6 +123,12 @@ class Params:
     top_text: str = TOP_TARGET_TEXT
     populations: tuple[Population, ...] = POPULATIONS
 
+    def __post_init__(self) -> None:
+        # frozen and hashable: accept any sequence of populations, keep a tuple
+        object.__setattr__(self, "populations", tuple(self.populations))
+        object.__setattr__(self, "excluded_statuses", tuple(self.excluded_statuses))
+        object.__setattr__(self, "bonus_min", Decimal(str(self.bonus_min)))
+
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
