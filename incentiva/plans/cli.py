@@ -3,9 +3,9 @@
     spark-submit --py-files incentiva.zip run_job.py --parquet-root s3://lake/shop --out s3://lake/reports/2022-12
     python -m incentiva.plans.cli --tables sales=shop.sale_lines,portfolio=crm.portfolio,... --out ...
 
-Inputs are either catalog tables (``--tables name=table,...``) or parquet folders
-under one root (``--parquet-root``, one folder per input: sales, portfolio,
-portfolio_size, buyers, tier, stores). The session comes from the environment
+Inputs are either catalog tables (``--tables name=table,...``) or folders under
+one root (``--root``, one folder per input: sales, portfolio, portfolio_size,
+buyers, tier, stores) in parquet, orc, csv or json (``--input-format``). The session comes from the environment
 (spark-submit / the platform); nothing here sets cluster resources.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from ..params import DEFAULT
 from ..sources.schemas import SCHEMAS
-from ..sources.tables import from_parquet, from_tables, require_unique_dimensions
+from ..sources.tables import from_files, from_tables, require_unique_dimensions
 from .reports_job import run_reports
 from .session import apply_cluster_conf
 
@@ -28,7 +28,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="incentiva", description=__doc__.split("\n\n")[0])
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="name=table pairs for " + ", ".join(SCHEMAS))
-    src.add_argument("--parquet-root", help="folder with one parquet folder per input")
+    src.add_argument("--root", "--parquet-root", dest="root", help="folder with one folder per input")
+    ap.add_argument("--input-format", default="parquet", choices=["parquet", "orc", "csv", "json"],
+                    help="file format of the input folders under --root")
     ap.add_argument("--out", required=True, help="output folder for the report tables")
     ap.add_argument("--month", default=DEFAULT.month.isoformat(), help="report month, e.g. 2022-12-01")
     ap.add_argument("--tracker-after", default=DEFAULT.tracker_after_month.isoformat(),
@@ -59,8 +61,9 @@ def main(argv: list[str] | None = None) -> str:
             raise SystemExit(f"--tables lacks {missing}")
         src = from_tables(spark, names, a.sales_month_col, a.zone)
     else:
-        root = a.parquet_root.rstrip("/")
-        src = from_parquet(spark, {n: f"{root}/{n}" for n in SCHEMAS}, a.sales_month_col, a.zone)
+        root = a.root.rstrip("/")
+        src = from_files(spark, {n: f"{root}/{n}" for n in SCHEMAS}, a.input_format,
+                         sales_month_col=a.sales_month_col, zone=a.zone)
     if a.require_unique_dimensions:
         require_unique_dimensions(src)
     params = DEFAULT.with_(

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import SCHEMAS, conform
 
@@ -72,6 +73,28 @@ def from_parquet(spark: SparkSession, paths: dict[str, str], sales_month_col: st
     return Sources(**{k: spark.read.parquet(paths[k]) for k in SCHEMAS}).conformed(sales_month_col, zone)
 
 
+def from_files(spark: SparkSession, paths: dict[str, str], fmt: str, options: dict[str, str] | None = None,
+               sales_month_col: str | None = None, zone: str | None = None) -> Sources:
+    """Load from files of one format: parquet, orc, csv or json (one path per input).
+
+    Text formats are read with the expected schema (no inference pass over the
+    data); csv expects a header row. Columnar formats carry their own schema.
+    """
+    if fmt not in ("parquet", "orc", "csv", "json"):
+        raise ValueError(f"unsupported input format {fmt!r}")
+    frames = {}
+    for name, schema in SCHEMAS.items():
+        reader = spark.read.format(fmt).options(**(options or {}))
+        if fmt in ("csv", "json"):
+            if sales_month_col and name == "sales":
+                schema = T.StructType(schema.fields + [T.StructField(sales_month_col, T.DateType(), True)])
+            reader = reader.schema(schema)
+            if fmt == "csv":
+                reader = reader.option("header", True)
+        frames[name] = reader.load(paths[name])
+    return Sources(**frames).conformed(sales_month_col, zone)
+
+
 def from_frames(zone: str | None = None, **frames: DataFrame) -> Sources:
     """Bundle ready DataFrames (tests, or sources built by other jobs)."""
     return Sources(**frames).conformed(zone=zone)
