@@ -41,7 +41,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--all-stores", action="store_true", help="keep tracker sales without a tier row")
     ap.add_argument("--bonus-min", default=str(DEFAULT.bonus_min), help="month spend that earns a bonus mark")
     ap.add_argument("--graduate-min", type=int, default=DEFAULT.graduate_min, help="bonus marks to graduate")
-    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    ap.add_argument("--format", default="parquet", choices=["parquet", "orc", "json", "csv"],
+                    help="report format")
     ap.add_argument("--require-unique-dimensions", action="store_true",
                     help="fail when a dimension repeats a key instead of multiplying sales")
     ap.add_argument("--keep-session-conf", action="store_true",

@@ -2,9 +2,9 @@
 
 The original pushes each result to a spreadsheet tab from the client. Here a
 report is a directory written by the executors (``mode('overwrite')`` replaces
-the whole table, so a shorter result leaves no stale rows). Parquet by default;
-CSV writes a header row and marks null as ``\\N`` so that null and the empty
-text stay apart on read-back.
+the whole table, so a shorter result leaves no stale rows). Parquet by default,
+also orc and json; CSV writes a header row and marks null as ``\\N`` so that
+null and the empty text stay apart on read-back.
 """
 
 from __future__ import annotations
@@ -32,26 +32,31 @@ def shape_report(df: DataFrame, date_text: bool = False, missing_date_text: str
     return df.select(*cols)
 
 
+FORMATS = ("parquet", "orc", "json", "csv")
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite the report at ``path`` (parquet or csv)."""
-    w = df.write.mode("overwrite")
-    if fmt == "parquet":
-        w.parquet(path)
-    elif fmt == "csv":
-        w.option("header", True).option("nullValue", CSV_NULL).csv(path)
-    else:
+    """Overwrite the report at ``path`` (parquet, orc, json or csv)."""
+    if fmt not in FORMATS:
         raise ValueError(f"unsupported report format {fmt!r}")
+    w = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        w = w.option("header", True).option("nullValue", CSV_NULL)
+    w.save(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType | None = None,
                 fmt: str = "parquet") -> DataFrame:
-    """Read a report back. Parquet carries its schema in the footer; CSV needs ``schema``
-    (no inference pass over the data)."""
-    if fmt == "parquet":
-        r = spark.read
-        return (r.schema(schema) if schema is not None else r).parquet(path)
-    if fmt == "csv":
+    """Read a report back. Parquet and orc carry their schema; json and csv need
+    ``schema`` (no inference pass over the data)."""
+    if fmt not in FORMATS:
+        raise ValueError(f"unsupported report format {fmt!r}")
+    r = spark.read.format(fmt)
+    if fmt in ("json", "csv"):
         if schema is None:
-            raise ValueError("reading a CSV report needs its schema")
-        return spark.read.schema(schema).option("header", True).option("nullValue", CSV_NULL).csv(path)
-    raise ValueError(f"unsupported report format {fmt!r}")
+            raise ValueError(f"reading a {fmt} report needs its schema")
+    if schema is not None:
+        r = r.schema(schema)
+    if fmt == "csv":
+        r = r.option("header", True).option("nullValue", CSV_NULL)
+    return r.load(path)

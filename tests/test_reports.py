@@ -117,3 +117,10 @@ def test_inputs_from_other_file_formats(spark, src, tmp_path, fmt):
     loaded = from_files(spark, paths, fmt)
     assert _diff(P.bonus_detail(loaded, "old"), P.bonus_detail(src, "old")) == 0
     assert _diff(C.commission_tracker(loaded, sort=False), C.commission_tracker(src, sort=False)) == 0
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_report_job_in_other_formats(spark, src, tmp_path, fmt):
+    paths = run_reports(spark, src, str(tmp_path / fmt), fmt=fmt, populations=("old",))
+    like = shape_report(P.bonus_detail(src, "old"))
+    assert _diff(read_report(spark, paths.detail("old"), like.schema, fmt), like) == 0
