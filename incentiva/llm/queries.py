@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
+from . import language as _language
+from . import near_dup as _near_dup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,8 +54,22 @@ SELECT words.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coales
 FROM words LEFT JOIN hit ON words.doc_id = hit.doc_id LEFT JOIN item ON words.doc_id = item.doc_id
 """
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    model = _language.fit(docs.where("not held_out"))
+    return _language.identify(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "found.lang_pred", "found.score",
+        F.size("found.spans").cast("long").alias("n_spans"))
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near_dup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op9_language_id": op9_language_id,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
