@@ -216,7 +216,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, stage: Stage, size: int, thre
     band = signed.select("node", F.explode("keys").alias("key"))
     shared = stage.put(band.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                        .where("lo < hi").select("key"), "shared-keys")
-    members = stage.put(band.join(small(shared, 2_000_000), "key").distinct(), "members-0")
+    members = stage.put(band.join(small(shared, 500_000), "key").distinct(), "members-0")
     # the hash of one text of each node, to fetch it
     wanted = members.select("node").distinct()
     names = stage.put(signed.where("node is not null").groupBy("node").agg(F.min("h").alias("h"))

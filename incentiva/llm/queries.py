@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
+from . import html_text as _html_text
+from . import line_dedup as _line_dedup
 from . import language as _language
 from . import near_dup as _near_dup
+from . import pieces as _pieces
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +57,27 @@ SELECT words.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coales
 FROM words LEFT JOIN hit ON words.doc_id = hit.doc_id LEFT JOIN item ON words.doc_id = item.doc_id
 """
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _html_text.extract_text(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document, as digests, and whether each decodes to the document's text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    vocabulary = _pieces.load_pieces()
+    samples = _pieces.encode(docs, vocabulary, ["doc_id", "text_hash"]).select("doc_id", "text_hash", F.posexplode("samples").alias("sample", "s"))
+    flat = samples.select("doc_id", "sample", "text_hash", "s.log_prob", "s.log_inclusion", F.size("s.ids").cast("long").alias("n_pieces"),
+                          F.xxhash64("s.ids").alias("ids_hash"), "s.ids")
+    keep = ["doc_id", "sample", "log_prob", "log_inclusion", "n_pieces", "ids_hash"]
+    return _pieces.decode(flat, vocabulary, keep + ["text_hash"]).select(*keep, (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _line_dedup.dedup_lines(docs).select(
+        "doc_id", "deleted_lines", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
     model = _language.fit(docs.where("not held_out"))
@@ -68,6 +92,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_html_text": op2_html_text,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op6_line_dedup": op6_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_near_duplicates": op10_near_duplicates,
 }
