@@ -33,7 +33,8 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -44,7 +45,7 @@ from .words import mix, uniform
 SAMPLES = 2
 ALPHA = 0.5
 RANK_SHIFT = 2.7
-SLICE = 3_000_000
+SLICE = 1_000_000
 MARK = 0x2581
 _LITERAL = 1 << 24
 _U = np.uint64
@@ -53,7 +54,8 @@ _PRIME_INV = pow(_PRIME, -1, 1 << 64)
 
 SAMPLE = T.ArrayType(T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("log_prob", T.DoubleType()),
-    T.StructField("perturbed", T.DoubleType()), T.StructField("log_inclusion", T.DoubleType())]))
+    T.StructField("perturbed", T.DoubleType()), T.StructField("log_inclusion", T.DoubleType()),
+    T.StructField("round_trip", T.BooleanType())]))
 
 
 def default_model() -> str:
@@ -66,7 +68,9 @@ def default_model() -> str:
 class _Slots:
     """64-bit hashes to numbers, by open addressing over arrays (-1: not there)."""
 
-    def __init__(self, hashes: np.ndarray, values: np.ndarray, bits: int = 20):
+    def __init__(self, hashes: np.ndarray, values: np.ndarray, bits: int = 18):
+        while len(hashes) * 2 > 1 << bits:
+            bits += 1
         self.shift = _U(64 - bits)
         self.mask = (1 << bits) - 1
         self.keys = np.zeros(1 << bits, _U)
@@ -175,12 +179,18 @@ def prefix_hash(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             steps[0] = 1
             _POWERS[k] = np.cumprod(steps, dtype=_U)
     sums = np.zeros(n, _U)
-    np.cumsum(mix(points.astype(_U)) * _POWERS[0][: n - 1], dtype=_U, out=sums[1:])
+    np.cumsum((points.astype(_U) + _U(1)) * _POWERS[0][: n - 1], dtype=_U, out=sums[1:])
     return sums, _POWERS[1]
 
 
 def run_hash(sums: np.ndarray, down: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(_U))
+    h = (sums[end] - sums[start]) * down[start]
+    h += (end - start).astype(_U)
+    h ^= h >> _U(32)
+    h *= _U(0xD6E8FEB86659FD93)
+    h ^= h >> _U(32)
+    h *= _U(0xD6E8FEB86659FD93)
+    return h
 
 
 def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -207,11 +217,11 @@ class Lattice:
 def build_lattice(points: np.ndarray, at: np.ndarray, ix: Index) -> Lattice:
     """points: characters of the words, joined; word t is points[at[t]:at[t + 1]]. State of place i in word t: at[t] + t + i."""
     n_words, size = len(at) - 1, np.diff(at)
-    word = np.repeat(np.arange(n_words), size)
-    stop = at[1:][word]  # where the word of each character ends
+    word = np.repeat(np.arange(n_words, dtype=np.int32), size)
+    stop = at[1:].astype(np.int32)[word]  # where the word of each character ends
     sums, down = prefix_hash(points)
     starts, ends, piece = [], [], []
-    alive = np.arange(len(points))
+    alive = np.arange(len(points), dtype=np.int32)
     single = np.zeros(len(points), bool)
     for n in range(1, ix.longest + 1):
         alive = alive[alive + n <= stop[alive]]
@@ -237,8 +247,9 @@ def build_lattice(points: np.ndarray, at: np.ndarray, ix: Index) -> Lattice:
     id_at = np.cumsum(lengths) - lengths
     order = np.argsort(start, kind="stable")
     start, end, score, lengths, id_at = start[order], end[order], score[order], lengths[order], id_at[order]
-    state, to = start + word[start], end + word[start]
-    first = np.searchsorted(state, np.arange(len(points) + n_words + 1))
+    state, to = (start + word[start]).astype(np.int32), (end + word[start]).astype(np.int32)
+    first = np.zeros(len(points) + n_words + 1, np.int32)
+    np.cumsum(np.bincount(state, minlength=len(points) + n_words), out=first[1:])
     # backward sums, place by place from the ends of the words
     left = stop[start] - start
     most = int(size.max()) if n_words else 0
@@ -303,8 +314,8 @@ _SALT = [_U(int(x)) for x in mix(np.arange(7, 12, dtype=_U))]
 
 def _draw(seed: np.ndarray, sample: int, word: np.ndarray, step: np.ndarray | int, salt: int) -> np.ndarray:
     """Uniforms in (0, 1) hashed from row seed, sample, word of the row, and step."""
-    at = (word.astype(_U) << _U(24)) + (np.asarray(step).astype(_U) << _U(8)) + _U(sample)
-    return uniform(mix(mix(at * _SALT[4] + _SALT[salt]) ^ seed))
+    at = (word.astype(_U) << _U(24)) + _U(sample) + (_U(step << 8) if isinstance(step, int) else step.astype(_U) << _U(8))
+    return uniform(mix((at * _SALT[4] + _SALT[salt]) ^ seed))
 
 
 def _truncated(log_mass: np.ndarray, limit: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -318,7 +329,7 @@ def walk(lat: Lattice, state: np.ndarray, seed: np.ndarray, word: np.ndarray, sa
     """One random path of each word from its state: edges in order of words, and the number of edges of each word."""
     n = len(state)
     count = np.zeros(n, np.int64)
-    who, state = np.arange(n), state.copy()
+    who, state = np.arange(n, dtype=np.int32), state.astype(np.int32)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     keep = ~lat.final[state] if n else np.zeros(0, bool)
     who, state = who[keep], state[keep]
@@ -335,7 +346,7 @@ def walk(lat: Lattice, state: np.ndarray, seed: np.ndarray, word: np.ndarray, sa
         keep = ~lat.final[state]
         who, state = who[keep], state[keep]
     begin = np.cumsum(count) - count
-    edges = np.zeros(int(count.sum()), np.int64)
+    edges = np.zeros(int(count.sum()), np.int32)
     for k, (w, e) in enumerate(steps):
         edges[begin[w] + k] = e
     return edges, count
@@ -354,25 +365,47 @@ class Path:
     perturbed: np.ndarray
 
 
-def _rests(lat: Lattice, edges, at, word, fresh, seed, top, sample) -> Path:
-    """Scores of paths. fresh: the place of each row's first edge that is new; the rest-sets before belong to older paths."""
-    size = np.diff(at)
-    row = np.repeat(np.arange(len(size)), size)
+#: Noise is at most 36.8, as uniforms have 53 bits: a rest-set whose log mass is under FAR stays under FAR + 36.8.
+FAR, REACH = -60.0, -60.0 + 36.8
+
+
+def _rests(lat: Lattice, edges, at, word, fresh, seed, top, sample, k) -> Path:
+    """Scores of paths. fresh: the place of each row's first edge that is new; the rest-sets before belong to older paths.
+
+    Rest-sets beyond FAR are worked out only if some row has fewer than k nearer ones above REACH; else none of
+    them can be among the k best.
+    """
+    n, size = len(at) - 1, np.diff(at)
     lp = lat.log_p[edges]
-    total = np.cumsum(lp)
-    prefix = total - lp
-    prefix -= np.repeat(prefix[np.minimum(at[:-1], max(len(lp) - 1, 0))] if len(lp) else np.zeros(len(size)), size)
-    with np.errstate(divide="ignore"):
-        other = np.log(-np.expm1(lp))
-    alone = lat.log_p[edges] >= 0.0
-    place = np.arange(len(edges)) - at[row]
-    mass = np.where(alone | (place < fresh[row]), -np.inf, prefix + other)
-    rest = _truncated(mass, top[row], _draw(seed[row], sample, word, place, 1))
-    log_prob = np.zeros(len(size))
-    np.add.at(log_prob, row, lp) if len(lp) else None
+    prefix = np.cumsum(lp) - lp
+    zero = prefix[np.minimum(at[:-1], max(len(lp) - 1, 0))] if len(lp) else np.zeros(n)
+    prefix -= np.repeat(zero, size)
+    log_prob = np.zeros(n)
+    full = size > 0
+    log_prob[full] = np.add.reduceat(lp, at[:-1][full]) if full.any() else 0.0
+    rest = np.full(len(lp), -np.inf)
+    near = np.flatnonzero((prefix >= FAR) & (lp < 0.0))
+    row = np.searchsorted(at, near, side="right") - 1
+    near, row = near[near - at[row] >= fresh[row]], row[near - at[row] >= fresh[row]]
+    rest[near] = _rest(lp, prefix, near, row, at, seed, top, sample)
+    enough = np.bincount(row[rest[near] > REACH], minlength=n)
+    far = np.flatnonzero(full & (enough < k) & (log_prob < FAR))
+    if len(far):
+        more = ranges(at[far], size[far])
+        more = more[(prefix[more] < FAR) & (lp[more] < 0.0)]
+        row = np.searchsorted(at, more, side="right") - 1
+        more, row = more[more - at[row] >= fresh[row]], row[more - at[row] >= fresh[row]]
+        rest[more] = _rest(lp, prefix, more, row, at, seed, top, sample)
     return Path(edges, at, word, prefix, rest, log_prob, top)
 
 
+def _rest(lp, prefix, x, row, at, seed, top, sample) -> np.ndarray:
+    """Perturbed maxima of the rest-sets at edges x."""
+    with np.errstate(divide="ignore"):
+        mass = prefix[x] + np.log(-np.expm1(lp[x]))
+    return _truncated(mass, top[row], _draw(seed[row], sample, x - at[row], 0, 1))
+
+
 def sample_rows(s: Slice, seed: np.ndarray, k: int) -> tuple[list[Path], np.ndarray, np.ndarray]:
     """The k best segmentations by perturbed score, how many of them each row has, and kappa."""
     lat, n = s.lattice, len(s.row_at) - 1
@@ -382,7 +415,7 @@ def sample_rows(s: Slice, seed: np.ndarray, k: int) -> tuple[list[Path], np.ndar
     edges, count = walk(lat, s.start, seed[row], word, 0)
     at = np.append(0, np.cumsum(count))[s.row_at]
     top = -np.log(-np.log(_draw(seed, 0, np.zeros(n), 0, 2)))
-    paths = [_rests(lat, edges, at, np.repeat(word, count), np.zeros(n, np.int64), seed, top, 0)]
+    paths = [_rests(lat, edges, at, np.repeat(word, count), np.zeros(n, np.int64), seed, top, 0, k)]
     have = np.ones(n, np.int64)
     taken: dict[tuple[int, int, int], list[int]] = {}
     kappa = np.full(n, -np.inf)
@@ -438,7 +471,7 @@ def sample_rows(s: Slice, seed: np.ndarray, k: int) -> tuple[list[Path], np.ndar
             size[r] = len(h) + tail_at[r + 1] - tail_at[r]
         none = np.zeros(0, np.int64)
         paths.append(_rests(lat, np.concatenate([none, *parts]), np.append(0, np.cumsum(size)),
-                            np.concatenate([none, *part_words]), fresh, seed, value, m))
+                            np.concatenate([none, *part_words]), fresh, seed, value, m, k))
     return paths, have, kappa
 
 
@@ -475,7 +508,10 @@ def encode_rows(texts: list[str | None], seed: np.ndarray, ix: Index, k: int) ->
         begin[place] = where + base[m]
     flat = np.concatenate(ids)[ranges(begin, sizes)]
     lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(flat, pa.int32()))
-    structs = pa.StructArray.from_arrays([lists, *(pa.array(x) for x in score)], ["ids", "log_prob", "perturbed", "log_inclusion"])
+    # every sample is decoded again and held against its text
+    same = pc.equal(decode_rows(lists, ix), pa.array(texts, pa.string()).fill_null("").take(pa.array(np.repeat(np.arange(n), have))))
+    structs = pa.StructArray.from_arrays([lists, *(pa.array(x) for x in score), same],
+                                         ["ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
     return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), structs)
 
 
@@ -507,7 +543,10 @@ def _encode(batches: Iterator[pa.RecordBatch], sent, text_at: int, k: int, alpha
 
 def encode(docs: DataFrame, pieces: Pieces, keep: list[str], samples: int = SAMPLES, alpha: float = ALPHA,
            key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` (without the text) and samples: up to ``samples`` distinct segmentations, best first."""
+    """The columns ``keep`` (without the text) and samples: up to ``samples`` distinct segmentations, best first.
+
+    Of each: ids, log_prob, perturbed, log_inclusion, and round_trip: whether the ids decode to the text.
+    """
     df = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text_col).cast("string").alias("text"),
                      F.xxhash64(F.col(key_col)).alias("seed"))
     schema = T.StructType([df.schema[f"k{i}"] for i in range(len(keep))] + [T.StructField("samples", SAMPLE)])

@@ -62,14 +62,11 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of every document, as digests, and whether each decodes to the document's text."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    vocabulary = _pieces.load_pieces()
-    samples = _pieces.encode(docs, vocabulary, ["doc_id", "text_hash"]).select("doc_id", "text_hash", F.posexplode("samples").alias("sample", "s"))
-    flat = samples.select("doc_id", "sample", "text_hash", "s.log_prob", "s.log_inclusion", F.size("s.ids").cast("long").alias("n_pieces"),
-                          F.xxhash64("s.ids").alias("ids_hash"), "s.ids")
-    keep = ["doc_id", "sample", "log_prob", "log_inclusion", "n_pieces", "ids_hash"]
-    return _pieces.decode(flat, vocabulary, keep + ["text_hash"]).select(*keep, (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"))
+    """Two sampled segmentations of every document, as digests; round_trip: decoding gave the document's text."""
+    found = _pieces.encode(_table(spark, sf_dir, "documents"), _pieces.load_pieces(), ["doc_id"])
+    return found.select("doc_id", F.posexplode("samples").alias("sample", "s")).select(
+        "doc_id", "sample", F.size("s.ids").cast("long").alias("n_pieces"), F.xxhash64("s.ids").alias("ids_hash"),
+        "s.log_prob", "s.log_inclusion", "s.round_trip")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
