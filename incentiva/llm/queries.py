@@ -11,6 +11,7 @@ from . import decontaminate as _decontaminate
 from . import html_text as _html_text
 from . import line_dedup as _line_dedup
 from . import language as _language
+from . import multiset_hash as _multiset_hash
 from . import near_dup as _near_dup
 from . import pieces as _pieces
 
@@ -75,6 +76,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "deleted_lines", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _multiset_hash.edited_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
     model = _language.fit(docs.where("not held_out"))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_sentencepiece": op3_sentencepiece,
     "op6_line_dedup": op6_line_dedup,
+    "op7_multiset_fingerprint": op7_multiset_fingerprint,
     "op9_language_id": op9_language_id,
     "op10_near_duplicates": op10_near_duplicates,
 }
