@@ -28,7 +28,7 @@ LANES = SKETCH + WIDE
 #: Characters of a block, by the least length of the paragraph (short ones have finer blocks).
 BLOCKS = ((257, 32), (65, 16), (17, 4), (0, 2))
 #: Rows of a bucket of the order by id, on average.
-BUCKET_ROWS = 500
+BUCKET_ROWS = 100
 MOST_BUCKETS = 20_000
 
 
@@ -39,36 +39,38 @@ def _pattern(length: Column) -> Column:
     return picked
 
 
-def elements(text: Column, a: int, b: int) -> Column:
-    """Array of (lane, x, y): the text's vectors' non-zero entries, a times in x and b times in y."""
-    paragraphs = F.filter(F.split(text, "\n"), lambda p: p != "")
-    blocks = F.flatten(F.transform(paragraphs, lambda p: F.regexp_extract_all(p, _pattern(F.length(p)), F.lit(0))))
-    hashes = F.transform(blocks, lambda s: F.xxhash64(s))
-
-    def entry(lane: Column, value: Column) -> Column:
-        return F.struct(lane.cast("int").alias("lane"), (value * a).cast("bigint").alias("x"), (value * b).cast("bigint").alias("y"))
-
-    sketch = F.transform(hashes, lambda h: entry(F.pmod(h, F.lit(SKETCH)), F.when(h.bitwiseAND(F.lit(1 << 40)) == 0, 1).otherwise(-1)))
-    wide = F.transform(paragraphs, lambda p: F.sha2(p, 512))
-    wide = F.flatten(F.transform(wide, lambda h: F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda i: entry(
-        i + SKETCH, F.conv(F.substring(h, i * 8 + 1, F.lit(8)), 16, 10).cast("bigint")))))
-    return F.concat(sketch, wide)
-
-
-def zeros() -> Column:
-    """An entry of 0 for every lane, so that sums are dense."""
-    return F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.struct(
-        i.alias("lane"), F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y")))
+def paragraphs(text: Column, a: int, b: int) -> Column:
+    """Array of (p, a, b): the paragraphs of a text that counts a times in a first document and b times in a second."""
+    return F.transform(F.filter(F.split(text, "\n"), lambda p: p != ""), lambda p: F.struct(
+        p.alias("p"), F.lit(a).alias("a"), F.lit(b).alias("b")))
 
 
 def sum_lanes(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """From ``keys`` and entries: keys, x, y: the two fingerprints as arrays of lanes."""
-    lanes = rows.select(*keys, F.explode("entries").alias("v")).groupBy(*keys, F.col("v.lane").alias("lane")) \
-        .agg(F.sum("v.x").alias("x"), F.sum("v.y").alias("y"))
+    """From ``keys`` and parts (an array of ``paragraphs``): keys, x, y: the two documents' fingerprints as arrays of lanes."""
+    names, keys = keys, [f"key{i}" for i in range(len(keys))]
+    rows = rows.select(*[F.col(c).alias(k) for c, k in zip(names, keys)], "parts")
+    each = rows.select(*keys, F.explode_outer("parts").alias("v")).select(*keys, "v.*")
+    blocks = F.regexp_extract_all("p", _pattern(F.length("p")), F.lit(0))
+    each = each.select(*keys, "a", "b", blocks.alias("blocks"), F.sha2("p", 512).alias("h"))
+    # the paragraph's entries as strings: its blocks, then the lanes of its hash
+    wide = F.array(*[F.substring("h", 8 * i + 1, 8) for i in range(WIDE)])
+    entries = each.select(*keys, "a", "b", F.size("blocks").alias("n"), F.posexplode_outer(F.concat("blocks", wide)).alias("i", "s"))
+    hash_ = F.xxhash64("s")
+    sketch = F.col("i") < F.col("n")
+    entries = entries.select(*keys, "a", "b", F.when(sketch, F.pmod(hash_, F.lit(SKETCH))).otherwise(F.col("i") - F.col("n") + SKETCH).cast("int").alias("lane"),
+                             F.when(sketch, F.when(hash_.bitwiseAND(F.lit(1 << 40)) == 0, 1).otherwise(-1))
+                             .otherwise(F.conv("s", 16, 10).cast("bigint")).alias("value"))
+    lanes = entries.groupBy(*keys, "lane").agg(F.sum(F.col("value") * F.col("a")).alias("x"), F.sum(F.col("value") * F.col("b")).alias("y"))
     power = F.when(F.col("lane") < SKETCH, 1 << 16).otherwise(1 << 32)
-    dense = lanes.select(*keys, F.struct("lane", F.pmod("x", power).alias("x"), F.pmod("y", power).alias("y")).alias("v")) \
-        .groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("v"))
-    return dense.select(*keys, F.col("v.x").alias("x"), F.col("v.y").alias("y"))
+    lists = lanes.select(*keys, F.struct("lane", F.pmod("x", power).alias("x"), F.pmod("y", power).alias("y")).alias("v")) \
+        .groupBy(*keys).agg(F.collect_list("v").alias("v"))
+    lists = lists.select(*keys, F.col("v.lane").alias("lane"), F.col("v.x").alias("x"), F.col("v.y").alias("y"))
+
+    def dense(values: str) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.coalesce(
+            F.get(values, F.array_position("lane", i).cast("int") - 1), F.lit(0).cast("bigint")))
+
+    return lists.select(*keys, dense("x").alias("x"), dense("y").alias("y")).toDF(*names, "x", "y")
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -104,7 +106,7 @@ def likeness(a: Column, b: Column, product: Column, norm: Column) -> Column:
 def fingerprints(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """keys, lanes: the fingerprint of each distinct key's text (several rows of a key add up)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*keys, F.concat(elements(text, 1, 0), zeros()).alias("entries"))
+    rows = docs.select(*keys, paragraphs(text, 1, 0).alias("parts"))
     return sum_lanes(rows, keys).select(*keys, F.col("x").alias("lanes"))
 
 
@@ -153,10 +155,10 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.withColumn("head", F.expr("left(text, int(n) - k)")).withColumn("new", F.expr("left(next, k)"))
     rows = rows.withColumn("cut", F.expr("instr(reverse(head), '\\n')"))
     rows = rows.withColumn("cut", F.expr("if(cut = 0, 0, length(head) - cut + 1)"))  # whole paragraphs before the edit
-    entries = F.concat(zeros(), elements(F.expr("left(text, cut)"), 1, 1), elements(F.expr("substring(text, cut + 1)"), 1, 0),
-                       elements(F.expr("concat(substring(head, cut + 1), new)"), 0, 1))
+    parts = F.concat(paragraphs(F.expr("left(text, cut)"), 1, 1), paragraphs(F.expr("substring(text, cut + 1)"), 1, 0),
+                     paragraphs(F.expr("concat(substring(head, cut + 1), new)"), 0, 1))
     keys = ["bucket", "row", "guest", "id", "n", "sha"]
-    rows = rows.select("bucket", "row", "guest", "id", "n", F.unhex(F.sha2(F.concat("head", "new"), 256)).alias("sha"), entries.alias("entries"))
+    rows = rows.select("bucket", "row", "guest", "id", "n", F.unhex(F.sha2(F.concat("head", "new"), 256)).alias("sha"), parts.alias("parts"))
     found = sum_lanes(rows, keys).withColumns({"p": signed(F.col("x")), "q": signed(F.col("y"))})
     found = found.withColumns({"pp": dot(F.col("p"), F.col("p")), "qq": dot(F.col("q"), F.col("q")), "pq": dot(F.col("p"), F.col("q"))})
     after = Window.partitionBy("bucket").orderBy("row")
