@@ -14,6 +14,7 @@ from . import language as _language
 from . import multiset_hash as _multiset_hash
 from . import near_dup as _near_dup
 from . import pieces as _pieces
+from . import pii as _pii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s.log_prob", "s.log_inclusion", "s.round_trip")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pii.digest(_pii.find_spans(_table(spark, sf_dir, "documents")))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return _line_dedup.dedup_lines(docs).select(
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_html_text": op2_html_text,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_pii": op4_pii,
     "op6_line_dedup": op6_line_dedup,
     "op7_multiset_fingerprint": op7_multiset_fingerprint,
     "op9_language_id": op9_language_id,
