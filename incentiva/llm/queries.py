@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat as _chat
 from . import decontaminate as _decontaminate
 from . import html_text as _html_text
 from . import line_dedup as _line_dedup
@@ -15,6 +16,8 @@ from . import multiset_hash as _multiset_hash
 from . import near_dup as _near_dup
 from . import pieces as _pieces
 from . import pii as _pii
+from . import warc as _warc
+from .common import Stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +78,59 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pii.digest(_pii.find_spans(_table(spark, sf_dir, "documents")))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return _chat.digest(_chat.render(_chat.fold(_chat.log_of(rows))))
+
+
+OP5_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), control AS (
+  SELECT unnest(['\', '<s>', '</s>', '<|', '<<SYS>>', '<</SYS>>', '[INST]', '[/INST]']) AS c
+), sizes AS (
+  SELECT turns.*, length(role) + length(text) + 23 + (
+    SELECT sum((length(role) - length(replace(role, c, '')) + length(text) - length(replace(text, c, ''))) // length(c)) FROM control) AS size
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(7 + sum(size) AS BIGINT) AS formatted_chars
+FROM sizes GROUP BY conv_id
+"""
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Stage(spark, 'warc-archive').root}/warc"
+    _warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    found = _warc.read_warc(spark, path)
+    return found.select(
+        _warc.page_id(F.col("record_id")).cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("warc_type").alias("record_type"), _warc.page_id(F.col("refers_to")).cast("bigint").alias("refers_to"))
+
+
+_QUINTETS = " || ".join(f"substr(alphabet, CAST((v[{i + 1}] >> {5 * (3 - k)}) & 31 AS BIGINT) + 1, 1)" for i in range(8) for k in range(4))
+OP8_SQL = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS alphabet FROM pages
+), groups AS (
+  SELECT h, max(page_id) AS first FROM p GROUP BY h
+), v AS (
+  SELECT p.*, first, [CAST('0x' || substr(p.h, 5 * i + 1, 5) AS BIGINT) FOR i IN range(8)] AS v
+  FROM p JOIN groups ON p.h = groups.h
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_QUINTETS} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM v
+"""
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return _line_dedup.dedup_lines(docs).select(
@@ -102,12 +158,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_pii": op4_pii,
+    "op5_chat": op5_chat,
     "op6_line_dedup": op6_line_dedup,
     "op7_multiset_fingerprint": op7_multiset_fingerprint,
+    "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
+    "op5_chat": OP5_SQL,
+    "op8_warc": OP8_SQL,
 }
