@@ -79,8 +79,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user")
+                                  .otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     return _chat.digest(_chat.render(_chat.fold(_chat.log_of(rows))))
 
