@@ -15,7 +15,7 @@ from ..plans.session import shared_dir
 #: A side is broadcast when it has at most so many rows of at most ROW_BYTES bytes each.
 BROADCAST_ROWS = 200_000
 #: Bytes of text worked on at once inside a task; a longer single text is taken whole.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 class Stage:

@@ -45,7 +45,7 @@ from .words import mix, uniform
 SAMPLES = 2
 ALPHA = 0.5
 RANK_SHIFT = 2.7
-SLICE = 1_000_000
+SLICE = 400_000
 MARK = 0x2581
 _LITERAL = 1 << 24
 _U = np.uint64
