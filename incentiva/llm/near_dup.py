@@ -200,8 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda batches: _sign(batches, size, bands, rows),
         f"id {kind.simpleString()}, h bigint, node bigint, keys array<bigint>"), "signed")
 
-    links = link_nodes(docs, signed, stage, size, threshold, pivot_rounds)
-    labels = stage.put(connected_components(links, stage, "final"), "labels")
+    labels = link_nodes(docs, signed, stage, size, threshold, pivot_rounds)
     member = signed.select("id", "node").join(small(labels), "node", "left").withColumn("class", F.coalesce("label", "node"))
     classes = stage.put(member.where("class is not null").groupBy("class").agg(
         F.min("id").alias("class_id"), F.count("*").alias("class_size")).where("class_size > 1"), "classes")
@@ -212,36 +211,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def link_nodes(docs: DataFrame, signed: DataFrame, stage: Stage, size: int, threshold: float, pivot_rounds: int) -> DataFrame:
-    """(u, v) pairs of nodes at or above the threshold; enough of them to join all that a candidate pair joins."""
+    """(node, label) for nodes linked to others: the least node of the component that all candidate pairs at or above the threshold make."""
     band = signed.select("node", F.explode("keys").alias("key"))
     shared = stage.put(band.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                        .where("lo < hi").select("key"), "shared-keys")
     members = stage.put(band.join(small(shared, 500_000), "key").distinct(), "members-0")
     # the hash of one text of each node, to fetch it
-    wanted = members.select("node").distinct()
-    names = stage.put(signed.where("node is not null").groupBy("node").agg(F.min("h").alias("h"))
-                      .join(wanted, "node", "left_semi"), "names")
+    wanted = stage.put(members.select("node").distinct(), "wanted")
+    names = stage.put(signed.join(small(wanted), "node", "left_semi").groupBy("node").agg(F.min("h").alias("h")), "names")
     texts = _texts(docs, names, stage, "texts")
 
-    links = tested = None
+    tested = labels = None
     for k in range(pivot_rounds):
         order = F.xxhash64("node", F.lit(k))
         first = [F.min_by("node", order).alias("pivot")] + ([F.min_by("label", order).alias("pivot_label")] if k else [])
         pivots = stage.put(members.groupBy("key").agg(*first), f"pivots-{k}")
-        pairs = members.join(pivots, "key").where("label <> pivot_label" if k else "node <> pivot") \
+        pairs = members.join(small(pivots, 500_000), "key").where("label <> pivot_label" if k else "node <> pivot") \
             .select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct()
-        if k:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = stage.put(pairs, f"pairs-{k}")
-        found = _verified(pairs, texts, stage, f"links-{k}", size, threshold)
-        links, tested = (links.union(found), tested.union(pairs)) if k else (found, pairs)
-        labels = stage.put(connected_components(links, stage, f"round-{k}"), f"labels-{k}")
+        pairs = stage.put(pairs.join(tested, ["u", "v"], "left_anti") if k else pairs, f"pairs-{k}")
+        links = _verified(pairs, texts, stage, f"links-{k}", size, threshold)
+        labels = _merged(labels, links, stage, f"labels-{k}")
+        tested = tested.union(pairs) if k else pairs
         members = members.select("key", "node").join(small(labels), "node", "left") \
             .select("key", "node", F.coalesce("label", "node").alias("label"))
         open_keys = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        members = stage.put(members.join(open_keys, "key", "left_semi"), f"members-{k + 1}")
+        members = stage.put(members.join(small(stage.put(open_keys, f"open-{k}"), 500_000), "key", "left_semi"), f"members-{k + 1}")
     rest = _rest(members, tested, texts, stage, size, threshold)
-    return links.union(_verified(rest, texts, stage, "links-rest", size, threshold))
+    return _merged(labels, _verified(rest, texts, stage, "links-rest", size, threshold), stage, "labels")
+
+
+def _merged(labels: DataFrame | None, links: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """Labels after new links: only the links between unlike labels are looked at."""
+    if labels is None:
+        return stage.put(connected_components(links, stage, f"{name}-new"), name)
+    known = small(labels)
+    u = links.join(known.toDF("u", "lu"), "u", "left").select("v", F.coalesce("lu", "u").alias("u"))
+    edges = u.join(known.toDF("v", "lv"), "v", "left").select("u", F.coalesce("lv", "v").alias("v"))
+    new = small(stage.put(connected_components(edges, stage, f"{name}-new"), f"{name}-map"))
+    moved = labels.join(new.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return stage.put(moved.union(new.join(labels.select("node"), "node", "left_anti")), name)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, stage: Stage, name: str, size: int, threshold: float) -> DataFrame:
@@ -259,14 +267,16 @@ _TILE = 128
 def _rest(members: DataFrame, tested: DataFrame, texts: DataFrame, stage: Stage, size: int, threshold: float) -> DataFrame:
     """Pairs that share a key but not a component, sieved by a longer signature.
 
-    Nodes joined by shared keys are a family. A family is dealt by hash into blocks of
+    Components joined by shared keys are a family. A family's nodes are dealt by hash into blocks of
     about BLOCK nodes, and each pair of blocks is one task that compares signatures in
     memory and emits only pairs whose estimate is within five standard deviations of the
     threshold. So a family is split over many tasks, and no task emits all pairs.
     """
-    nodes = members.select("node", "label").distinct()
-    family = stage.put(connected_components(tested, stage, "family").toDF("node", "family")
-                       .join(small(stage.put(nodes, "open")), "node"), "family")
+    nodes = stage.put(members.select("node", "label").distinct(), "open")
+    least = stage.put(members.groupBy("key").agg(F.min("label").alias("v")), "least")
+    edges = members.select("key", F.col("label").alias("u")).join(small(least, 500_000), "key").select("u", "v")
+    family = connected_components(edges, stage, "family").toDF("label", "family")
+    family = stage.put(nodes.join(small(stage.put(family, "families")), "label"), "family")
     sizes = family.groupBy("family").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")) \
         .where("lo < hi").select("family", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = stage.put(family.join(small(stage.put(sizes, "family-sizes")), "family"), "dealt")
