@@ -1,0 +1,63 @@
+"""Language identification: Viterbi against brute force, held-out accuracy, spans, edge cases."""
+
+import itertools
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from incentiva.llm import language as L
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_viterbi_is_exact():
+    rng = np.random.default_rng(1)
+    first = np.array([0, 4, 4, 9, 10, 16])
+    score = rng.normal(0, 4, (16, 3)).astype(np.float32)
+    label = L.viterbi(score, first, 5.0)
+
+    def value(s, path):
+        return sum(s[i, k] for i, k in enumerate(path)) - 5.0 * sum(a != b for a, b in zip(path, path[1:]))
+
+    for a, b in zip(first[:-1], first[1:]):
+        if b > a:
+            best = max(value(score[a:b], p) for p in itertools.product(range(3), repeat=int(b - a)))
+            assert abs(value(score[a:b], label[a:b]) - best) < 1e-4
+
+
+def test_held_out_accuracy_and_spans(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    model = L.fit(docs.where("not out"))
+    found = L.identify(docs.where("out and lang is not null"), model)
+    n, good = found.agg(F.count("*"), F.sum((F.col("found.lang_pred") == F.col("lang")).cast("int"))).first()
+    assert good / n > 0.97
+    en, de = (docs.where(f"out and lang = '{x}' and length(text) > 900").orderBy("doc_id").first()["text"][:600] for x in ("en", "de"))
+    mixed = spark.createDataFrame([(en + " " + de,)], "text string")
+    spans = L.identify(mixed, model).first()["found"]["spans"]
+    assert [s["lang"] for s in spans] == ["en", "de"] and abs(spans[0]["end"] - 600) < 30
+    assert L.identify(mixed, model).first()["found"]["score"] < 0.7
+
+
+def test_cases(spark):
+    train = spark.createDataFrame([(1, "the cat and the dog " * 20, "en"), (2, "der hund und die katze " * 20, "de"), (3, "собака и кошка " * 20, "ru"),
+                                   (4, None, "en"), (5, "text", None)], "doc_id bigint, text string, lang string")
+    model = L.fit(train)
+    assert model.langs == ["de", "en", "ru"]
+    rows = [(1, None), (2, ""), (3, "123 ... !"), (4, "the dog"), (4, "the dog"), (None, "кошка"), (6, "猫と犬"), (7, "́́"), (8, "the cat " * 40000)]
+    df = spark.createDataFrame(rows, "found bigint, text string")
+    got = {(r[0], r[1] and r[1][:9]): r[2] for r in (tuple(r) for r in L.identify(df, model).collect())}
+    pred = {k: (v["lang_pred"], round(v["score"], 3)) for k, v in got.items()}
+    assert pred[1, None] == pred[2, ""] == pred[3, "123 ... !"] == pred[7, "́́"] == ("und", 0.0)
+    assert pred[4, "the dog"] == ("en", 1.0) and pred[None, "кошка"] == ("ru", 1.0) and pred[8, "the cat t"] == ("en", 1.0)
+    assert pred[6, "猫と犬"][1] == 0.0  # a script that nothing learned uses
+    nothing = L.fit(train.where("lang is null"))
+    assert {r[2]["lang_pred"] for r in L.identify(df, nothing).collect()} == {"und"}
+    assert L.identify(df.limit(0), model).count() == 0
+    kept = L.keep_identified(df, model)
+    assert kept.columns == df.columns and sorted(str(r[0]) for r in kept.collect()) == ["4", "4", "8", "None"]
+
+
+def test_sample_is_bounded(spark):
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("en").alias("lang"))
+    model = L.fit(many, sample_rows=200)
+    assert model.langs == ["en"]

@@ -1,0 +1,139 @@
+"""Near duplicates against brute force: similarity, signatures, components, classes."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from incentiva.llm import components as C
+from incentiva.llm import near_dup as N
+from incentiva.llm.common import Stage
+
+
+def shingle_counts(text):
+    w = "".join(c.lower() if c.isalnum() else " " for c in text).split()
+    return Counter(tuple(w[i: i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def similarity(a, b):
+    every = set(a) | set(b)
+    return sum(1 / sum(max(a[e] / a[d], b[e] / b[d]) for e in every) for d in a if d in b)
+
+
+def words(rng, n):
+    return [rng.choice("abcdefghijklmnop") * rng.randrange(1, 4) + rng.choice("xyz") for _ in range(n)]
+
+
+def edited(rng, base, n):
+    x = base[:]
+    for _ in range(n):
+        x[rng.randrange(len(x))] = "q" + str(rng.randrange(10**6))
+    return x
+
+
+def test_exact_similarity_and_estimates():
+    rng = random.Random(2)
+    errors = []
+    for _ in range(25):
+        base = words(rng, 80)
+        other = edited(rng, base, rng.randrange(8)) + base[: rng.randrange(40)]
+        a, b = " ".join(base), " ".join(other)
+        row, ids, weight, _ = N.weighted_shingles(pa.array([a, b]))
+        exact = similarity(shingle_counts(a), shingle_counts(b))
+        assert abs(N.probability_jaccard(ids[row == 0], weight[row == 0], ids[row == 1], weight[row == 1]) - exact) < 1e-9
+        s = N.prob_minhash(row, ids, weight, 2, 512)
+        errors.append((s[0] == s[1]).mean() - exact)
+    assert abs(np.mean(errors)) < 0.02 and np.max(np.abs(errors)) < 0.09
+
+
+@pytest.mark.parametrize("per_task", [10**6, 40])
+def test_components(spark, per_task):
+    rng = random.Random(4)
+    edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(110)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        if u != v:
+            a, b = root(u), root(v)
+            parent[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(edges, "u bigint, v bigint").repartition(6)
+    got = {r["node"]: r["label"] for r in C.connected_components(df, Stage(spark, "t"), "t", per_task).collect()}
+    assert got == {x: root(x) for x in parent}
+    assert C.connected_components(df.limit(0), Stage(spark, "t"), "t", per_task).count() == 0
+
+
+def brute_classes(rows):
+    sets = [shingle_counts(t or "") for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = rows[i][1], rows[j][1]
+            if a and b and (similarity(sets[i], sets[j]) >= 0.8 if sets[i] and sets[j] else a == b):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    groups = {}
+    for i, r in enumerate(rows):
+        groups.setdefault(root(i), []).append(r[0])
+    return {(r[0], r[1]): (min((x for x in groups[root(i)] if x is not None), default=None), len(groups[root(i)])) for i, r in enumerate(rows)}
+
+
+def test_classes_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for f in range(4):  # families: a base, copies, and edits between clearly alike and clearly unlike
+        base = words(rng, 120)
+        rows += [" ".join(base)] * 3 + [" ".join(edited(rng, base, n)).upper() for n in (1, 1, 2, 2, 5, 6, 9, 12)]
+    chain = words(rng, 200)
+    for _ in range(8):  # each alike to the one before, the ends unlike
+        rows.append(" ".join(chain))
+        chain = edited(rng, chain, 3)
+    rows += [" ".join(words(rng, rng.randrange(6, 60))) for _ in range(30)] + ["a b", "A. b!", "a", "...", "...", "?", "", "", None, None]
+    rng.shuffle(rows)
+    rows = [(i + 10, t) for i, t in enumerate(rows)]
+    rows += [(None, rows[0][1]), rows[1], (7, "x y " * 9000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_classes([r for r in rows])
+    got = N.near_duplicates(df.repartition(5)).collect()
+    assert len(got) == len(rows)
+    by_id = {}
+    for (i, _), v in want.items():
+        by_id.setdefault(i, set()).add(v)
+    for r in got:
+        assert (r["class_id"], r["class_size"]) in by_id[r["doc_id"]], r
+    clash = df.selectExpr("doc_id", "text", "1 as node", "2 as label", "'x' as `class`")
+    kept = N.drop_near_duplicates(clash)
+    assert kept.columns == clash.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(x for x in ids if x is not None) == sorted({v[0] for (i, _), v in want.items() if v[0] is not None})
+
+
+def test_pairs_left_by_pivots_are_found(spark):
+    """Many variants of one base, unlike each other but for planted twins: the blocks must find the twins."""
+    rng = random.Random(9)
+    base = words(rng, 150)
+    rows = []
+    for k in range(60):
+        v = edited(rng, base, 6)
+        rows += [(2 * k + 1, " ".join(v)), (2 * k + 2, " ".join(edited(rng, v, 1)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_classes(rows)
+    got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(df, pivot_rounds=1).collect()}
+    assert got == {i: v[0] for (i, _), v in want.items()}
+
+
+def test_empty(spark):
+    assert N.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+    only = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in N.near_duplicates(only).collect()) == [(1, 1, 1), (2, 2, 1)]

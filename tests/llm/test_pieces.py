@@ -1,0 +1,108 @@
+"""SentencePiece sampling: round trips, distribution against enumeration, inclusion scores, edge cases."""
+
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from incentiva.llm import pieces as P
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return P.load_pieces()
+
+
+@pytest.fixture(scope="module")
+def index(vocabulary):
+    return vocabulary.index(0.05)
+
+
+def segmentations(vocabulary, index, word):
+    ids = {t: i for i, t in enumerate(vocabulary.text) if t}
+
+    def cut(s):
+        if not s:
+            return [[]]
+        return [[ids[s[:k]]] + rest for k in range(1, len(s) + 1) if s[:k] in ids for rest in cut(s[k:])]
+
+    every = cut(word)
+    lp = np.array([sum(index.score[i] for i in x) for x in every])
+    return {tuple(x): v for x, v in zip(every, lp - np.logaddexp.reduce(lp))}
+
+
+def test_samples_follow_the_distribution_without_replacement(vocabulary, index):
+    exact = segmentations(vocabulary, index, "▁them")
+    n = 20000
+    out = P.encode_rows(["them"] * n, np.arange(n), index, 3)
+    assert set(np.diff(np.asarray(out.offsets))) == {3}
+    ids = [tuple(x) for x in out.values.field("ids").to_pylist()]
+    lp, key, logq = (out.values.field(c).to_numpy() for c in ("log_prob", "perturbed", "log_inclusion"))
+    assert np.allclose(lp, [exact[x] for x in ids])
+    pairs = Counter()
+    for r in range(n):
+        a, b, c = ids[3 * r: 3 * r + 3]
+        assert len({a, b, c}) == 3 and key[3 * r] >= key[3 * r + 1] >= key[3 * r + 2]
+        pairs[a, b] += 1
+    for (a, b), m in pairs.items():
+        p = np.exp(exact[a]) * np.exp(exact[b]) / -np.expm1(exact[a])
+        assert abs(m / n - p) < 5 * (p / n) ** 0.5 + 1e-3
+    # what the inclusion scores are for: sums over samples of p / q are unbiased for the total, 1
+    assert abs((np.exp(lp - logq)).reshape(n, 3).sum(axis=1).mean() - 1) < 0.05
+
+
+def test_fewer_segmentations_than_samples(vocabulary, index):
+    exact = segmentations(vocabulary, index, "▁ab")
+    out = P.encode_rows(["ab", "", None], np.arange(3), index, 50)
+    assert np.diff(np.asarray(out.offsets)).tolist() == [len(exact), 1, 1]
+    assert {tuple(x) for x in out.values.field("ids").to_pylist()[: len(exact)]} == set(exact)
+    assert set(out.values.field("log_inclusion").to_pylist()) == {0.0}
+
+
+def test_round_trips(index):
+    texts = [None, "", " ", "a", "  two  spaces ", "tab\tline\nend", "é漢字😀 mixed Ωδ", "▁ mark ▁▁", "x" * 3000, "́​\x00", "word " * 400, "퟿"]
+    out = P.encode_rows(texts, np.arange(len(texts)) * 77, index, 4)
+    rows = np.repeat(np.arange(len(texts)), np.diff(np.asarray(out.offsets)))
+    back = P.decode_rows(out.values.field("ids"), index).to_pylist()
+    assert back == [texts[r] or "" for r in rows] and all(out.values.field("round_trip").to_pylist())
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=P.default_model())
+    for r, ids, text in zip(rows, out.values.field("ids").to_pylist(), back):
+        if "▁" not in text and "\x00" not in text:
+            assert m.decode(ids) == text
+
+
+def test_samples_do_not_depend_on_slices(index):
+    texts = ["the quick brown fox jumps", "over the lazy dog"] * 5
+    seed = np.arange(10) * 31
+    whole = P.encode_rows(texts, seed, index, 3).to_pylist()
+    for i, t in enumerate(texts):
+        for a, b in zip(whole[i], P.encode_rows([t], seed[i: i + 1], index, 3).to_pylist()[0], strict=True):
+            assert a["ids"] == b["ids"] and all(abs(a[c] - b[c]) < 1e-9 for c in ("log_prob", "perturbed", "log_inclusion"))
+
+
+def test_long_text_uses_far_rests_too(index):
+    text = "qzxv " * 2000
+    out = P.encode_rows([text], np.array([5]), index, 3)
+    assert len({tuple(x) for x in out.values.field("ids").to_pylist()}) == 3
+
+
+def test_spark(spark, vocabulary):
+    rows = [(1, "some words here", "k"), (1, "some words here", "k"), (None, "other", "k"), (2, None, None), (3, "", "k")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, seed string")
+    got = P.encode(df.repartition(3), vocabulary, ["doc_id", "seed"], samples=2)
+    assert got.columns == ["doc_id", "seed", "samples"]
+    flat = got.select("doc_id", F.posexplode("samples").alias("n", "s"))
+    texts = sorted((str(r["doc_id"]), r["text"]) for r in P.decode(flat.select("doc_id", "s.ids"), vocabulary, ["doc_id"]).collect())
+    assert texts == sorted([("1", "some words here")] * 4 + [("None", "other")] * 2 + [("2", ""), ("3", "")])
+    one = [r["samples"] for r in got.where("doc_id = 1").collect()]
+    assert one[0] == one[1]
+    assert P.encode(df.limit(0), vocabulary, ["doc_id"]).count() == 0
+    assert P.decode(spark.createDataFrame([(1, None), (2, [])], "doc_id int, ids array<int>"), vocabulary, ["doc_id"]).select("text").distinct().collect()[0][0] == ""
+
+
+def test_null_ids_decode(index):
+    assert P.decode_rows(pa.array([[], []], pa.list_(pa.int32())), index).to_pylist() == ["", ""]
