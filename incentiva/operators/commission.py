@@ -12,19 +12,22 @@ Plan shape, chosen for a very large sales table:
    map-side partial aggregation, and the dimensions, collapsed to distinct rows
    with a copy count, are joined to that much smaller aggregate;
 4. the half-month total is a window over (store, half, month) on the aggregate;
-   its partitions hold at most ~16 days x leaders x tiers rows, so one very
-   large store does not make a large window partition. After shuffle joins on
-   the store the window needs no exchange of its own.
+   a store's partitions hold at most ~16 days x leaders x tiers rows. After
+   shuffle joins on the store the window needs no exchange of its own;
+5. sales without a store (kept only without ``tier_required``) would be one
+   window partition per half month and one reducer of the joins, however many
+   there are. They get a salt, so joins and window spread them, and their
+   totals come from one aggregate of two rows a month, broadcast back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_month, half_month, month_start, sale_date, scheme_label
 from ..params import DEFAULT, Params
-from ..sources.schemas import SUM_MONEY
+from ..sources.schemas import sum_money
 from ..sources.tables import Sources
 from .joins import MULTIPLICITY, checked_broadcast, copies, with_multiplicity
 from .sales import valid_sales_after
@@ -55,7 +58,7 @@ def sales_with_tier(src: Sources, params: Params = DEFAULT) -> DataFrame:
     )
     tier = _tier_for_tracker(src.tier, params)
     tier, _ = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows,
-                                bound=src.size_bound("tier"))
+                                bound=src.size_bound("tier"), memo=src._sizes, key=("tier", params.tracker_after_month))
     return sales.join(tier, ["store_url", "calendar_month"], how)
 
 
@@ -64,7 +67,7 @@ def half_month_sales(src: Sources, params: Params = DEFAULT) -> DataFrame:
     sales = valid_sales_after(src.sales, params)
     return sales.groupBy(
         "store_url", "calendar_month", half_month(F.col("calendar_date")).alias("quincena")
-    ).agg(F.sum("net_value").cast(SUM_MONEY).alias("venta_quincenal"))
+    ).agg(F.sum("net_value").cast(sum_money(sales, "net_value")).alias("venta_quincenal"))
 
 
 def daily_store_sales(src: Sources, params: Params = DEFAULT) -> DataFrame:
@@ -73,18 +76,34 @@ def daily_store_sales(src: Sources, params: Params = DEFAULT) -> DataFrame:
     return sales.groupBy("calendar_date", "store_url", "leader_name").agg(F.sum("net_value").alias("total"))
 
 
+SALT = "__store_salt"
+
+
+def store_salt() -> Column:
+    """Hash of the store; of leader and day for a missing one (which matches nothing, so it may go anywhere)."""
+    return F.when(F.col("store_url").isNull(), F.xxhash64("leader_name", "calendar_date")).otherwise(F.xxhash64("store_url"))
+
+
+def half_month_sales_without_store(src: Sources, params: Params) -> DataFrame:
+    """(quincena, calendar_month, __lost): totals of the sales without a store, two rows a month."""
+    lost = valid_sales_after(src.sales.where(F.col("store_url").isNull()), params)
+    return lost.groupBy(half_month(F.col("calendar_date")).alias("quincena"), "calendar_month").agg(F.sum("net_value").alias("__lost"))
+
+
 def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True) -> DataFrame:
     """Daily sales per store, leader and tier with the half-month total and scheme label.
 
     Sorted by creation date descending (missing dates first by default) when ``sort``.
     """
     how = "inner" if params.tier_required else "left"
+    src.size_bounds("tier", "stores")  # in one job
     tier = _tier_for_tracker(src.tier, params)
     stores = src.stores.select("store_url", sale_date(F.col("create_date_tz")).alias("creation_date"))
     tier_b, tier_check = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows,
-                                           bound=src.size_bound("tier"), extra_bytes_per_row=8)
+                                           bound=src.size_bound("tier"), extra_bytes_per_row=8,
+                                           memo=src._sizes, key=("tier", params.tracker_after_month))
     stores_b, stores_check = checked_broadcast(stores, params.broadcast_max_bytes, params.broadcast_max_rows,
-                                               bound=src.size_bound("stores"), extra_bytes_per_row=8)
+                                               bound=src.size_bound("stores"), extra_bytes_per_row=8, shrinks=False)
     if tier_check.broadcast and stores_check.broadcast:
         # both small: joined raw, map-side, to the sale lines; one aggregate (the SQL's order)
         lines = valid_sales_after(src.sales, params).select(
@@ -99,26 +118,39 @@ def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True
         tier_u = tier_u.withColumnRenamed(MULTIPLICITY, "__tier_copies")
         stores_u = with_multiplicity(stores, ["store_url", "creation_date"]).withColumnRenamed(
             MULTIPLICITY, "__store_copies")
+        salt = [] if params.tier_required else [SALT]
+        if salt:
+            daily = daily.withColumn(SALT, store_salt())
+            # the same function on the store's side: matches are unchanged
+            tier_u, stores_u = (d.withColumn(SALT, F.xxhash64("store_url")) for d in (tier_u, stores_u))
         if tier_check.broadcast:
             tier_u = F.broadcast(tier_u)
         if stores_check.broadcast:
             stores_u = F.broadcast(stores_u)
-        j = daily.join(tier_u, ["store_url", "calendar_month"], how).join(stores_u, "store_url", "left")
+        j = daily.join(tier_u, ["store_url", "calendar_month", *salt], how).join(stores_u, ["store_url", *salt], "left")
         j = j.withColumn("total", F.col("total") * copies("__tier_copies") * copies("__store_copies"))
 
-    total = F.col("total").cast(SUM_MONEY)
+    money = sum_money(src.sales, "net_value")
+    keep = [c for c in (SALT,) if c in j.columns]
     j = j.select(
         "creation_date", "calendar_date", "calendar_month",
         half_month(F.col("calendar_date")).alias("quincena"),
-        "store_url", "leader_name", "tier_net_lm", total.alias("total"),
+        "store_url", "leader_name", "tier_net_lm", F.col("total").cast(money).alias("total"), *keep,
     )
-    half = Window.partitionBy(*HALF_MONTH_KEYS)
+    venta = F.sum("total").over(Window.partitionBy(*HALF_MONTH_KEYS))
+    if not params.tier_required:
+        if not keep:
+            j = j.withColumn(SALT, store_salt())
+        lost = half_month_sales_without_store(src, params)
+        j = j.join(F.broadcast(lost), ["quincena", "calendar_month"], "left")
+        venta = F.when(F.col("store_url").isNull(), F.col("__lost")).otherwise(
+            F.sum("total").over(Window.partitionBy(*HALF_MONTH_KEYS, SALT)))
     created = F.col("creation_date")
     label = scheme_label(created, params.cut_date, params.label_on_or_after, params.label_before,
                          params.label_unknown)
     out = j.select(
         *TRACKER_COLUMNS[:8],
-        F.sum("total").over(half).cast(SUM_MONEY).alias("venta_quincenal"),
+        venta.cast(money).alias("venta_quincenal"),
         label.alias("comision"),
     )
     if sort:

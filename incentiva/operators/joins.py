@@ -64,7 +64,8 @@ def measure_many(frames: dict[str, DataFrame]) -> dict[str, tuple[int, int]]:
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int, bound: tuple[int, int] | None = None,
-                      extra_bytes_per_row: int = 8, copies: int = 1) -> tuple[DataFrame, SizeCheck]:
+                      extra_bytes_per_row: int = 8, copies: int = 1, memo: dict | None = None,
+                      key: tuple = (), shrinks: bool = True) -> tuple[DataFrame, SizeCheck]:
     """Return ``(df hinted for broadcast, check)`` when small enough, else ``(df, check)``.
 
     ``bound`` is the measured (rows, bytes) of a table that ``df`` is derived from
@@ -73,7 +74,8 @@ def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int, bound: tuple
     stacked copies of the table multiply it. When there is no bound, or the bound
     is over a limit, ``df`` itself is measured (one more aggregate over the
     dimension, never over the fact), so a large table whose filtered part is
-    small is still broadcast.
+    small is still broadcast; not where ``shrinks`` is false, as then ``df`` is as
+    large as its table. ``memo`` keeps such measurements by ``key`` between builds.
     """
     def fits(r: int, b: int) -> bool:
         return r <= max_rows and b <= max_bytes
@@ -88,10 +90,15 @@ def checked_broadcast(df: DataFrame, max_bytes: int, max_rows: int, bound: tuple
         raw_rows, raw_bytes = bound
         rows = raw_rows * copies
         size = copies * (raw_bytes + raw_rows * extra_bytes_per_row)
-        if fits(rows, size) or max_rows <= 0:
+        if fits(rows, size) or max_rows <= 0 or not shrinks:
             return decide(rows, size, "bound of the whole table")
     # no bound, or the whole table is too large: measure what would be broadcast
-    rows, size = measure(df)
+    if memo is not None and key in memo:
+        rows, size = memo[key]
+    else:
+        rows, size = measure(df)
+        if memo is not None:
+            memo[key] = rows, size
     return decide(rows, size + rows * extra_bytes_per_row, "measured")
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..functions import ladder as L
 from ..functions.scalars import flag_at_least, share, shortfall
 from ..params import DEFAULT, Params, Population
-from ..sources.schemas import SUM_MONEY
+from ..sources.schemas import sum_money
 from ..sources.tables import Sources
 from .joins import MULTIPLICITY, checked_broadcast, copies, with_multiplicity
 from .sales import sales_by_order, valid_sales
@@ -48,7 +48,10 @@ DETAIL_KEYS = ["mentora", "orientador", "store_url", "leader_name", "dynamo_cust
 DETAIL_COLUMNS = DETAIL_KEYS + ["total_cliente", "flag_bono", "falta"]
 
 
-def _pops(params: Params, populations: Sequence[str | Population]) -> list[Population]:
+def _pops(params: Params, populations: Sequence[str | Population] | None) -> list[Population]:
+    """The named populations; None: all that are configured."""
+    if populations is None:
+        return list(params.populations)
     return [p if isinstance(p, Population) else params.population(p) for p in populations]
 
 
@@ -60,17 +63,24 @@ def population_portfolio(portfolio: DataFrame, populations: Sequence[Population]
     ).select("emprendedor", "mentora", "orientador", F.col("flag_emprendedor").alias(POP))
 
 
+def _portfolio_side(src: Sources, pops: list[Population], params: Params, extra: int):
+    port = population_portfolio(src.portfolio, pops, params)
+    return checked_broadcast(port, params.broadcast_max_bytes, params.broadcast_max_rows, bound=src.size_bound("portfolio"),
+                             extra_bytes_per_row=extra, memo=src._sizes,
+                             key=("portfolio", params.retention_value, *[p.name for p in pops]))
+
+
 def portfolio_sales(src: Sources, population: str = "old", params: Params = DEFAULT) -> DataFrame:
     """Per-order sales of the month with the store's mentor, advisor and population.
 
     The original writes a LEFT JOIN, but its WHERE on the portfolio side makes it
     an inner join; it is written as one. Duplicate portfolio rows duplicate orders.
+    A small portfolio drops the other stores' lines before the orders are shuffled.
     """
     pops = _pops(params, [population])
-    orders = sales_by_order(src.sales, params)
-    port = population_portfolio(src.portfolio, pops, params)
-    port, _ = checked_broadcast(port, params.broadcast_max_bytes, params.broadcast_max_rows,
-                                bound=src.size_bound("portfolio"))
+    port, check = _portfolio_side(src, pops, params, 8)
+    stores = population_portfolio(src.portfolio, pops, params).select("emprendedor") if check.broadcast else None
+    orders = sales_by_order(src.sales, params, stores=stores)
     j = orders.join(port, orders.store_url == port.emprendedor, "inner")
     return j.select(*orders.columns, "mentora", "orientador", F.col(POP).alias("flag_emprendedor"))
 
@@ -96,11 +106,10 @@ def _salted_name_join(spend: DataFrame, known: DataFrame) -> DataFrame:
     grouping keys, so grouping by it as well changes no group, and the join's
     hash partitioning already satisfies the aggregate: no extra exchange. (A
     constant salt on the buyer side would be folded by the optimizer into a
-    post-join filter, leaving the shuffle on the id alone.)
+    post-join filter, leaving the shuffle on the id alone.) Both sides have one id
+    type since they were loaded.
     """
     key = "dynamo_customer_id"
-    # both sides hash the id as the same type, or equal ids would get unequal salts
-    known = known.withColumn(key, F.col(key).cast(spend.schema[key].dataType))
     j = spend.withColumn(SALT, buyer_salt()).join(known.withColumn(SALT, F.xxhash64(key)), [key, SALT], "left")
     group = [c for c in spend.columns if c != "total"] + ["customer_name", SALT]
     return j.groupBy(*group).agg(F.sum("total").alias("total")).drop(SALT)
@@ -122,12 +131,12 @@ def _detail_totals(src: Sources, pops: list[Population], params: Params) -> Data
     """
     key = "dynamo_customer_id"
     sales = valid_sales(src.sales, params).select("store_url", "leader_name", key, "net_value")
+    src.size_bounds("portfolio", "buyers")  # in one job
     port = population_portfolio(src.portfolio, pops, params)
-    port_b, port_check = checked_broadcast(port, params.broadcast_max_bytes, params.broadcast_max_rows,
-                                           bound=src.size_bound("portfolio"), extra_bytes_per_row=0)
+    port_b, port_check = _portfolio_side(src, pops, params, 0)
     known = src.buyers.filter(F.col(key).isNotNull()).select(key, "customer_name")
     buyers_b, buyers_check = checked_broadcast(known, params.broadcast_max_bytes, params.broadcast_max_rows,
-                                               bound=src.size_bound("buyers"), extra_bytes_per_row=8)
+                                               bound=src.size_bound("buyers"), extra_bytes_per_row=8, shrinks=False)
     keys = _spend_keys()
     if port_check.broadcast:
         lines = sales.join(port_b, sales.store_url == port_b.emprendedor, "inner")
@@ -148,11 +157,11 @@ def _detail_totals(src: Sources, pops: list[Population], params: Params) -> Data
 
 
 def bonus_detail_all(src: Sources, params: Params = DEFAULT,
-                     populations: Sequence[str | Population] = ("old", "new")) -> DataFrame:
-    """Bonus detail of several populations in one pass, with a ``population`` column."""
+                     populations: Sequence[str | Population] | None = None) -> DataFrame:
+    """Bonus detail of several populations (all, by default) in one pass, with a ``population`` column."""
     pops = _pops(params, populations)
     detail = _detail_totals(src, pops, params)
-    total = F.col("total").cast(SUM_MONEY)
+    total = F.col("total").cast(sum_money(src.sales, "net_value"))
     return detail.select(
         POP,
         *DETAIL_KEYS,
@@ -192,7 +201,7 @@ def _per_population(pops: list[Population], fn: Callable[[Population], Column])
 
 
 def portfolio_totals_all(graduation: DataFrame, portfolio_size: DataFrame, params: Params = DEFAULT,
-                         populations: Sequence[str | Population] = ("old", "new"),
+                         populations: Sequence[str | Population] | None = None,
                          size_bound: tuple[int, int] | None = None) -> DataFrame:
     """Per mentor and advisor: graduated share of the portfolio, payout and next targets.
 

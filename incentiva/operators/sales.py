@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import as_month, month_bounds, month_start, next_month, sale_date, ts_literal
 from ..params import DEFAULT, Params
-from ..sources.schemas import SUM_MONEY
+from ..sources.schemas import INSTANT, sum_money
 
 ORDER_KEYS = ["calendar_date", "calendar_month", "store_url", "leader_name", "dynamo_customer_id", "order_number"]
 
@@ -35,9 +35,27 @@ def _valid(sales: DataFrame, params: Params, time_filter: Column) -> DataFrame:
         )
         .withColumn("calendar_date", sale_date(F.col("create_date_time_tz")))
         .withColumn("calendar_month", month_start(F.col("calendar_date")))
+        .drop(INSTANT)
     )
 
 
+#: No zone is further from UTC; the exact wall-clock range stays on top of the widened one.
+_ZONE_SLACK = dt.timedelta(days=1)
+
+
+def _instant(wall: dt.datetime, slack: dt.timedelta) -> Column:
+    return F.lit((wall + slack).replace(tzinfo=dt.timezone.utc))
+
+
+def _instants(sales: DataFrame, lo: dt.datetime, hi: dt.datetime | None) -> Column:
+    """A range on the raw instants of zoned sale times (pushed to the scan), wide enough for every zone."""
+    if INSTANT not in sales.columns:
+        return F.lit(True)
+    raw = F.col(INSTANT)
+    cond = raw >= _instant(lo, -_ZONE_SLACK)
+    return cond if hi is None else cond & (raw < _instant(hi, _ZONE_SLACK))
+
+
 def _partition_filter(sales: DataFrame, params: Params, cond) -> Column:
     col = params.sales_month_col
     if col and col in sales.columns:
@@ -50,19 +68,43 @@ def valid_sales(sales: DataFrame, params: Params = DEFAULT, month: dt.date | Non
     m = as_month(month or params.month)
     lo, hi = month_bounds(m)
     ts = F.col("create_date_time_tz")
-    part = _partition_filter(sales, params, lambda c: c == F.lit(m))
-    return _valid(sales, params, part & (ts >= ts_literal(lo)) & (ts < ts_literal(hi)))
+    if INSTANT in sales.columns:
+        # partitions may follow another zone's months than the wall clock: take the neighbours too
+        around = (as_month(m - dt.timedelta(days=1)), next_month(m))
+        part = _partition_filter(sales, params, lambda c: c.between(F.lit(around[0]), F.lit(around[1])))
+    else:
+        part = _partition_filter(sales, params, lambda c: c == F.lit(m))
+    return _valid(sales, params, part & _instants(sales, lo, hi) & (ts >= ts_literal(lo)) & (ts < ts_literal(hi)))
 
 
 def valid_sales_after(sales: DataFrame, params: Params = DEFAULT, after_month: dt.date | None = None) -> DataFrame:
     """Valid sale lines of every month strictly after ``after_month``."""
     after = as_month(after_month or params.tracker_after_month)
     start = dt.datetime.combine(next_month(after), dt.time())
-    part = _partition_filter(sales, params, lambda c: c > F.lit(after))
-    return _valid(sales, params, part & (F.col("create_date_time_tz") >= ts_literal(start)))
+    zoned = INSTANT in sales.columns
+    part = _partition_filter(sales, params, lambda c: c >= F.lit(after) if zoned else c > F.lit(after))
+    return _valid(sales, params, part & _instants(sales, start, None) & (F.col("create_date_time_tz") >= ts_literal(start)))
+
+
+def misplaced_sales(sales: DataFrame, params: Params) -> DataFrame:
+    """Sales whose month partition is not their local month: (partition, month, rows).
+
+    Without a zone the month filters rely on the partition column following the
+    local month; this check shows where it does not.
+    """
+    month = month_start(sale_date(F.col("create_date_time_tz")))
+    part = F.col(params.sales_month_col)
+    return (sales.select(part.alias("partition"), month.alias("month")).where("not (partition <=> month)")
+            .groupBy("partition", "month").agg(F.count(F.lit(1)).alias("rows")))
+
 
+def sales_by_order(sales: DataFrame, params: Params = DEFAULT, month: dt.date | None = None,
+                   stores: DataFrame | None = None) -> DataFrame:
+    """Sum of ``net_value`` per day, month, store, leader, buyer and order (one month).
 
-def sales_by_order(sales: DataFrame, params: Params = DEFAULT, month: dt.date | None = None) -> DataFrame:
-    """Sum of ``net_value`` per day, month, store, leader, buyer and order (one month)."""
+    ``stores``: a small frame whose only column is the stores to keep, before anything is shuffled.
+    """
     v = valid_sales(sales, params, month)
-    return v.groupBy(*ORDER_KEYS).agg(F.sum("net_value").cast(SUM_MONEY).alias("total"))
+    if stores is not None:
+        v = v.join(F.broadcast(stores), v.store_url == F.col(stores.columns[0]), "left_semi")
+    return v.groupBy(*ORDER_KEYS).agg(F.sum("net_value").cast(sum_money(v, "net_value")).alias("total"))

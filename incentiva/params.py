@@ -40,6 +40,8 @@ class Ladder:
         """Ladder from (threshold, rate) pairs; thresholds as text or Decimal, never float."""
         if any(isinstance(t, float) for t, _ in pairs):
             raise TypeError("give ladder thresholds as text or Decimal; a float is not exact")
+        if any(int(r) != r for _, r in pairs):
+            raise ValueError("ladder rates must be whole numbers")
         return cls(tuple(Rung(Decimal(t), int(r)) for t, r in pairs))
 
     @property
@@ -132,6 +134,19 @@ class Params:
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
+    @classmethod
+    def from_json(cls, given: dict) -> "Params":
+        """Parameters from a JSON object: names as here, dates as text, populations as a list of
+        {"name", "size_col", "ladder": [["0.03", 40], ...]}. Unknown names raise ``TypeError``."""
+        kw = dict(given)
+        for k in ("month", "tracker_after_month", "cut_date"):
+            if k in kw:
+                kw[k] = dt.date.fromisoformat(kw[k])
+        if "populations" in kw:
+            kw["populations"] = tuple(Population(p["name"], p["size_col"], Ladder.of(*map(tuple, p["ladder"])))
+                                      for p in kw["populations"])
+        return cls(**kw)
+
     def population(self, name: str) -> Population:
         for p in self.populations:
             if p.name == name:

@@ -58,5 +58,7 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType | None = No
     if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
-        r = r.option("header", True).option("nullValue", CSV_NULL)
+        r = r.option("header", True).option("nullValue", CSV_NULL).option("enforceSchema", False)
+    if fmt in ("json", "csv"):
+        r = r.option("mode", "FAILFAST")
     return r.load(path)

@@ -1,9 +1,10 @@
 """Schemas of the six source tables and a load-time conformance check.
 
 Types are what the queries need: wall-clock timestamps (``timestamp_ntz``) so a
-sale's day never moves with the session zone, ``decimal(18,2)`` money, and
-string keys. Buyer and order ids are ``bigint`` here; a string id works as well
-(``conform`` keeps whatever atomic type the id has).
+sale's day never moves with the session zone, decimal money, and string keys.
+Money keeps its stored scale through every sum. Buyer and order ids are
+``bigint`` here; a string id works as well. A load never narrows a value: a
+stored type that does not fit losslessly raises ``SchemaError``.
 """
 
 from __future__ import annotations
@@ -13,7 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
-SUM_MONEY = T.DecimalType(38, 2)
+#: Raw instant of a zoned sale time, kept beside its wall clock so that a range on it reaches the scan.
+INSTANT = "__create_instant"
+
+
+def sum_money(df: DataFrame, column: str) -> T.DecimalType:
+    """Type of a sum of ``column``: all digits, at the stored scale."""
+    return T.DecimalType(38, df.schema[column].dataType.scale)
 
 SALES = T.StructType(
     [
@@ -97,12 +104,36 @@ def wall_clock(ts: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
-def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | None = None) -> DataFrame:
+def _widens(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every value of ``have`` is a value of ``want``."""
+    order = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    if type(have) in order and type(want) in order:
+        return order.index(type(have)) <= order.index(type(want))
+    if isinstance(want, T.StringType):
+        return isinstance(have, (T.CharType, T.VarcharType))
+    return isinstance(want, T.TimestampNTZType) and isinstance(have, T.DateType)
+
+
+def _money(have: T.DataType, where: str, allow_float: bool) -> T.DecimalType:
+    """The decimal type in which a stored amount is kept."""
+    if isinstance(have, T.DecimalType):
+        return have
+    if isinstance(have, T.IntegralType):
+        return T.DecimalType(21, 2)
+    if isinstance(have, (T.FloatType, T.DoubleType)) and allow_float:
+        return T.DecimalType(24, 6)
+    raise SchemaError(f"{where} is {have.simpleString()}, which is not exact money; store a decimal"
+                      + (" or ask for it (allow_float=True)" if isinstance(have, (T.FloatType, T.DoubleType)) else ""))
+
+
+def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | None = None,
+            allow_float: bool = False) -> DataFrame:
     """Select the source's columns in order and cast them to the expected types.
 
     Missing columns raise ``SchemaError``; extra columns are dropped (except those
     in ``keep``, e.g. a partition column) so the scan reads only what the queries
-    use. Casts are no-ops when the stored type is already right. Zoned timestamps
+    use. Stored types are kept or widened, never narrowed; amounts keep their scale,
+    and floating amounts are refused unless ``allow_float``. Zoned timestamps
     are refused unless ``zone`` names the zone whose wall clock dates the sales.
     """
     schema = SCHEMAS[name]
@@ -117,6 +148,8 @@ def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | No
             cols.append(F.col(f.name))
         elif have == f.dataType:
             cols.append(F.col(f.name))
+        elif f.dataType == MONEY:
+            cols.append(F.col(f.name).cast(_money(have, f"{name}.{f.name}", allow_float)).alias(f.name))
         elif isinstance(f.dataType, T.TimestampNTZType) and isinstance(have, T.TimestampType):
             if zone is None:
                 raise SchemaError(
@@ -124,7 +157,12 @@ def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | No
                     "timestamp_ntz, or name the zone whose wall clock dates the sales (zone=...)"
                 )
             cols.append(wall_clock(F.col(f.name), zone).alias(f.name))
-        else:
+            if name == "sales" and f.name == "create_date_time_tz":
+                cols.append(F.col(f.name).alias(INSTANT))
+        elif _widens(have, f.dataType):
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        else:
+            raise SchemaError(f"{name}.{f.name} is {have.simpleString()}; {f.dataType.simpleString()} is needed, "
+                              "and a cast could lose values")
     extra = [c for c in keep if c in present and c not in schema.fieldNames()]
     return df.select(*cols, *extra)

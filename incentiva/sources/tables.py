@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .schemas import SCHEMAS, conform
 
 
-DIMENSIONS = ("portfolio", "portfolio_size", "buyers", "tier", "stores")
+BUYER = "dynamo_customer_id"
 
 
 @dataclass(frozen=True)
@@ -30,26 +30,35 @@ class Sources:
     stores: DataFrame
     _sizes: dict = field(default_factory=dict, compare=False, repr=False)
 
-    def size_bound(self, name: str) -> tuple[int, int]:
-        """(rows, bytes) of one input, measured once per bundle by a distributed aggregate.
+    def size_bounds(self, *names: str) -> list[tuple[int, int]]:
+        """(rows, bytes) of the named inputs, each measured once per bundle, missing ones together in one job.
 
-        Any filter, projection or duplicate collapse of the input is no larger, so
-        every query built on this bundle reuses the one measurement to decide its
-        broadcasts. All dimensions are measured together, in one job.
+        Any filter, projection or duplicate collapse of an input is no larger, so
+        every query built on this bundle reuses the measurement to decide its
+        broadcasts. Only inputs that a query joins are measured.
         """
-        if name not in self._sizes:
-            from ..operators.joins import measure_many
+        from ..operators.joins import measure_many
+
+        missing = [n for n in names if n not in self._sizes]
+        if missing:
+            self._sizes.update(measure_many({n: getattr(self, n) for n in missing}))
+        return [self._sizes[n] for n in names]
 
-            names = [n for n in DIMENSIONS if n not in self._sizes]
-            if name not in names:
-                names.append(name)
-            self._sizes.update(measure_many({n: getattr(self, n) for n in names}))
-        return self._sizes[name]
+    def size_bound(self, name: str) -> tuple[int, int]:
+        return self.size_bounds(name)[0]
 
-    def conformed(self, sales_month_col: str | None = None, zone: str | None = None) -> "Sources":
+    def conformed(self, sales_month_col: str | None = None, zone: str | None = None,
+                  allow_float: bool = False) -> "Sources":
         keep = {"sales": (sales_month_col,) if sales_month_col else ()}
-        return Sources(**{f.name: conform(getattr(self, f.name), f.name, keep.get(f.name, ()), zone)
-                          for f in fields(self) if f.init and not f.name.startswith("_")})
+        frames = {f.name: conform(getattr(self, f.name), f.name, keep.get(f.name, ()), zone, allow_float)
+                  for f in fields(self) if f.init and not f.name.startswith("_")}
+        # one type for the buyer's id, whatever join is chosen later: text if either side has text
+        kinds = {n: frames[n].schema[BUYER].dataType for n in ("sales", "buyers")}
+        if kinds["sales"] != kinds["buyers"]:
+            one = T.StringType() if any(isinstance(k, T.StringType) for k in kinds.values()) else T.LongType()
+            for n in kinds:
+                frames[n] = frames[n].withColumn(BUYER, F.col(BUYER).cast(one))
+        return Sources(**frames)
 
 
 def from_tables(spark: SparkSession, names: dict[str, str], sales_month_col: str | None = None,
@@ -78,7 +87,8 @@ def from_files(spark: SparkSession, paths: dict[str, str], fmt: str, options: di
     """Load from files of one format: parquet, orc, csv or json (one path per input).
 
     Text formats are read with the expected schema (no inference pass over the
-    data); csv expects a header row. Columnar formats carry their own schema.
+    data), and a line that does not fit it fails the read. csv expects a header row
+    whose names are checked against the schema. Columnar formats carry their own schema.
     """
     if fmt not in ("parquet", "orc", "csv", "json"):
         raise ValueError(f"unsupported input format {fmt!r}")
@@ -88,9 +98,9 @@ def from_files(spark: SparkSession, paths: dict[str, str], fmt: str, options: di
         if fmt in ("csv", "json"):
             if sales_month_col and name == "sales":
                 schema = T.StructType(schema.fields + [T.StructField(sales_month_col, T.DateType(), True)])
-            reader = reader.schema(schema)
+            reader = reader.schema(schema).option("mode", "FAILFAST")
             if fmt == "csv":
-                reader = reader.option("header", True)
+                reader = reader.option("header", True).option("enforceSchema", False)
         frames[name] = reader.load(paths[name])
     return Sources(**frames).conformed(sales_month_col, zone)
 

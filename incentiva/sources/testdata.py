@@ -26,6 +26,7 @@ SALE_DAY_SPREAD = 92
 STORE_CREATED_DAY_ZERO = dt.date(2022, 1, 1)
 TIER_MONTHS = (dt.date(2022, 11, 1), dt.date(2022, 12, 1), dt.date(2023, 1, 1))
 NET_VALUE_FACTOR = "0.0017"
+LAST_SECOND = 86_399
 BRAND_WITHOUT_SIZE = "Brand#25"
 OLD_MAX_PART_SIZE = 25
 
@@ -50,7 +51,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey).join(part, li.l_partkey == part.p_partkey)
     key = F.col("o_orderkey")
-    created = _days_after(SALE_DAY_ZERO, key % SALE_DAY_SPREAD).cast("timestamp_ntz")
+    line = key + F.col("l_partkey")
+    second = F.when(key % 31 == 0, LAST_SECOND).otherwise((key * 7919) % 86_400)
+    created = _days_after(SALE_DAY_ZERO, key % SALE_DAY_SPREAD).cast("timestamp_ntz") + F.make_dt_interval(secs=second.cast("decimal(18,6)"))
     status = (
         F.when(F.col("o_orderstatus") == "O", F.lit("OPEN"))
         .when((F.col("o_orderstatus") == "P") & (key % 7 == 0), F.lit("CANCEL"))
@@ -66,16 +69,17 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("l_returnflag") == "R") & (key % 10 == 0), F.col("l_shipdate").cast("timestamp_ntz"))
         .alias("cancel_date_time_tz"),
         status.alias("order_status"),
-        _store(F.col("l_partkey")).alias("store_url"),
-        F.col("p_name").alias("leader_name"),
-        F.col("o_custkey").alias("dynamo_customer_id"),
+        F.when(line % 37 != 0, _store(F.col("l_partkey"))).alias("store_url"),
+        F.when(F.col("o_custkey") % 2 == 0, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" B"))).alias("leader_name"),
+        F.when(key % 23 != 0, F.col("o_custkey")).alias("dynamo_customer_id"),
         key.alias("order_number"),
-        net.alias("net_value"),
+        F.when(line % 41 != 0, net).alias("net_value"),
     )
 
 
 def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part").filter(F.col("p_partkey") % 13 != 12)
+    p = p.unionByName(p.filter(F.col("p_partkey") % 101 == 0))
     return p.select(
         _store(F.col("p_partkey")).alias("emprendedor"),
         F.when(F.col("p_partkey") % 11 == 0, F.lit("mentor-shared"))
@@ -89,19 +93,26 @@ def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def portfolio_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part").filter(F.col("p_brand") != BRAND_WITHOUT_SIZE)
-    return p.groupBy(F.col("p_brand").alias("orientador")).agg(
-        F.count(F.when(F.col("p_size") <= OLD_MAX_PART_SIZE, 1)).cast("int").alias("cartera"),
-        F.count(F.when(F.col("p_size") > OLD_MAX_PART_SIZE, 1)).cast("int").alias("cartera_nuevos"),
+    n = p.groupBy(F.col("p_brand").alias("orientador")).agg(
+        F.count(F.when(F.col("p_size") <= OLD_MAX_PART_SIZE, 1)).alias("a"),
+        F.count(F.when(F.col("p_size") > OLD_MAX_PART_SIZE, 1)).alias("b"),
     )
+    # sizes divided by 1, 5, 9, 13 or 17, so that shares reach every rung of the ladders
+    share = 1 + 4 * (F.substring("orientador", -1, 1).cast("int") % 5)
+    sizes = n.select("orientador", *[F.ceil(F.col(c) / share).cast("int").alias(o) for c, o in (("a", "cartera"), ("b", "cartera_nuevos"))])
+    return sizes.unionByName(sizes.filter(F.col("orientador") == "Brand#11"))
 
 
 def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer").filter(F.col("c_custkey") % 50 != 49)
-    return c.select(F.col("c_custkey").alias("dynamo_customer_id"), F.col("c_name").alias("customer_name"))
+    c = c.select(F.col("c_custkey").alias("dynamo_customer_id"), F.col("c_name").alias("customer_name"))
+    again = c.filter(F.col("dynamo_customer_id") % 89 == 0)
+    return c.unionByName(again.withColumn("customer_name", F.concat("customer_name", F.lit(" II"))))
 
 
 def tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part").filter(F.col("p_partkey") % 4 != 3)
+    p = p.unionByName(p.filter(F.col("p_partkey") % 97 == 0))
     months = F.array(*[F.lit(m) for m in TIER_MONTHS])
     return p.select(
         _store(F.col("p_partkey")).alias("store_url"),
@@ -112,9 +123,11 @@ def tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part").filter(F.col("p_partkey") % 17 != 16)
-    return p.select(
+    day = F.col("p_partkey") % 365
+    both = F.when(F.col("p_partkey") % 103 == 0, F.array(day, day + 200)).otherwise(F.array(day))
+    return p.select("p_partkey", F.explode(both).alias("day")).select(
         _store(F.col("p_partkey")).alias("store_url"),
-        _days_after(STORE_CREATED_DAY_ZERO, F.col("p_partkey") % 365).cast("timestamp_ntz").alias("create_date_tz"),
+        _days_after(STORE_CREATED_DAY_ZERO, F.col("day")).cast("timestamp_ntz").alias("create_date_tz"),
     )
 
 
