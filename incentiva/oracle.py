@@ -12,62 +12,87 @@ fixture rules of ``incentiva.sources.testdata`` (as CTEs), then runs the query.
 
 from __future__ import annotations
 
-from .params import DEFAULT, Ladder, Params
+import datetime as dt
+from decimal import Decimal
+
+from .params import Ladder, Params, Population
 
 FIXTURE_CTES = """
-sales AS (
-  SELECT
-    CAST(DATE '2022-11-01' + CAST(o.o_orderkey % 92 AS INTEGER) AS TIMESTAMP) AS create_date_time_tz,
-    CASE WHEN o.o_orderkey % 97 = 0 THEN NULL
-         ELSE CAST(DATE '2022-11-01' + CAST(o.o_orderkey % 92 AS INTEGER) AS TIMESTAMP) END AS create_date_time,
-    CASE WHEN l.l_returnflag = 'R' AND o.o_orderkey % 10 = 0 THEN l.l_shipdate END AS cancel_date_time_tz,
-    CASE WHEN o.o_orderstatus = 'O' THEN 'OPEN'
-         WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 7 = 0 THEN 'CANCEL'
-         WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 7 = 1 THEN NULL
-         ELSE 'PAID' END AS order_status,
-    'store-' || CAST(l.l_partkey AS VARCHAR) AS store_url,
-    p.p_name AS leader_name,
-    o.o_custkey AS dynamo_customer_id,
-    o.o_orderkey AS order_number,
-    CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))
-         * CAST(0.0017 AS DECIMAL(4,4)) AS DECIMAL(18,2)) AS net_value
+sale_lines AS (
+  SELECT *, l.l_orderkey + l.l_partkey AS line,
+         CAST(DATE '2022-11-01' + CAST(o.o_orderkey % 92 AS INTEGER) AS TIMESTAMP)
+         + to_seconds(CASE WHEN o.o_orderkey % 31 = 0 THEN 86399 ELSE (o.o_orderkey * 7919) % 86400 END) AS created
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey
 ),
+sales AS (
+  SELECT
+    created AS create_date_time_tz,
+    CASE WHEN o_orderkey % 97 <> 0 THEN created END AS create_date_time,
+    CASE WHEN l_returnflag = 'R' AND o_orderkey % 10 = 0 THEN l_shipdate END AS cancel_date_time_tz,
+    CASE WHEN o_orderstatus = 'O' THEN 'OPEN'
+         WHEN o_orderstatus = 'P' AND o_orderkey % 7 = 0 THEN 'CANCEL'
+         WHEN o_orderstatus = 'P' AND o_orderkey % 7 = 1 THEN NULL
+         ELSE 'PAID' END AS order_status,
+    CASE WHEN line % 37 <> 0 THEN 'store-' || CAST(l_partkey AS VARCHAR) END AS store_url,
+    CASE WHEN o_custkey % 2 = 0 THEN p_name ELSE p_name || ' B' END AS leader_name,
+    CASE WHEN o_orderkey % 23 <> 0 THEN o_custkey END AS dynamo_customer_id,
+    o_orderkey AS order_number,
+    CASE WHEN line % 41 <> 0 THEN
+      CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+           * CAST(0.0017 AS DECIMAL(4,4)) AS DECIMAL(18,2)) END AS net_value
+  FROM sale_lines
+),
 portfolio AS (
   SELECT 'store-' || CAST(p_partkey AS VARCHAR) AS emprendedor,
          CASE WHEN p_partkey % 11 = 0 THEN 'mentor-shared' ELSE 'mentor-of-' || p_brand END AS mentora,
          p_brand AS orientador,
          CAST(CASE WHEN p_partkey % 10 = 9 THEN 1 ELSE 0 END AS INTEGER) AS flag_retencion,
          CASE WHEN p_size <= 25 THEN 'old' ELSE 'new' END AS flag_emprendedor
-  FROM part WHERE p_partkey % 13 <> 12
+  FROM (SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_partkey % 101 = 0) AS twice
+  WHERE p_partkey % 13 <> 12
 ),
-portfolio_total AS (
-  SELECT p_brand AS orientador,
-         CAST(count(CASE WHEN p_size <= 25 THEN 1 END) AS INTEGER) AS cartera,
-         CAST(count(CASE WHEN p_size > 25 THEN 1 END) AS INTEGER) AS cartera_nuevos
+portfolio_counts AS (
+  SELECT p_brand AS orientador, 1 + 4 * (CAST(right(p_brand, 1) AS INTEGER) % 5) AS share,
+         count(CASE WHEN p_size <= 25 THEN 1 END) AS a, count(CASE WHEN p_size > 25 THEN 1 END) AS b
   FROM part WHERE p_brand <> 'Brand#25' GROUP BY p_brand
 ),
+portfolio_total AS (
+  SELECT orientador, CAST((a + share - 1) // share AS INTEGER) AS cartera,
+         CAST((b + share - 1) // share AS INTEGER) AS cartera_nuevos
+  FROM (SELECT * FROM portfolio_counts UNION ALL SELECT * FROM portfolio_counts WHERE orientador = 'Brand#11') AS twice
+),
 buyers AS (
   SELECT c_custkey AS dynamo_customer_id, c_name AS customer_name FROM customer WHERE c_custkey % 50 <> 49
+  UNION ALL
+  SELECT c_custkey, c_name || ' II' FROM customer WHERE c_custkey % 50 <> 49 AND c_custkey % 89 = 0
 ),
 tier AS (
-  SELECT 'store-' || CAST(p_partkey AS VARCHAR) AS store_url, DATE '2022-11-01' AS calendar_month,
-         'T' || CAST(p_size % 3 AS VARCHAR) AS tier_net_lm FROM part WHERE p_partkey % 4 <> 3
-  UNION ALL
-  SELECT 'store-' || CAST(p_partkey AS VARCHAR), DATE '2022-12-01', 'T' || CAST(p_size % 3 AS VARCHAR)
-  FROM part WHERE p_partkey % 4 <> 3
-  UNION ALL
-  SELECT 'store-' || CAST(p_partkey AS VARCHAR), DATE '2023-01-01', 'T' || CAST(p_size % 3 AS VARCHAR)
-  FROM part WHERE p_partkey % 4 <> 3
+  SELECT 'store-' || CAST(p_partkey AS VARCHAR) AS store_url, calendar_month,
+         'T' || CAST(p_size % 3 AS VARCHAR) AS tier_net_lm
+  FROM (SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_partkey % 97 = 0) AS twice,
+       (VALUES (DATE '2022-11-01'), (DATE '2022-12-01'), (DATE '2023-01-01')) AS months(calendar_month)
+  WHERE p_partkey % 4 <> 3
 ),
 entrep AS (
   SELECT 'store-' || CAST(p_partkey AS VARCHAR) AS store_url,
-         CAST(DATE '2022-01-01' + CAST(p_partkey % 365 AS INTEGER) AS TIMESTAMP) AS create_date_tz
-  FROM part WHERE p_partkey % 17 <> 16
+         CAST(DATE '2022-01-01' + CAST(p_partkey % 365 + later AS INTEGER) AS TIMESTAMP) AS create_date_tz
+  FROM part, (VALUES (0), (200)) AS days(later)
+  WHERE p_partkey % 17 <> 16 AND (later = 0 OR p_partkey % 103 = 0)
 )"""
 
+# The scheme's values spelled out once more, so that a wrong constant in ``params`` shows as a difference.
+SPELLED_OUT = Params(
+    month=dt.date(2022, 12, 1), bonus_min=Decimal("100"), graduate_min=5, excluded_statuses=("CANCEL", "OPEN"), retention_value=0,
+    tracker_after_month=dt.date(2022, 11, 1), cut_date=dt.date(2022, 7, 1), label_on_or_after="De 5% a 10%",
+    label_before="De 8% a 15%", label_unknown="", top_text="max",
+    populations=(
+        Population("old", "cartera", Ladder.of(("0.03", 40), ("0.06", 50), ("0.10", 60), ("0.15", 70), ("0.20", 85), ("0.25", 100))),
+        Population("new", "cartera_nuevos", Ladder.of(("0.02", 60), ("0.04", 75), ("0.07", 90), ("0.11", 100), ("0.14", 130), ("0.18", 150))),
+    ),
+)
+
 VALID = (
     "create_date_time IS NOT NULL AND order_status NOT IN ('CANCEL', 'OPEN') "
     "AND cancel_date_time_tz IS NULL"
@@ -75,15 +100,10 @@ VALID = (
 MONTH = "CAST(date_trunc('month', create_date_time_tz) AS DATE)"
 
 
-_FIXTURE = [True]
-
-
 def _with(*ctes: str, select: str) -> str:
-    head = [FIXTURE_CTES.strip()] if _FIXTURE[0] else []
-    parts = head + [c.strip() for c in ctes]
-    if not parts:
-        return select.strip() + "\n"
-    return "WITH\n" + ",\n".join(parts) + f"\n{select.strip()}\n"
+    """A statement; the fixture's views are put in front by ``oracle_sql``."""
+    parts = [c.strip() for c in ctes]
+    return ("WITH\n" + ",\n".join(parts) + "\n" if parts else "") + f"{select.strip()}\n"
 
 
 def _month_orders(params: Params) -> str:
@@ -191,7 +211,7 @@ def _portfolio_chain(pop: str, params: Params, upto: str, out_size_col: str | No
     return steps[:n]
 
 
-def _tracker_dailyroup(params: Params, tier_required: bool) -> str:
+def _tracker_groups(params: Params, tier_required: bool) -> str:
     after = params.tracker_after_month.isoformat()
     where_month = f"b.calendar_month > DATE '{after}'" if tier_required else f"{MONTH} > DATE '{after}'"
     return f"""
@@ -223,22 +243,18 @@ tracker AS (
 )"""
 
 
-DETAIL_UPPER = ("MENTORA, ORIENTADOR, STORE_URL, LEADER_NAME, DYNAMO_CUSTOMER_ID, CUSTOMER_NAME, "
-                "TOTAL_CLIENTE, FLAG_BONO, FALTA")
-
-
 def _upper(cols: list[str]) -> str:
     return ", ".join(f"{c} AS {c.upper()}" for c in cols)
 
 
-def oracle_sql(params: Params = DEFAULT, fixture: bool = True) -> dict[str, str]:
+def oracle_sql(params: Params = SPELLED_OUT, fixture: bool = True) -> dict[str, str]:
     """SQL per query key. ``fixture=False`` leaves out the input views, for a
     connection where ``sales portfolio portfolio_total buyers tier entrep`` exist."""
-    _FIXTURE[0] = fixture
-    try:
-        return _oracle_sql(params)
-    finally:
-        _FIXTURE[0] = True
+    found = _oracle_sql(params)
+    if not fixture:
+        return found
+    views = FIXTURE_CTES.strip()
+    return {k: f"WITH\n{views}\nSELECT * FROM (\n{v}) AS result\n" for k, v in found.items()}
 
 
 def _oracle_sql(params: Params) -> dict[str, str]:
@@ -285,9 +301,9 @@ SELECT store_url, {MONTH} AS calendar_month,
        CAST(sum(net_value) AS DECIMAL(38,2)) AS venta_quincenal
 FROM sales WHERE {VALID} AND {MONTH} > DATE '{after}'
 GROUP BY 1, 2, 3"""),
-        "commission_tracker": _with(_tracker_dailyroup(params, True),
+        "commission_tracker": _with(_tracker_groups(params, True),
                                     select="SELECT * FROM tracker ORDER BY creation_date DESC NULLS FIRST"),
-        "commission_tracker_all_stores": _with(_tracker_dailyroup(params, False),
+        "commission_tracker_all_stores": _with(_tracker_groups(params, False),
                                                select="SELECT * FROM tracker ORDER BY creation_date DESC NULLS FIRST"),
     }
     for pop in ("old", "new"):
@@ -305,12 +321,13 @@ SELECT {_upper(['mentora', 'orientador', 'store_url', 'leader_name', 'dynamo_cus
         q[f"report_totals_{pop}"] = _with(*_portfolio_chain(pop, params, "advisor_totals"), select=f"""
 SELECT {_upper(['mentora', 'orientador', 'porc_graduados', size, 'total_graduados', 'ganancia_unitaria',
                 'ganancia', 'porc_meta', 'emprendedores_meta'])} FROM advisor_totals""")
-    q["report_commission"] = _with(_tracker_dailyroup(params, True), select="""
+    q["report_commission"] = _with(_tracker_groups(params, True), select="""
 SELECT strftime(creation_date, '%Y-%m-%d') AS CREATION_DATE, strftime(calendar_date, '%Y-%m-%d') AS CALENDAR_DATE,
        strftime(calendar_month, '%Y-%m-%d') AS CALENDAR_MONTH, quincena AS QUINCENA, store_url AS STORE_URL,
        leader_name AS LEADER_NAME, tier_net_lm AS TIER_NET_LM, total AS TOTAL, venta_quincenal AS VENTA_QUINCENAL,
        comision AS COMISION
 FROM tracker ORDER BY creation_date DESC NULLS FIRST""")
+    q["report_detail_old_csv"] = q["report_detail_old"]
     # both populations in one result, with the population as a column
     parts_d, parts_t = [], []
     for pop in ("old", "new"):

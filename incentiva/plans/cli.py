@@ -12,12 +12,11 @@ buyers, tier, stores) in parquet, orc, csv or json (``--input-format``). The ses
 from __future__ import annotations
 
 import argparse
-import datetime as dt
-from decimal import Decimal
+import json
 
 from pyspark.sql import SparkSession
 
-from ..params import DEFAULT
+from ..params import Params
 from ..sources.schemas import SCHEMAS
 from ..sources.tables import from_files, from_tables, require_unique_dimensions
 from .reports_job import run_reports
@@ -32,15 +31,19 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--input-format", default="parquet", choices=["parquet", "orc", "csv", "json"],
                     help="file format of the input folders under --root")
     ap.add_argument("--out", required=True, help="output folder for the report tables")
-    ap.add_argument("--month", default=DEFAULT.month.isoformat(), help="report month, e.g. 2022-12-01")
-    ap.add_argument("--tracker-after", default=DEFAULT.tracker_after_month.isoformat(),
+    ap.add_argument("--month", default=None, help="report month, e.g. 2022-12-01")
+    ap.add_argument("--tracker-after", default=None,
                     help="the tracker covers months strictly after this one")
     ap.add_argument("--sales-month-col", default=None, help="month partition column of the sales table")
     ap.add_argument("--zone", default=None,
                     help="zone whose wall clock dates the sales, when timestamps are stored zoned")
     ap.add_argument("--all-stores", action="store_true", help="keep tracker sales without a tier row")
-    ap.add_argument("--bonus-min", default=str(DEFAULT.bonus_min), help="month spend that earns a bonus mark")
-    ap.add_argument("--graduate-min", type=int, default=DEFAULT.graduate_min, help="bonus marks to graduate")
+    ap.add_argument("--bonus-min", default=None, help="month spend that earns a bonus mark")
+    ap.add_argument("--graduate-min", type=int, default=None, help="bonus marks to graduate")
+    ap.add_argument("--params-file", default=None,
+                    help="JSON object of further parameters (Params.from_json): ladders and populations, cut date, labels, "
+                         "null order, strict division; the options above win where both are given")
+    ap.add_argument("--missing-date-text", default=None, help="text for a missing date in the commission report")
     ap.add_argument("--format", default="parquet", choices=["parquet", "orc", "json", "csv"],
                     help="report format")
     ap.add_argument("--require-unique-dimensions", action="store_true",
@@ -50,6 +53,16 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return ap.parse_args(argv)
 
 
+def _params(a: argparse.Namespace) -> Params:
+    given = {}
+    if a.params_file:
+        with open(a.params_file, encoding="utf-8") as f:
+            given = json.load(f)
+    options = {"month": a.month, "tracker_after_month": a.tracker_after, "sales_month_col": a.sales_month_col,
+               "bonus_min": a.bonus_min, "graduate_min": a.graduate_min, "tier_required": False if a.all_stores else None}
+    return Params.from_json(given | {k: v for k, v in options.items() if v is not None})
+
+
 def main(argv: list[str] | None = None) -> str:
     a = parse_args(argv)
     spark = SparkSession.builder.appName("incentiva-reports").getOrCreate()
@@ -67,15 +80,7 @@ def main(argv: list[str] | None = None) -> str:
                          sales_month_col=a.sales_month_col, zone=a.zone)
     if a.require_unique_dimensions:
         require_unique_dimensions(src)
-    params = DEFAULT.with_(
-        month=dt.date.fromisoformat(a.month),
-        tracker_after_month=dt.date.fromisoformat(a.tracker_after),
-        sales_month_col=a.sales_month_col,
-        tier_required=not a.all_stores,
-        bonus_min=Decimal(a.bonus_min),
-        graduate_min=a.graduate_min,
-    )
-    paths = run_reports(spark, src, a.out, params, fmt=a.format)
+    paths = run_reports(spark, src, a.out, _params(a), fmt=a.format, missing_date_text=a.missing_date_text)
     return paths.root
 
 

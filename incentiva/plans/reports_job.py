@@ -8,15 +8,20 @@ times and the detail of each population is computed twice. Here:
   table in the output folder (shared storage). Reading it back cuts the
   lineage: a lost executor costs a re-read of the staged files, not a re-run of
   the sales aggregation;
-* each detail report is a partition-pruned read of the staged table;
-* the totals of both populations come from the staged detail in one pass
-  (store graduation and advisor totals are small);
+* each detail report is a partition-pruned read of the staged table, and the
+  totals of a population come from its part of it;
 * the commission tracker is its own scan (it needs every month after the cut,
   not one month).
+
+A run writes all its tables to a new folder, ``runs/<id>``, removes the staged
+detail, and last points ``current`` at the run. So ``current_run`` is always one
+whole run: a failed one leaves the older one current.
 """
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -31,6 +36,10 @@ from ..sources.reports import shape_report, write_report
 from ..sources.tables import Sources
 
 
+log = logging.getLogger(__name__)
+SKEW_CONF = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin")
+
+
 @dataclass(frozen=True)
 class ReportPaths:
     root: str
@@ -51,7 +60,7 @@ class ReportPaths:
 
 
 def stage_detail(spark: SparkSession, src: Sources, paths: ReportPaths, params: Params = DEFAULT,
-                 populations: Sequence[str] = ("old", "new")) -> DataFrame:
+                 populations: Sequence[str] | None = None) -> DataFrame:
     """Compute the detail of all populations once, write it, and return the written table."""
     detail = bonus_detail_all(src, params, populations)
     detail.write.mode("overwrite").partitionBy(POP).parquet(paths.stage_detail)
@@ -67,16 +76,23 @@ def totals_report(detail_all: DataFrame, src: Sources, pop: str, params: Params
 
 
 def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params = DEFAULT,
-                populations: Sequence[str] = ("old", "new"), fmt: str = "parquet",
+                populations: Sequence[str] | None = None, fmt: str = "parquet",
                 missing_date_text: str | None = None, concurrent: bool = True) -> ReportPaths:
-    """Write all report tables under ``out_root`` and return their paths.
+    """Write all report tables to a new run folder under ``out_root``, make it current, and return their paths.
 
+    ``populations``: names; all that are configured by default. The session should have the settings of
+    ``session.CLUSTER_CONF`` (``apply_cluster_conf``); a warning names missing skew settings.
     ``missing_date_text`` is the commission report's text for a missing date (null by
     default). With ``concurrent`` the independent report writes are submitted from
     driver threads at once, so small jobs do not wait on each other; the commission
     tracker runs alongside the portfolio staging.
     """
-    paths = ReportPaths(out_root.rstrip("/"))
+    out_root = out_root.rstrip("/")
+    paths = ReportPaths(f"{out_root}/runs/{uuid.uuid4().hex}")
+    populations = [p.name for p in params.populations] if populations is None else populations
+    for k in SKEW_CONF:
+        if spark.conf.get(k, "false") != "true":
+            log.warning("%s is not set: a hot buyer stays in one task of a shuffle join (see session.apply_cluster_conf)", k)
     tracker = commission_tracker(src, params, sort=True)
     writes: list[Callable[[], None]] = [
         lambda: write_report(shape_report(tracker, date_text=True, missing_date_text=missing_date_text),
@@ -94,10 +110,24 @@ def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params
         _run_all(jobs, concurrent)
 
     writes.append(portfolio_reports)
-    _run_all(writes, concurrent)
+    try:
+        _run_all(writes, concurrent)
+    finally:
+        _delete(spark, f"{paths.root}/_stage")
+    spark.createDataFrame([(paths.root,)], "run string").coalesce(1).write.mode("overwrite").json(f"{out_root}/current")
     return paths
 
 
+def current_run(spark: SparkSession, out_root: str) -> ReportPaths:
+    """The paths of the last whole run under ``out_root``."""
+    return ReportPaths(spark.read.schema("run string").json(f"{out_root.rstrip('/')}/current").first()["run"])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _run_all(jobs: list[Callable[[], None]], concurrent: bool) -> None:
     if not concurrent or len(jobs) == 1:
         for job in jobs:

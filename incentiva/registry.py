@@ -2,8 +2,8 @@
 
 Each builds the six inputs from the driver's tables (``sources.testdata``) and
 runs one operator or result of the job over all of them. The ``report_*``
-entries run the whole report job once (into the session's shared folder) and
-return the written table read back.
+entries write their report into the session's shared folder and return it read
+back.
 """
 
 from __future__ import annotations
@@ -17,27 +17,14 @@ from .operators import commission as C
 from .operators import portfolio as P
 from .operators import sales as S
 from .params import DEFAULT, Params
-from .plans.reports_job import ReportPaths, run_reports
 from .plans.session import shared_dir
 from .sources import testdata
-from .sources.reports import read_report
+from .sources.reports import read_report, shape_report, write_report
 from .sources.tables import Sources, dimension_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_SOURCES: dict[tuple[int, str], tuple[SparkSession, Sources]] = {}
-
-
-def _src(spark: SparkSession, sf_dir: str) -> Sources:
-    """One input bundle per session and directory, so dimension sizes are measured once."""
-    key = (id(spark), sf_dir)
-    hit = _SOURCES.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = _SOURCES[key] = (spark, testdata.load(spark, sf_dir))
-    return hit[1]
-
-
 SourceQuery = Callable[[Sources], DataFrame]
 
 
@@ -74,31 +61,34 @@ def source_queries(params: Params = DEFAULT) -> dict[str, SourceQuery]:
     return q
 
 
-_REPORT_RUNS: dict[tuple, ReportPaths] = {}
+def _written(spark: SparkSession, report: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """A report written to a folder of its own and read back."""
+    path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"
+    write_report(report, path, fmt)
+    return read_report(spark, path, report.schema, fmt)
 
 
-def _reports(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> ReportPaths:
-    """Run the whole report job once per session and data directory."""
-    key = (id(spark), sf_dir, params)
-    if key not in _REPORT_RUNS:
-        root = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-        _REPORT_RUNS[key] = run_reports(spark, _src(spark, sf_dir), root, params)
-    return _REPORT_RUNS[key]
+def _report_queries(params: Params) -> dict[str, Query]:
+    def detail(pop: str, fmt: str = "parquet") -> Query:
+        return lambda s, d: _written(s, shape_report(P.bonus_detail(testdata.load(s, d), pop, params)), fmt)
 
+    def totals(pop: str) -> Query:
+        return lambda s, d: _written(s, shape_report(P.portfolio_totals(testdata.load(s, d), pop, params)))
 
-def _report_queries(params: Params) -> dict[str, Query]:
     return {
-        "report_detail_old": lambda s, d: read_report(s, _reports(s, d, params).detail("old")),
-        "report_detail_new": lambda s, d: read_report(s, _reports(s, d, params).detail("new")),
-        "report_totals_old": lambda s, d: read_report(s, _reports(s, d, params).totals("old")),
-        "report_totals_new": lambda s, d: read_report(s, _reports(s, d, params).totals("new")),
-        "report_commission": lambda s, d: read_report(s, _reports(s, d, params).commission),
+        "report_detail_old": detail("old"),
+        "report_detail_new": detail("new"),
+        "report_detail_old_csv": detail("old", "csv"),
+        "report_totals_old": totals("old"),
+        "report_totals_new": totals("new"),
+        "report_commission": lambda s, d: _written(
+            s, shape_report(C.commission_tracker(testdata.load(s, d), params), date_text=True)),
     }
 
 
 def queries(params: Params = DEFAULT) -> dict[str, Query]:
     q: dict[str, Query] = {
-        name: (lambda s, d, f=f: f(_src(s, d))) for name, f in source_queries(params).items()
+        name: (lambda s, d, f=f: f(testdata.load(s, d))) for name, f in source_queries(params).items()
     }
     q.update(_report_queries(params))
     return q

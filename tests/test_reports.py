@@ -10,6 +10,7 @@ from incentiva.operators import commission as C
 from incentiva.operators import portfolio as P
 from incentiva.plans.reports_job import run_reports
 from incentiva.sources import testdata
+from incentiva.sources.tables import from_frames
 from incentiva.sources.reports import read_report, shape_report, write_report
 
 
@@ -90,6 +91,11 @@ def test_cli_runs_the_job_from_catalog_tables(spark, src, tmp_path):
     from incentiva.plans import cli
     from incentiva.sources.schemas import SCHEMAS
 
+    # this run asks for unique dimensions, which the fixture's are not
+    keys = {"portfolio": ["emprendedor"], "portfolio_size": ["orientador"], "buyers": ["dynamo_customer_id"],
+            "tier": ["store_url", "calendar_month"], "stores": ["store_url"]}
+    src = from_frames(sales=src.sales, **{n: getattr(src, n).groupBy(*k).agg(*[
+        F.min(c).alias(c) for c in getattr(src, n).columns if c not in k]).select(getattr(src, n).columns) for n, k in keys.items()})
     for name in SCHEMAS:
         getattr(src, name).createOrReplaceTempView(f"cli_{name}")
     tables = ",".join(f"{name}=cli_{name}" for name in SCHEMAS)
