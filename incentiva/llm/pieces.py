@@ -82,16 +82,19 @@ class _Slots:
             self.keys[s], self.values[s] = h, v
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        slot = (h >> self.shift).astype(np.int64)
-        out = np.full(len(h), -1, np.int32)
-        open_ = np.arange(len(h))
+        slot = (h >> self.shift).astype(np.int32)
+        there = self.values[slot]
+        hit = self.keys[slot] == h
+        out = np.where(hit, there, np.int32(-1))
+        open_ = np.flatnonzero(~hit & (there >= 0))  # another key's place: look further
+        slot = slot[open_]
         while len(open_):
-            s = slot[open_]
-            hit = self.keys[s] == h[open_]
-            there = self.values[s]
+            slot = (slot + 1) & self.mask
+            there = self.values[slot]
+            hit = self.keys[slot] == h[open_]
             out[open_[hit]] = there[hit]
-            open_ = open_[~hit & (there >= 0)]
-            slot[open_] = (slot[open_] + 1) & self.mask
+            more = ~hit & (there >= 0)
+            open_, slot = open_[more], slot[more]
         return out
 
 
