@@ -1,21 +1,20 @@
-"""Line deduplication by winnowing: later copies of repeated passages are deleted.
+"""Line deduplication: later copies of repeated passages are deleted.
 
-A passage is a run of consecutive non-blank lines with at least ``min_words`` words. Only
-DataFrame functions are used.
+A passage is a run of consecutive non-blank lines with at least ``min_words`` words. Every
+line goes that lies in a passage which also stands at an earlier place, whatever is around it.
+Only DataFrame functions are used.
 
 1. Each document becomes arrays over its non-blank lines: position, hash of the trimmed
    line, number of words.
-2. Winnowing. The window at a line is that line and the following ones until they hold
-   ``min_words`` words; the line with the least hash of each window is a fingerprint. As the
-   choice depends on the window's lines alone, two copies of a passage share one.
-3. Every occurrence of a fingerprint is joined with its first occurrence (least doc_id, then
-   position), so a line in a million documents gives a million rows, never pairs of them.
-4. A match names two documents and an offset. Along that offset both line arrays are
-   compared, which extends the match both ways to maximal equal runs.
-5. Runs of ``min_words`` or more are deleted from the later document (or the later place in
-   one document). Every deleted line has an equal line earlier, so a first copy always stays.
-
-Words are counted by single spaces in trimmed lines. Lines are equal if a 64-bit and a 32-bit
+2. Windows: from each line the fewest lines that hold ``min_words`` words, and to each line the
+   fewest that end there. Both depend on the passage alone, so equal passages have equal windows,
+   and every line of a passage is in a window inside it. A document has at most two a line.
+3. Each window is joined, by a hash of its lines, with its first occurrence (least doc_id, then
+   position), so a window in a million documents gives a million rows, never pairs of them.
+4. The windows that are not a first occurrence are deleted; those that overlap or touch are one
+   run. Every deleted line has an equal line earlier, so a first copy always stays.
+
+Words are counted by single spaces in trimmed lines. Windows are equal if a 64-bit and a 32-bit
 hash of them are. Blank lines between deleted lines go with them.
 
 Defined cases: null text stays null; text without newline is one line; rows with equal id and
@@ -45,42 +44,32 @@ def line_arrays(docs: DataFrame) -> DataFrame:
                     F.expr("transform(x, y -> length(y.l) - length(replace(y.l, ' ', '')) + 1)").alias("w")))
 
 
-def fingerprints(lines: DataFrame, min_words: int) -> DataFrame:
-    """(id, th, pos, fp) of the least line of each window; pos counts non-blank lines from 0."""
-    # lines of the window at i: the fewest that reach min_words; null if the rest of the document does not
-    n = (f"aggregate(slice(w, i + 1, {min_words}), struct(0 as n, 0 as s), "
-         f"(a, x) -> if(a.s >= {min_words}, a, struct(a.n + 1 as n, a.s + x as s)), a -> if(a.s >= {min_words}, a.n, null))")
-    window = f"transform(sequence(0, size(h) - 1), i -> struct(i as i, {n} as n))"
-    least = "transform(filter(win, y -> y.n is not null), y -> y.i + array_position(slice(h, y.i + 1, y.n), array_min(slice(h, y.i + 1, y.n))) - 1)"
-    return (lines.select("id", "th", "h", F.expr(window).alias("win"))
-            .select("id", "th", "h", F.explode(F.array_distinct(F.expr(least))).alias("p"))
-            .select("id", "th", F.col("p").cast("int").alias("pos"), F.expr("h[cast(p as int)]").alias("fp")))
+def windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """(id, th, s, e, at_s, at_e, k, g): each window from line s to e (non-blank lines from 0; at: line numbers) and its hashes."""
+    # the last line of the shortest window from i; null if the rest of the document has fewer words
+    end = (f"aggregate(slice(w, i + 1, {min_words}), struct(0 as n, 0 as s), "
+           f"(a, x) -> if(a.s >= {min_words}, a, struct(a.n + 1 as n, a.s + x as s)), a -> if(a.s >= {min_words}, i + a.n - 1, null))")
+    # from i also up to each line that no later start reaches: the shortest windows that end there
+    from_i = "if(x is null, array(), transform(sequence(x, greatest(x, coalesce(get(ends, i + 1), size(h)) - 1)), j -> struct(i as s, j as e)))"
+    hashed = ("transform(win, x -> struct(x.s as s, x.e as e, at[x.s] as at_s, at[x.e] as at_e, "
+              "xxhash64(slice(h, x.s + 1, x.e - x.s + 1)) as k, hash(slice(g, x.s + 1, x.e - x.s + 1)) as g))")
+    return (lines.withColumn("ends", F.expr(f"transform(sequence(0, size(h) - 1), i -> {end})"))
+            .withColumn("win", F.expr(f"flatten(transform(ends, (x, i) -> {from_i}))"))
+            .select("id", "th", F.explode(F.expr(hashed)).alias("x")).select("id", "th", "x.*"))
 
 
 def repeated_runs(lines: DataFrame, stage: Stage, min_words: int) -> DataFrame:
     """(id, th, runs): the intervals of line numbers to delete, of each document that has any."""
-    # rows with equal id and text are one document
-    if not lines.groupBy("id", "th").count().where("count > 1").isEmpty():
-        lines = stage.put(lines.groupBy("id", "th").agg(*[F.first(c).alias(c) for c in ("at", "h", "g", "w")]), "lines")
-    found = stage.put(fingerprints(lines, min_words), "fingerprints")
-    first = stage.put(found.groupBy("fp").agg(F.min(F.struct("id", "th", "pos")).alias("first"), F.count("*").alias("n"))
-                      .where("n > 1").select("fp", "first"), "first")
-    later = found.join(first, "fp").where("not (id <=> first.id and th = first.th and pos = first.pos)")
-    match = stage.put(later.select("id", "th", F.col("first.id").alias("id0"), F.col("first.th").alias("th0"),
-                                   (F.col("pos") - F.col("first.pos")).alias("shift")).distinct(), "matches")
-    a = lines.select("id", "th", "at", "h", "g", "w")
-    b = lines.select(F.col("id").alias("id0"), F.col("th").alias("th0"), F.col("h").alias("h0"), F.col("g").alias("g0"))
-    both = match.join(b, (match.th0 == b.th0) & match.id0.eqNullSafe(b.id0)).select(match["*"], "h0", "g0")
-    both = both.join(a, (both.th == a.th) & both.id.eqNullSafe(a.id)).select(both["*"], "at", "h", "g", "w")
-    # places along the shift at which the lines differ, and one beyond each end; equal runs lie between
-    both = both.withColumn("lo", F.expr("greatest(0, shift)")).withColumn("hi", F.expr("least(size(h), size(h0) + shift) - 1"))
-    both = both.withColumn("gaps", F.expr(
-        "concat(array(lo - 1), filter(sequence(lo, hi), i -> h[i] <> h0[i - shift] or g[i] <> g0[i - shift]), array(hi + 1))"))
-    runs = F.expr("filter(transform(sequence(0, size(gaps) - 2), k -> struct(gaps[k] + 1 as s, gaps[k + 1] - 1 as e)), "
-                  f"r -> r.e >= r.s and aggregate(slice(w, r.s + 1, r.e - r.s + 1), 0, (t, x) -> t + x) >= {min_words})")
-    cut = both.select("id", "th", "at", F.explode(runs).alias("r")) \
-        .select("id", "th", F.expr("struct(at[r.s] as s, at[r.e] as e)").alias("r"))
-    return stage.put(cut.groupBy("id", "th").agg(F.sort_array(F.collect_set("r")).alias("runs")), "runs")
+    found = stage.put(windows(lines, min_words), "windows")
+    first = stage.put(found.groupBy("k", "g").agg(F.min(F.struct("id", "th", "s")).alias("first"), F.count("*").alias("n"))
+                      .where("n > 1").select("k", "g", "first"), "first")
+    # rows with equal id and text are one document: their windows are equal places
+    later = found.join(first, ["k", "g"]).where("not (id <=> first.id and th = first.th and s = first.s)")
+    cut = later.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("s", "e", "at_s", "at_e"))).alias("x"))
+    # sorted by start the windows are sorted by end too; those that overlap or touch are one run
+    begins = "transform(filter(x, (r, i) -> i = 0 or r.s > x[i - 1].e + 1), r -> r.at_s)"
+    ends = "transform(filter(x, (r, i) -> i = size(x) - 1 or x[i + 1].s > r.e + 1), r -> r.at_e)"
+    return stage.put(cut.select("id", "th", F.expr(f"zip_with({begins}, {ends}, (s, e) -> struct(s, e))").alias("runs")), "runs")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -89,7 +78,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     stage = Stage(docs.sparkSession, "line-dedup")
     df = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
-    lines = stage.put(line_arrays(df.select(key.alias("id"), text.cast("string").alias("text"))), "line-arrays")
+    lines = line_arrays(df.select(key.alias("id"), text.cast("string").alias("text")))
     runs = repeated_runs(lines, stage, min_words)
     if (runs.agg(F.sum(F.size("runs"))).first()[0] or 0) <= BROADCAST_INTERVALS:
         runs = F.broadcast(runs)

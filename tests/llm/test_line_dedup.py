@@ -88,3 +88,31 @@ def test_columns_and_dropping(spark):
     kept = LD.drop_repeated(df, min_words=MIN)
     assert kept.columns == df.columns
     assert sorted(tuple(r) for r in kept.collect()) == [(1, long, 1, 2), (3, "own", 5, 6), (4, "", 7, 8)]
+
+
+def whole(rows, min_words):
+    """Texts without the lines in a run of min_words words that stands anywhere earlier too; rows: distinct, sorted by id."""
+    docs = [[(i, x.strip(" ")) for i, x in enumerate(t.split("\n")) if x.strip(" ")] for _, t in rows]
+    seen, out = set(), {}
+    for (key, text), ls in zip(rows, docs):
+        gone = set()
+        for i in range(len(ls)):
+            for e in range(i, len(ls)):
+                run = tuple(x for _, x in ls[i:e + 1])
+                if sum(x.count(" ") + 1 for x in run) >= min_words:
+                    if run in seen:
+                        gone.update(range(i, e + 1))
+                    seen.add(run)
+        lines = {ls[i][0] for i in gone} | {j for i in gone if i + 1 in gone for j in range(ls[i][0], ls[i + 1][0])}
+        out[key] = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in lines)
+    return out
+
+
+def test_any_earlier_equal_run(spark):
+    """Lines picked earlier in other contexts do not save a second copy."""
+    rng = random.Random(66)
+    pool = [" ".join(rng.choice("abcdefg") * rng.randrange(1, 3) for _ in range(rng.randrange(1, 7))) for _ in range(14)]
+    rows = [(i, "\n".join(rng.choice(pool + ["", " "]) for _ in range(rng.randrange(1, 14)))) for i in range(150)]
+    for min_words in (6, 12, 20):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        assert {r["doc_id"]: r["text"] for r in LD.dedup_lines(df.repartition(4), min_words).collect()} == whole(rows, min_words)
