@@ -1,8 +1,9 @@
 """Language identification of whole texts, with spans of mixed-language text.
 
 Learning: counts of character 1- to 3-grams of the letters of each language's documents,
-from a bounded sample of labelled rows (``SAMPLE_ROWS``, chosen by a hash of the row key;
-whole texts), summed by Spark per language. The model is one table of log probabilities
+summed by Spark per language. Every label is learned: of each language all labelled rows
+are read, or, of one with more than ``SAMPLE_ROWS``, about that many (a bound per language;
+chosen by a hash of the row key; whole texts). The model is one table of log probabilities
 per hashed n-gram and language, of fixed size, plus each language's share of scripts.
 
 Prediction, one pass: a word is a run of letters and marks. Its script (by ranges of code
@@ -15,7 +16,8 @@ that share. All documents of a batch take their Viterbi steps together.
 Defined cases: null text, or text without a letter, is ``und`` with score 0 and no spans. Words in
 a script that no learned language uses count as letters of none; a text with only such
 words gets the most frequent learned language with score 0. Ties go to the language that is
-first in order of its name. With no labelled row at all every document is ``und``.
+first in order of its name. With no labelled row at all every document is ``und``; the filter
+of the pipeline then keeps all that have a letter.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 SAMPLE_ROWS = 20_000
+#: Rows are drawn by a hash below this.
+DRAW = 1 << 53
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 SWITCH_PENALTY = 12.0
@@ -141,6 +145,7 @@ class Model:
     score: list[np.ndarray]  # for each order (BUCKETS, languages), float32
     uses: np.ndarray  # (scripts, languages)
     common: int  # the most frequent language
+    whole: bool  # there are labelled rows, and all were read
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,15 +171,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id",
         sample_rows: int = SAMPLE_ROWS) -> Model:
-    """The model from rows with a language; at most about ``sample_rows`` of them, chosen by a hash of ``key_col``.
+    """The model from rows with a language; of each one all rows, or about ``sample_rows`` chosen by a hash of ``key_col``.
 
-    The driver gets one table of counts, of at most languages x (3 x 32768 + scripts) cells.
+    The driver gets one row per language, and one table of counts, of at most languages x (3 x 32768 + scripts) cells.
     """
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    n = rows.count()
-    if n > sample_rows:
-        rows = rows.where(F.pmod(F.xxhash64(F.col(key_col), F.lit("sample")), F.lit(1_000_000)) < int(1e6 * sample_rows / n))
-    counts = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")) \
+    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
+        .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
+                F.pmod(F.xxhash64(F.col(key_col), F.lit("sample")), F.lit(DRAW)).alias("draw"))
+    # the least draw of a language is always in, so none is lost
+    sizes = {r["lang"]: (r["n"], r["least"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()}
+    upto = {x: max(least, DRAW * sample_rows // n) for x, (n, least) in sizes.items() if n > sample_rows}
+    if upto:
+        bound = F.create_map(*[F.lit(v) for pair in upto.items() for v in pair])
+        rows = rows.where(F.col("draw") <= F.coalesce(bound[F.col("lang")], F.lit(DRAW)))
+    counts = rows.select("lang", "text") \
         .mapInArrow(_count, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
     lang = counts.column("lang").to_pylist()
     langs = sorted(set(lang))
@@ -188,7 +198,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
         score.append(np.ascontiguousarray(np.log(c / c.sum(axis=1, keepdims=True)).T.astype(np.float32)))
     by_script = table[:, -1 - N_SCRIPTS:-1]
     uses = (by_script >= SCRIPT_SHARE * np.maximum(by_script.sum(axis=1, keepdims=True), 1)).T & (by_script.T > 0)
-    return Model(langs, score, uses, int(np.argmax(table[:, -1])) if langs else 0)
+    return Model(langs, score, uses, int(np.argmax([sizes[x][0] for x in langs])) if langs else 0, bool(langs) and not upto)
 
 
 def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
@@ -203,11 +213,12 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     label = np.zeros(len(score), np.int16)
     if not len(order):
         return label
-    came = np.zeros(score.shape, np.int8)
+    kind = np.int8 if score.shape[1] <= 127 else np.int16
+    came = np.zeros(score.shape, kind)
     alive = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")  # sequences with a t-th word
     best = score[begin].astype(np.float64)
     final = np.zeros((len(order), score.shape[1]))
-    own = np.arange(score.shape[1], dtype=np.int8)
+    own = np.arange(score.shape[1], dtype=kind)
     for t in range(1, int(size[0])):
         m = alive[t]
         if m < len(best):
@@ -216,7 +227,7 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
         top = best.argmax(axis=1)
         moved = best[np.arange(m), top] - penalty
         stay = best >= moved[:, None]
-        came[begin[:m] + t] = np.where(stay, own, top[:, None].astype(np.int8))
+        came[begin[:m] + t] = np.where(stay, own, top[:, None].astype(kind))
         best = np.where(stay, best, moved[:, None]) + score[begin[:m] + t]
     final[: len(best)] = best
     now = final.argmax(axis=1)
@@ -252,14 +263,16 @@ def _predict_rows(texts: list, m: Model, penalty: float, spans: bool) -> list[di
     w = read_letters(texts)
     n, k = len(texts), len(m.langs)
     first = np.searchsorted(w.row, np.arange(n + 1))
+    letters = np.bincount(w.row, w.letters, n)
     if not k:
-        return [{"lang_pred": "und", "score": 0.0, "spans": []}] * n
+        return [{"lang_pred": "und", "score": 0.0, "spans": [], "letters": int(x), "known": 0.0} for x in letters]
     score, known = word_scores(w, m)
     label = viterbi(score, first, penalty)
     weight = np.bincount(w.row * k + label, w.letters * known, n * k).reshape(n, k)
-    letters = np.bincount(w.row, w.letters, n)
-    top = np.where(weight.sum(axis=1) > 0, weight.argmax(axis=1), m.common)
+    sure = weight.sum(axis=1)
+    top = np.where(sure > 0, weight.argmax(axis=1), m.common)
     share = weight[np.arange(n), top] / np.maximum(letters, 1)
+    known_share = sure / np.maximum(letters, 1)
     each: list[list] = [[] for _ in range(n)]
     if spans and len(w.row):
         shown = np.where(known, label, -1)
@@ -268,18 +281,23 @@ def _predict_rows(texts: list, m: Model, penalty: float, spans: bool) -> list[di
         for r, s, e, v in zip(w.row[cut].tolist(), (w.start[cut] - w.at[w.row[cut]]).tolist(),
                               (w.end[last] - w.at[w.row[cut]]).tolist(), shown[cut].tolist()):
             each[r].append({"start": s, "end": e, "lang": m.langs[v] if v >= 0 else "und"})
-    return [{"lang_pred": m.langs[top[i]] if letters[i] else "und", "score": float(share[i]), "spans": each[i]} for i in range(n)]
+    return [{"lang_pred": m.langs[top[i]] if letters[i] else "und", "score": float(share[i]), "spans": each[i],
+             "letters": int(letters[i]), "known": float(known_share[i])} for i in range(n)]
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH_PENALTY, spans: bool = True) -> DataFrame:
-    """``docs`` with a struct column, found: lang_pred, score, spans (code points [start, end) and language)."""
+    """``docs`` with a struct column, found: lang_pred, score, spans (code points [start, end) and language), letters, known.
+
+    known: the share of letters in words of a script that a learned language uses.
+    """
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = T.StructType([
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("spans", T.ArrayType(T.StructType([
-            T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())])))])
+            T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())]))),
+        T.StructField("letters", T.LongType()), T.StructField("known", T.DoubleType())])
     names = docs.columns
     df = docs.toDF(*[f"c{i}" for i in range(len(names))])
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -292,8 +310,18 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
 LEAST_SCORE = 0.25
 
 
-def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
-    """``docs`` without those that have no letter or no predominant known language; columns unchanged."""
+def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE, lang_col: str = "lang") -> DataFrame:
+    """``docs`` without those that have no letter or no predominant known language; columns unchanged.
+
+    Letters of scripts that the model does not know tell against a document only if it has no label
+    (``lang_col``, if there is one) and the model has read all labelled rows; else the others decide.
+    """
     names = docs.columns
     df = identify(docs, model, spans=False).toDF(*[f"c{i}" for i in range(len(names))], "found")
-    return df.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= least_score)).drop("found").toDF(*names)
+    judged = F.lit(1.0) if model.whole else F.col("found.known")
+    if lang_col in names:
+        judged = F.when(F.col(f"c{names.index(lang_col)}").isNotNull(), F.col("found.known")).otherwise(judged)
+    kept = (F.col("found.letters") > 0) & (F.col("found.score") >= least_score * judged)
+    if model.langs:
+        kept &= F.col("found.lang_pred") != "und"
+    return df.where(kept).drop("found").toDF(*names)

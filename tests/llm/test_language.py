@@ -61,3 +61,25 @@ def test_sample_is_bounded(spark):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("en").alias("lang"))
     model = L.fit(many, sample_rows=200)
     assert model.langs == ["en"]
+
+
+def test_rare_languages_are_learned_and_kept(spark):
+    """The bound of the sample is one per language, and an unlearned script alone rejects no labelled document."""
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("the cat").alias("text"), F.lit("en").alias("lang"))
+    rare = spark.createDataFrame([(5000, "собака и кошка", "ru"), (5001, "שלום עולם", "he"), (5002, "and so on", "aa")], many.schema)
+    model = L.fit(many.union(rare), sample_rows=50)
+    assert model.langs == ["aa", "en", "he", "ru"] and model.langs[model.common] == "en" and not model.whole
+    found = {r["doc_id"]: r["found"]["lang_pred"] for r in L.identify(rare, model).collect()}
+    assert found == {5000: "ru", 5001: "he", 5002: "aa"}
+    other = spark.createDataFrame([(1, "猫と犬", "ja"), (2, "123", "ja"), (3, "猫と犬", None), (4, "the cat", None)], "doc_id bigint, text string, lang string")
+    assert {r["doc_id"] for r in L.keep_identified(other, model).collect()} == {1, 3, 4}
+    full = L.fit(many.limit(20).union(rare))
+    assert full.whole and {r["doc_id"] for r in L.keep_identified(other, full).collect()} == {1, 4}
+    unlabelled = other.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in L.keep_identified(unlabelled, L.fit(unlabelled)).collect()} == {1, 3, 4}
+
+
+def test_viterbi_with_many_labels():
+    score = np.zeros((4, 300), np.float32)
+    score[[0, 1, 2, 3], [290, 290, 140, 140]] = 9
+    assert L.viterbi(score, np.array([0, 4]), 1.0).tolist() == [290, 290, 140, 140]
