@@ -8,7 +8,8 @@ Spark deals them out, a task holds one page's tree at a time. Parsing and render
 the page's length and do not recurse, so deep nesting and long pages are safe.
 
 Invisible: script, style, template, the head and comments; elements with ``hidden``,
-``display: none`` (inline or by a simple tag, class or id rule of a style element), closed
+``display: none`` (inline or by a simple tag, class or id rule of a style element; rules inside
+at-rules count only in ``@layer`` and in ``@media`` for screen or all without conditions), closed
 ``details`` but for their summary, closed ``dialog``; text under ``visibility: hidden`` (a
 descendant may be visible again). ``noscript`` is visible, as no script is run.
 
@@ -62,7 +63,8 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?"
     r"|(?P<text>[^<]+|<)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_CSS = re.compile(r"(?P<comment>/\*.*?(?:\*/|\Z))|\\.|\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|\burl\([^)\"']*\)|[{};]|[^{};/\\\"'u]+|.", re.S)
+_MEDIA = re.compile(r"((only\s+)?(screen|all))?")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _SEEN = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
@@ -112,7 +114,8 @@ def parse(html: str) -> tuple[Node, set[str]]:
             stop = low.find("</" + tag, at) if len(low) == len(html) else _find(html, tag, at)
             stop = len(html) if stop < 0 else stop
             if tag == "style":
-                _hide(html[at:stop], unseen)
+                if _on_screen(node.attrs.get("media", "")):
+                    _hide(html[at:stop], unseen)
             elif tag in RAW_TEXT:
                 node.children.append(unescape(html[at:stop]))
             at = html.find(">", stop) + 1 or len(html)
@@ -126,10 +129,34 @@ def _find(html: str, tag: str, at: int) -> int:
     return m.start() if m else -1
 
 
+def _on_screen(media: str) -> bool:
+    """Whether a list of media queries holds on any screen."""
+    return any(_MEDIA.fullmatch(q.strip()) for q in media.lower().split(","))
+
+
 def _hide(css: str, unseen: set[str]) -> None:
-    for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", css, flags=re.S)):
-        if _NONE.search(body):
-            unseen.update(s for s in (x.strip().lower() for x in selectors.split(",")) if re.fullmatch(r"[a-z0-9]*([.#][\w-]+)?", s) and s)
+    # open blocks: selectors (None: no rule that counts), whether rules inside count, own declarations
+    blocks: list[tuple[str | None, bool, list[str]]] = []
+    part: list[str] = []
+    for m in _CSS.finditer(css):
+        t = m[0]
+        if t == "{":
+            head, part = "".join(part).strip(), []
+            counts = not blocks or blocks[-1][1]
+            name = re.match(r"@[\w-]*", head)
+            inside = counts and name is not None and (
+                name[0].lower() == "@layer" or name[0].lower() == "@media" and _on_screen(head[name.end():]))
+            blocks.append((head if counts and not name else None, inside, []))
+        elif t == "}" or t == ";":
+            if blocks:
+                blocks[-1][2].append("".join(part))
+            part = []
+            if t == "}" and blocks:
+                selectors, _, body = blocks.pop()
+                if selectors and any(map(_NONE.search, body)):
+                    unseen.update(s for s in (x.strip().lower() for x in selectors.split(",")) if re.fullmatch(r"[a-z0-9]*([.#][\w-]+)?", s) and s)
+        elif m["comment"] is None:
+            part.append(t)
 
 
 def _end(stack: list[Node], tag: str) -> None:

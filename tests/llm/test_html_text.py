@@ -67,3 +67,16 @@ def test_all_visible_text_of_pages_is_kept(spark):
 
         if "hidden" not in html and "display" not in html:
             assert sorted(re.findall(r"\w+", page_text(html))) == sorted(re.findall(r"\w+", unescape(plain)) + re.findall(r"(?m)^ *(\d+)\. ", page_text(html)))
+
+
+def test_rules_inside_at_rules():
+    page = "<style>{}</style><p class=nav>menu</p><p>text</p>"
+    hidden = [".nav{display:none}", "@media screen{.nav{display:none}}", "@media print, all {.x{color:red} .nav{display:none}}",
+              "@import url(a;b.css); .nav{display:none}", "@layer base{.nav{display:none}}", ".x::before{content:'}'} .nav{display:none}",
+              "@media print{.x{display:none}} .nav{color:red; display:none}", "/* @media print{ */ .nav{display:none}", "@MEDIA Only Screen{.nav{display:none}}"]
+    shown = ["@media print{.nav, footer{display:none}}", "@media (max-width:600px){.nav{display:none}}", "@media screen and (max-width:9px){.nav{display:none}}",
+             "@supports (x:y){@media screen{.nav{display:none}}}", "@media not screen{.nav{display:none}}", ".x{color:red; .nav{display:none}}",
+             "@media print{.a{color:red} .nav{display:none}}", ".x::before{content:'.nav{display:none}'}"]
+    assert {page_text(page.replace("{}", css)) for css in hidden} == {"text"}
+    assert {page_text(page.replace("{}", css)) for css in shown} == {"menu\n\ntext"}
+    assert page_text("<style media=print>.nav{display:none}</style><p class=nav>menu</p>") == "menu"
