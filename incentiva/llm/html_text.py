@@ -14,7 +14,8 @@ at-rules count only in ``@layer`` and in ``@media`` for screen or all without co
 descendant may be visible again). ``noscript`` is visible, as no script is run.
 
 Defined cases: null stays null; an empty page gives the empty text; broken markup never fails, a
-``<`` that begins no tag is text. Other columns pass through unchanged, whatever their names.
+``<`` that begins no tag is text, and in a tag a quote opens a value only right after ``=`` and if it
+is closed. Other columns pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -60,9 +61,9 @@ LISTS = frozenset(("ul", "ol", "menu", "dir"))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[\s/]+|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+|))?)*+)>?"
     r"|(?P<text>[^<]+|<)", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_ATTR = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*+)|))?")
 _CSS = re.compile(r"(?P<comment>/\*.*?(?:\*/|\Z))|\\.|\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|\burl\([^)\"']*\)|[{};]|[^{};/\\\"'u]+|.", re.S)
 _MEDIA = re.compile(r"((only\s+)?(screen|all))?")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
@@ -101,8 +102,6 @@ def parse(html: str) -> tuple[Node, set[str]]:
                 stack[-1].children.append(m["cdata"])
             continue
         tag = tag.lower()
-        if not m[0].endswith(">"):  # an open quote or the end of the page: the tag goes on to the next >
-            at = html.find(">", at) + 1 or len(html)
         if m["end"]:
             _end(stack, tag)
             continue

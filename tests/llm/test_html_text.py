@@ -80,3 +80,18 @@ def test_rules_inside_at_rules():
     assert {page_text(page.replace("{}", css)) for css in hidden} == {"text"}
     assert {page_text(page.replace("{}", css)) for css in shown} == {"menu\n\ntext"}
     assert page_text("<style media=print>.nav{display:none}</style><p class=nav>menu</p>") == "menu"
+
+
+def test_stray_quotes_in_tags():
+    cases = {
+        "<p title=\"5\" screen\">Visible text <a href=\"x\">link</a> and more</p><p class=\"b\">second</p>": "Visible text link and more\n\nsecond",
+        "<p title=don't>Hello, it's seen</p>": "Hello, it's seen",
+        "<p don't>Hello, it's seen</p>": "Hello, it's seen",
+        "<p title=\"a > b\" x='c > d'>e</p>": "e",
+        "<p title = \"open>one</p><p>two</p>": "one\n\ntwo",
+        "<p a=>one</p><p a='\"'hidden>no</p>": "one",
+        "<p a=/x/ hidden>no</p>one</p title='>'>": "one",
+        "<p title=5\" hidden>no</p><p =\" class='x'>it's</p>": "it's",
+        "one<p a=\"x": "one",
+    }
+    assert {html: page_text(html) for html in cases} == cases
