@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda batches: _sign(batches, size, bands, rows),
         f"id {kind.simpleString()}, h bigint, node bigint, keys array<bigint>"), "signed")
 
-    labels = link_nodes(docs, signed, stage, size, threshold, pivot_rounds)
+    labels = link_nodes(docs, signed, stage, size, threshold, pivot_rounds, bands, rows)
     member = signed.select("id", "node").join(small(labels), "node", "left").withColumn("class", F.coalesce("label", "node"))
     classes = stage.put(member.where("class is not null").groupBy("class").agg(
         F.min("id").alias("class_id"), F.count("*").alias("class_size")).where("class_size > 1"), "classes")
@@ -210,7 +210,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 
-def link_nodes(docs: DataFrame, signed: DataFrame, stage: Stage, size: int, threshold: float, pivot_rounds: int) -> DataFrame:
+def link_nodes(docs: DataFrame, signed: DataFrame, stage: Stage, size: int, threshold: float, pivot_rounds: int,
+               bands: int, rows: int) -> DataFrame:
     """(node, label) for nodes linked to others: the least node of the component that all candidate pairs at or above the threshold make."""
     band = signed.select("node", F.explode("keys").alias("key"))
     shared = stage.put(band.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
@@ -236,7 +237,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, stage: Stage, size: int, thre
             .select("key", "node", F.coalesce("label", "node").alias("label"))
         open_keys = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
         members = stage.put(members.join(small(stage.put(open_keys, f"open-{k}"), 500_000), "key", "left_semi"), f"members-{k + 1}")
-    rest = _rest(members, tested, texts, stage, size, threshold)
+    rest = _rest(members, tested, texts, stage, size, threshold, bands, rows)
     return _merged(labels, _verified(rest, texts, stage, "links-rest", size, threshold), stage, "labels")
 
 
@@ -264,7 +265,7 @@ BLOCK = 2048
 _TILE = 128
 
 
-def _rest(members: DataFrame, tested: DataFrame, texts: DataFrame, stage: Stage, size: int, threshold: float) -> DataFrame:
+def _rest(members: DataFrame, tested: DataFrame, texts: DataFrame, stage: Stage, size: int, threshold: float, bands: int, rows: int) -> DataFrame:
     """Pairs that share a key but not a component, sieved by a longer signature.
 
     Components joined by shared keys are a family. A family's nodes are dealt by hash into blocks of
@@ -281,7 +282,7 @@ def _rest(members: DataFrame, tested: DataFrame, texts: DataFrame, stage: Stage,
         .where("lo < hi").select("family", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = stage.put(family.join(small(stage.put(sizes, "family-sizes")), "family"), "dealt")
     long = texts.join(small(dealt), "node").mapInArrow(
-        lambda batches: _long_signatures(batches, size), "node bigint, label bigint, family bigint, blocks int, keys binary, sieve binary")
+        lambda batches: _long_signatures(batches, size, bands, rows), "node bigint, label bigint, family bigint, blocks int, keys binary, sieve binary")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     tasks = long.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = tasks.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
@@ -290,11 +291,11 @@ def _rest(members: DataFrame, tested: DataFrame, texts: DataFrame, stage: Stage,
     return stage.put(found.join(tested, ["u", "v"], "left_anti"), "pairs-rest")
 
 
-def _long_signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _long_signatures(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in text_slices(whole, "text", 250_000):
             row, ids, weight, _ = weighted_shingles(b.column("text"), size)
-            keys = band_keys(prob_minhash(row, ids, weight, b.num_rows, BANDS * ROWS), BANDS, ROWS)
+            keys = band_keys(prob_minhash(row, ids, weight, b.num_rows, bands * rows), bands, rows)
             sieve = (mix(prob_minhash(row, ids, weight, b.num_rows, SIEVE)) & _U(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in ("node", "label", "family", "blocks")), pa.array([x.tobytes() for x in keys], pa.binary()),

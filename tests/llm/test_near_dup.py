@@ -137,3 +137,14 @@ def test_empty(spark):
     assert N.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     only = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
     assert sorted(tuple(r) for r in N.near_duplicates(only).collect()) == [(1, 1, 1), (2, 2, 1)]
+
+
+def test_blocks_use_the_bands_of_the_caller():
+    text = pa.array([" ".join(words(random.Random(10), 60))])
+    one = pa.array([1])
+    batch = pa.RecordBatch.from_arrays([one, one, one, one, text], ["node", "label", "family", "blocks", "text"])
+    row, ids, weight, _ = N.weighted_shingles(text, 5)
+    for bands, rows in ((16, 1), (N.BANDS, N.ROWS), (64, 3)):
+        want = N.band_keys(N.prob_minhash(row, ids, weight, 1, bands * rows), bands, rows)
+        got = next(N._long_signatures(iter([batch]), 5, bands, rows))
+        assert got.column("keys").to_pylist() == [want[0].tobytes()]
