@@ -45,6 +45,35 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+#: Salts over which a heavy key of a lookup is spread.
+SALTS = 64
+#: A key is heavy from so many rows on, or one in so many of all rows if that is more.
+HEAVY_ROWS = 100_000
+
+
+def lookup(rows: DataFrame, found: DataFrame, keys: list[str], stage: Stage, name: str, heavy_rows: int = HEAVY_ROWS,
+           max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows LEFT JOIN found`` on ``keys``, where ``found`` has each key once, whatever the skew of ``rows``.
+
+    A ``found`` of at most ``max_rows`` rows is broadcast. Else keys with more than ``heavy_rows`` rows
+    (counted, with map-side partial sums) are dealt over SALTS by the rows' input partition, and their one
+    row of ``found`` is repeated for each salt. At most ``heavy_rows`` keys can be heavy, so that
+    list is bounded. Both sides are read more than once: pass staged tables.
+    """
+    total = found.count()
+    if total <= max_rows:
+        return rows.join(F.broadcast(found), keys, "left")
+    least = max(heavy_rows, rows.count() // heavy_rows)
+    heavy = stage.put(rows.groupBy(*keys).count().where(F.col("count") > least).select(*keys, F.lit(True).alias("__heavy")), f"{name}-heavy")
+    if heavy.isEmpty():
+        return rows.join(found, keys, "left")
+    salt = F.when(F.col("__heavy"), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)
+    salts = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(F.broadcast(heavy), keys, "left").withColumn("__salt", salt).drop("__heavy")
+    right = found.join(F.broadcast(heavy), keys, "left").withColumn("__salt", F.explode(salts)).drop("__heavy")
+    return left.join(right, [*keys, "__salt"], "left").drop("__salt")
+
+
 def text_slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive zero-copy slices of a batch with about ``size`` bytes of text each."""
     if batch.num_rows == 0:
