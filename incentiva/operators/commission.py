@@ -11,25 +11,25 @@ Plan shape, chosen for a very large sales table:
 3. otherwise sales are first pre-aggregated to (day, store, leader) with
    map-side partial aggregation, and the dimensions, collapsed to distinct rows
    with a copy count, are joined to that much smaller aggregate;
-4. the half-month total is a window over (store, half, month) on the aggregate;
-   a store's partitions hold at most ~16 days x leaders x tiers rows. After
-   shuffle joins on the store the window needs no exchange of its own;
-5. sales without a store (kept only without ``tier_required``) would be one
-   window partition per half month and one reducer of the joins, however many
-   there are. They get a salt, so joins and window spread them, and their
-   totals come from one aggregate of two rows a month, broadcast back.
+4. the half-month total is one more aggregate of that table, per (store, half, month)
+   and with map-side partial sums, joined back. Its rows are repeated over a few salts,
+   by which the daily rows are dealt (hash of leader, day and tier), so a store with very many
+   leaders, or the sales without a store (kept only without ``tier_required``), are in
+   no single task; a window over the store would hold them all in one;
+5. sales without a store would also be one reducer of the shuffle joins, however many
+   there are. They get a salt there (they match nothing, so they may go anywhere).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_month, half_month, month_start, sale_date, scheme_label
 from ..params import DEFAULT, Params
 from ..sources.schemas import sum_money
 from ..sources.tables import Sources
-from .joins import MULTIPLICITY, checked_broadcast, copies, with_multiplicity
+from .joins import MULTIPLICITY, checked_broadcast, copies, salted_join, times, with_multiplicity
 from .sales import valid_sales_after
 
 TRACKER_COLUMNS = [
@@ -49,7 +49,9 @@ def sales_with_tier(src: Sources, params: Params = DEFAULT) -> DataFrame:
     """Valid sale lines after the cut month with the store's tier of that month.
 
     The join key month is derived from the sale day before the join. With
-    ``tier_required`` (the default) a sale without a tier row is dropped.
+    ``tier_required`` (the default) a sale without a tier row is dropped. A large tier
+    table meets the lines in a salted shuffle join: lines without a store are spread, and
+    those of a store and month with very many are dealt over salts.
     """
     how = "inner" if params.tier_required else "left"
     sales = valid_sales_after(src.sales, params).select(
@@ -57,9 +59,13 @@ def sales_with_tier(src: Sources, params: Params = DEFAULT) -> DataFrame:
         "net_value",
     )
     tier = _tier_for_tracker(src.tier, params)
-    tier, _ = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows,
-                                bound=src.size_bound("tier"), memo=src._sizes, key=("tier", params.tracker_after_month))
-    return sales.join(tier, ["store_url", "calendar_month"], how)
+    tier, check = checked_broadcast(tier, params.broadcast_max_bytes, params.broadcast_max_rows,
+                                    bound=src.size_bound("tier"), memo=src._sizes, key=("tier", params.tracker_after_month))
+    keys = ["store_url", "calendar_month"]
+    if check.broadcast:
+        return sales.join(tier, keys, how)
+    spread = ["order_number", "dynamo_customer_id", "leader_name", "calendar_date"]
+    return salted_join(sales, tier, keys, spread, how, SALT, params.heavy_key_rows).drop(SALT)
 
 
 def half_month_sales(src: Sources, params: Params = DEFAULT) -> DataFrame:
@@ -84,10 +90,21 @@ def store_salt() -> Column:
     return F.when(F.col("store_url").isNull(), F.xxhash64("leader_name", "calendar_date")).otherwise(F.xxhash64("store_url"))
 
 
-def half_month_sales_without_store(src: Sources, params: Params) -> DataFrame:
-    """(quincena, calendar_month, __lost): totals of the sales without a store, two rows a month."""
-    lost = valid_sales_after(src.sales.where(F.col("store_url").isNull()), params)
-    return lost.groupBy(half_month(F.col("calendar_date")).alias("quincena"), "calendar_month").agg(F.sum("net_value").alias("__lost"))
+#: Tasks over which the daily rows of one store and half month are spread.
+HALF_SALTS = 16
+
+
+def with_half_month_total(daily: DataFrame) -> DataFrame:
+    """``daily`` with ``venta_quincenal``, the sum of ``total`` per store (or missing store), half and month."""
+    keys = HALF_MONTH_KEYS
+    half = daily.groupBy(*keys).agg(F.sum("total").alias("venta_quincenal"))
+    half = half.select(*[F.col(k).alias(f"__{k}") for k in keys], "venta_quincenal",
+                       F.explode(F.sequence(F.lit(0), F.lit(HALF_SALTS - 1))).alias("__salt"))
+    dealt = F.pmod(F.xxhash64("leader_name", "calendar_date", "tier_net_lm"), F.lit(HALF_SALTS)).cast("int")
+    same = dealt == F.col("__salt")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return daily.join(half, same, "inner").drop("__salt", *[f"__{k}" for k in keys])
 
 
 def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True) -> DataFrame:
@@ -96,6 +113,7 @@ def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True
     Sorted by creation date descending (missing dates first by default) when ``sort``.
     """
     how = "inner" if params.tier_required else "left"
+    money = sum_money(src.sales, "net_value")
     src.size_bounds("tier", "stores")  # in one job
     tier = _tier_for_tracker(src.tier, params)
     stores = src.stores.select("store_url", sale_date(F.col("create_date_tz")).alias("creation_date"))
@@ -128,29 +146,21 @@ def commission_tracker(src: Sources, params: Params = DEFAULT, sort: bool = True
         if stores_check.broadcast:
             stores_u = F.broadcast(stores_u)
         j = daily.join(tier_u, ["store_url", "calendar_month", *salt], how).join(stores_u, ["store_url", *salt], "left")
-        j = j.withColumn("total", F.col("total") * copies("__tier_copies") * copies("__store_copies"))
+        product = times(F.col("total"), copies("__tier_copies"), money.scale)
+        j = j.withColumn("total", times(product, copies("__store_copies"), money.scale))
 
-    money = sum_money(src.sales, "net_value")
-    keep = [c for c in (SALT,) if c in j.columns]
     j = j.select(
         "creation_date", "calendar_date", "calendar_month",
         half_month(F.col("calendar_date")).alias("quincena"),
-        "store_url", "leader_name", "tier_net_lm", F.col("total").cast(money).alias("total"), *keep,
+        "store_url", "leader_name", "tier_net_lm", F.col("total").cast(money).alias("total"),
     )
-    venta = F.sum("total").over(Window.partitionBy(*HALF_MONTH_KEYS))
-    if not params.tier_required:
-        if not keep:
-            j = j.withColumn(SALT, store_salt())
-        lost = half_month_sales_without_store(src, params)
-        j = j.join(F.broadcast(lost), ["quincena", "calendar_month"], "left")
-        venta = F.when(F.col("store_url").isNull(), F.col("__lost")).otherwise(
-            F.sum("total").over(Window.partitionBy(*HALF_MONTH_KEYS, SALT)))
+    j = with_half_month_total(j)
     created = F.col("creation_date")
     label = scheme_label(created, params.cut_date, params.label_on_or_after, params.label_before,
                          params.label_unknown)
     out = j.select(
         *TRACKER_COLUMNS[:8],
-        venta.cast(money).alias("venta_quincenal"),
+        F.col("venta_quincenal").cast(money).alias("venta_quincenal"),
         label.alias("comision"),
     )
     if sort:

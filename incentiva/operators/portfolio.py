@@ -33,13 +33,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import ladder as L
 from ..functions.scalars import flag_at_least, share, shortfall
 from ..params import DEFAULT, Params, Population
 from ..sources.schemas import sum_money
 from ..sources.tables import Sources
-from .joins import MULTIPLICITY, checked_broadcast, copies, with_multiplicity
+from .joins import MULTIPLICITY, checked_broadcast, copies, salted_join, times, with_multiplicity
 from .sales import sales_by_order, valid_sales
 
 POP = "population"
@@ -96,21 +97,20 @@ def buyer_salt() -> Column:
     return F.when(F.col(key).isNull(), F.xxhash64("store_url", "leader_name")).otherwise(F.xxhash64(key))
 
 
-def _salted_name_join(spend: DataFrame, known: DataFrame) -> DataFrame:
+def _salted_name_join(spend: DataFrame, known: DataFrame, heavy_rows: int) -> DataFrame:
     """``spend LEFT JOIN known`` as a shuffle join on (buyer, salt), summed per name.
 
-    The salt is a hash of the buyer id for a known buyer (on both sides, so
-    matches are unchanged) and a hash of store and leader for a missing one, so
-    missing buyers (which can never match) spread over all reducers instead of
-    piling onto the one that null hashes to. The salt is a function of the
+    Missing buyers (which can never match) spread over all reducers by store and
+    leader instead of piling onto the one that null hashes to; a buyer with more than
+    ``heavy_rows`` (store, leader) pairs is dealt by them as well, and its names are
+    repeated per salt (``joins.salted_join``). The salt is a function of the
     grouping keys, so grouping by it as well changes no group, and the join's
-    hash partitioning already satisfies the aggregate: no extra exchange. (A
-    constant salt on the buyer side would be folded by the optimizer into a
-    post-join filter, leaving the shuffle on the id alone.) Both sides have one id
-    type since they were loaded.
+    hash partitioning already satisfies the aggregate: no extra exchange. The count that
+    finds heavy buyers reads the aggregate that the join reads (one exchange, reused).
+    Both sides have one id type since they were loaded.
     """
     key = "dynamo_customer_id"
-    j = spend.withColumn(SALT, buyer_salt()).join(known.withColumn(SALT, F.xxhash64(key)), [key, SALT], "left")
+    j = salted_join(spend, known, [key], ["store_url", "leader_name"], "left", SALT, heavy_rows, F.col("total"))
     group = [c for c in spend.columns if c != "total"] + ["customer_name", SALT]
     return j.groupBy(*group).agg(F.sum("total").alias("total")).drop(SALT)
 
@@ -137,7 +137,7 @@ def _detail_totals(src: Sources, pops: list[Population], params: Params) -> Data
     known = src.buyers.filter(F.col(key).isNotNull()).select(key, "customer_name")
     buyers_b, buyers_check = checked_broadcast(known, params.broadcast_max_bytes, params.broadcast_max_rows,
                                                bound=src.size_bound("buyers"), extra_bytes_per_row=8, shrinks=False)
-    keys = _spend_keys()
+    keys, scale = _spend_keys(), sum_money(src.sales, "net_value").scale
     if port_check.broadcast:
         lines = sales.join(port_b, sales.store_url == port_b.emprendedor, "inner")
         if buyers_check.broadcast:
@@ -148,12 +148,12 @@ def _detail_totals(src: Sources, pops: list[Population], params: Params) -> Data
         port_u = with_multiplicity(port, ["emprendedor", "mentora", "orientador", POP])
         pre = sales.groupBy("store_url", "leader_name", key).agg(F.sum("net_value").alias("total"))
         j = pre.join(port_u, pre.store_url == port_u.emprendedor, "inner")
-        spend = j.select(*keys, (F.col("total") * F.col(MULTIPLICITY)).alias("total"))
+        spend = j.select(*keys, times(F.col("total"), F.col(MULTIPLICITY), scale).alias("total"))
     if buyers_check.broadcast:
         names = F.broadcast(with_multiplicity(known, [key, "customer_name"]))
         j = spend.join(names, key, "left")
-        return j.select(*keys, "customer_name", (F.col("total") * copies()).alias("total"))
-    return _salted_name_join(spend, known)
+        return j.select(*keys, "customer_name", times(F.col("total"), copies(), scale).alias("total"))
+    return _salted_name_join(spend, known, params.heavy_key_rows)
 
 
 def bonus_detail_all(src: Sources, params: Params = DEFAULT,
@@ -161,13 +161,16 @@ def bonus_detail_all(src: Sources, params: Params = DEFAULT,
     """Bonus detail of several populations (all, by default) in one pass, with a ``population`` column."""
     pops = _pops(params, populations)
     detail = _detail_totals(src, pops, params)
-    total = F.col("total").cast(sum_money(src.sales, "net_value"))
+    kind = sum_money(src.sales, "net_value")
+    total = F.col("total").cast(kind)
+    # one digit less, so that the difference to the target keeps the whole scale
+    narrow = F.col("total").cast(T.DecimalType(37, kind.scale))
     return detail.select(
         POP,
         *DETAIL_KEYS,
         total.alias("total_cliente"),
         flag_at_least(total, params.bonus_min).cast("int").alias("flag_bono"),
-        shortfall(total, params.bonus_min).alias("falta"),
+        shortfall(narrow, params.bonus_min).alias("falta"),
     )
 
 

@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import as_month, month_bounds, month_start, next_month, sale_date, ts_literal
 from ..params import DEFAULT, Params
@@ -56,11 +57,54 @@ def _instants(sales: DataFrame, lo: dt.datetime, hi: dt.datetime | None) -> Colu
     return cond if hi is None else cond & (raw < _instant(hi, _ZONE_SLACK))
 
 
-def _partition_filter(sales: DataFrame, params: Params, cond) -> Column:
-    col = params.sales_month_col
-    if col and col in sales.columns:
-        return cond(F.col(col))
-    return F.lit(True)
+def month_columns(name: str | None) -> list[str]:
+    """The partition columns that ``Params.sales_month_col`` names: none, one, or year and month."""
+    return [c.strip() for c in name.split(",")] if name else []
+
+
+#: Java date pattern of a text month -> strftime pattern of its bounds; year first, so that texts sort like months.
+MONTH_FORMATS = {"yyyy-MM": "%Y-%m", "yyyyMM": "%Y%m", "yyyy/MM": "%Y/%m", "yyyy_MM": "%Y_%m", "yyyy-MM-dd": "%Y-%m-01", "yyyyMMdd": "%Y%m01"}
+
+
+def _partition_filter(sales: DataFrame, params: Params, first: dt.date, last: dt.date | None) -> Column:
+    """Months ``first`` to ``last`` (None: no end) on the month partition column(s), in whatever form they are stored."""
+    cols = month_columns(params.sales_month_col)
+    if not cols or not set(cols) <= set(sales.columns):
+        return F.lit(True)
+    if len(cols) == 2:
+        year, month = (F.col(c) if isinstance(sales.schema[c].dataType, T.IntegralType) else F.col(c).cast("int") for c in cols)
+        from_ = (year > first.year) | (year == first.year) & (month >= first.month)
+        if last == first:
+            return (year == first.year) & (month == first.month)
+        return from_ if last is None else from_ & ((year < last.year) | (year == last.year) & (month <= last.month))
+    kind = sales.schema[cols[0]].dataType
+    if isinstance(kind, T.DateType):
+        bound = F.lit
+    elif isinstance(kind, T.IntegralType):
+        bound = lambda m: F.lit(m.year * 100 + m.month)
+    elif isinstance(kind, T.StringType):
+        if params.sales_month_format not in MONTH_FORMATS:
+            raise ValueError(f"sales_month_format {params.sales_month_format!r} is none of {sorted(MONTH_FORMATS)}")
+        bound = lambda m: F.lit(m.strftime(MONTH_FORMATS[params.sales_month_format]))
+    else:
+        raise ValueError(f"the month column {cols[0]} is {kind.simpleString()}; a date, whole number yyyymm or text is needed")
+    c = F.col(cols[0])
+    if last == first:
+        return c == bound(first)
+    return c > bound(as_month(first - dt.timedelta(days=1))) if last is None else c.between(bound(first), bound(last))
+
+
+def partition_month(sales: DataFrame, params: Params) -> Column:
+    """The month that the partition column(s) say, as the date of its first day."""
+    cols = month_columns(params.sales_month_col)
+    if len(cols) == 2:
+        return F.make_date(F.col(cols[0]).cast("int"), F.col(cols[1]).cast("int"), F.lit(1))
+    kind = sales.schema[cols[0]].dataType
+    if isinstance(kind, T.DateType):
+        return F.col(cols[0])
+    if isinstance(kind, T.IntegralType):
+        return F.make_date((F.col(cols[0]) / 100).cast("int"), F.col(cols[0]).cast("int") % 100, F.lit(1))
+    return F.trunc(F.to_date(F.col(cols[0]), params.sales_month_format), "month")
 
 
 def valid_sales(sales: DataFrame, params: Params = DEFAULT, month: dt.date | None = None) -> DataFrame:
@@ -71,9 +115,9 @@ def valid_sales(sales: DataFrame, params: Params = DEFAULT, month: dt.date | Non
     if INSTANT in sales.columns:
         # partitions may follow another zone's months than the wall clock: take the neighbours too
         around = (as_month(m - dt.timedelta(days=1)), next_month(m))
-        part = _partition_filter(sales, params, lambda c: c.between(F.lit(around[0]), F.lit(around[1])))
+        part = _partition_filter(sales, params, *around)
     else:
-        part = _partition_filter(sales, params, lambda c: c == F.lit(m))
+        part = _partition_filter(sales, params, m, m)
     return _valid(sales, params, part & _instants(sales, lo, hi) & (ts >= ts_literal(lo)) & (ts < ts_literal(hi)))
 
 
@@ -82,7 +126,7 @@ def valid_sales_after(sales: DataFrame, params: Params = DEFAULT, after_month: d
     after = as_month(after_month or params.tracker_after_month)
     start = dt.datetime.combine(next_month(after), dt.time())
     zoned = INSTANT in sales.columns
-    part = _partition_filter(sales, params, lambda c: c >= F.lit(after) if zoned else c > F.lit(after))
+    part = _partition_filter(sales, params, after if zoned else start.date(), None)
     return _valid(sales, params, part & _instants(sales, start, None) & (F.col("create_date_time_tz") >= ts_literal(start)))
 
 
@@ -93,7 +137,7 @@ def misplaced_sales(sales: DataFrame, params: Params) -> DataFrame:
     local month; this check shows where it does not.
     """
     month = month_start(sale_date(F.col("create_date_time_tz")))
-    part = F.col(params.sales_month_col)
+    part = partition_month(sales, params)
     return (sales.select(part.alias("partition"), month.alias("month")).where("not (partition <=> month)")
             .groupBy("partition", "month").agg(F.count(F.lit(1)).alias("rows")))
 

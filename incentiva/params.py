@@ -103,9 +103,11 @@ class Params:
     graduate_min: int = GRADUATE_MIN_BONUSES
     excluded_statuses: tuple[str, ...] = EXCLUDED_STATUSES
     retention_value: int = 0
-    # month partition column of the sales table (a date, first of the month), if
-    # any: the month filters are then applied to it as well, pruning partitions
+    # month partition column of the sales table, if any: the month filters are then
+    # applied to it as well, pruning partitions. A date (first of the month), a whole
+    # number yyyymm, a text in sales_month_format, or two columns "year,month"
     sales_month_col: str | None = None
+    sales_month_format: str = "yyyy-MM"
     # commission tracker
     tracker_after_month: dt.date = TRACKER_AFTER_MONTH
     cut_date: dt.date = COMMISSION_CUT_DATE
@@ -122,6 +124,8 @@ class Params:
     # size bound for broadcasting a dimension; above it the join shuffles
     broadcast_max_bytes: int = 64 * 1024 * 1024
     broadcast_max_rows: int = 2_000_000
+    # a key with more rows than this is spread over salts in a shuffle join
+    heavy_key_rows: int = 100_000
     top_text: str = TOP_TARGET_TEXT
     populations: tuple[Population, ...] = POPULATIONS
 

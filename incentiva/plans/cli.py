@@ -34,7 +34,12 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--month", default=None, help="report month, e.g. 2022-12-01")
     ap.add_argument("--tracker-after", default=None,
                     help="the tracker covers months strictly after this one")
-    ap.add_argument("--sales-month-col", default=None, help="month partition column of the sales table")
+    ap.add_argument("--sales-month-col", default=None,
+                    help="month partition column of the sales table (date, whole number yyyymm or text), or two: year,month")
+    ap.add_argument("--sales-month-format", default=None, help="pattern of a text month column, e.g. yyyy-MM")
+    ap.add_argument("--sales-month-type", default="date", help="type of the month column of csv and json inputs: date, int or string")
+    ap.add_argument("--allow-float", action="store_true", help="accept floating amounts, kept to six decimal places")
+    ap.add_argument("--keep-runs", type=int, default=None, help="delete all but so many of the newest published runs")
     ap.add_argument("--zone", default=None,
                     help="zone whose wall clock dates the sales, when timestamps are stored zoned")
     ap.add_argument("--all-stores", action="store_true", help="keep tracker sales without a tier row")
@@ -59,6 +64,7 @@ def _params(a: argparse.Namespace) -> Params:
         with open(a.params_file, encoding="utf-8") as f:
             given = json.load(f)
     options = {"month": a.month, "tracker_after_month": a.tracker_after, "sales_month_col": a.sales_month_col,
+               "sales_month_format": a.sales_month_format,
                "bonus_min": a.bonus_min, "graduate_min": a.graduate_min, "tier_required": False if a.all_stores else None}
     return Params.from_json(given | {k: v for k, v in options.items() if v is not None})
 
@@ -73,14 +79,15 @@ def main(argv: list[str] | None = None) -> str:
         missing = sorted(set(SCHEMAS) - set(names))
         if missing:
             raise SystemExit(f"--tables lacks {missing}")
-        src = from_tables(spark, names, a.sales_month_col, a.zone)
+        src = from_tables(spark, names, a.sales_month_col, a.zone, a.allow_float)
     else:
         root = a.root.rstrip("/")
         src = from_files(spark, {n: f"{root}/{n}" for n in SCHEMAS}, a.input_format,
-                         sales_month_col=a.sales_month_col, zone=a.zone)
+                         sales_month_col=a.sales_month_col, zone=a.zone, allow_float=a.allow_float,
+                         sales_month_type=a.sales_month_type)
     if a.require_unique_dimensions:
         require_unique_dimensions(src)
-    paths = run_reports(spark, src, a.out, _params(a), fmt=a.format, missing_date_text=a.missing_date_text)
+    paths = run_reports(spark, src, a.out, _params(a), fmt=a.format, missing_date_text=a.missing_date_text, keep_runs=a.keep_runs)
     return paths.root
 
 

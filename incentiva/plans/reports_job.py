@@ -14,8 +14,11 @@ times and the detail of each population is computed twice. Here:
   not one month).
 
 A run writes all its tables to a new folder, ``runs/<id>``, removes the staged
-detail, and last points ``current`` at the run. So ``current_run`` is always one
-whole run: a failed one leaves the older one current.
+detail, and last publishes the run: it creates one empty file whose name holds the
+next number and the run's id. Creating a file that is not there is atomic on file
+systems and object stores alike, nothing is overwritten, and the name says all, so
+``current_run``, the highest number, is always one whole run, wherever the driver is lost. Old
+runs stay until ``keep_runs`` is given; then the older ones are deleted.
 """
 
 from __future__ import annotations
@@ -77,7 +80,7 @@ def totals_report(detail_all: DataFrame, src: Sources, pop: str, params: Params
 
 def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params = DEFAULT,
                 populations: Sequence[str] | None = None, fmt: str = "parquet",
-                missing_date_text: str | None = None, concurrent: bool = True) -> ReportPaths:
+                missing_date_text: str | None = None, concurrent: bool = True, keep_runs: int | None = None) -> ReportPaths:
     """Write all report tables to a new run folder under ``out_root``, make it current, and return their paths.
 
     ``populations``: names; all that are configured by default. The session should have the settings of
@@ -85,8 +88,11 @@ def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params
     ``missing_date_text`` is the commission report's text for a missing date (null by
     default). With ``concurrent`` the independent report writes are submitted from
     driver threads at once, so small jobs do not wait on each other; the commission
-    tracker runs alongside the portfolio staging.
+    tracker runs alongside the portfolio staging. ``keep_runs``: published runs that stay, this one included
+    (None: all).
     """
+    if keep_runs is not None and keep_runs < 1:
+        raise ValueError("keep_runs must be at least 1: the run just published stays")
     out_root = out_root.rstrip("/")
     paths = ReportPaths(f"{out_root}/runs/{uuid.uuid4().hex}")
     populations = [p.name for p in params.populations] if populations is None else populations
@@ -114,18 +120,49 @@ def run_reports(spark: SparkSession, src: Sources, out_root: str, params: Params
         _run_all(writes, concurrent)
     finally:
         _delete(spark, f"{paths.root}/_stage")
-    spark.createDataFrame([(paths.root,)], "run string").coalesce(1).write.mode("overwrite").json(f"{out_root}/current")
+    _publish(spark, out_root, paths)
+    if keep_runs is not None:
+        _retire(spark, out_root, keep_runs)
     return paths
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _published(spark: SparkSession, out_root: str) -> list[tuple[int, str]]:
+    """(number, run id) of the published runs, oldest first."""
+    fs, p = _fs(spark, f"{out_root}/published")
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted((int(n), run) for n, _, run in (x.partition("-") for x in names) if n.isdigit() and run)
+
+
+def _publish(spark: SparkSession, out_root: str, paths: ReportPaths) -> None:
+    last = max((n for n, _ in _published(spark, out_root)), default=0)
+    fs, p = _fs(spark, f"{out_root}/published/{last + 1:010d}-{paths.root.rsplit('/', 1)[1]}")
+    fs.create(p, False).close()
+
+
+def _retire(spark: SparkSession, out_root: str, keep: int) -> None:
+    """Delete the published runs beyond the ``keep`` newest: tables first, so that a name left over is tried again."""
+    for n, run in _published(spark, out_root)[:-keep]:
+        _delete(spark, f"{out_root}/runs/{run}")
+        _delete(spark, f"{out_root}/published/{n:010d}-{run}")
+
+
 def current_run(spark: SparkSession, out_root: str) -> ReportPaths:
-    """The paths of the last whole run under ``out_root``."""
-    return ReportPaths(spark.read.schema("run string").json(f"{out_root.rstrip('/')}/current").first()["run"])
+    """The paths of the last whole run under ``out_root``; ``FileNotFoundError`` if there is none."""
+    out_root = out_root.rstrip("/")
+    runs = _published(spark, out_root)
+    if not runs:
+        raise FileNotFoundError(f"no published run under {out_root}")
+    return ReportPaths(f"{out_root}/runs/{runs[-1][1]}")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def _run_all(jobs: list[Callable[[], None]], concurrent: bool) -> None:

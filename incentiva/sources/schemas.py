@@ -9,11 +9,15 @@ stored type that does not fit losslessly raises ``SchemaError``.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+#: The largest scale of amounts: their products with copy counts stay exact up to it.
+MOST_SCALE = 18
 #: Raw instant of a zoned sale time, kept beside its wall clock so that a range on it reaches the scan.
 INSTANT = "__create_instant"
 
@@ -117,6 +121,8 @@ def _widens(have: T.DataType, want: T.DataType) -> bool:
 def _money(have: T.DataType, where: str, allow_float: bool) -> T.DecimalType:
     """The decimal type in which a stored amount is kept."""
     if isinstance(have, T.DecimalType):
+        if have.scale > MOST_SCALE:
+            raise SchemaError(f"{where} is {have.simpleString()}; amounts of more than {MOST_SCALE} decimal places are not supported")
         return have
     if isinstance(have, T.IntegralType):
         return T.DecimalType(21, 2)
@@ -126,6 +132,21 @@ def _money(have: T.DataType, where: str, allow_float: bool) -> T.DecimalType:
                       + (" or ask for it (allow_float=True)" if isinstance(have, (T.FloatType, T.DoubleType)) else ""))
 
 
+#: Largest value of each whole type.
+_LARGEST = {"int": (1 << 31) - 1, "bigint": (1 << 63) - 1}
+
+
+def whole_number(col: Column, have: T.DecimalType, want: T.DataType, where: str) -> Column:
+    """A ``decimal(p,0)`` as int or bigint; a value out of range fails the job, whatever the session's ANSI setting."""
+    kind = want.simpleString()
+    largest = _LARGEST[kind]
+    if have.precision < len(str(largest)):
+        return col.cast(want)
+    fits = col.between(F.lit(Decimal(-largest - 1)), F.lit(Decimal(largest)))
+    error = F.raise_error(F.concat(F.lit(f"{where}: "), col.cast("string"), F.lit(f" is out of the range of {kind}")))
+    return F.when(col.isNull(), F.lit(None).cast(want)).when(fits, col.cast(want)).otherwise(error.cast(want))
+
+
 def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | None = None,
             allow_float: bool = False) -> DataFrame:
     """Select the source's columns in order and cast them to the expected types.
@@ -133,7 +154,8 @@ def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | No
     Missing columns raise ``SchemaError``; extra columns are dropped (except those
     in ``keep``, e.g. a partition column) so the scan reads only what the queries
     use. Stored types are kept or widened, never narrowed; amounts keep their scale,
-    and floating amounts are refused unless ``allow_float``. Zoned timestamps
+    and floating amounts are refused unless ``allow_float``. Whole numbers stored as
+    ``decimal(p,0)`` become int or bigint, and a value that does not fit fails the job. Zoned timestamps
     are refused unless ``zone`` names the zone whose wall clock dates the sales.
     """
     schema = SCHEMAS[name]
@@ -148,6 +170,8 @@ def conform(df: DataFrame, name: str, keep: tuple[str, ...] = (), zone: str | No
             cols.append(F.col(f.name))
         elif have == f.dataType:
             cols.append(F.col(f.name))
+        elif isinstance(have, T.DecimalType) and have.scale == 0 and isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            cols.append(whole_number(F.col(f.name), have, f.dataType, f"{name}.{f.name}").alias(f.name))
         elif f.dataType == MONEY:
             cols.append(F.col(f.name).cast(_money(have, f"{name}.{f.name}", allow_float)).alias(f.name))
         elif isinstance(f.dataType, T.TimestampNTZType) and isinstance(have, T.TimestampType):

@@ -49,7 +49,9 @@ class Sources:
 
     def conformed(self, sales_month_col: str | None = None, zone: str | None = None,
                   allow_float: bool = False) -> "Sources":
-        keep = {"sales": (sales_month_col,) if sales_month_col else ()}
+        from ..operators.sales import month_columns
+
+        keep = {"sales": tuple(month_columns(sales_month_col))}
         frames = {f.name: conform(getattr(self, f.name), f.name, keep.get(f.name, ()), zone, allow_float)
                   for f in fields(self) if f.init and not f.name.startswith("_")}
         # one type for the buyer's id, whatever join is chosen later: text if either side has text
@@ -62,52 +64,58 @@ class Sources:
 
 
 def from_tables(spark: SparkSession, names: dict[str, str], sales_month_col: str | None = None,
-                zone: str | None = None) -> Sources:
+                zone: str | None = None, allow_float: bool = False) -> Sources:
     """Load from catalog tables, e.g. ``{"sales": "shop.sale_lines", ...}``.
 
-    ``sales_month_col`` names a month partition column of the sales table (a date,
-    the first of the month); set the same name in ``Params.sales_month_col`` so
-    the month filters prune whole partitions. ``zone``: see ``schemas.conform``.
+    ``sales_month_col`` names a month partition column of the sales table (a date, the
+    first of the month; a whole number yyyymm; a text; or two columns "year,month"); set
+    the same name in ``Params.sales_month_col`` so the month filters prune whole
+    partitions. ``zone``, ``allow_float``: see ``schemas.conform``.
     """
-    return Sources(**{k: spark.table(names[k]) for k in SCHEMAS}).conformed(sales_month_col, zone)
+    return Sources(**{k: spark.table(names[k]) for k in SCHEMAS}).conformed(sales_month_col, zone, allow_float)
 
 
 def from_parquet(spark: SparkSession, paths: dict[str, str], sales_month_col: str | None = None,
-                 zone: str | None = None) -> Sources:
+                 zone: str | None = None, allow_float: bool = False) -> Sources:
     """Load from parquet paths (a file or a directory, possibly partitioned).
 
     No schema inference pass: parquet carries its schema in the footer, and
     ``conform`` checks it against the expected one.
     """
-    return Sources(**{k: spark.read.parquet(paths[k]) for k in SCHEMAS}).conformed(sales_month_col, zone)
+    return Sources(**{k: spark.read.parquet(paths[k]) for k in SCHEMAS}).conformed(sales_month_col, zone, allow_float)
 
 
 def from_files(spark: SparkSession, paths: dict[str, str], fmt: str, options: dict[str, str] | None = None,
-               sales_month_col: str | None = None, zone: str | None = None) -> Sources:
+               sales_month_col: str | None = None, zone: str | None = None, allow_float: bool = False,
+               sales_month_type: str = "date") -> Sources:
     """Load from files of one format: parquet, orc, csv or json (one path per input).
 
     Text formats are read with the expected schema (no inference pass over the
     data), and a line that does not fit it fails the read. csv expects a header row
-    whose names are checked against the schema. Columnar formats carry their own schema.
+    whose names are checked against the schema; ``sales_month_type`` is the type of its month
+    column (of two, year and month, int). Columnar formats carry their own schema.
     """
     if fmt not in ("parquet", "orc", "csv", "json"):
         raise ValueError(f"unsupported input format {fmt!r}")
+    from ..operators.sales import month_columns
+
     frames = {}
     for name, schema in SCHEMAS.items():
         reader = spark.read.format(fmt).options(**(options or {}))
         if fmt in ("csv", "json"):
-            if sales_month_col and name == "sales":
-                schema = T.StructType(schema.fields + [T.StructField(sales_month_col, T.DateType(), True)])
+            months = month_columns(sales_month_col) if name == "sales" else []
+            for c in months:
+                schema = T.StructType(schema.fields).add(c, "int" if len(months) == 2 else sales_month_type)
             reader = reader.schema(schema).option("mode", "FAILFAST")
             if fmt == "csv":
                 reader = reader.option("header", True).option("enforceSchema", False)
         frames[name] = reader.load(paths[name])
-    return Sources(**frames).conformed(sales_month_col, zone)
+    return Sources(**frames).conformed(sales_month_col, zone, allow_float)
 
 
-def from_frames(zone: str | None = None, **frames: DataFrame) -> Sources:
+def from_frames(zone: str | None = None, allow_float: bool = False, sales_month_col: str | None = None, **frames: DataFrame) -> Sources:
     """Bundle ready DataFrames (tests, or sources built by other jobs)."""
-    return Sources(**frames).conformed(zone=zone)
+    return Sources(**frames).conformed(sales_month_col, zone, allow_float)
 
 
 # key of each dimension as the joins use it; a repeated key multiplies the facts it meets

@@ -1,0 +1,108 @@
+"""Copy-count products at any scale: the join strategy must not change a total, a mark or a shortfall."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+import pytest
+from pyspark.sql import functions as F
+
+from incentiva.operators import commission as C
+from incentiva.operators import joins
+from incentiva.operators import portfolio as P
+from incentiva.params import DEFAULT
+from incentiva.sources.tables import from_frames
+from test_random_fixtures import SPLITS, _force, make_inputs
+from tests_helpers import money, sale, sources
+
+
+def _inputs(spark, scale):
+    """The random inputs with amounts that use every decimal place."""
+    rng = random.Random(scale)
+    rows = {n: t.to_pylist() for n, t in make_inputs(11).items()}
+    kinds = {n: getattr(sources(spark), n).schema for n in rows}
+    for r in rows["sales"]:
+        if r["net_value"] is not None:
+            r["net_value"] = Decimal(int(r["net_value"] * 100)) / 100 + Decimal(rng.randrange(-50, 50)).scaleb(-scale)
+    kind = kinds["sales"].simpleString()[7:-1].replace("net_value:decimal(18,2)", f"net_value:decimal(38,{scale})")
+    frames = {n: spark.createDataFrame(r, kind if n == "sales" else kinds[n]) for n, r in rows.items()}
+    return rows, from_frames(**frames)
+
+
+def _plain_detail(rows):
+    """bonus_detail of all populations: {keys: [total, mark, shortfall]}, in exact arithmetic."""
+    out = defaultdict(list)
+    for s in rows["sales"]:
+        t = s["create_date_time_tz"]
+        if not (s["create_date_time"] and s["cancel_date_time_tz"] is None and s["order_status"] not in (None, "OPEN", "CANCEL") and (t.year, t.month) == (2022, 12)):
+            continue
+        names = [b["customer_name"] for b in rows["buyers"] if s["dynamo_customer_id"] is not None and b["dynamo_customer_id"] == s["dynamo_customer_id"]] or [None]
+        for p in rows["portfolio"]:
+            if p["emprendedor"] == s["store_url"] and s["store_url"] is not None and p["flag_retencion"] == 0:
+                for n in names:
+                    out[p["flag_emprendedor"], p["mentora"], p["orientador"], s["store_url"], s["leader_name"], s["dynamo_customer_id"], n].append(s["net_value"])
+    result = {}
+    with localcontext() as ctx:
+        ctx.prec = 60
+        for k, values in out.items():
+            known = [v for v in values if v is not None]
+            total = sum(known) if known else None
+            short = (100 - total).to_integral_value(ROUND_HALF_UP) if total is not None and total < 100 else Decimal(0)
+            result[k] = (total, int(total is not None and total >= 100), short)
+    return result
+
+
+@pytest.mark.parametrize("scale", [2, 8, 10, 18])
+def test_every_strategy_gives_the_exact_totals(spark, scale, monkeypatch):
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows, src = _inputs(spark, scale)
+    want = _plain_detail(rows)
+    tracker = None
+    try:
+        for strategy in ("measured", "shuffle", "split_a", "split_b"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev if strategy == "measured" else "-1")
+            with monkeypatch.context() as m:
+                if strategy in SPLITS:
+                    for module in (C, P):
+                        m.setattr(module, "checked_broadcast", _force(SPLITS[strategy]))
+                params = DEFAULT.with_(broadcast_max_rows=0) if strategy == "shuffle" else DEFAULT
+                detail = P.bonus_detail_all(src, params)
+                assert detail.schema["total_cliente"].dataType.simpleString() == f"decimal(38,{scale})"
+                got = {tuple(r[:7]): tuple(r[7:]) for r in detail.collect()}
+                assert got == want, strategy
+                now = sorted(map(repr, C.commission_tracker(src, params.with_(tier_required=False), sort=False).collect()))
+                assert tracker is None or now == tracker, strategy
+                tracker = now
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+@pytest.mark.parametrize("scale", [0, 1, 2, 6, 7, 10, 17, 18])
+def test_product_is_exact(spark, scale):
+    rng = random.Random(scale)
+    unit = Decimal(1).scaleb(-scale)
+    rows = [(Decimal(0), 5), (unit, 999_999_999), (-unit, 7), (None, 3)]
+    for _ in range(200):
+        rows.append((rng.choice([-1, 1]) * Decimal(rng.randrange(10 ** rng.randrange(1, 24))) * unit, rng.choice([1, 2, 3, 10 ** 6, rng.randrange(1, 10 ** 9)])))
+    # within the type: fewer than 37 - scale whole digits
+    with localcontext() as ctx:
+        ctx.prec = 80
+        rows = [(a, n) for a, n in rows if a is None or abs(a * n) < 10 ** (37 - scale)]
+        df = spark.createDataFrame([(i, a, n) for i, (a, n) in enumerate(rows)], f"i int, a decimal(38,{scale}), n bigint")
+        out = df.select("i", joins.times(F.col("a"), F.col("n"), scale).alias("p"))
+        assert out.schema["p"].dataType.simpleString() == f"decimal(38,{scale})"
+        assert {r["i"]: r["p"] for r in out.collect()} == {i: None if a is None else a * n for i, (a, n) in enumerate(rows)}
+
+
+def test_a_mark_does_not_hang_on_the_broadcast_size(spark):
+    base = sources(spark, sales=[sale("2022-12-05 10:00:00", "s", 1, order=i) for i in range(2)], portfolio=[("s", "m", "o", 0, "old")],
+                   portfolio_size=[("o", 1, 1)], buyers=[(1, "ana")])
+    amounts = F.when(F.col("order_number") == 0, F.lit(Decimal("50"))).otherwise(F.lit(Decimal("49.9999999600")))
+    frames = {n: getattr(base, n) for n in ("portfolio", "portfolio_size", "buyers", "tier", "stores")}
+    src = from_frames(sales=base.sales.withColumn("net_value", amounts.cast("decimal(38,10)")), **frames)
+    for rows in (0, 2_000_000):
+        (row,) = P.bonus_detail(src, "old", DEFAULT.with_(broadcast_max_rows=rows)).collect()
+        assert (row["total_cliente"], row["flag_bono"], row["falta"]) == (Decimal("99.9999999600"), 0, 0)
+    assert money(1) == Decimal("1.00")

@@ -94,7 +94,7 @@ def test_large_buyer_table_uses_salted_shuffle_join(stored, shuffle_only):
     assert re.search(r"SortMergeJoin \[dynamo_customer_id#\d+L, __salt#\d+L\]", plan), plan
     # the aggregate per buyer name follows the join without another exchange
     assert not re.search(r"Exchange hashpartitioning\(population", plan.split("SortMergeJoin [dynamo")[0])
-    assert len(re.findall(r"FileScan parquet \[[^\]]*net_value", plan)) == 1
+    assert _scans_run(P.bonus_detail(stored["flat"], "old", shuffle_only)) == 1
 
 
 def test_large_portfolio_is_joined_after_preaggregation(stored, shuffle_only):
@@ -103,10 +103,47 @@ def test_large_portfolio_is_joined_after_preaggregation(stored, shuffle_only):
     assert "partial_sum(net_value" in below_store_join
 
 
-def test_tracker_window_needs_no_extra_exchange_after_shuffle_joins(stored, shuffle_only):
-    plan = explain_string(C.commission_tracker(stored["flat"], shuffle_only), "simple")
-    assert "Window" in plan
-    assert not re.search(r"Exchange hashpartitioning\(store_url#\d+, quincena", plan)
+def _scans_run(df) -> int:
+    """Scans of the sales that run: those of reused exchanges are not listed again in the final plan."""
+    df.collect()
+    plan = explain_string(df, "simple")
+    assert "isFinalPlan=true" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    return len(re.findall(r"FileScan parquet \[[^\]]*net_value", final))
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_tracker_reads_sales_once_and_has_no_window(stored, shuffle_only, strategy):
+    df = C.commission_tracker(stored["flat"], shuffle_only if strategy == "shuffle" else DEFAULT, sort=False)
+    assert "Window" not in explain_string(df, "simple")
+    assert _scans_run(df) == 1  # the half-month totals reuse the daily aggregate's exchange
+
+
+@pytest.mark.parametrize("layout, column, equal, after", [
+    ("yyyy-MM", "m", r"\(m#\d+ = 2022-12\)", r"\(m#\d+ > 2022-11\)"),
+    ("yyyyMM", "m", r"\(m#\d+ = 202212\)", r"\(m#\d+ > 202211\)"),
+    ("year,month", "year,month", r"\(year#\d+ = 2022\).*\(month#\d+ = 12\)", r"\(year#\d+ > 2022\) OR \(\(year#\d+ = 2022\) AND \(month#\d+ >= 12\)"),
+])
+def test_month_partitions_of_other_layouts_are_pruned(spark, stored, tmp_path, layout, column, equal, after):
+    sales = stored["flat"].sales
+    if "," in layout:
+        parts = {"year": F.year("create_date_time_tz"), "month": F.month("create_date_time_tz")}
+    else:
+        parts = {"m": F.date_format(F.col("create_date_time_tz").cast("timestamp"), layout)}
+    sales.withColumns(parts).write.partitionBy(*parts).parquet(str(tmp_path / "sales"))
+    read = spark.read.parquet(str(tmp_path / "sales"))
+    others = {n: getattr(stored["flat"], n) for n in ("portfolio", "portfolio_size", "buyers", "tier", "stores")}
+    src = from_frames(sales_month_col=column, sales=read, **others)
+    params = DEFAULT.with_(sales_month_col=column)
+    plan = explain_string(S.valid_sales(src.sales, params))
+    assert re.search(r"PartitionFilters: \[.*" + equal, plan), plan
+    plan = explain_string(S.valid_sales_after(src.sales, params))
+    assert re.search(r"PartitionFilters: \[.*" + after, plan), plan
+    assert S.misplaced_sales(src.sales, params).count() == 0
+    assert P.bonus_detail(src, "old", params).exceptAll(P.bonus_detail(stored["flat"], "old")).count() == 0
+    assert S.valid_sales_after(src.sales, params).count() == S.valid_sales_after(sales).count()
+    wrong = src.sales.withColumn(column.split(",")[-1], F.lit(1 if "," in layout else "2022-01" if "-" in layout else 202201))
+    assert S.misplaced_sales(wrong, params).count() > 0
 
 
 def test_tracker_small_dimensions_join_the_lines_map_side(stored):

@@ -130,3 +130,35 @@ def test_report_job_in_other_formats(spark, src, tmp_path, fmt):
     paths = run_reports(spark, src, str(tmp_path / fmt), fmt=fmt, populations=("old",))
     like = shape_report(P.bonus_detail(src, "old"))
     assert _diff(read_report(spark, paths.detail("old"), like.schema, fmt), like) == 0
+
+
+def _in_file_order(path):
+    """Rows of a written table, part file after part file."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    files = sorted(glob.glob(f"{path}/part-*.parquet"))
+    return len(files), [r for f in files for r in pq.read_table(f).to_pylist()]
+
+
+@pytest.mark.parametrize("nulls_first", [True, False])
+def test_the_written_commission_report_is_in_order(spark, src, tmp_path, nulls_first):
+    """The sort's only lasting effect: part files in order hold newest creation dates first."""
+    params = P.DEFAULT.with_(nulls_first=nulls_first)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        orders = {}
+        for sort in (True, False):
+            path = str(tmp_path / f"commission-{sort}")
+            write_report(shape_report(C.commission_tracker(src, params, sort=sort), date_text=True), path)
+            n, rows = _in_file_order(path)
+            dates = [r["CREATION_DATE"] for r in rows]
+            assert n > 1 and len(set(dates)) > 10 and None in dates
+            newest = sorted((x for x in dates if x is not None), reverse=True)
+            missing = [None] * dates.count(None)
+            orders[sort] = dates == (missing + newest if nulls_first else newest + missing)
+        assert orders == {True: True, False: False}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
