@@ -52,19 +52,20 @@ HEAVY_ROWS = 100_000
 
 
 def lookup(rows: DataFrame, found: DataFrame, keys: list[str], stage: Stage, name: str, heavy_rows: int = HEAVY_ROWS,
-           max_rows: int = BROADCAST_ROWS) -> DataFrame:
+           max_rows: int = BROADCAST_ROWS, n_col: str | None = None, total: int | None = None) -> DataFrame:
     """``rows LEFT JOIN found`` on ``keys``, where ``found`` has each key once, whatever the skew of ``rows``.
 
     A ``found`` of at most ``max_rows`` rows is broadcast. Else keys with more than ``heavy_rows`` rows
     (counted, with map-side partial sums) are dealt over SALTS by the rows' input partition, and their one
     row of ``found`` is repeated for each salt. At most ``heavy_rows`` keys can be heavy, so that
-    list is bounded. Both sides are read more than once: pass staged tables.
+    list is bounded. ``n_col``: a column of ``found`` that has those counts already; ``total``: what
+    counts as its number of rows, if its rows are wide. Both sides are read more than once: pass staged tables.
     """
-    total = found.count()
-    if total <= max_rows:
+    if (found.count() if total is None else total) <= max_rows:
         return rows.join(F.broadcast(found), keys, "left")
     least = max(heavy_rows, rows.count() // heavy_rows)
-    heavy = stage.put(rows.groupBy(*keys).count().where(F.col("count") > least).select(*keys, F.lit(True).alias("__heavy")), f"{name}-heavy")
+    counts = rows.groupBy(*keys).count().where(F.col("count") > least) if n_col is None else found.where(F.col(n_col) > least)
+    heavy = stage.put(counts.select(*keys, F.lit(True).alias("__heavy")), f"{name}-heavy")
     if heavy.isEmpty():
         return rows.join(found, keys, "left")
     salt = F.when(F.col("__heavy"), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)

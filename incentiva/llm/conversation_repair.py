@@ -183,7 +183,8 @@ def _emit(out: list[tuple], key: pa.DataType) -> pa.RecordBatch:
 class _Cutter:
     """Collects the rows of one conversation in order and turns them into result rows."""
 
-    def __init__(self, part: int):
+    def __init__(self, part: int, block_rows: int, block_chars: int):
+        self.block_rows, self.block_chars = block_rows, block_chars
         self.part, self.ord, self.rows, self.chars, self.conv = part, 0, [], 0, None
         self.opened = self.began = False  # began: its first row was seen in this partition
 
@@ -193,7 +194,7 @@ class _Cutter:
         self.chars += 0 if forced else len(text)
 
     def full(self) -> bool:
-        return len(self.rows) >= BLOCK_ROWS or self.chars >= BLOCK_CHARS
+        return len(self.rows) >= self.block_rows or self.chars >= self.block_chars
 
     def block(self, ended: bool) -> tuple:
         """The rows so far as a finished conversation, or as a block of one."""
@@ -213,8 +214,8 @@ class _Cutter:
         return (self.conv, self.part, self.ord, False, None, None, None, illegal, initials[0], initials[-1], paths, kept)
 
 
-def _cut_blocks(batches: Iterator[pa.RecordBatch], key: pa.DataType) -> Iterator[pa.RecordBatch]:
-    cutter, seen = _Cutter(TaskContext.get().partitionId()), False
+def _cut_blocks(batches: Iterator[pa.RecordBatch], key: pa.DataType, block_rows: int, block_chars: int) -> Iterator[pa.RecordBatch]:
+    cutter, seen = _Cutter(TaskContext.get().partitionId(), block_rows, block_chars), False
     out: list[tuple] = []
     for batch in batches:
         for s in range(0, batch.num_rows, 1000):
@@ -310,7 +311,7 @@ def _joined(batches: Iterator[pa.RecordBatch], key: pa.DataType) -> Iterator[pa.
                 audit, digest, begun = [], sha256(), False
 
 
-def repair(rows: DataFrame) -> DataFrame:
+def repair(rows: DataFrame, block_rows: int = BLOCK_ROWS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per conversation of ``rows`` (conv_id, turn, role, text): gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256."""
     stage = Stage(rows.sparkSession, "conversation-repair")
     kind = rows.schema["conv_id"].dataType.simpleString()
@@ -319,7 +320,7 @@ def repair(rows: DataFrame) -> DataFrame:
     ordered = found.repartitionByRange(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "th") \
         .sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "th")
     blocks = stage.put(ordered.select("conv_id", "role", "text", "n", "blank", "repeated", "cut").mapInArrow(
-        lambda b: _cut_blocks(b, key), f"conv_id {kind}, {_BLOCKS}"), "blocks")
+        lambda b: _cut_blocks(b, key, block_rows, block_chars), f"conv_id {kind}, {_BLOCKS}"), "blocks")
     result = blocks.where("done").select("conv_id", *[c.split()[0] for c in _RESULT.split(", ")])
     long = blocks.where("not done")
     in_order = lambda df: df.repartition("conv_id").sortWithinPartitions("conv_id", "part", "ord")

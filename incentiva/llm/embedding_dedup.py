@@ -176,14 +176,14 @@ def _links(t: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"node": node[has], "links": links[has].astype(np.int64), "least": node[label[has]]})
 
 
-def _blocks(assigned: DataFrame, stage: Stage) -> DataFrame:
+def _blocks(assigned: DataFrame, stage: Stage, block: int) -> DataFrame:
     """Rows repeated for each pair of blocks (i, j) of a (label, dim, cell) in which they meet others."""
     where = ["label", "dim", "cell"]
     own = assigned.select(*where[:2], F.col("home").alias("cell"), F.lit(1).alias("own"), F.lit(0).alias("copies"))
     copies = assigned.select(*where[:2], F.explode("cells").alias("cell"), F.lit(0).alias("own"), F.lit(1).alias("copies"))
     size = own.union(copies).groupBy(*where).agg(F.sum("own").alias("own"), F.sum("copies").alias("copies")) \
         .where("own > 0 and own + copies > 1") \
-        .select(*where, F.ceil(F.col("own") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("copies") / BLOCK).cast("int").alias("cb"))
+        .select(*where, F.ceil(F.col("own") / block).cast("int").alias("nb"), F.ceil(F.col("copies") / block).cast("int").alias("cb"))
     size = small(stage.put(size, "sizes"))
     cols = ["node", "n", "embedding", "home", "cells"]
     deal = F.xxhash64("node", F.lit(1))
@@ -195,7 +195,7 @@ def _blocks(assigned: DataFrame, stage: Stage) -> DataFrame:
     return natives.union(copies).select(*where, *cols, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
 
-def near_duplicate_vectors(table: DataFrame, threshold: float = THRESHOLD, margin: float | None = None) -> DataFrame:
+def near_duplicate_vectors(table: DataFrame, threshold: float = THRESHOLD, margin: float | None = None, block: int = BLOCK) -> DataFrame:
     """One row per row of ``table`` (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
     stage = Stage(table.sparkSession, "embedding-dedup")
     margin = sin(acos(threshold) / 2) if margin is None else margin
@@ -223,7 +223,7 @@ def near_duplicate_vectors(table: DataFrame, threshold: float = THRESHOLD, margi
         lambda batches: _assigned(batches, centres, margin),
         f"node bigint, n bigint, label {nodes.schema['label'].dataType.simpleString()}, dim int, "
         f"embedding {nodes.schema['embedding'].dataType.simpleString()}, home int, cells array<int>"), "assigned")
-    links = stage.put(_blocks(assigned, stage).groupBy("label", "dim", "cell", "i", "j").applyInArrow(
+    links = stage.put(_blocks(assigned, stage, block).groupBy("label", "dim", "cell", "i", "j").applyInArrow(
         lambda t: _links(t, threshold), "node bigint, links bigint, least bigint"), "links")
     labels = connected_components(links.select(F.col("node").alias("u"), F.col("least").alias("v")), stage, "components")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))

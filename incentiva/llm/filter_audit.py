@@ -63,10 +63,10 @@ def facts(docs: DataFrame, labels: DataFrame, stage: Stage) -> DataFrame:
                                  F.monotonically_increasing_id().alias("row")), "facts")
 
 
-def posting_lists(found: DataFrame) -> DataFrame:
+def posting_lists(found: DataFrame, range_bits: int = RANGE_BITS) -> DataFrame:
     """(part, range, n, A..E, good, toxic): the sorted row numbers of each list; n: documents of the part in the range."""
     lists = [F.sort_array(F.collect_list(F.when(F.col(c), F.col("row")))).alias(c) for c in (*LETTERS, *LABELS)]
-    return found.groupBy("part", F.shiftright("row", RANGE_BITS).alias("range")).agg(F.count("*").alias("n"), *lists)
+    return found.groupBy("part", F.shiftright("row", range_bits).alias("range")).agg(F.count("*").alias("n"), *lists)
 
 
 def _held(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -121,13 +121,13 @@ def _sizes(lists_of: pa.Table) -> pa.Table:
     return pa.table({name: pa.array(col, pa.string() if j < 3 else pa.int64()) for j, (name, col) in enumerate(zip(names, zip(*rows)))})
 
 
-def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def audit(docs: DataFrame, labels: DataFrame, range_bits: int = RANGE_BITS) -> DataFrame:
     """One row per part, order of the filters and step.
 
     ``docs``: doc_id, source, text; ``labels``: doc_id, quality, toxic. Other columns are not read.
     """
     stage = Stage(docs.sparkSession, "filter-audit")
-    lists = stage.put(posting_lists(facts(docs, labels, stage)), "postings")
+    lists = stage.put(posting_lists(facts(docs, labels, stage), range_bits), "postings")
     sizes = lists.groupBy("part", "range").applyInArrow(_sizes, SIZES).groupBy("part", "filter", "prior").agg(
         *[F.sum(c).alias(c) for c in ("fails", "removed", "kept", "unique_fails", "good_lost", "toxic_lost")])
     # a filter stands after a given set of k others in k! (4 - k)! orders

@@ -7,15 +7,21 @@ preformatted text as it is, and table cells aligned in columns. Pages are indepe
 Spark deals them out, a task holds one page's tree at a time. Parsing and rendering are linear in
 the page's length and do not recurse, so deep nesting and long pages are safe.
 
-Invisible: script, style, template, the head and comments; elements with ``hidden``,
-``display: none`` (inline or by a simple tag, class or id rule of a style element; rules inside
-at-rules count only in ``@layer`` and in ``@media`` for screen or all without conditions), closed
-``details`` but for their summary, closed ``dialog``; text under ``visibility: hidden`` (a
-descendant may be visible again). ``noscript`` is visible, as no script is run.
+Invisible: script, style, template, the head and comments; elements with ``display: none``; text under
+``visibility: hidden`` (a descendant may be visible again); closed ``details`` but for their summary.
+Both properties follow the cascade: rules of style elements for a simple tag, class or id (rules inside
+at-rules count only in ``@layer`` and in ``@media`` for screen or all without conditions) in order of importance,
+specificity and source, then the inline style; ``hidden`` and a closed ``dialog`` are ``display: none``
+unless a declaration says otherwise. ``noscript`` is visible, as no script is run.
+
+White space is that of HTML (space, tab, line feed, form feed, carriage return); no-break and other spaces stay.
+A cell that spans rows or columns leaves the places it covers empty (colspan up to 1000, as in HTML; rowspan up
+to the table's end).
 
 Defined cases: null stays null; an empty page gives the empty text; broken markup never fails, a
 ``<`` that begins no tag is text, and in a tag a quote opens a value only right after ``=`` and if it
-is closed. Other columns pass through unchanged, whatever their names.
+is closed; indents stop at MOST_INDENT columns, tables in more than MOST_TABLES others are laid out as
+blocks, and tables of hardly any but covered places (SPARSE) are not aligned, so that the text stays linear in the page. Other columns pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -66,8 +72,19 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*+)|))?")
 _CSS = re.compile(r"(?P<comment>/\*.*?(?:\*/|\Z))|\\.|\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|\burl\([^)\"']*\)|[{};]|[^{};/\\\"'u]+|.", re.S)
 _MEDIA = re.compile(r"((only\s+)?(screen|all))?")
-_NONE = re.compile(r"display\s*:\s*none", re.I)
-_SEEN = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_DECLARED = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+(?:\s+[a-z-]+)*)\s*(!\s*important)?\s*", re.I)
+_SELECTOR = re.compile(r"([a-z][a-z0-9-]*|\*)?([.#][\w-]+)?")
+_SPACES = " \t\n\f\r"
+_WORDS = re.compile(r"[^ \t\n\f\r]+")
+#: White space of Unicode that is none in HTML: texts with it are split by _WORDS.
+_OTHER = re.compile(r"[\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+MOST_INDENT = 80
+MOST_TABLES = 16
+#: A table with more places than this for each of its cells (and 1000) is not aligned, or its row spans are not followed.
+SPARSE = 20
+
+#: What style elements declare: selector -> property -> (important, specificity, position, value) of the strongest.
+Rules = dict[str, dict[str, tuple]]
 
 
 class Node:
@@ -86,10 +103,43 @@ def _attributes(s: str) -> dict[str, str]:
     return out
 
 
-def parse(html: str) -> tuple[Node, set[str]]:
-    """The tree, and the simple selectors that style elements hide."""
+class _Open:
+    """The open elements. Where each tag was last opened is kept, so that no search walks over them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.at: dict[str, list[int]] = {}  # positions of the open elements of a tag
+        self.fences: list[int] = []
+        self.walls: list[int] = []  # of blocks and fences
+
+    def push(self, node: Node) -> None:
+        k = len(self.nodes)
+        self.nodes.append(node)
+        self.at.setdefault(node.tag, []).append(k)
+        if node.tag in FENCE:
+            self.fences.append(k)
+        if node.tag in FENCE or node.tag in BLOCK:
+            self.walls.append(k)
+
+    def cut(self, k: int) -> None:
+        """Close the elements from position k on."""
+        for node in self.nodes[k:]:
+            self.at[node.tag].pop()
+        del self.nodes[k:]
+        for marks in (self.fences, self.walls):
+            while marks and marks[-1] >= k:
+                marks.pop()
+
+    def last(self, tags) -> int:
+        """Position of the innermost open element of these tags; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+
+def parse(html: str) -> tuple[Node, Rules]:
+    """The tree, and what style elements declare for simple selectors."""
     root = Node("#root", {})
-    stack, unseen, at, low = [root], set(), 0, None
+    open_, rules, order, at, low = _Open(root), {}, [0], 0, None
+    stack = open_.nodes
     while at < len(html):
         m = _TOKEN.match(html, at)
         at = m.end()
@@ -103,9 +153,9 @@ def parse(html: str) -> tuple[Node, set[str]]:
             continue
         tag = tag.lower()
         if m["end"]:
-            _end(stack, tag)
+            _end(open_, tag)
             continue
-        _imply(stack, tag)
+        _imply(open_, tag)
         node = Node(tag, _attributes(m["attrs"]))
         stack[-1].children.append(node)
         if tag in RAW or tag in RAW_TEXT:
@@ -114,13 +164,13 @@ def parse(html: str) -> tuple[Node, set[str]]:
             stop = len(html) if stop < 0 else stop
             if tag == "style":
                 if _on_screen(node.attrs.get("media", "")):
-                    _hide(html[at:stop], unseen)
+                    _declare(html[at:stop], rules, order)
             elif tag in RAW_TEXT:
                 node.children.append(unescape(html[at:stop]))
             at = html.find(">", stop) + 1 or len(html)
         elif tag not in VOID and not (m["attrs"].endswith("/") and tag not in BLOCK and tag in ("svg", "path", "rect", "circle", "use")):
-            stack.append(node)
-    return root, unseen
+            open_.push(node)
+    return root, rules
 
 
 def _find(html: str, tag: str, at: int) -> int:
@@ -133,7 +183,7 @@ def _on_screen(media: str) -> bool:
     return any(_MEDIA.fullmatch(q.strip()) for q in media.lower().split(","))
 
 
-def _hide(css: str, unseen: set[str]) -> None:
+def _declare(css: str, rules: Rules, order: list[int]) -> None:
     # open blocks: selectors (None: no rule that counts), whether rules inside count, own declarations
     blocks: list[tuple[str | None, bool, list[str]]] = []
     part: list[str] = []
@@ -152,45 +202,43 @@ def _hide(css: str, unseen: set[str]) -> None:
             part = []
             if t == "}" and blocks:
                 selectors, _, body = blocks.pop()
-                if selectors and any(map(_NONE.search, body)):
-                    unseen.update(s for s in (x.strip().lower() for x in selectors.split(",")) if re.fullmatch(r"[a-z0-9]*([.#][\w-]+)?", s) and s)
+                declared = [d for d in map(_DECLARED.fullmatch, body) if d] if selectors else []
+                for s in (x.strip().lower() for x in selectors.split(",")) if declared else ():
+                    m2 = _SELECTOR.fullmatch(s)
+                    if s and m2:
+                        weight = (10000 if "#" in s else 100 if "." in s else 0) + (m2[1] not in (None, "*"))
+                        s = s[1:] if s[0] == "*" and len(s) > 1 else s
+                        own = rules.setdefault(s, {})
+                        for d in declared:
+                            order[0] += 1
+                            new, p = (d[3] is not None, weight, order[0], d[2].lower()), d[1].lower()
+                            own[p] = max(own.get(p, new), new)
         elif m["comment"] is None:
             part.append(t)
 
 
-def _end(stack: list[Node], tag: str) -> None:
+def _end(open_: _Open, tag: str) -> None:
     if tag == "br":
-        stack[-1].children.append(Node("br", {}))
+        open_.nodes[-1].children.append(Node("br", {}))
         return
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-        if stack[k].tag in FENCE and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html"):
-            break
-    if tag == "p":
-        stack[-1].children.append(Node("p", {}))
+    k = open_.last((tag,))
+    fence = open_.fences[-1] if open_.fences else 0
+    if k and (k >= fence or tag in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html")):
+        open_.cut(k)
+    elif tag == "p":
+        open_.nodes[-1].children.append(Node("p", {}))
 
 
-def _imply(stack: list[Node], tag: str) -> None:
+def _imply(open_: _Open, tag: str) -> None:
     if tag in ENDS:
         ended, fence = ENDS[tag]
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in fence:
-                break
-            if stack[k].tag in ended:
-                below = k
-                while below > 1 and stack[below - 1].tag in ended:
-                    below -= 1
-                del stack[below:]
-                break
-    if tag in ENDS_P:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag == "p":
-                del stack[k:]
-                break
-            if stack[k].tag in FENCE or stack[k].tag in BLOCK:
-                break
+        k = open_.last(ended)
+        if k > open_.last(fence):
+            while k > 1 and open_.nodes[k - 1].tag in ended:
+                k -= 1
+            open_.cut(k)
+    if tag in ENDS_P and open_.walls and open_.nodes[open_.walls[-1]].tag == "p":
+        open_.cut(open_.walls[-1])
 
 
 class Writer:
@@ -201,7 +249,7 @@ class Writer:
         self.now: list[str] = []
         self.gap = 0  # line ends due before the next text: 1 new line, 2 blank line
         self.space = False
-        self.indent = ""
+        self.indent = 0
         self.marker = ""
 
     def block(self, gap: int) -> None:
@@ -210,7 +258,7 @@ class Writer:
 
     def _flush(self) -> None:
         if self.now:
-            self.lines.append("".join(self.now).rstrip())
+            self.lines.append("".join(self.now).rstrip(_SPACES))
             self.now = []
 
     def _open(self) -> None:
@@ -220,24 +268,24 @@ class Writer:
                 self.lines.append("")
             self.gap = 0
         if not self.now:
-            self.now.append(self.indent + self.marker)
+            self.now.append(" " * min(self.indent, MOST_INDENT) + self.marker)
             if self.marker:
-                self.indent += " " * len(self.marker)
+                self.indent += len(self.marker)
                 self.marker = ""
             self.space = False
 
     def text(self, s: str) -> None:
-        words = s.split()
+        words = _WORDS.findall(s) if _OTHER.search(s) else s.split()
         if not words:
             self.space = True
             return
-        lead = self.space or s[0].isspace()
+        lead = self.space or s[0] in _SPACES
         fresh = not self.now or self.gap
         self._open()
         if lead and not fresh:
             self.now.append(" ")
         self.now.append(" ".join(words))
-        self.space = s[-1].isspace()
+        self.space = s[-1] in _SPACES
 
     def literal(self, s: str) -> None:
         """Preformatted text or finished lines."""
@@ -279,35 +327,100 @@ def align(rows: list[list[str]]) -> str:
     lines = []
     for row in split:
         for k in range(max(map(len, row), default=0)):
-            lines.append("  ".join((cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, widths)).rstrip())
+            lines.append("  ".join((cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, widths)).rstrip(" "))
     return "\n".join(lines)
 
 
-class _Table:
-    def __init__(self, indent_writer: Writer):
-        self.outer, self.rows = indent_writer, []
+def _span(node: Node, name: str, most: int) -> int:
+    """A span attribute as HTML reads it: leading digits, 1 if there are none."""
+    m = re.match(r"[ \t\n\f\r]*\+?(\d{1,9})", node.attrs.get(name, ""))
+    return min(int(m[1]), most) if m else 1
+
+
+def grid(rows: list[list[tuple[str, int, int]]]) -> list[list[str]]:
+    """Rows of (text, columns, rows) cells as rows of texts by column; the places that a cell covers beyond its first are empty.
+
+    Only columns in which a cell begins are kept, so wide spans cost nothing.
+    """
+    lines: list[dict[int, str]] = []
+    covered: list[tuple[int, int, int]] = []  # columns [from, to) that cells from above hold, until a row
+    for r, row in enumerate(rows):
+        covered = [c for c in covered if c[2] > r]
+        line, held, at, k = {}, [], 0, 0
+        for text, wide, high in row:
+            while k < len(covered) and covered[k][0] <= at:
+                at = max(at, covered[k][1])
+                k += 1
+            line[at] = text
+            if high > 1 and held and held[-1][1:] == (at, r + high):
+                held[-1] = (held[-1][0], at + wide, r + high)
+            elif high > 1:
+                held.append((at, at + wide, r + high))
+            at += wide
+        covered = sorted(covered + held) if held else covered
+        lines.append(line)
+    places = {c: k for k, c in enumerate(sorted({c for line in lines for c in line}))}
+    out = []
+    for line in lines:
+        out.append([""] * (1 + max((places[c] for c in line), default=-1)))
+        for c, text in line.items():
+            out[-1][places[c]] = text
+    return out
 
 
-def _visible(node: Node, unseen: set[str]) -> bool:
-    if node.tag in HIDDEN or "hidden" in node.attrs:
-        return False
-    if node.tag == "dialog" and "open" not in node.attrs:
-        return False
-    if "style" in node.attrs and _NONE.search(node.attrs["style"]):
-        return False
-    if unseen:
-        names = [node.tag] + [x for c in node.attrs.get("class", "").lower().split() for x in ("." + c, node.tag + "." + c)]
+class _Table:
+    def __init__(self):
+        self.rows: list[list[tuple[str, int, int]]] = []
+
+    def text(self) -> str:
+        n = len(self.rows)
+        rows = [[(t, w, n - r if h == 0 else min(h, n - r)) for t, w, h in row] for r, row in enumerate(self.rows)]
+        most = SPARSE * sum(map(len, rows)) + 1000
+        if sum(h for row in rows for _, _, h in row if h > 1) > most:
+            rows = [[(t, w, 1) for t, w, _ in row] for row in rows]
+        lines = [r for r in grid(rows) if any(r)]
+        if sum(map(len, lines)) > most:
+            lines = [["  ".join(filter(None, r))] for r in lines]
+        return align(lines)
+
+
+def _declared(node: Node, rules: Rules) -> dict[str, str]:
+    """The element's own display and visibility by the cascade: importance, specificity, order, the inline style over sheets."""
+    found: dict[str, tuple] = {}
+    if rules:
+        names = ["*", node.tag]
+        for c in node.attrs.get("class", "").lower().split():
+            names += ["." + c, node.tag + "." + c]
         if "id" in node.attrs:
             names += ["#" + node.attrs["id"].lower(), node.tag + "#" + node.attrs["id"].lower()]
-        return unseen.isdisjoint(names)
-    return True
+        for name in names:
+            for p, d in rules.get(name, {}).items():
+                if p not in found or found[p] <= d:
+                    found[p] = d
+    style = node.attrs.get("style")
+    if style:
+        for k, part in enumerate(style.split(";")):
+            m = _DECLARED.fullmatch(part)
+            if m:
+                d = (m[3] is not None, 1_000_000, k, m[2].lower())
+                if m[1].lower() not in found or found[m[1].lower()] <= d:
+                    found[m[1].lower()] = d
+    return {p: d[3] for p, d in found.items()}
+
+
+def _visible(node: Node, declared: dict[str, str]) -> bool:
+    if node.tag in HIDDEN:
+        return False
+    if "display" in declared:
+        return declared["display"] != "none"
+    return "hidden" not in node.attrs and not (node.tag == "dialog" and "open" not in node.attrs)
 
 
-def render(root: Node, unseen: set[str]) -> str:
+def render(root: Node, rules: Rules) -> str:
     out = Writer()
     tables: list[_Table] = []
     lists: list[int | None] = []  # the next number of each open list, None for bullets
-    seen, pre = [True], 0
+    seen, pre, deep = [True], 0, 0  # deep: open tables that are laid out as blocks
     # (node, position of the next child, what to restore at the end)
     stack: list[list] = [[root, 0, None]]
     while stack:
@@ -324,18 +437,24 @@ def render(root: Node, unseen: set[str]) -> str:
             if tag == "br":
                 out.line_end()
                 continue
-            if not _visible(child, unseen) or (node.tag == "details" and tag != "summary" and "open" not in node.attrs):
+            declared = _declared(child, rules) if rules or "style" in child.attrs else {}
+            if not _visible(child, declared) or (node.tag == "details" and tag != "summary" and "open" not in node.attrs):
                 continue
-            m = _SEEN.search(child.attrs["style"]) if "style" in child.attrs else None
-            seen.append(m[1].lower() == "visible" if m else seen[-1])
+            how = declared.get("visibility")
+            seen.append(how == "visible" if how in ("visible", "hidden", "collapse") else seen[-1])
             keep: tuple = (out.indent, out.marker)
-            if tag in ("td", "th"):
+            if tag in ("td", "th") and deep:
+                out.block(1)
+            elif tag in ("td", "th"):
                 keep = (out, lists)
                 out, lists = Writer(), []
+            elif tag == "table" and len(tables) > MOST_TABLES:
+                deep += 1
+                out.block(2)
             elif tag == "table":
                 out.block(2)
-                tables.append(_Table(out))
-            elif tag == "tr" and tables:
+                tables.append(_Table())
+            elif tag == "tr" and tables and not deep:
                 tables[-1].rows.append([])
             elif tag in BLOCK:
                 out.block(2 if tag in SPACED and not (tag in LISTS and lists) else 1)
@@ -349,7 +468,7 @@ def render(root: Node, unseen: set[str]) -> str:
                 else:
                     out.marker = "- "
             elif tag in ("dd", "blockquote"):
-                out.indent += "  "
+                out.indent += 2
             elif tag == "pre":
                 pre += 1
             stack.append([child, 0, keep])
@@ -359,23 +478,27 @@ def render(root: Node, unseen: set[str]) -> str:
             break
         seen.pop()
         tag = node.tag
+        if tag in ("td", "th") and deep:
+            out.block(1)
+            continue
         if tag in ("td", "th"):
             text = out.done()
             out, lists = saved
             if tables:
                 if not tables[-1].rows:
                     tables[-1].rows.append([])
-                span = node.attrs.get("colspan", "1")
-                tables[-1].rows[-1] += [text] + [""] * (min(int(span), 100) - 1 if re.fullmatch(r"\d{1,4}", span) else 0)
+                tables[-1].rows[-1].append((text, max(1, _span(node, "colspan", 1000)), _span(node, "rowspan", 65534)))
             else:
                 out.text(" " + text + " ")
             continue
-        if tag == "table":
-            t = tables.pop()
-            rows = [r for r in t.rows if any(r)]
-            if rows:
+        if tag == "table" and deep:
+            deep -= 1
+            out.block(2)
+        elif tag == "table":
+            text = tables.pop().text()
+            if text:
                 out.block(1)
-                out.literal(align(rows))
+                out.literal(text)
             out.block(2)
         elif tag in BLOCK:
             out.block(2 if tag in SPACED and not (tag in LISTS and len(lists) > 1) else 1)

@@ -1,16 +1,18 @@
 """Language identification of whole texts, with spans of mixed-language text.
 
 Learning: counts of character 1- to 3-grams of the letters of each language's documents,
-summed by Spark per language. Every label is learned: of each language all labelled rows
-are read, or, of one with more than ``SAMPLE_ROWS``, about that many (a bound per language;
+summed by Spark per language and turned into log probabilities there. The ``MOST_LANGS`` most frequent labels
+are learned (a documented bound of the sample, so that a dirty label column cannot grow the model): of each language
+all labelled rows are read, or, of one with more than ``SAMPLE_ROWS``, about that many (a bound per language;
 chosen by a hash of the row key; whole texts). The model is one table of log probabilities
-per hashed n-gram and language, of fixed size, plus each language's share of scripts.
+per hashed n-gram and language, 384 KB a language, plus each language's share of scripts.
 
 Prediction, one pass: a word is a run of letters and marks. Its script (by ranges of code
 points) narrows the candidates to the languages that use it; its score for a candidate is
 the sum of the log probabilities of its n-grams. Viterbi over the words of a document, with
 a penalty for each switch of language, labels every word; neighbouring words of one label
-are a span. The document's language is the one whose spans hold most letters, its score
+are a span. Texts are taken in slices that shrink with the number of languages, and scores are summed in chunks of
+CHUNK cells, so a task's memory does not grow with the languages. The document's language is the one whose spans hold most letters, its score
 that share. All documents of a batch take their Viterbi steps together.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0 and no spans. Words in
@@ -43,7 +45,11 @@ SWITCH_PENALTY = 12.0
 SMOOTHING = 0.5
 #: A language uses a script if at least this share of its letters is in it.
 SCRIPT_SHARE = 0.01
-SLICE_CHARS = 1_500_000
+MOST_LANGS = 256
+#: Bytes of text worked on at once, for up to four languages; with more in proportion less.
+SLICE = 1_000_000
+#: Cells (letters x languages) of scores held at once.
+CHUNK = 4_000_000
 
 #: Script ranges (first, last code point); what is in none is "other".
 SCRIPTS = [
@@ -169,36 +175,46 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cell)), pa.array(cell), pa.array(c[cell])], ["lang", "cell", "n"])
 
 
+def _model_row(counts: pa.Table) -> pa.Table:
+    """One language's log probabilities and letters by script, from its counts."""
+    c = np.zeros(len(ORDERS) * BUCKETS + N_SCRIPTS + 1)
+    c[counts.column("cell").to_numpy()] = counts.column("n").to_numpy()
+    grams = c[:len(ORDERS) * BUCKETS].reshape(len(ORDERS), BUCKETS) + SMOOTHING
+    score = np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32)
+    return pa.table({"lang": counts.column("lang").slice(0, 1), "score": pa.array([score.tobytes()], pa.binary()),
+                     "scripts": pa.array([c[-1 - N_SCRIPTS:-1].tolist()], pa.list_(pa.float64()))})
+
+
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id",
-        sample_rows: int = SAMPLE_ROWS) -> Model:
+        sample_rows: int = SAMPLE_ROWS, most_langs: int = MOST_LANGS) -> Model:
     """The model from rows with a language; of each one all rows, or about ``sample_rows`` chosen by a hash of ``key_col``.
 
-    The driver gets one row per language, and one table of counts, of at most languages x (3 x 32768 + scripts) cells.
+    Of labels beyond ``most_langs`` the most frequent are learned (ties by name). The driver gets one row for each
+    of those: its size, and then its finished row of the model.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                 F.pmod(F.xxhash64(F.col(key_col), F.lit("sample")), F.lit(DRAW)).alias("draw"))
     # the least draw of a language is always in, so none is lost
-    sizes = {r["lang"]: (r["n"], r["least"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()}
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).orderBy(F.desc("n"), "lang").limit(most_langs + 1).collect()
+    all_langs = len(sizes) <= most_langs
+    sizes = {r["lang"]: (r["n"], r["least"]) for r in sizes[:most_langs]}
+    if not all_langs:
+        rows = rows.where(F.col("lang").isin(*sizes))
     upto = {x: max(least, DRAW * sample_rows // n) for x, (n, least) in sizes.items() if n > sample_rows}
     if upto:
         bound = F.create_map(*[F.lit(v) for pair in upto.items() for v in pair])
         rows = rows.where(F.col("draw") <= F.coalesce(bound[F.col("lang")], F.lit(DRAW)))
-    counts = rows.select("lang", "text") \
-        .mapInArrow(_count, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
-    lang = counts.column("lang").to_pylist()
-    langs = sorted(set(lang))
-    table = np.zeros((len(langs), len(ORDERS) * BUCKETS + N_SCRIPTS + 1))
-    if langs:
-        place = {x: i for i, x in enumerate(langs)}
-        table[[place[x] for x in lang], counts.column("cell").to_numpy()] = counts.column("n").to_numpy()
-    score = []
-    for k in range(len(ORDERS)):
-        c = table[:, k * BUCKETS:(k + 1) * BUCKETS] + SMOOTHING
-        score.append(np.ascontiguousarray(np.log(c / c.sum(axis=1, keepdims=True)).T.astype(np.float32)))
-    by_script = table[:, -1 - N_SCRIPTS:-1]
+    counts = rows.select("lang", "text").mapInArrow(_count, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    table = counts.groupBy("lang").applyInArrow(_model_row, "lang string, score binary, scripts array<double>").orderBy("lang").toArrow()
+    langs = table.column("lang").to_pylist()
+    score = [np.zeros((BUCKETS, len(langs)), np.float32) for _ in ORDERS]
+    for i, row in enumerate(table.column("score")):
+        for k, part in enumerate(np.frombuffer(row.as_buffer(), np.float32).reshape(len(ORDERS), BUCKETS)):
+            score[k][:, i] = part
+    by_script = np.array(table.column("scripts").to_pylist()).reshape(len(langs), N_SCRIPTS)
     uses = (by_script >= SCRIPT_SHARE * np.maximum(by_script.sum(axis=1, keepdims=True), 1)).T & (by_script.T > 0)
-    return Model(langs, score, uses, int(np.argmax([sizes[x][0] for x in langs])) if langs else 0, bool(langs) and not upto)
+    return Model(langs, score, uses, int(np.argmax([sizes[x][0] for x in langs])) if langs else 0, bool(langs) and not upto and all_langs)
 
 
 def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
@@ -240,21 +256,36 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
 
 def word_scores(w: Letters, m: Model) -> tuple[np.ndarray, np.ndarray]:
     """(words, languages) scores, and which words have a candidate at all."""
-    total = np.zeros((len(w.inside), len(m.langs)), np.float32)
-    for g, s in zip(w.grams, m.score):
-        total += s[g.astype(np.int64)]
-    score = np.add.reduceat(total, w.first, axis=0) if len(w.first) else np.zeros((0, len(m.langs)), np.float32)
-    uses = m.uses[w.scripts]
-    known = uses.any(axis=1)
+    score = np.full((len(w.first), len(m.langs)), np.float32(-1e6))
+    known = m.uses.any(axis=1)[w.scripts]
     # no candidate: the word says nothing, so the label of its neighbours goes on
-    return np.where(known[:, None], np.where(uses, score, np.float32(-1e6)), np.float32(0)), known
+    score[~known] = 0
+    # only the languages that use some script of these words
+    cols = np.flatnonzero(m.uses[np.unique(w.scripts)].any(axis=0)) if len(w.first) else np.zeros(0, np.int64)
+    if not len(cols):
+        return score, known
+    every = len(cols) == len(m.langs)
+    ends = np.append(w.first[1:], len(w.inside))
+    step, s = max(1, CHUNK // len(cols)), 0
+    while s < len(w.first):
+        e = max(s + 1, int(np.searchsorted(ends, w.first[s] + step, side="right")))
+        a, b = int(w.first[s]), int(ends[e - 1])
+        total = np.zeros((b - a, len(cols)), np.float32)
+        for g, table in zip(w.grams, m.score):
+            part = table[g[a:b].astype(np.int64)]
+            total += part if every else part[:, cols]
+        summed = np.add.reduceat(total, w.first[s:e] - a, axis=0)
+        here = m.uses[w.scripts[s:e]][:, cols]
+        score[s:e, cols] = np.where(known[s:e, None], np.where(here, summed, np.float32(-1e6)), np.float32(0))
+        s = e
+    return score, known
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model, text_at: int, kind: pa.DataType, penalty: float,
              spans: bool) -> Iterator[pa.RecordBatch]:
     m: Model = model.value
     for whole in batches:
-        for b in text_slices(whole, text_at):
+        for b in text_slices(whole, text_at, SLICE * 4 // max(4, len(m.langs))):
             found = pa.array(_predict_rows(b.column(text_at).to_pylist(), m, penalty, spans), kind)
             yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, "found"])
 

@@ -1,4 +1,4 @@
-"""Line deduplication: later copies of repeated passages are deleted.
+"""Line deduplication by winnowing: later copies of repeated passages are deleted.
 
 A passage is a run of consecutive non-blank lines with at least ``min_words`` words. Every
 line goes that lies in a passage which also stands at an earlier place, whatever is around it.
@@ -9,13 +9,19 @@ Only DataFrame functions are used.
 2. Windows: from each line the fewest lines that hold ``min_words`` words, and to each line the
    fewest that end there. Both depend on the passage alone, so equal passages have equal windows,
    and every line of a passage is in a window inside it. A document has at most two a line.
-3. Each window is joined, by a hash of its lines, with its first occurrence (least doc_id, then
-   position), so a window in a million documents gives a million rows, never pairs of them.
-4. The windows that are not a first occurrence are deleted; those that overlap or touch are one
-   run. Every deleted line has an equal line earlier, so a first copy always stays.
-
-Words are counted by single spaces in trimmed lines. Windows are equal if a 64-bit and a 32-bit
-hash of them are. Blank lines between deleted lines go with them.
+3. Winnowing: each window selects its least line (the first of the least hash). The fingerprint is that
+   line's hash with its place in the window and the hash of the window. (The line alone would be too little: a
+   frequent short line is the least of many unlike windows, and its first place says nothing about the others.)
+4. Fingerprints are joined with the first position (least doc_id, then line) of their minimum, so a
+   window in a million documents gives a million rows, never pairs of them.
+5. A joined pair of positions aligns two texts. Per pair of unlike texts and shift, the match is extended
+   both ways, line by line, as long as lines are equal. Extended matches of ``min_words`` words or more are the
+   repeated runs; those that overlap or touch are one. They are deleted in the later document;
+   every deleted line has an equal line earlier, so a first copy always stays.
+
+Words are runs of characters that are not white space; in Han and kana, which have no spaces, each character is
+one. Lines are compared without white space at their ends, so \\r\\n and \\n copies are alike. Windows are
+equal if a 64-bit and a 32-bit hash of them are. Blank lines between deleted lines go with them.
 
 Defined cases: null text stays null; text without newline is one line; rows with equal id and
 equal text are one document and get the same result; a null id comes before all others. Other
@@ -24,52 +30,87 @@ columns pass through unchanged, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stage
+from .common import Stage, lookup, small
 
 MIN_WORDS = 50
 #: The table of deletions is broadcast up to so many intervals (24 bytes each).
 BROADCAST_INTERVALS = 500_000
+#: White space at the ends of lines; lines with any of WIDE are counted by WORD, others by their single spaces.
+ENDS = " \\t\\r\\u000B\\f\\u0085\\u00A0\\u1680\\u2000\\u2001\\u2002\\u2003\\u2004\\u2005\\u2006\\u2007\\u2008\\u2009\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+_DENSE = "\\\\p{IsHan}\\\\p{IsHiragana}\\\\p{IsKatakana}"
+_BLANK = "\\\\x09-\\\\x0D\\\\x20\\\\x85\\\\xA0\\\\u1680\\\\u2000-\\\\u200A\\\\u2028\\\\u2029\\\\u202F\\\\u205F\\\\u3000"
+WIDE = f"[\\\\x09-\\\\x0D\\\\x85\\\\xA0\\\\u1680\\\\u2000-\\\\u200A\\\\u2028\\\\u2029\\\\u202F\\\\u205F\\\\u3000{_DENSE}]|\\\\x20\\\\x20"
+WORD = f"[{_DENSE}]|[^{_BLANK}{_DENSE}]+"
 
 
 def line_arrays(docs: DataFrame) -> DataFrame:
     """From columns id, text: id, th (hash of the text), and arrays at, h, g, w over the non-blank lines."""
-    lines = F.expr("filter(transform(split(text, '\\n'), (l, i) -> struct(i as i, trim(l) as l)), x -> x.l <> '')")
+    lines = F.expr(f"filter(transform(split(text, '\\\\n'), (l, i) -> struct(i as i, trim(BOTH '{ENDS}' FROM l) as l)), x -> x.l <> '')")
+    words = f"if(y.l rlike '{WIDE}', regexp_count(y.l, '{WORD}'), length(y.l) - length(replace(y.l, ' ', '')) + 1)"
     return (docs.where("text is not null").select("id", F.xxhash64("text").alias("th"), lines.alias("x"))
             .where("size(x) > 0")
             .select("id", "th", F.expr("transform(x, y -> y.i)").alias("at"),
                     F.expr("transform(x, y -> xxhash64(y.l))").alias("h"), F.expr("transform(x, y -> hash(y.l))").alias("g"),
-                    F.expr("transform(x, y -> length(y.l) - length(replace(y.l, ' ', '')) + 1)").alias("w")))
+                    F.expr(f"transform(x, y -> {words})").alias("w")))
 
 
-def windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """(id, th, s, e, at_s, at_e, k, g): each window from line s to e (non-blank lines from 0; at: line numbers) and its hashes."""
+def fingerprints(lines: DataFrame, min_words: int) -> DataFrame:
+    """(id, th, m, f, g): of each window the position of its least line (non-blank lines from 0) and its fingerprint."""
     # the last line of the shortest window from i; null if the rest of the document has fewer words
     end = (f"aggregate(slice(w, i + 1, {min_words}), struct(0 as n, 0 as s), "
            f"(a, x) -> if(a.s >= {min_words}, a, struct(a.n + 1 as n, a.s + x as s)), a -> if(a.s >= {min_words}, i + a.n - 1, null))")
     # from i also up to each line that no later start reaches: the shortest windows that end there
     from_i = "if(x is null, array(), transform(sequence(x, greatest(x, coalesce(get(ends, i + 1), size(h)) - 1)), j -> struct(i as s, j as e)))"
-    hashed = ("transform(win, x -> struct(x.s as s, x.e as e, at[x.s] as at_s, at[x.e] as at_e, "
-              "xxhash64(slice(h, x.s + 1, x.e - x.s + 1)) as k, hash(slice(g, x.s + 1, x.e - x.s + 1)) as g))")
+    hashed = "transform(win, x -> struct(x.s as s, slice(h, x.s + 1, x.e - x.s + 1) as hs, hash(slice(g, x.s + 1, x.e - x.s + 1)) as g))"
+    least = "transform(hashed, x -> struct(x.s as s, x.hs as hs, x.g as g, array_min(x.hs) as low))"
+    place = "transform(least, x -> struct(int(x.s + array_position(x.hs, x.low) - 1) as m, xxhash64(x.low, array_position(x.hs, x.low), x.hs) as f, x.g as g))"
     return (lines.withColumn("ends", F.expr(f"transform(sequence(0, size(h) - 1), i -> {end})"))
-            .withColumn("win", F.expr(f"flatten(transform(ends, (x, i) -> {from_i}))"))
-            .select("id", "th", F.explode(F.expr(hashed)).alias("x")).select("id", "th", "x.*"))
+            .withColumn("win", F.expr(f"flatten(transform(ends, (x, i) -> {from_i}))")).where("size(win) > 0")
+            .withColumn("hashed", F.expr(hashed)).withColumn("least", F.expr(least))
+            .select("id", "th", F.explode(F.expr(place)).alias("x")).select("id", "th", "x.*"))
+
+
+def extended(pairs: DataFrame, lines: DataFrame, stage: Stage, min_words: int) -> DataFrame:
+    """``pairs`` (th, th0, shift: line i of text th stands at i - shift in th0) with the runs of equal lines, (s, e, at_s, at_e) each."""
+    texts = pairs.select("th").union(pairs.select(F.col("th0").alias("th"))).distinct()
+    arrays = lines.join(small(stage.put(texts, "texts")), "th", "left_semi").groupBy("th").agg(F.first(F.struct("at", "h", "g", "w")).alias("a"))
+    arrays = stage.put(arrays, "arrays")
+    # long texts may be in very many pairs, and arrays are too wide to broadcast
+    both = lookup(pairs, arrays, ["th"], stage, "arrays", max_rows=0)
+    both = stage.put(both.select("th", "th0", "shift", "a"), "aligned")
+    both = lookup(both, arrays.select(F.col("th").alias("th0"), F.col("a").alias("b")), ["th0"], stage, "arrays0", max_rows=0)
+    lo, hi = "greatest(0, shift)", "least(size(a.h), size(b.h) + shift) - 1"
+    unlike = f"filter(sequence({lo}, {hi}), i -> a.h[i] <> b.h[i - shift] or a.g[i] <> b.g[i - shift])"
+    # between two unlike lines (or the ends) lies one run
+    both = both.withColumn("stops", F.expr(f"concat(array({lo} - 1), {unlike}, array({hi} + 1))"))
+    runs = "transform(sequence(0, size(stops) - 2), j -> struct(stops[j] + 1 as s, stops[j + 1] - 1 as e))"
+    enough = f"r.e >= r.s and aggregate(slice(a.w, r.s + 1, greatest(0, r.e - r.s + 1)), 0, (n, x) -> n + x) >= {min_words}"
+    runs = f"transform(filter({runs}, r -> {enough}), r -> struct(r.s as s, r.e as e, a.at[r.s] as at_s, a.at[r.e] as at_e))"
+    return both.select("th", "th0", "shift", F.expr(runs).alias("runs"))
 
 
 def repeated_runs(lines: DataFrame, stage: Stage, min_words: int) -> DataFrame:
     """(id, th, runs): the intervals of line numbers to delete, of each document that has any."""
-    found = stage.put(windows(lines, min_words), "windows")
-    first = stage.put(found.groupBy("k", "g").agg(F.min(F.struct("id", "th", "s")).alias("first"), F.count("*").alias("n"))
-                      .where("n > 1").select("k", "g", "first"), "first")
+    found = stage.put(fingerprints(lines, min_words), "fingerprints")
+    first = stage.put(found.groupBy("f", "g").agg(F.min(F.struct("id", "th", "m")).alias("first"), F.count("*").alias("n"))
+                      .where("n > 1"), "first")
     # rows with equal id and text are one document: their windows are equal places
-    later = found.join(first, ["k", "g"]).where("not (id <=> first.id and th = first.th and s = first.s)")
-    cut = later.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("s", "e", "at_s", "at_e"))).alias("x"))
-    # sorted by start the windows are sorted by end too; those that overlap or touch are one run
-    begins = "transform(filter(x, (r, i) -> i = 0 or r.s > x[i - 1].e + 1), r -> r.at_s)"
-    ends = "transform(filter(x, (r, i) -> i = size(x) - 1 or x[i + 1].s > r.e + 1), r -> r.at_e)"
-    return stage.put(cut.select("id", "th", F.expr(f"zip_with({begins}, {ends}, (s, e) -> struct(s, e))").alias("runs")), "runs")
+    later = lookup(found, first, ["f", "g"], stage, "first", n_col="n").where("first is not null and not (id <=> first.id and th = first.th and m = first.m)")
+    docs = stage.put(later.select("id", "th", F.col("first.th").alias("th0"), (F.col("m") - F.col("first.m")).alias("shift")).distinct(), "alignments")
+    pairs = stage.put(docs.select("th", "th0", "shift").distinct(), "pairs")
+    runs = stage.put(extended(pairs, lines, stage, min_words), "extended")
+    cut = lookup(docs, runs, ["th", "th0", "shift"], stage, "extended").select("id", "th", F.explode("runs").alias("r")) \
+        .groupBy("id", "th", "r.s").agg(F.max(F.struct("r.e", "r.at_s", "r.at_e")).alias("r"))
+    # runs that overlap or touch are one: a new one begins beyond the furthest end so far
+    before = Window.partitionBy("id", "th").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.coalesce((F.col("s") > F.max("r.e").over(before) + 1).cast("int"), F.lit(1))
+    upto = Window.partitionBy("id", "th").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
+    merged = cut.withColumn("begins", begins).withColumn("run", F.sum("begins").over(upto)) \
+        .groupBy("id", "th", "run").agg(F.min("r.at_s").alias("s"), F.max("r.at_e").alias("e"))
+    return stage.put(merged.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("runs")), "runs")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,7 +119,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     stage = Stage(docs.sparkSession, "line-dedup")
     df = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
-    lines = line_arrays(df.select(key.alias("id"), text.cast("string").alias("text")))
+    lines = stage.put(line_arrays(df.select(key.alias("id"), text.cast("string").alias("text"))), "lines")
     runs = repeated_runs(lines, stage, min_words)
     if (runs.agg(F.sum(F.size("runs"))).first()[0] or 0) <= BROADCAST_INTERVALS:
         runs = F.broadcast(runs)

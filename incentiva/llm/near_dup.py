@@ -16,7 +16,7 @@ B[d'] / B[d]); with equal weights it is the plain Jaccard similarity.
 4. Within a key nodes are compared with a pivot (another one each round) and linked if the
    exact similarity reaches ``threshold``; nodes already in one component need no further
    comparison, so a group of k near copies costs about k comparisons, not k squared. What
-   then is left of a key, pairs across components, goes block by block through a sieve of
+   then is left of a key, pairs across components, goes block by block of that key through a sieve of
    longer signatures, and what passes is compared exactly. No candidate pair is capped;
    the sieve drops a pair at the threshold with probability 3e-7 (five deviations).
 5. A document's class is the least doc_id of its component.
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, small, text_slices, utf8_parts
+from .common import Stage, lookup, small, text_slices, utf8_parts
 from .components import connected_components
 from .words import mix, shingles, split_words, uniform
 
@@ -192,8 +192,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                     pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """One row per document: id_col, class_id (least id of its class), class_size."""
-    spark = docs.sparkSession
-    stage = Stage(spark, "near-dup")
+    return _classes(docs, Stage(docs.sparkSession, "near-dup"), id_col, text_col, size, threshold, bands, rows, pivot_rounds).select(
+        F.col("id").alias(id_col), "class_id", "class_size")
+
+
+def _classes(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+             threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+    """One row per document: id, h (hash of its text), class_id, class_size, first: (unnamed, id, h) of the one that stands for its class."""
     kind = docs.schema[id_col].dataType
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = stage.put(docs.select("id", F.xxhash64("text").alias("h"), "text").mapInArrow(
@@ -203,9 +208,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = link_nodes(docs, signed, stage, size, threshold, pivot_rounds, bands, rows)
     member = signed.select("id", "node").join(small(labels), "node", "left").withColumn("class", F.coalesce("label", "node"))
     classes = stage.put(member.where("class is not null").groupBy("class").agg(
-        F.min("id").alias("class_id"), F.count("*").alias("class_size")).where("class_size > 1"), "classes")
+        F.min("id").alias("class_id"), F.count("*").alias("class_size"),
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("first")).where("class_size > 1"), "classes")
     return member.join(small(classes), "class", "left").select(
-        F.col("id").alias(id_col),
+        "id", "h", "first",
         F.when(F.col("class_size").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
@@ -260,34 +266,34 @@ def _verified(pairs: DataFrame, texts: DataFrame, stage: Stage, name: str, size:
 
 #: Registers (a byte each) of the longer signature that sieves the pairs which pivots left open.
 SIEVE = 1024
-#: Nodes of a block: a task compares two blocks, of about 1.3 KB a node.
-BLOCK = 2048
+#: Nodes of a block: a task compares two blocks of a key, of about 1.3 KB a node.
+BLOCK = 512
+#: Keys of at most so many nodes share tasks.
+PACKED = 128
 _TILE = 128
 
 
 def _rest(members: DataFrame, tested: DataFrame, texts: DataFrame, stage: Stage, size: int, threshold: float, bands: int, rows: int) -> DataFrame:
     """Pairs that share a key but not a component, sieved by a longer signature.
 
-    Components joined by shared keys are a family. A family's nodes are dealt by hash into blocks of
-    about BLOCK nodes, and each pair of blocks is one task that compares signatures in
-    memory and emits only pairs whose estimate is within five standard deviations of the
-    threshold. So a family is split over many tasks, and no task emits all pairs.
+    Only nodes with a common key are compared, so the work is the sum over the open keys of their members squared. The
+    nodes of a key are dealt by hash into blocks of about BLOCK, and each pair of blocks is one task; keys of
+    a handful of nodes are packed into tasks by hash. A task compares signatures in memory, takes a pair only in the
+    first of the keys that it shares (that one is open too, as its labels differ), and emits only pairs whose
+    estimate is within five standard deviations of the threshold.
     """
-    nodes = stage.put(members.select("node", "label").distinct(), "open")
-    least = stage.put(members.groupBy("key").agg(F.min("label").alias("v")), "least")
-    edges = members.select("key", F.col("label").alias("u")).join(small(least, 500_000), "key").select("u", "v")
-    family = connected_components(edges, stage, "family").toDF("label", "family")
-    family = stage.put(nodes.join(small(stage.put(family, "families")), "label"), "family")
-    sizes = family.groupBy("family").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")) \
-        .where("lo < hi").select("family", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = stage.put(family.join(small(stage.put(sizes, "family-sizes")), "family"), "dealt")
-    long = texts.join(small(dealt), "node").mapInArrow(
-        lambda batches: _long_signatures(batches, size, bands, rows), "node bigint, label bigint, family bigint, blocks int, keys binary, sieve binary")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    tasks = long.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = tasks.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                         "node", "label", "keys", "sieve")
-    found = tasks.groupBy("family", "i", "j").applyInArrow(lambda t: _sieve(t, threshold), "u bigint, v bigint")
+    sizes = stage.put(members.groupBy("key").agg(F.count("*").alias("n")), "open-sizes")
+    packed = sizes.where(F.col("n") <= PACKED).agg(F.sum("n")).first()[0] or 0
+    tasks = lookup(members, sizes, ["key"], stage, "open-sizes", n_col="n").withColumn("few", F.col("n") <= PACKED) \
+        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pack = F.pmod(F.xxhash64("key"), F.lit(max(1, packed // BLOCK)))
+    tasks = tasks.select(F.when(F.col("few"), pack).otherwise(F.col("key")).alias("task"), "few", F.least("block", "other").alias("i"),
+                         F.greatest("block", "other").alias("j"), "block", "key", "node", "label")
+    nodes = stage.put(members.select("node").distinct(), "open")
+    long = stage.put(texts.join(small(nodes), "node").mapInArrow(
+        lambda batches: _long_signatures(batches, size, bands, rows), "node bigint, keys binary, sieve binary"), "long")
+    found = tasks.join(long, "node").groupBy("task", "few", "i", "j").applyInArrow(lambda t: _sieve(t, threshold), "u bigint, v bigint")
     return stage.put(found.join(tested, ["u", "v"], "left_anti"), "pairs-rest")
 
 
@@ -298,50 +304,57 @@ def _long_signatures(batches: Iterator[pa.RecordBatch], size: int, bands: int, r
             keys = band_keys(prob_minhash(row, ids, weight, b.num_rows, bands * rows), bands, rows)
             sieve = (mix(prob_minhash(row, ids, weight, b.num_rows, SIEVE)) & _U(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("node", "label", "family", "blocks")), pa.array([x.tobytes() for x in keys], pa.binary()),
-                 pa.array([x.tobytes() for x in sieve], pa.binary())], ["node", "label", "family", "blocks", "keys", "sieve"])
+                [b.column("node"), pa.array([x.tobytes() for x in keys], pa.binary()), pa.array([x.tobytes() for x in sieve], pa.binary())],
+                ["node", "keys", "sieve"])
 
 
 def _sieve(t: pa.Table, threshold: float) -> pa.Table:
-    """Of the nodes of two blocks (or of one): pairs with a common key, unlike labels and a high estimate."""
-    node, label = t.column("node").to_numpy(), t.column("label").to_numpy()
-    keys = np.frombuffer(b"".join(t.column("keys").to_pylist()), np.uint64).reshape(len(node), -1)
+    """Of the nodes of two blocks of a key (or of one, or of several small keys): pairs of unlike labels with a high estimate."""
+    key, node, label, block = (t.column(c).to_numpy() for c in ("key", "node", "label", "block"))
+    keys = np.frombuffer(b"".join(t.column("keys").to_pylist()), np.int64).reshape(len(node), -1)
     sieve = np.frombuffer(b"".join(t.column("sieve").to_pylist()), np.uint8).reshape(len(node), SIEVE)
-    block = t.column("block").to_numpy()
-    left = np.flatnonzero(block == t.column("i")[0].as_py())
-    right = np.flatnonzero(block == t.column("j")[0].as_py())
+    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
     # two bytes agree by chance once in 256
     least = threshold - 5 * (threshold * (1 - threshold) / SIEVE) ** 0.5
     least = SIEVE * (least + (1 - least) / 256)
-    u, v = [], []
-    for s in range(0, len(left), _TILE):
-        a = left[s: s + _TILE]
-        for e in range(0, len(right), _TILE):
-            b = right[e: e + _TILE]
-            meet = np.zeros((len(a), len(b)), bool)
-            for k in range(keys.shape[1]):
-                meet |= keys[a, k][:, None] == keys[b, k][None, :]
-            x, y = np.nonzero(meet & (label[a][:, None] != label[b][None, :]) & (node[a][:, None] != node[b][None, :]))
-            x, y = a[x], b[y]
-            near = np.count_nonzero(sieve[x] == sieve[y], axis=1) >= least if len(x) else np.zeros(0, bool)
-            u.append(np.minimum(node[x[near]], node[y[near]]))
-            v.append(np.maximum(node[x[near]], node[y[near]]))
-    pairs = np.unique(np.stack([np.concatenate(u), np.concatenate(v)]), axis=1) if u else np.zeros((2, 0), np.int64)
+    order = np.argsort(key, kind="stable")
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for part in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+        left, right = part[block[part] == i], part[block[part] == j]
+        for s in range(0, len(left), _TILE):
+            a = left[s: s + _TILE]
+            for e in range(s if i == j else 0, len(right), _TILE):
+                b = right[e: e + _TILE]
+                x, y = np.nonzero(label[a][:, None] != label[b][None, :])
+                x, y = a[x], b[y]
+                common = keys[x] == keys[y]
+                mine = keys[x, common.argmax(axis=1)] == key[x] if len(x) else np.zeros(0, bool)
+                x, y = x[mine], y[mine]
+                near = np.count_nonzero(sieve[x] == sieve[y], axis=1) >= least if len(x) else np.zeros(0, bool)
+                u.append(np.minimum(node[x[near]], node[y[near]]))
+                v.append(np.maximum(node[x[near]], node[y[near]]))
+    pairs = np.unique(np.stack([np.concatenate(u), np.concatenate(v)]), axis=1)
     return pa.table({"u": pairs[0], "v": pairs[1]})
 
 
-def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with one document of each class: the one with the least id.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """``docs`` with one document of each class, a document being an id with a text: the least one (rows without an id last).
 
-    Rows with a null id cannot be named and stay. Of repeated rows with one id, one stays.
+    So of rows with one id and unlike texts each stands for itself; of rows equal in id and text one stays.
     """
-    classes = near_duplicates(docs, **params)
-    spare = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    gone = Stage(docs.sparkSession, "near-dup-gone").put(spare, "ids")
-    kept = docs.join(small(gone), "doc_id", "left_anti")
-    twice = classes.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    twice = Stage(docs.sparkSession, "near-dup-twice").put(twice, "ids")
-    if twice.isEmpty():
-        return kept
-    once = kept.join(twice, "doc_id", "left_anti")
-    return once.unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    names = docs.columns
+    df = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    key, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}").cast("string")
+    stage = Stage(docs.sparkSession, "near-dup-drop")
+    classes = stage.put(_classes(docs, stage, id_col, text_col, **params).where("class_size > 1"), "classes")
+    this = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))
+    gone = stage.put(classes.where(~this).select("id", "h").distinct(), "gone")
+    same = key.eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("h"))
+    kept = df.join(small(gone), same, "left_anti")
+    # rows repeated as they are: one of each stays
+    twice = stage.put(classes.where(this).groupBy("id", "h").count().where("count > 1").select("id", "h"), "twice")
+    if not twice.isEmpty():
+        marked = kept.join(small(twice), same, "left").withColumn("n", F.xxhash64(text))
+        once, several = marked.where("h is null").drop("id", "h", "n"), marked.where("h is not null")
+        kept = once.union(several.dropDuplicates(["id", "n"]).drop("id", "h", "n").select(df.columns))
+    return kept.toDF(*names)

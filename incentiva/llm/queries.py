@@ -145,7 +145,9 @@ def op7_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    # a row without doc_id has no remainder: it is learned from
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out)
     model = _language.fit(docs.where("not held_out"))
     return _language.identify(docs.select("doc_id", "held_out", "text"), model).select(
         "doc_id", "held_out", "found.lang_pred", "found.score",

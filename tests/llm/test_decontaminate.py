@@ -72,3 +72,23 @@ def test_columns_pass_through(spark):
     bench = spark.createDataFrame([(1, "a b c d")], "item_id bigint, text string")
     kept = D.remove_contaminated(df, bench, 4)
     assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(2, "z", "y", 6)]
+
+
+def test_a_window_of_very_many_items_and_ten_blocks(spark):
+    """Items are looked up after the scan, block by block the windows are scanned: results as in one pass."""
+    rng = random.Random(8)
+    words_ = [f"w{i}" for i in range(3000)]
+    shared = "one shared window of five"
+    items = [(i, shared) for i in range(20_000)] + [(30_000 + i, " ".join(rng.choice(words_) for _ in range(9))) for i in range(400)]
+    docs = [(i, " ".join(rng.choice(words_) for _ in range(30)) + (" | " + items[20_000 + i][1] + " x" if i % 2 else "") + (f" {shared}" if i % 50 == 0 else "")) for i in range(200)]
+    docs += [(None, None), (1, ""), (1, "no hit here")]
+    df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    one = D.decontaminate(df, bench, 5)
+    size = sum(len(" ".join(t.split()[i:i + 5])) for _, t in items[20_000:] for i in range(5))
+    ten = D.decontaminate(df, bench, 5, block_bytes=size // 9)
+    key = lambda rows: sorted(map(repr, rows))
+    assert key(one.collect()) == key(ten.collect())
+    hit = {r["doc_id"]: r["found"]["items"] for r in one.collect() if r["found"]["items"]}
+    assert len(hit[0]) == 20_000 and hit[1] == ["30001"] and set(hit) == {i for i in range(200) if i % 2 or i % 50 == 0}
+    kept = D.remove_contaminated(df, bench, 5)
+    assert kept.count() == len(docs) - len(hit)

@@ -1,0 +1,84 @@
+"""Filter audit against a plain version over random documents, its merges, edge cases."""
+
+import random
+from itertools import permutations
+
+import numpy as np
+
+from incentiva.llm import filter_audit as FA
+
+DOCS, LABELS = "doc_id bigint, source string, text string", "doc_id bigint, quality int, toxic int"
+
+
+def plain(docs, labels):
+    texts = {}
+    for i, _, t in docs:
+        if i is not None:
+            texts.setdefault(t or "", []).append(i)
+    fails = []
+    for i, s, t in docs:
+        t = t or ""
+        w = [x for x in t.translate(str.maketrans("\t\n\x0b\x0c\r", "     ")).split(" ") if x]
+        f = {"A": len(w) < 50, "B": 100 * len(set(w)) < 65 * len(w), "C": 100 * sum("A" <= c <= "Z" for c in t) > 5 * len(t),
+             "D": any(c in t for c in "#$%&*|"), "E": i is not None and i > min(texts[t])}
+        good = any(d == i and q == 1 for d, q, _ in labels if d is not None)
+        toxic = any(d == i and x == 1 for d, _, x in labels if d is not None)
+        fails.append((s or "", {k for k, v in f.items() if v}, good, toxic))
+    out = {}
+    for part in {s or "" for _, s, _ in docs}:
+        mine = [x for x in fails if x[0] == part]
+        total = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = mine
+            for k, f in enumerate(order):
+                gone = [x for x in left if f in x[1]]
+                before = [x for x in mine if f in x[1] and x not in gone]
+                left = [x for x in left if f not in x[1]]
+                total[f] += len(gone)
+                out[part, "".join(order), k + 1] = [len(left), len(gone), len([x for x in mine if f in x[1]]) - len(gone),
+                                                   sum(x[1] == {f} for x in mine), sum(x[2] for x in gone), sum(x[3] for x in gone)]
+                del before
+        for order in permutations("ABCDE"):
+            for k, f in enumerate(order):
+                out[part, "".join(order), k + 1].append(total[f])
+    return out
+
+
+def run(spark, docs, labels, **params):
+    got = FA.audit(spark.createDataFrame(docs, DOCS).repartition(4), spark.createDataFrame(labels, LABELS), **params).collect()
+    assert len({r[:3] for r in got}) == len(got)
+    return {tuple(r[:3]): list(r[3:]) for r in got}
+
+
+def test_random_documents(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(80)] + ["AB", "C", "#", "$x", "é"]
+
+    def text():
+        kind = rng.random()
+        if kind < 0.15:
+            return rng.choice([None, "", " \t\n", "same text", "ABC"])
+        few = words if kind < 0.6 else words[:20]
+        return rng.choice([" ", "\n", "\x0b "]).join(rng.choice(few) for _ in range(rng.randrange(1, 140)))
+
+    docs = [(rng.choice([i, i, i, None, 7]), rng.choice(["a", "a", "b", None, ""]), text()) for i in range(250)]
+    docs += [(500 + i, rng.choice("ab"), docs[rng.randrange(250)][2]) for i in range(60)] + docs[:5]
+    labels = [(rng.choice([rng.randrange(300), None]), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(200)]
+    want = plain(docs, labels)
+    assert run(spark, docs, labels) == want
+    assert run(spark, docs, labels, range_bits=4) == want
+
+
+def test_empty_and_clashing_columns(spark):
+    assert run(spark, [], []) == {}
+    docs = spark.createDataFrame([(1, "s", "x" * 200_000 + " $", 5, 6, "p")], DOCS + ", row int, n int, part string")
+    got = FA.audit(docs, spark.createDataFrame([(1, 1, 0, 3)], LABELS + ", part int")).collect()
+    assert len(got) == 600 and {r["good_lost"] for r in got if r["filter_order"][0] in "AD" and r["step"] == 1} == {1}
+
+
+def test_merges():
+    rng = np.random.default_rng(1)
+    for n, m in ((0, 0), (0, 5), (5, 0), (3, 1000), (1000, 3), (400, 500)):
+        a, b, c = (np.unique(rng.integers(0, 1500, k)) for k in (n, m, 40))
+        assert FA.union([a, b, c]).tolist() == sorted({*a.tolist(), *b.tolist(), *c.tolist()})
+        assert FA.difference(a, b).tolist() == sorted(set(a.tolist()) - set(b.tolist()))

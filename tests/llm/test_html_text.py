@@ -1,5 +1,9 @@
 """HTML extraction: layout, implied tags, visibility, broken markup."""
 
+import random
+import re
+import time
+
 import pytest
 
 from incentiva.llm.html_text import align, extract_text, page_text
@@ -95,3 +99,90 @@ def test_stray_quotes_in_tags():
         "one<p a=\"x": "one",
     }
     assert {html: page_text(html) for html in cases} == cases
+
+
+def test_cascade():
+    p = "<p class=a id=i>seen</p><p>end</p>"
+    shown = [".a{display:none} .a{display:block}", ".a{display:none} #i{display:block} .a{display:none}", "p{display:none} *{display:none} .a{display:block}p+p{}",
+             ".a{display:block!important} #i{display:none}", ".b{display:none}", "p.a{display:block} .a{display:none} p{display:block}"]
+    gone = [".a{display:none}", "#i{display:none} .a{display:block}", ".a{display:none !important} #i{display:block}", "P.A{DISPLAY:NONE}", "p{display:block} .a{color:red;display:none}"]
+    for css in shown:
+        assert "seen" in page_text(f"<style>{css}</style>{p}"), css
+    for css in gone:
+        assert page_text(f"<style>{css}</style>{p.replace('<p>end', '<div>end')}") in ("end", "end\n"), css
+    assert page_text("<style>.a{display:none}</style><p class=a style='display:block'>seen") == "seen"
+    assert page_text("<style>.a{display:none!important}</style><p class=a style='display:block'>no") == ""
+    assert page_text("<style>.a{display:block}</style><p class=a style='color:red; display:none'>no") == ""
+    assert page_text("<style>.b{display:none}.a{display:block}</style><p class='a b'>seen") == "seen"
+    assert page_text("<style>.a{display:block}</style><p hidden class=a>seen</p><p hidden>no</p>") == "seen"
+    assert page_text("<style>.v{visibility:hidden} .w{visibility:visible}</style><p class=v>no<b class=w>seen</b> no<i style='visibility:visible'> too</i></p>") == "seen too"
+
+
+def test_white_space_is_that_of_html():
+    assert page_text("a&nbsp;&nbsp;&nbsp;b") == "a\u00a0\u00a0\u00a0b"
+    assert page_text("a\u3000b \f\r\n\t c\u2003d") == "a\u3000b c\u2003d"
+    assert page_text("<p> x&nbsp; </p><p>&nbsp;</p>") == "x\u00a0\n\n\u00a0"
+    assert page_text("a\x0b b") == "a\x0b b"
+
+
+def test_spans_of_rows():
+    assert page_text("<table><tr><td rowspan=2>A<td>b1<tr><td>b2<tr><td>c<td>d</table>") == "A  b1\n   b2\nc  d"
+    assert page_text("<table><tr><td rowspan=0>A<td>b1<tr><td>b2<tr><td>b3</table>") == "A  b1\n   b2\n   b3"
+    assert page_text("<table><tr><td>a<td rowspan=2 colspan=2>B<td>c<tr><td>d<td>e</table>") == "a  B  c\nd     e"
+    assert page_text("<table><tr><td colspan='3px'>w<td>x<tr><td>1<td>2<td>3<td>4</table>") == "w        x\n1  2  3  4"
+    rows = "".join(f"<tr><td rowspan=65534 colspan=1000>{i}" for i in range(3000))
+    assert page_text(f"<table>{rows}</table>").split() == [str(i) for i in range(3000)]
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 100_000 + "x" + "</i>" * 100_000, "<b>" * 100_000 + "<div>x</div>" * 50_000, "<i>" * 50_000 + "<body>" * 50_000 + "<li>x", "<td>" + "<i>" * 50_000 + "</b>" * 50_000 + "x",
+    "<b><td>" + "<i>" * 50_000 + "</b>" * 50_000 + "x", "<blockquote>" * 50_000 + "x", "<ul><li>" * 30_000 + "x", "<dl><dd>" * 30_000 + "x", "<table><tr><td>" * 10_000 + "x" * 100_000,
+    "<style>" + ".a{display:none}" * 20_000 + "</style>" + "<p class=b>x</p>" * 20_000, "<p style='" + "display: a " * 20_000 + "1'>x",
+])
+def test_time_is_linear_in_the_page(page):
+    start = time.process_time()
+    assert "x" in page_text(page)
+    assert time.process_time() - start < 8
+
+
+def plain_lines(node):
+    """(lines, ends a line) of a tree of (tag, attributes, children): blocks and list items on lines of their own."""
+    tag, attrs, children = node
+    if "hidden" in attrs or "none" in attrs:
+        return []
+    out = []
+    for c in children:
+        out += [c] if isinstance(c, str) else plain_lines(c)
+    return out if tag in ("b", "span") else [None, *(["- "] if tag == "li" else []), *out, None]
+
+
+def random_tree(rng, depth=0):
+    tag = rng.choice(["div", "section", "b", "span", "ul"] if depth < 4 else ["b", "span"])
+    if tag == "ul":
+        children = [("li", "", [rng.choice("stuvw"), *[random_tree(rng, depth + 2) for _ in range(rng.randrange(2))]]) for _ in range(rng.randrange(1, 3))]
+    else:
+        children = [random_tree(rng, depth + 1) if depth < 5 and rng.random() < 0.4 else rng.choice([f"{rng.choice('abcde')} {rng.choice('fgh')}", " ", "\n"])
+                    for _ in range(rng.randrange(1, 5))]
+    return tag, rng.choice(["", "", "", "", " hidden", " style='display:none'"]), children
+
+
+def markup(node):
+    return node if isinstance(node, str) else f"<{node[0]}{node[1]}>{''.join(map(markup, node[2]))}</{node[0]}>"
+
+
+def test_random_trees_against_a_plain_renderer():
+    """Words and the lines they stand on, without indents and blank lines."""
+    rng = random.Random(21)
+    for _ in range(1500):
+        tree = ("div", "", [random_tree(rng) for _ in range(3)])
+        lines, now = [], ""
+        for part in plain_lines(tree) + [None]:
+            if part is None:
+                if now.strip(" \n-"):
+                    lines.append(" ".join(now.split()))
+                    now = ""
+                now = now if now.strip() == "-" else ""
+            else:
+                now += part
+        got = [" ".join(x.split()) for x in page_text(markup(tree)).split("\n") if x.strip()]
+        assert [re.sub(r"^(- )+", "- ", x) for x in got] == [re.sub(r"^(- )+", "- ", x) for x in lines], markup(tree)

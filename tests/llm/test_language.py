@@ -83,3 +83,62 @@ def test_viterbi_with_many_labels():
     score = np.zeros((4, 300), np.float32)
     score[[0, 1, 2, 3], [290, 290, 140, 140]] = 9
     assert L.viterbi(score, np.array([0, 4]), 1.0).tolist() == [290, 290, 140, 140]
+
+
+def test_scores_in_chunks_and_by_script(monkeypatch):
+    """Chunks and the choice of languages by script change nothing."""
+    rng = np.random.default_rng(4)
+    k = 7
+    uses = np.zeros((L.N_SCRIPTS, k), bool)
+    uses[0, :4], uses[2, 4:6] = True, True
+    m = L.Model([f"l{i}" for i in range(k)], [rng.normal(size=(L.BUCKETS, k)).astype(np.float32) for _ in L.ORDERS], uses, 0, True)
+    for texts in (["some words of text, более того", "猫 x", "", None], ["только слова"], ["猫"], ["a" * 5000 + " b"], []):
+        w = L.read_letters(texts)
+        score, known = L.word_scores(w, m)
+        monkeypatch.setattr(L, "CHUNK", 20)
+        small, known2 = L.word_scores(w, m)
+        monkeypatch.undo()
+        assert np.allclose(score, small, rtol=1e-4) and (known == known2).all()
+        for i, (f, e) in enumerate(zip(w.first, np.append(w.first[1:], len(w.inside)))):
+            for j in range(k):
+                want = sum(float(s[g[p], j]) for p in range(f, e) for g, s in zip(w.grams, m.score)) if uses[w.scripts[i], j] else -1e6 if known[i] else 0
+                assert abs(score[i, j] - want) < 1e-2 + 1e-3 * abs(want)
+
+
+def test_memory_with_many_languages():
+    import tracemalloc
+
+    k = 120
+    m = L.Model([f"l{i}" for i in range(k)], [np.zeros((L.BUCKETS, k), np.float32) for _ in L.ORDERS], np.ones((L.N_SCRIPTS, k), bool), 0, True)
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql import types as T
+
+    class Sent:
+        value = m
+
+    texts = ["the cat and the dog " * 500] * 100
+    kind = to_arrow_type(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                                       T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+                                                                                        T.StructField("lang", T.StringType())]))),
+                                       T.StructField("letters", T.LongType()), T.StructField("known", T.DoubleType())]))
+    tracemalloc.start()
+    n = sum(b.num_rows for b in L._predict(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]), Sent, 0, kind, 12.0, True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 100 and peak < 150_000_000
+
+
+def test_most_frequent_labels_are_learned(spark):
+    rows = [(i, f"text of kind {i % 9}", f"x{i % 9}") for i in range(90)] + [(100, "more", "x1"), (101, "more", "x2"), (102, "one", "rare")]
+    model = L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), most_langs=4)
+    assert model.langs == ["x0", "x1", "x2", "x3"] and not model.whole
+
+
+def test_rows_without_id_are_learned_from(spark, tmp_path):
+    from incentiva.llm import queries
+
+    rows = [(i, "the cat and the dog", "en") for i in range(20)] + [(None, "собака и кошка", "ru")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r for r in queries.op9_language_id(spark, str(tmp_path)).collect() if r["doc_id"] is None]
+    assert [(r["held_out"], r["lang_pred"]) for r in got] == [(False, "ru")]

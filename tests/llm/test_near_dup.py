@@ -115,8 +115,11 @@ def test_classes_against_brute_force(spark):
     clash = df.selectExpr("doc_id", "text", "1 as node", "2 as label", "'x' as `class`")
     kept = N.drop_near_duplicates(clash)
     assert kept.columns == clash.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(x for x in ids if x is not None) == sorted({v[0] for (i, _), v in want.items() if v[0] is not None})
+    # of each class the least document (id, then text by its hash) stays, and each text without a class
+    stay = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    single = {k for k in want if not k[1]}
+    assert {k for k in stay if k[1]} <= set(want) and len([k for k in stay if k[1]]) == len({v[0] for k, v in want.items() if k not in single})
+    assert all(k[0] == want[k][0] for k in stay if k[1]) and sorted(map(repr, (k for k in stay if not k[1]))) == sorted(repr(r) for r in rows if not r[1])
 
 
 def test_pairs_left_by_pivots_are_found(spark):
@@ -148,3 +151,16 @@ def test_blocks_use_the_bands_of_the_caller():
         want = N.band_keys(N.prob_minhash(row, ids, weight, 1, bands * rows), bands, rows)
         got = next(N._long_signatures(iter([batch]), 5, bands, rows))
         assert got.column("keys").to_pylist() == [want[0].tobytes()]
+
+
+def test_one_id_with_unlike_texts_loses_nothing(spark):
+    """A document is an id with a text: near copies go by both."""
+    rng = random.Random(12)
+    a, b, c, d = (" ".join(words(rng, 40)) for _ in range(4))
+    rows = [(1, a), (2, b), (2, a), (3, c), (3, d), (None, c), (None, "only here " + b), (4, None), (4, ""), (5, d), (5, d)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in N.drop_near_duplicates(df.repartition(4)).collect())
+    assert kept == sorted([(1, a), (2, b), (3, c), (3, d), (4, ""), (4, "")])
+    twice = spark.createDataFrame([(7, a, 1), (7, a, 2), (8, b, 3)], "key bigint, body string, h int")
+    assert sorted(r["key"] for r in N.drop_near_duplicates(twice, id_col="key", text_col="body").collect()) == [7, 8]
+    assert N.drop_near_duplicates(twice, id_col="key", text_col="body").columns == ["key", "body", "h"]
