@@ -39,7 +39,7 @@ MIN_WORDS = 50
 #: The table of deletions is broadcast up to so many intervals (24 bytes each).
 BROADCAST_INTERVALS = 500_000
 #: White space at the ends of lines; lines with any of WIDE are counted by WORD, others by their single spaces.
-ENDS = " \\t\\r\\u000B\\f\\u0085\\u00A0\\u1680\\u2000\\u2001\\u2002\\u2003\\u2004\\u2005\\u2006\\u2007\\u2008\\u2009\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+ENDS = " \\t\\r\\u000B\\u000C\\u0085\\u00A0\\u1680\\u2000\\u2001\\u2002\\u2003\\u2004\\u2005\\u2006\\u2007\\u2008\\u2009\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 _DENSE = "\\\\p{IsHan}\\\\p{IsHiragana}\\\\p{IsKatakana}"
 _BLANK = "\\\\x09-\\\\x0D\\\\x20\\\\x85\\\\xA0\\\\u1680\\\\u2000-\\\\u200A\\\\u2028\\\\u2029\\\\u202F\\\\u205F\\\\u3000"
 WIDE = f"[\\\\x09-\\\\x0D\\\\x85\\\\xA0\\\\u1680\\\\u2000-\\\\u200A\\\\u2028\\\\u2029\\\\u202F\\\\u205F\\\\u3000{_DENSE}]|\\\\x20\\\\x20"
