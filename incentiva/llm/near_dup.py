@@ -206,7 +206,7 @@ def _classes(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_col: st
         f"id {kind.simpleString()}, h bigint, node bigint, keys array<bigint>"), "signed")
 
     labels = link_nodes(docs, signed, stage, size, threshold, pivot_rounds, bands, rows)
-    member = signed.select("id", "node").join(small(labels), "node", "left").withColumn("class", F.coalesce("label", "node"))
+    member = signed.select("id", "h", "node").join(small(labels), "node", "left").withColumn("class", F.coalesce("label", "node"))
     classes = stage.put(member.where("class is not null").groupBy("class").agg(
         F.min("id").alias("class_id"), F.count("*").alias("class_size"),
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("first")).where("class_size > 1"), "classes")
@@ -346,7 +346,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     df = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}").cast("string")
     stage = Stage(docs.sparkSession, "near-dup-drop")
-    classes = stage.put(_classes(docs, stage, id_col, text_col, **params).where("class_size > 1"), "classes")
+    classes = stage.put(_classes(docs, stage, id_col, text_col, **params).where("class_size > 1"), "grouped")
     this = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))
     gone = stage.put(classes.where(~this).select("id", "h").distinct(), "gone")
     same = key.eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("h"))
