@@ -14,10 +14,12 @@ Only DataFrame functions are used.
    frequent short line is the least of many unlike windows, and its first place says nothing about the others.)
 4. Fingerprints are joined with the first position (least doc_id, then line) of their minimum, so a
    window in a million documents gives a million rows, never pairs of them.
-5. A joined pair of positions aligns two texts. Per pair of unlike texts and shift, the match is extended
-   both ways, line by line, as long as lines are equal. Extended matches of ``min_words`` words or more are the
-   repeated runs; those that overlap or touch are one. They are deleted in the later document;
-   every deleted line has an equal line earlier, so a first copy always stays.
+5. A joined pair of minima is extended both ways, back to the first and on to the last line of the window: so far
+   its hash vouches that both places are equal, and where they go on to be, the next window's minimum is
+   joined as well. Extended matches that overlap or touch are one repeated run (within one document, so
+   a run may follow several earlier ones). Runs are deleted; every deleted line has an
+   equal line earlier, so a first copy always stays. (Extending each aligned pair of documents as far as it goes
+   finds the same lines, at a cost that grows with the square of a text of repeated lines.)
 
 Words are runs of characters that are not white space; in Han and kana, which have no spaces, each character is
 one. Lines are compared without white space at their ends, so \\r\\n and \\n copies are alike. Windows are
@@ -30,10 +32,10 @@ columns pass through unchanged, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, lookup, small
+from .common import Stage, lookup
 
 MIN_WORDS = 50
 #: The table of deletions is broadcast up to so many intervals (24 bytes each).
@@ -58,38 +60,22 @@ def line_arrays(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(lines: DataFrame, min_words: int) -> DataFrame:
-    """(id, th, m, f, g): of each window the position of its least line (non-blank lines from 0) and its fingerprint."""
+    """(id, th, m, back, on, f, g): of each window the position of its least line (non-blank lines from 0), the lines before
+    and after it in the window, and the fingerprint; at_s, at_e: the line numbers of the window's ends."""
     # the last line of the shortest window from i; null if the rest of the document has fewer words
     end = (f"aggregate(slice(w, i + 1, {min_words}), struct(0 as n, 0 as s), "
            f"(a, x) -> if(a.s >= {min_words}, a, struct(a.n + 1 as n, a.s + x as s)), a -> if(a.s >= {min_words}, i + a.n - 1, null))")
     # from i also up to each line that no later start reaches: the shortest windows that end there
     from_i = "if(x is null, array(), transform(sequence(x, greatest(x, coalesce(get(ends, i + 1), size(h)) - 1)), j -> struct(i as s, j as e)))"
-    hashed = "transform(win, x -> struct(x.s as s, slice(h, x.s + 1, x.e - x.s + 1) as hs, hash(slice(g, x.s + 1, x.e - x.s + 1)) as g))"
-    least = "transform(hashed, x -> struct(x.s as s, x.hs as hs, x.g as g, array_min(x.hs) as low))"
-    place = "transform(least, x -> struct(int(x.s + array_position(x.hs, x.low) - 1) as m, xxhash64(x.low, array_position(x.hs, x.low), x.hs) as f, x.g as g))"
+    hashed = ("transform(win, x -> struct(x.s as s, x.e as e, at[x.s] as at_s, at[x.e] as at_e, slice(h, x.s + 1, x.e - x.s + 1) as hs, "
+              "hash(slice(g, x.s + 1, x.e - x.s + 1)) as g))")
+    least = "transform(hashed, x -> struct(x, array_min(x.hs) as low, int(array_position(x.hs, array_min(x.hs)) - 1) as back))"
     return (lines.withColumn("ends", F.expr(f"transform(sequence(0, size(h) - 1), i -> {end})"))
-            .withColumn("win", F.expr(f"flatten(transform(ends, (x, i) -> {from_i}))")).where("size(win) > 0")
-            .withColumn("hashed", F.expr(hashed)).withColumn("least", F.expr(least))
-            .select("id", "th", F.explode(F.expr(place)).alias("x")).select("id", "th", "x.*"))
-
-
-def extended(pairs: DataFrame, lines: DataFrame, stage: Stage, min_words: int) -> DataFrame:
-    """``pairs`` (th, th0, shift: line i of text th stands at i - shift in th0) with the runs of equal lines, (s, e, at_s, at_e) each."""
-    texts = pairs.select("th").union(pairs.select(F.col("th0").alias("th"))).distinct()
-    arrays = lines.join(small(stage.put(texts, "texts")), "th", "left_semi").groupBy("th").agg(F.first(F.struct("at", "h", "g", "w")).alias("a"))
-    arrays = stage.put(arrays, "arrays")
-    # long texts may be in very many pairs, and arrays are too wide to broadcast
-    both = lookup(pairs, arrays, ["th"], stage, "arrays", max_rows=0)
-    both = stage.put(both.select("th", "th0", "shift", "a"), "aligned")
-    both = lookup(both, arrays.select(F.col("th").alias("th0"), F.col("a").alias("b")), ["th0"], stage, "arrays0", max_rows=0)
-    lo, hi = "greatest(0, shift)", "least(size(a.h), size(b.h) + shift) - 1"
-    unlike = f"filter(sequence({lo}, {hi}), i -> a.h[i] <> b.h[i - shift] or a.g[i] <> b.g[i - shift])"
-    # between two unlike lines (or the ends) lies one run
-    both = both.withColumn("stops", F.expr(f"concat(array({lo} - 1), {unlike}, array({hi} + 1))"))
-    runs = "transform(sequence(0, size(stops) - 2), j -> struct(stops[j] + 1 as s, stops[j + 1] - 1 as e))"
-    enough = f"r.e >= r.s and aggregate(slice(a.w, r.s + 1, greatest(0, r.e - r.s + 1)), 0, (n, x) -> n + x) >= {min_words}"
-    runs = f"transform(filter({runs}, r -> {enough}), r -> struct(r.s as s, r.e as e, a.at[r.s] as at_s, a.at[r.e] as at_e))"
-    return both.select("th", "th0", "shift", F.expr(runs).alias("runs"))
+            .withColumn("win", F.expr(f"flatten(transform(ends, (x, i) -> {from_i}))"))
+            .withColumn("hashed", F.expr(hashed)).select("id", "th", F.explode(F.expr(least)).alias("y"))
+            .select("id", "th", (F.col("y.x.s") + F.col("y.back")).alias("m"), F.col("y.back").alias("back"),
+                    (F.col("y.x.e") - F.col("y.x.s") - F.col("y.back")).alias("on"), F.col("y.x.at_s").alias("at_s"), F.col("y.x.at_e").alias("at_e"),
+                    F.xxhash64("y.low", "y.back", "y.x.hs").alias("f"), F.col("y.x.g").alias("g")))
 
 
 def repeated_runs(lines: DataFrame, stage: Stage, min_words: int) -> DataFrame:
@@ -99,18 +85,14 @@ def repeated_runs(lines: DataFrame, stage: Stage, min_words: int) -> DataFrame:
                       .where("n > 1"), "first")
     # rows with equal id and text are one document: their windows are equal places
     later = lookup(found, first, ["f", "g"], stage, "first", n_col="n").where("first is not null and not (id <=> first.id and th = first.th and m = first.m)")
-    docs = stage.put(later.select("id", "th", F.col("first.th").alias("th0"), (F.col("m") - F.col("first.m")).alias("shift")).distinct(), "alignments")
-    pairs = stage.put(docs.select("th", "th0", "shift").distinct(), "pairs")
-    runs = stage.put(extended(pairs, lines, stage, min_words), "extended")
-    cut = lookup(docs, runs, ["th", "th0", "shift"], stage, "extended").select("id", "th", F.explode("runs").alias("r")) \
-        .groupBy("id", "th", "r.s").agg(F.max(F.struct("r.e", "r.at_s", "r.at_e")).alias("r"))
-    # runs that overlap or touch are one: a new one begins beyond the furthest end so far
-    before = Window.partitionBy("id", "th").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    begins = F.coalesce((F.col("s") > F.max("r.e").over(before) + 1).cast("int"), F.lit(1))
-    upto = Window.partitionBy("id", "th").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
-    merged = cut.withColumn("begins", begins).withColumn("run", F.sum("begins").over(upto)) \
-        .groupBy("id", "th", "run").agg(F.min("r.at_s").alias("s"), F.max("r.at_e").alias("e"))
-    return stage.put(merged.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("runs")), "runs")
+    # extended both ways from the minimum; of the windows from a line, the longest
+    extended = later.groupBy("id", "th", (F.col("m") - F.col("back")).alias("s"), "at_s").agg(
+        F.max(F.struct((F.col("m") + F.col("on")).alias("e"), "at_e")).alias("end"))
+    cut = extended.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("s", "end.e", "at_s", "end.at_e"))).alias("x"))
+    # sorted by start the windows are sorted by end too; those that overlap or touch are one run
+    begins = "transform(filter(x, (r, i) -> i = 0 or r.s > x[i - 1].e + 1), r -> r.at_s)"
+    ends = "transform(filter(x, (r, i) -> i = size(x) - 1 or x[i + 1].s > r.e + 1), r -> r.at_e)"
+    return stage.put(cut.select("id", "th", F.expr(f"zip_with({begins}, {ends}, (s, e) -> struct(s, e))").alias("runs")), "runs")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
