@@ -40,19 +40,24 @@ from .common import Stage, lookup
 MIN_WORDS = 50
 #: The table of deletions is broadcast up to so many intervals (24 bytes each).
 BROADCAST_INTERVALS = 500_000
-#: White space at the ends of lines; lines with any of WIDE are counted by WORD, others by their single spaces.
+#: White space at the ends of lines, as characters of a SQL text.
 ENDS = " \\t\\r\\u000B\\u000C\\u0085\\u00A0\\u1680\\u2000\\u2001\\u2002\\u2003\\u2004\\u2005\\u2006\\u2007\\u2008\\u2009\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 _DENSE = "\\\\p{IsHan}\\\\p{IsHiragana}\\\\p{IsKatakana}"
 _BLANK = "\\\\x09-\\\\x0D\\\\x20\\\\x85\\\\xA0\\\\u1680\\\\u2000-\\\\u200A\\\\u2028\\\\u2029\\\\u202F\\\\u205F\\\\u3000"
-WIDE = f"[\\\\x09-\\\\x0D\\\\x85\\\\xA0\\\\u1680\\\\u2000-\\\\u200A\\\\u2028\\\\u2029\\\\u202F\\\\u205F\\\\u3000{_DENSE}]|\\\\x20\\\\x20"
 WORD = f"[{_DENSE}]|[^{_BLANK}{_DENSE}]+"
+#: Texts of these characters only, without two spaces in a row, have single spaces between words: no other white space, no Han or kana.
+PLAIN = "\\\\A[\\\\x20-\\\\x84\\\\n\\\\x86-\\\\x9F\\\\xA1-\\\\u167F\\\\u2010-\\\\u2027\\\\u2030-\\\\u205E]*+\\\\z"
 
 
 def line_arrays(docs: DataFrame) -> DataFrame:
     """From columns id, text: id, th (hash of the text), and arrays at, h, g, w over the non-blank lines."""
-    lines = F.expr(f"filter(transform(split(text, '\\\\n'), (l, i) -> struct(i as i, trim(BOTH '{ENDS}' FROM l) as l)), x -> x.l <> '')")
-    words = f"if(y.l rlike '{WIDE}', regexp_count(y.l, '{WORD}'), length(y.l) - length(replace(y.l, ' ', '')) + 1)"
-    return (docs.where("text is not null").select("id", F.xxhash64("text").alias("th"), lines.alias("x"))
+    # o: whether words and line ends need the wider rules, found once a text
+    odd = f"not text rlike '{PLAIN}' or contains(text, '  ')"
+    trimmed = f"struct(i as i, o as o, if(o, trim(BOTH '{ENDS}' FROM l), trim(l)) as l)"
+    lines = f"filter(transform(split(text, '\\\\n'), (l, i) -> {trimmed}), x -> x.l <> '')"
+    words = f"if(y.o, regexp_count(y.l, '{WORD}'), length(y.l) - length(replace(y.l, ' ', '')) + 1)"
+    return (docs.where("text is not null")
+            .select("id", F.xxhash64("text").alias("th"), F.expr(f"element_at(transform(array({odd}), o -> {lines}), 1)").alias("x"))
             .where("size(x) > 0")
             .select("id", "th", F.expr("transform(x, y -> y.i)").alias("at"),
                     F.expr("transform(x, y -> xxhash64(y.l))").alias("h"), F.expr("transform(x, y -> hash(y.l))").alias("g"),
