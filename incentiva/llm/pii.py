@@ -6,13 +6,14 @@
    numbers with and without a country prefix.
 3. Every candidate gets format features of its normalised form (masks such as "(at)" undone, prefix and separators
    off: numbers and sizes of its parts, kinds of characters) and context features (characters beside it, cue words before
-   it). Gradient-boosted trees are trained on a bounded sample of candidates (``SAMPLE_CANDIDATES``, chosen by a hash
-   of the text). Positive are those that the rules accept; the tests by which the rules decide (checksum, ranges,
+   it). Gradient-boosted trees are trained on all candidates: those with equal features and label are one row with
+   their number as its weight. Positive are those that the rules accept; the tests by which the rules decide (checksum, ranges,
    numbers of digits, the @ and the +) are no features. Of the others, those that match a rule's pattern and
    fail its test are negative; those that no rule's pattern can match are unlabelled, as they may well be
-   personal data, and weigh ``UNLABELLED`` of a negative. Half of the sample's documents are held out.
-4. On the held-out half each kind gets the least threshold at which ``PRECISION`` of the weight of what scores above
-   is accepted, among candidates that pass the kind's test (a card's checksum, an address' ranges, a
+   personal data, and weigh ``UNLABELLED`` of a negative.
+4. For the thresholds all candidates are scored once more, those of either half of the texts (by a hash) by trees that learned from
+   the other half. Each kind gets the least threshold, from ``EVEN`` on, at which ``PRECISION`` of the weight of what
+   scores above is accepted, among candidates that pass the kind's test (a card's checksum, an address' ranges, a
    phone's digits); if none reaches it, the kind gets no further spans.
 5. Further spans are those that pass the test, score above the threshold and meet no base span; of those that meet each other
    the best stay.
@@ -23,13 +24,14 @@ a sorted sweep over starts and ends, so long texts and very many matches in one
 text cost nearly linear time. Offsets are code points, end exclusive.
 
 Defined cases: null text is empty; a document without candidates has no spans; rows with equal id and equal
-text get the same result; if the sample holds fewer than ``LEAST_CLASS`` candidates of either label, there are
+text get the same result; if either half holds fewer than ``LEAST_CLASS`` candidates of either label, there are
 no further spans. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +39,10 @@ from pyspark.sql import functions as F
 from .common import Stage
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_CANDIDATES = 20_000
 LEAST_CLASS = 20
 PRECISION = 0.95
+#: No threshold is under this score: below it a candidate is likelier not accepted.
+EVEN = 0.5
 UNLABELLED = 0.3
 TREES, DEPTH = 12, 3
 BINS = 200
@@ -234,41 +237,55 @@ def features(rows: DataFrame) -> tuple[DataFrame, list[str]]:
     return rows.drop("plain", "parts", "sizes"), names
 
 
+def _tally(found: DataFrame, names: list[str], stage: Stage) -> DataFrame:
+    """All candidates, as numbers n of those that are equal in all that learning and calibrating depend on."""
+    half = F.pmod(F.xxhash64("th", F.lit("half")), F.lit(2)).alias("half")
+    keys = ["half", "kind", "label", "weight", "valid", *names]
+    rows = found.select(half, *keys[1:]).groupBy(*keys).agg(F.count("*").alias("n"))
+    return stage.put(rows.sortWithinPartitions(*keys), "tally")
+
+
+def _learn(tally: DataFrame):
+    """Trees over all of ``tally``."""
+    from pyspark.ml.classification import GBTClassifier
+
+    # up to maxBins ** 2 rows Spark's choice of split points reads all of them, beyond that a sample
+    bins = max(32, isqrt(tally.count()) + 1)
+    return GBTClassifier(featuresCol="vector", labelCol="label", weightCol="mass", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3,
+                         maxBins=bins, seed=7).fit(tally)
+
+
 def _score(found: DataFrame, stage: Stage) -> DataFrame | None:
     """Candidates that pass their kind's test and its threshold, with their score; None if there is too little to learn from."""
-    from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    n = found.count()
-    share = min(1.0, SAMPLE_CANDIDATES / max(n, 1))
-    bucket = F.pmod(F.xxhash64("th", F.lit("sample")), F.lit(1_000_000))
     failed = _by_kind({k: F.regexp_like(F.col("m"), F.lit(f"^(?:{BASE[k]})$")) for k in KINDS}, F.lit(False)) & ~F.col("accepted")
     found = found.withColumn("label", F.col("accepted").cast("double")) \
         .withColumn("weight", F.when(F.col("accepted") | failed, 1.0).otherwise(UNLABELLED)) \
         .withColumn("valid", _by_kind({k: _valid(k, F.col("m")) for k in KINDS}, F.lit(False)))
     found, names = features(found)
-    assembled = VectorAssembler(inputCols=names, outputCol="vector").transform(found)
-    sample = stage.put(assembled.where(bucket < int(1e6 * share)).select("th", "kind", "label", "weight", "valid", "vector"), "sample")
-    half = F.pmod(F.xxhash64("th", F.lit("half")), F.lit(2))
-    counts = {(r["label"], r["half"]): r["count"] for r in sample.groupBy("label", half.alias("half")).count().collect()}
+    assembler = VectorAssembler(inputCols=names, outputCol="vector")
+    tally = assembler.transform(_tally(found, names, stage).withColumn("mass", F.col("weight") * F.col("n")))
+    counts = {(r["label"], r["half"]): r["n"] for r in tally.groupBy("label", "half").agg(F.sum("n").alias("n")).collect()}
     if any(counts.get((y, h), 0) < LEAST_CLASS for y in (0.0, 1.0) for h in (0, 1)):
         return None
-    trees = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7) \
-        .fit(sample.where(half == 0))
     p = vector_to_array("probability")[1]
-    held = trees.transform(sample.where((half == 1) & F.col("valid"))).select("kind", "label", "weight", F.floor(p * BINS).alias("bin"))
+    half = F.col("half")
+    held = [_learn(tally.where(half == h)).transform(tally.where((half != h) & F.col("valid"))) for h in (0, 1)]
     # precision above each of BINS thresholds, by kind: a table of bounded size
-    bins = held.groupBy("kind", "bin").agg(F.sum("weight").alias("n"), F.sum("label").alias("good")).collect()
+    bins = held[0].union(held[1]).groupBy("kind", F.floor(p * BINS).alias("bin")) \
+        .agg(F.sum("mass").alias("mass"), F.sum(F.col("label") * F.col("n")).alias("good")).collect()
     least = {}
     for k in KINDS:
-        n_up = good = 0
-        for r in sorted((r for r in bins if r["kind"] == k), key=lambda r: -r["bin"]):
-            n_up, good = n_up + r["n"], good + r["good"]
-            if good >= PRECISION * n_up:
+        up = good = 0
+        for r in sorted((r for r in bins if r["kind"] == k and r["bin"] >= EVEN * BINS), key=lambda r: -r["bin"]):
+            up, good = up + r["mass"], good + r["good"]
+            if good >= PRECISION * up:
                 least[k] = r["bin"] / BINS
     threshold = _by_kind({k: F.lit(t) for k, t in least.items()}, F.lit(2.0))
-    above = trees.transform(assembled.where("valid and not meets")).withColumn("score", p).where(F.col("score") >= threshold)
+    above = _learn(tally).transform(assembler.transform(found.where("valid and not meets"))).withColumn("score", p) \
+        .where(F.col("score") >= threshold)
     return above.select("id", "th", "kind", "s", "e", "m", "score")
 
 

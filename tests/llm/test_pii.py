@@ -86,6 +86,23 @@ def test_trees_add_what_the_rules_miss(spark, corpus):
         assert all(e <= s2 or e2 <= s for s, e in spans for s2, e2 in spans + [(x["s"], x["e"]) for x in r["base"]] if (s, e) != (s2, e2))
 
 
+def test_trees_learn_from_every_candidate(spark, corpus):
+    """However many candidates another text has, those of the rest are learned from: the hidden cards are found."""
+    rows, hidden = [r for r in corpus[0] if r[0] % 6 < 4 or r[0] < 360], corpus[1]
+    got = check(spark, rows + hidden + [(9000, "u1@mail1.example.com and " * 100_000)])
+    found = [r for r in got if 5000 <= r["doc_id"] < 9000 and any(x["kind"] == "card" and luhn(x["m"]) for x in r["added"])]
+    assert len(found) >= 4
+
+
+def test_tally_counts_every_candidate(spark):
+    from incentiva.llm.common import Stage
+
+    rows = [(i, i % 3 if i % 3 else None, "card", 1.0, 1.0, True, float(i % 2)) for i in range(500)]
+    found = spark.createDataFrame(rows, "id bigint, th bigint, kind string, label double, weight double, valid boolean, f0 double")
+    tally = pii._tally(found, ["f0"], Stage(spark, "pii-test"))
+    assert tally.agg(F.sum("n")).first()[0] == 500 and tally.count() <= 4
+
+
 def test_redaction(spark):
     text = "é a@b.cd and 1.2.3.4 end"
     df = spark.createDataFrame([(1, text), (2, "none"), (3, "")], "doc_id bigint, text string")
