@@ -2,9 +2,9 @@
 
 Learning: counts of character 1- to 3-grams of the letters of each language's documents,
 summed by Spark per language and turned into log probabilities there. The ``MOST_LANGS`` most frequent labels
-are learned (a documented bound of the sample, so that a dirty label column cannot grow the model): of each language
-all labelled rows are read, or, of one with more than ``SAMPLE_ROWS``, about that many (a bound per language;
-chosen by a hash of the row key; whole texts). The model is one table of log probabilities
+are learned (a documented bound, so that a dirty label column cannot grow the model): of each language
+all labelled rows are read, unless the caller bounds them (``sample_rows`` a language; chosen by a hash of the row key; whole
+texts). Of rows with other labels their letters by script are counted. The model is one table of log probabilities
 per hashed n-gram and language, 384 KB a language, plus each language's share of scripts.
 
 Prediction, one pass: a word is a run of letters and marks. Its script (by ranges of code
@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from .common import text_slices
 
-SAMPLE_ROWS = 20_000
 #: Rows are drawn by a hash below this.
 DRAW = 1 << 53
 BUCKETS = 1 << 15
@@ -151,7 +150,15 @@ class Model:
     score: list[np.ndarray]  # for each order (BUCKETS, languages), float32
     uses: np.ndarray  # (scripts, languages)
     common: int  # the most frequent language
-    whole: bool  # there are labelled rows, and all were read
+    whole: bool  # there are labelled rows, and all were learned from
+    other: np.ndarray | None = None  # scripts in which labelled rows that were not learned from may be (None: any, or none if whole)
+
+    def telling(self) -> np.ndarray:
+        """For each script, whether its letters tell something about a text without a label: unknown ones do if no labelled row has them."""
+        if self.whole:
+            return np.ones(N_SCRIPTS, bool)
+        known = self.uses.any(axis=1)
+        return known if self.other is None else known | ~self.other
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +182,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cell)), pa.array(cell), pa.array(c[cell])], ["lang", "cell", "n"])
 
 
+def _scripts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The scripts of this task's words."""
+    found = np.zeros(N_SCRIPTS, bool)
+    for whole in batches:
+        for b in text_slices(whole, "text"):
+            found[read_letters(b.column("text").to_pylist()).scripts] = True
+    yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found).astype(np.int32))], ["script"])
+
+
 def _model_row(counts: pa.Table) -> pa.Table:
     """One language's log probabilities and letters by script, from its counts."""
     c = np.zeros(len(ORDERS) * BUCKETS + N_SCRIPTS + 1)
@@ -186,11 +202,11 @@ def _model_row(counts: pa.Table) -> pa.Table:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id",
-        sample_rows: int = SAMPLE_ROWS, most_langs: int = MOST_LANGS) -> Model:
-    """The model from rows with a language; of each one all rows, or about ``sample_rows`` chosen by a hash of ``key_col``.
+        sample_rows: int | None = None, most_langs: int = MOST_LANGS) -> Model:
+    """The model from rows with a language; of each one all rows, or about ``sample_rows``, if given, chosen by a hash of ``key_col``.
 
-    Of labels beyond ``most_langs`` the most frequent are learned (ties by name). The driver gets one row for each
-    of those: its size, and then its finished row of the model.
+    Of labels beyond ``most_langs`` the most frequent are learned (ties by name); of the rest only the scripts are. The driver
+    gets one row for each of those learned: its size, and then its finished row of the model.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
@@ -199,9 +215,11 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).orderBy(F.desc("n"), "lang").limit(most_langs + 1).collect()
     all_langs = len(sizes) <= most_langs
     sizes = {r["lang"]: (r["n"], r["least"]) for r in sizes[:most_langs]}
+    rest = None
     if not all_langs:
+        rest = rows.where(~F.col("lang").isin(*sizes)).select("text")
         rows = rows.where(F.col("lang").isin(*sizes))
-    upto = {x: max(least, DRAW * sample_rows // n) for x, (n, least) in sizes.items() if n > sample_rows}
+    upto = {x: max(least, DRAW * sample_rows // n) for x, (n, least) in sizes.items() if sample_rows is not None and n > sample_rows}
     if upto:
         bound = F.create_map(*[F.lit(v) for pair in upto.items() for v in pair])
         rows = rows.where(F.col("draw") <= F.coalesce(bound[F.col("lang")], F.lit(DRAW)))
@@ -214,7 +232,11 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
             score[k][:, i] = part
     by_script = np.array(table.column("scripts").to_pylist()).reshape(len(langs), N_SCRIPTS)
     uses = (by_script >= SCRIPT_SHARE * np.maximum(by_script.sum(axis=1, keepdims=True), 1)).T & (by_script.T > 0)
-    return Model(langs, score, uses, int(np.argmax([sizes[x][0] for x in langs])) if langs else 0, bool(langs) and not upto and all_langs)
+    other = None
+    if rest is not None and not upto:
+        other = np.zeros(N_SCRIPTS, bool)
+        other[[r["script"] for r in rest.mapInArrow(_scripts, "script int").distinct().collect()]] = True
+    return Model(langs, score, uses, int(np.argmax([sizes[x][0] for x in langs])) if langs else 0, bool(langs) and not upto and all_langs, other)
 
 
 def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
@@ -296,7 +318,7 @@ def _predict_rows(texts: list, m: Model, penalty: float, spans: bool) -> list[di
     first = np.searchsorted(w.row, np.arange(n + 1))
     letters = np.bincount(w.row, w.letters, n)
     if not k:
-        return [{"lang_pred": "und", "score": 0.0, "spans": [], "letters": int(x), "known": 0.0} for x in letters]
+        return [{"lang_pred": "und", "score": 0.0, "spans": [], "letters": int(x), "known": 0.0, "telling": 0.0} for x in letters]
     score, known = word_scores(w, m)
     label = viterbi(score, first, penalty)
     weight = np.bincount(w.row * k + label, w.letters * known, n * k).reshape(n, k)
@@ -304,6 +326,7 @@ def _predict_rows(texts: list, m: Model, penalty: float, spans: bool) -> list[di
     top = np.where(sure > 0, weight.argmax(axis=1), m.common)
     share = weight[np.arange(n), top] / np.maximum(letters, 1)
     known_share = sure / np.maximum(letters, 1)
+    telling = np.bincount(w.row, w.letters * m.telling()[w.scripts], n) / np.maximum(letters, 1)
     each: list[list] = [[] for _ in range(n)]
     if spans and len(w.row):
         shown = np.where(known, label, -1)
@@ -313,13 +336,14 @@ def _predict_rows(texts: list, m: Model, penalty: float, spans: bool) -> list[di
                               (w.end[last] - w.at[w.row[cut]]).tolist(), shown[cut].tolist()):
             each[r].append({"start": s, "end": e, "lang": m.langs[v] if v >= 0 else "und"})
     return [{"lang_pred": m.langs[top[i]] if letters[i] else "und", "score": float(share[i]), "spans": each[i],
-             "letters": int(letters[i]), "known": float(known_share[i])} for i in range(n)]
+             "letters": int(letters[i]), "known": float(known_share[i]), "telling": float(telling[i])} for i in range(n)]
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH_PENALTY, spans: bool = True) -> DataFrame:
-    """``docs`` with a struct column, found: lang_pred, score, spans (code points [start, end) and language), letters, known.
+    """``docs`` with a struct column, found: lang_pred, score, spans (code points [start, end) and language), letters, known, telling.
 
-    known: the share of letters in words of a script that a learned language uses.
+    known: the share of letters in words of a script that a learned language uses; telling: that, and of a script in which
+    no labelled row is.
     """
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_type
@@ -328,7 +352,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("spans", T.ArrayType(T.StructType([
             T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())]))),
-        T.StructField("letters", T.LongType()), T.StructField("known", T.DoubleType())])
+        T.StructField("letters", T.LongType()), T.StructField("known", T.DoubleType()), T.StructField("telling", T.DoubleType())])
     names = docs.columns
     df = docs.toDF(*[f"c{i}" for i in range(len(names))])
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -345,11 +369,12 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SC
     """``docs`` without those that have no letter or no predominant known language; columns unchanged.
 
     Letters of scripts that the model does not know tell against a document only if it has no label
-    (``lang_col``, if there is one) and the model has read all labelled rows; else the others decide.
+    (``lang_col``, if there is one) and no labelled row that was not learned from may be in that script; else the
+    others decide. ``fit`` reads all labelled rows unless its caller bounds them, so this does not turn on how many there are.
     """
     names = docs.columns
     df = identify(docs, model, spans=False).toDF(*[f"c{i}" for i in range(len(names))], "found")
-    judged = F.lit(1.0) if model.whole else F.col("found.known")
+    judged = F.col("found.telling")
     if lang_col in names:
         judged = F.when(F.col(f"c{names.index(lang_col)}").isNotNull(), F.col("found.known")).otherwise(judged)
     kept = (F.col("found.letters") > 0) & (F.col("found.score") >= least_score * judged)

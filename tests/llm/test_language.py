@@ -142,3 +142,21 @@ def test_rows_without_id_are_learned_from(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = [r for r in queries.op9_language_id(spark, str(tmp_path)).collect() if r["doc_id"] is None]
     assert [(r["held_out"], r["lang_pred"]) for r in got] == [(False, "ru")]
+
+
+def test_what_is_kept_does_not_turn_on_the_size(spark):
+    """The same texts, once or in more copies than the former bound of 20,000 a language: the same are kept."""
+    few = spark.range(20).select(F.col("id").alias("doc_id"), F.lit("the cat").alias("text"), F.lit("en").alias("lang"))
+    many = spark.range(21_000).select(F.col("id").alias("doc_id"), F.lit("the cat").alias("text"), F.lit("en").alias("lang"))
+    other = spark.createDataFrame([(1, "猫と犬", None), (2, "the cat", None), (3, "猫と犬 a", None), (4, "猫と犬", "ja")], "doc_id bigint, text string, lang string")
+    for rows in (few, many):
+        model = L.fit(rows)
+        assert model.whole and {r["doc_id"] for r in L.keep_identified(other, model).collect()} == {2, 3, 4}
+
+
+def test_scripts_of_labels_beyond_the_bound_are_read(spark):
+    rows = [(i, "the cat", "en") for i in range(9)] + [(20, "собака", "ru"), (21, "кошка и собака", "uk")]
+    model = L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), most_langs=1)
+    assert model.langs == ["en"] and not model.whole
+    other = spark.createDataFrame([(1, "猫と犬", None), (2, "the cat", None), (3, "собака", None)], "doc_id bigint, text string, lang string")
+    assert {r["doc_id"] for r in L.keep_identified(other, model).collect()} == {2, 3}
