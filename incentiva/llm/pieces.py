@@ -6,7 +6,8 @@ lattice has an edge for each piece that matches at a position, and byte pieces w
 character is no piece. Piece scores: 1 / (rank + ``RANK_SHIFT``) of the piece's merge rank,
 raised to ``alpha``; the lattice's backward sums turn them into a distribution over
 segmentations. No piece crosses from a word to the next mark, so the lattice is a chain of
-words and each distinct word's lattice is built once per slice of rows.
+words and each distinct word's lattice is built once for the slices of a task, as long as those kept have
+``MOST_STATES`` states at most.
 
 Sampling is Gumbel top-k without replacement. The perturbed score of a set of segmentations is
 the maximum of log probability + Gumbel noise over it; that of all is drawn first, and a set
@@ -46,6 +47,8 @@ SAMPLES = 2
 ALPHA = 0.5
 RANK_SHIFT = 2.7
 SLICE = 400_000
+#: States (characters of distinct words) whose lattices a task keeps.
+MOST_STATES = 1_000_000
 MARK = 0x2581
 _LITERAL = 1 << 24
 _U = np.uint64
@@ -155,9 +158,7 @@ class Index:
         data = [t.replace(chr(MARK), " ").encode() for t in p.text]
         for b, i in enumerate(p.byte):
             data[i] = bytes([b])
-        self.out_at = np.zeros(len(data) + 1, np.int64)
-        np.cumsum([len(d) for d in data], out=self.out_at[1:])
-        self.out = np.frombuffer(b"".join(data), np.uint8)
+        self.out = pa.array(data, pa.large_binary())
 
 
 _KEPT: dict = {}
@@ -223,7 +224,7 @@ def build_lattice(points: np.ndarray, at: np.ndarray, ix: Index) -> Lattice:
     word = np.repeat(np.arange(n_words, dtype=np.int32), size)
     stop = at[1:].astype(np.int32)[word]  # where the word of each character ends
     sums, down = prefix_hash(points)
-    starts, ends, piece = [], [], []
+    starts, piece = [], []
     alive = np.arange(len(points), dtype=np.int32)
     single = np.zeros(len(points), bool)
     for n in range(1, ix.longest + 1):
@@ -236,23 +237,41 @@ def build_lattice(points: np.ndarray, at: np.ndarray, ix: Index) -> Lattice:
         if n == 1:
             single[s] = True
         starts.append(s)
-        ends.append(s + n)
         piece.append(v[v > 0] - 1)
-    lone = np.flatnonzero(~single)  # characters that are no piece: their UTF-8 bytes
+    lone = np.flatnonzero(~single).astype(np.int32)  # characters that are no piece: their UTF-8 bytes
     data = [chr(c & (_LITERAL - 1)).encode("utf-8", "surrogatepass") for c in points[lone].tolist()]
-    # longest first, as those mostly are the likeliest
-    start = np.concatenate([lone, *starts[::-1]])
-    end = np.concatenate([lone + 1, *ends[::-1]])
-    lengths = np.ones(len(start), np.int64)
-    lengths[: len(lone)] = [len(d) for d in data]
-    ids = np.concatenate([ix.byte[np.frombuffer(b"".join(data), np.uint8)], *piece[::-1]]).astype(np.int32)
-    score = np.concatenate([lengths[: len(lone)] * ix.byte_score, ix.score[ids[len(ids) - len(start) + len(lone):]]])
-    id_at = np.cumsum(lengths) - lengths
-    order = np.argsort(start, kind="stable")
-    start, end, score, lengths, id_at = start[order], end[order], score[order], lengths[order], id_at[order]
-    state, to = (start + word[start]).astype(np.int32), (end + word[start]).astype(np.int32)
-    first = np.zeros(len(points) + n_words + 1, np.int32)
-    np.cumsum(np.bincount(state, minlength=len(points) + n_words), out=first[1:])
+    n_states = len(points) + n_words
+    each = np.zeros(len(points), np.int32)
+    for s in (lone, *starts):
+        each[s] += 1
+    state_of = np.arange(len(points), dtype=np.int32) + word
+    per_state = np.zeros(n_states, np.int32)
+    per_state[state_of] = each
+    first = np.zeros(n_states + 1, np.int32)
+    np.cumsum(per_state, out=first[1:])
+    # edges are put in their places, of each state the longest first, as those mostly are the likeliest
+    free = first[state_of]
+    n_edges = int(first[-1])
+    start, to, one = np.zeros(n_edges, np.int32), np.zeros(n_edges, np.int32), np.zeros(n_edges, np.int32)
+    at_lone = free[lone]
+    for k, s in enumerate((lone, *starts[::-1])):
+        e = free[s]
+        start[e], to[e] = s, state_of[s] + np.int32(len(starts) + 1 - k if k else 1)
+        if k:
+            one[e] = piece[-k]
+        free[s] = e + 1
+    lengths = np.array([len(d) for d in data], np.int64)
+    score = ix.score[one]
+    score[at_lone] = lengths * ix.byte_score
+    id_at = np.arange(n_edges + 1)
+    ids = one
+    if len(lone):
+        sizes = np.ones(n_edges, np.int64)
+        sizes[at_lone] = lengths
+        np.cumsum(sizes, out=id_at[1:])
+        ids = np.repeat(one, sizes)
+        ids[ranges(id_at[at_lone], lengths)] = ix.byte[np.frombuffer(b"".join(data), np.uint8)]
+    state = state_of[start]
     # backward sums, place by place from the ends of the words
     left = stop[start] - start
     most = int(size.max()) if n_words else 0
@@ -275,8 +294,52 @@ def build_lattice(points: np.ndarray, at: np.ndarray, ix: Index) -> Lattice:
     below[first[1:][first[1:] > first[:-1]] - 1] = 1.0  # rounding must not let a draw pass the last edge
     final = np.zeros(len(points) + n_words, bool)
     final[at[1:] + np.arange(n_words)] = True
-    ids = ids[ranges(id_at, lengths)]
-    return Lattice(first, to, log_p, below, np.append(0, np.cumsum(lengths)), ids, final)
+    return Lattice(first, to, log_p, below, id_at, ids, final)
+
+
+class Words:
+    """The lattices of the distinct words of a task's slices so far, in one lattice; beyond MOST_STATES states it begins anew."""
+
+    def __init__(self, ix: Index):
+        self.ix = ix
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.starts = np.zeros(0, _U), np.zeros(0, np.int64)
+        self.held = {k: (np.zeros(n, t), n) for k, t, n in [("first", np.int32, 1), ("end", np.int32, 0), ("log_p", np.float64, 0), (
+            "below", np.float64, 0), ("id_at", np.int64, 1), ("ids", np.int32, 0), ("final", bool, 0)]}
+
+    def _append(self, name: str, values: np.ndarray) -> None:
+        kept, n = self.held[name]
+        if n + len(values) > len(kept):
+            kept = np.concatenate([kept[:n], np.zeros(max(n, len(values)), kept.dtype)])
+        kept[n: n + len(values)] = values
+        self.held[name] = kept, n + len(values)
+
+    def lattice(self) -> Lattice:
+        return Lattice(**{k: kept[:n] for k, (kept, n) in self.held.items()})
+
+    def find(self, points: np.ndarray, at: np.ndarray, size: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """The states at which words begin, given their hashes (each once), and where they are in points."""
+        if self.held["final"][1] > MOST_STATES:
+            self.clear()
+        place = np.searchsorted(self.hashes, h)
+        new = np.ones(len(h), bool)
+        if len(self.hashes):
+            new = self.hashes[np.minimum(place, len(self.hashes) - 1)] != h
+        if new.any():
+            at, size = at[new], size[new]
+            own = np.append(0, np.cumsum(size))
+            made = build_lattice(points[ranges(at, size)], own, self.ix)
+            n_states, n_edges, n_ids = (self.held[k][1] for k in ("final", "end", "ids"))
+            for k, more in (("first", n_edges), ("id_at", n_ids)):
+                self._append(k, getattr(made, k)[1:] + getattr(made, k).dtype.type(more))
+            self._append("end", made.end + np.int32(n_states))
+            for k in ("log_p", "below", "ids", "final"):
+                self._append(k, getattr(made, k))
+            self.hashes = np.insert(self.hashes, place[new], h[new])
+            self.starts = np.insert(self.starts, place[new], own[:-1] + np.arange(len(at)) + n_states)
+        return self.starts[np.searchsorted(self.hashes, h)]
 
 
 @dataclass
@@ -288,7 +351,7 @@ class Slice:
     row_at: np.ndarray
 
 
-def read_slice(texts: list[str | None], ix: Index) -> Slice:
+def read_slice(texts: list[str | None], words: Words) -> Slice:
     n = len(texts)
     lengths = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
     row_at = np.zeros(n + 1, np.int64)
@@ -304,12 +367,10 @@ def read_slice(texts: list[str | None], ix: Index) -> Slice:
     at = np.flatnonzero(head)
     sums, down = prefix_hash(points)
     h = run_hash(sums, down, at, np.append(at[1:], len(points)))
-    _, sample, kind = np.unique(h, return_index=True, return_inverse=True)
+    distinct, sample, kind = np.unique(h, return_index=True, return_inverse=True)
     size = np.append(at[1:], len(points)) - at
-    own = np.zeros(len(sample) + 1, np.int64)
-    np.cumsum(size[sample], out=own[1:])
-    lattice = build_lattice(points[ranges(at[sample], size[sample])], own, ix)
-    return Slice(lattice, (own[:-1] + np.arange(len(sample)))[kind], np.searchsorted(at, row_at))
+    start = words.find(points, at[sample], size[sample], distinct)
+    return Slice(words.lattice(), start[kind], np.searchsorted(at, row_at))
 
 
 _SALT = [_U(int(x)) for x in mix(np.arange(7, 12, dtype=_U))]
@@ -441,7 +502,7 @@ def sample_rows(s: Slice, seed: np.ndarray, k: int) -> tuple[list[Path], np.ndar
             x = p.at[r] + j
             e = int(p.edges[x])
             used = taken.setdefault((r, int(which[r]), j), [e])
-            st = int(np.searchsorted(lat.first, e, side="right")) - 1
+            st = int(np.searchsorted(lat.first, np.int32(e), side="right")) - 1
             free = [c for c in range(int(lat.first[st]), int(lat.first[st + 1])) if c not in used]
             lp = lat.log_p[free]
             rank = np.array([r], np.int64)
@@ -486,8 +547,8 @@ def log_inclusion(log_prob: np.ndarray, kappa: np.ndarray) -> np.ndarray:
     return np.where(np.isneginf(kappa), 0.0, out)
 
 
-def encode_rows(texts: list[str | None], seed: np.ndarray, ix: Index, k: int) -> pa.Array:
-    s = read_slice(texts, ix)
+def encode_rows(texts: list[str | None], seed: np.ndarray, ix: Index, k: int, words: Words | None = None) -> pa.Array:
+    s = read_slice(texts, words or Words(ix))
     paths, have, kappa = sample_rows(s, seed.astype(np.int64).view(_U), k)
     lat, n = s.lattice, len(texts)
     # sample m of row r goes to place where[m, r] of the output
@@ -499,17 +560,22 @@ def encode_rows(texts: list[str | None], seed: np.ndarray, ix: Index, k: int) ->
         rows = np.flatnonzero(have > m)
         place = at[rows] + m
         lengths = lat.id_at[p.edges + 1] - lat.id_at[p.edges]
-        ids.append(lat.ids[ranges(lat.id_at[p.edges], lengths)])
         upto = np.append(0, np.cumsum(lengths))
+        which = lat.id_at[p.edges]
+        longer = np.flatnonzero(lengths != 1)
+        if len(longer):
+            each, which = which[longer], np.repeat(which, lengths)
+            which[ranges(upto[longer], lengths[longer])] = ranges(each, lengths[longer])
+        ids.append(lat.ids[which])
         sizes[place] = (upto[p.at[1:]] - upto[p.at[:-1]])[rows]
         order.append((place, upto[p.at[:-1]][rows]))
         score[0, place], score[1, place] = p.log_prob[rows], p.perturbed[rows]
         score[2, place] = log_inclusion(p.log_prob[rows], kappa[rows])
-    base = np.append(0, np.cumsum([len(x) for x in ids]))
-    begin = np.zeros(len(sizes), np.int64)
-    for m, (place, where) in enumerate(order):
-        begin[place] = where + base[m]
-    flat = np.concatenate(ids)[ranges(begin, sizes)]
+    flat = np.zeros(int(sizes.sum()), np.int32)
+    begin = np.cumsum(sizes) - sizes
+    for x, (place, where) in zip(ids, order):
+        for a, b, n_ids in zip(begin[place].tolist(), where.tolist(), sizes[place].tolist()):
+            flat[a: a + n_ids] = x[b: b + n_ids]
     lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(flat, pa.int32()))
     # every sample is decoded again and held against its text
     same = pc.equal(decode_rows(lists, ix), pa.array(texts, pa.string()).fill_null("").take(pa.array(np.repeat(np.arange(n), have))))
@@ -522,24 +588,27 @@ def decode_rows(ids: pa.Array, ix: Index) -> pa.Array:
     """Texts of lists of ids: pieces joined, marks as spaces, the space in front removed, bytes joined to characters."""
     at = np.asarray(ids.offsets, np.int64)
     x = np.asarray(ids.values)[at[0]: at[-1]]
-    lengths = ix.out_at[x + 1] - ix.out_at[x]
-    data = ix.out[ranges(ix.out_at[x], lengths)]
-    cut = np.append(0, np.cumsum(lengths))[at - at[0]]
+    data = ix.out.take(pa.array(x))
+    _, offsets, joined = data.buffers()
+    cut = np.frombuffer(offsets, np.int64)[: len(data) + 1][at - at[0]]
+    left = np.frombuffer(joined, np.uint8)[: int(cut[-1])] if joined is not None else np.zeros(0, np.uint8)
     lead = np.diff(cut) > 0
-    keep = np.ones(len(data), bool)
+    keep = np.ones(len(left), bool)
     keep[cut[:-1][lead]] = False
+    left = left[keep]
     cut = np.append(0, np.cumsum(np.diff(cut) - lead))
-    if len(data[keep]) >= 1 << 31:
+    if len(left) >= 1 << 31:
         raise ValueError("decoded texts of one slice exceed 2 GB")
-    return pa.StringArray.from_buffers(len(ids), pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(data[keep].tobytes()))
+    return pa.StringArray.from_buffers(len(ids), pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(left.tobytes()))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], sent, text_at: int, k: int, alpha: float, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     ix = _index(sent, alpha)
+    words = Words(ix)
     for whole in batches:
         for b in text_slices(whole, text_at, SLICE):
             seed = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
-            found = encode_rows(b.column(text_at).to_pylist(), seed, ix, k)
+            found = encode_rows(b.column(text_at).to_pylist(), seed, ix, k, words)
             columns = [c for i, c in enumerate(b.columns[:-1]) if i != text_at] + [found.cast(kind)]
             yield pa.RecordBatch.from_arrays(columns, [n for i, n in enumerate(b.schema.names[:-1]) if i != text_at] + ["samples"])
 

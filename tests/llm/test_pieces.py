@@ -106,3 +106,37 @@ def test_spark(spark, vocabulary):
 
 def test_null_ids_decode(index):
     assert P.decode_rows(pa.array([[], []], pa.list_(pa.int32())), index).to_pylist() == ["", ""]
+
+
+class _Sent:
+    def __init__(self, vocabulary):
+        self.value = vocabulary
+
+
+def test_lattices_are_kept_over_the_slices_of_a_task(vocabulary, index, monkeypatch):
+    """A task builds each distinct word once; what it keeps is bounded, and changes no result."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    texts = [f"the quick brown fox é😀 jumps{i % 3}" for i in range(30)] + [None, "", "x" * 500]
+    seed = np.arange(len(texts)) * 31
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(seed)], ["text", "seed"])
+    built = []
+    build = P.build_lattice
+    monkeypatch.setattr(P, "build_lattice", lambda points, at, ix: built.extend(np.diff(at).tolist()) or build(points, at, ix))
+    monkeypatch.setattr(P, "SLICE", 60)
+
+    def run():
+        built.clear()
+        return [r["samples"] for b in P._encode(iter([batch]), _Sent(vocabulary), 0, 3, 0.05, to_arrow_type(P.SAMPLE)) for r in b.to_pylist()]
+
+    kept = run()
+    assert len(built) == 4 + 1 + 3 + 1  # the, quick, brown, fox; the two signs; three jumps; the x
+    monkeypatch.setattr(P, "MOST_STATES", 20)
+    anew = run()
+    assert len(built) > 9
+    for i, t in enumerate(texts):
+        alone = P.encode_rows([t], seed[i: i + 1], index, 3).to_pylist()[0]
+        for got in (kept[i], anew[i]):
+            for a, b in zip(alone, got, strict=True):
+                assert a["ids"] == b["ids"] and a["round_trip"] and b["round_trip"]
+                assert all(abs(a[c] - b[c]) < 1e-9 for c in ("log_prob", "perturbed", "log_inclusion"))
