@@ -46,9 +46,9 @@ from .words import mix, uniform
 SAMPLES = 2
 ALPHA = 0.5
 RANK_SHIFT = 2.7
-SLICE = 400_000
+SLICE = 200_000
 #: States (characters of distinct words) whose lattices a task keeps.
-MOST_STATES = 1_000_000
+MOST_STATES = 300_000
 MARK = 0x2581
 _LITERAL = 1 << 24
 _U = np.uint64
@@ -263,7 +263,7 @@ def build_lattice(points: np.ndarray, at: np.ndarray, ix: Index) -> Lattice:
     lengths = np.array([len(d) for d in data], np.int64)
     score = ix.score[one]
     score[at_lone] = lengths * ix.byte_score
-    id_at = np.arange(n_edges + 1)
+    id_at = np.arange(n_edges + 1, dtype=np.int32)
     ids = one
     if len(lone):
         sizes = np.ones(n_edges, np.int64)
@@ -307,7 +307,7 @@ class Words:
     def clear(self) -> None:
         self.hashes, self.starts = np.zeros(0, _U), np.zeros(0, np.int64)
         self.held = {k: (np.zeros(n, t), n) for k, t, n in [("first", np.int32, 1), ("end", np.int32, 0), ("log_p", np.float64, 0), (
-            "below", np.float64, 0), ("id_at", np.int64, 1), ("ids", np.int32, 0), ("final", bool, 0)]}
+            "below", np.float64, 0), ("id_at", np.int32, 1), ("ids", np.int32, 0), ("final", bool, 0)]}
 
     def _append(self, name: str, values: np.ndarray) -> None:
         kept, n = self.held[name]
